@@ -56,13 +56,100 @@ def _seg_frame(spark, segs):
         "seg_id int, s_variable string, lo double, hi double, below double")
 
 
+def _frequencies(long: DataFrame) -> DataFrame:
+    return (long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("cnt"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def _totals(freq: DataFrame) -> dict:
+    return {r["variable"]: (int(r["n"]), int(r["d"])) for r in
+            freq.groupBy("variable").agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect()}
+
+
+def _select_ranks(freq: DataFrame, wanted: dict, totals: dict, max_leaf: int, buckets: int) -> dict:
+    """{(variable, rank): value} for 0-based ranks in ascending value order."""
+    spark = freq.sparkSession
+    segs, next_id = [], 0
+    for v, ranks in wanted.items():
+        if v not in totals or not ranks:
+            continue
+        segs.append({"id": next_id, "variable": v, "lo": None, "hi": None, "below": 0,
+                     "size": totals[v][1], "ranks": set(ranks)})
+        next_id += 1
+
+    for _ in range(MAX_ROUNDS):
+        big = [s for s in segs if s["size"] > max_leaf]
+        if not big:
+            break
+        rows = _in_segments(freq, _seg_frame(spark, big))
+        fracs = [k / buckets for k in range(1, buckets)]
+        bounds = {r["seg_id"]: sorted(set(r["b"])) for r in
+                  rows.groupBy("seg_id").agg(
+                      F.percentile_approx("value", fracs, SKETCH_ACCURACY).alias("b")).collect()}
+        bdf = spark.createDataFrame([(k, v) for k, v in bounds.items()], "b_seg int, b array<double>")
+        bucketed = (rows.join(F.broadcast(bdf), rows["seg_id"] == bdf["b_seg"])
+                    .select("seg_id", F.size(F.filter("b", lambda x: x < F.col("value"))).alias("bucket"),
+                            "cnt"))
+        stats = {}
+        for r in bucketed.groupBy("seg_id", "bucket").agg(
+                F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect():
+            stats.setdefault(r["seg_id"], []).append((r["bucket"], int(r["n"]), int(r["d"])))
+        new_segs = [s for s in segs if s["size"] <= max_leaf]
+        for s in big:
+            b = bounds[s["id"]]
+            placed = {}
+            cum = 0
+            for k, n_k, d_k in sorted(stats[s["id"]]):
+                for r in s["ranks"]:
+                    if cum <= r - s["below"] < cum + n_k:
+                        placed.setdefault(k, (cum, d_k, set()))[2].add(r)
+                cum += n_k
+            for k, (before, d_k, rs) in placed.items():
+                new_segs.append({"id": next_id, "variable": s["variable"],
+                                 "lo": b[k - 1] if k > 0 else s["lo"],
+                                 "hi": b[k] if k < len(b) else s["hi"],
+                                 "below": s["below"] + before, "size": d_k, "ranks": rs})
+                next_id += 1
+        segs = new_segs
+
+    found = {}
+    if segs:
+        rows = _in_segments(freq, _seg_frame(spark, segs))
+        w = Window.partitionBy("seg_id").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = rows.select("seg_id", "s_variable", "value",
+                             (F.col("below") + F.sum("cnt").over(w)).alias("end"), "cnt")
+        rank_df = spark.createDataFrame([(s["id"], float(r)) for s in segs for r in s["ranks"]],
+                                        "r_seg int, r double")
+        hit = ranked.join(F.broadcast(rank_df),
+                          (ranked["seg_id"] == rank_df["r_seg"])
+                          & (rank_df["r"] >= ranked["end"] - ranked["cnt"]) & (rank_df["r"] < ranked["end"]))
+        for r in hit.select("s_variable", "r", "value").collect():
+            found[(r["s_variable"], int(r["r"]))] = r["value"]
+    return found
+
+
+def rank_values(long: DataFrame, wanted: dict, max_leaf: int = MAX_LEAF, buckets: int = BUCKETS):
+    """Order statistics of a long (variable, value) frame.
+
+    ``wanted`` maps variable -> 0-based ranks, or a callable ``n -> ranks`` given
+    the variable's count.  Returns ({(variable, rank): value}, {variable: n})."""
+    freq = _frequencies(long)
+    try:
+        totals = _totals(freq)
+        if callable(wanted):
+            wanted = {v: wanted(v, n) for v, (n, _) in totals.items()}
+        found = _select_ranks(freq, wanted, totals, max_leaf, buckets)
+    finally:
+        freq.unpersist()
+    return found, {v: t[0] for v, t in totals.items()}
+
+
 def quantile_values(df: DataFrame, cols, probs, value_filter=None, approx: bool = False,
                     max_leaf: int = MAX_LEAF, buckets: int = BUCKETS) -> dict:
     """{(variable, p): value}; value is None for a column without values."""
     cols = list(cols)
     probs = [float(p) for p in probs]
     long = long_values(df, cols, value_filter)
-    spark = df.sparkSession
     if approx:
         rows = (long.groupBy("variable")
                 .agg(F.percentile_approx("value", probs, SKETCH_ACCURACY).alias("q")).collect())
@@ -72,84 +159,21 @@ def quantile_values(df: DataFrame, cols, probs, value_filter=None, approx: bool
                 out[(r["variable"], p)] = v
         return out
 
-    freq = (long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("cnt"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        totals = {r["variable"]: (int(r["n"]), int(r["d"])) for r in
-                  freq.groupBy("variable").agg(F.sum("cnt").alias("n"),
-                                               F.count(F.lit(1)).alias("d")).collect()}
-        segs, next_id = [], 0
-        for c in cols:
-            if c not in totals:
-                continue
-            n, d = totals[c]
-            ranks = set()
-            for p in probs:
-                h = (n - 1) * p
-                ranks.update({math.floor(h), math.ceil(h)})
-            segs.append({"id": next_id, "variable": c, "lo": None, "hi": None, "below": 0,
-                         "size": d, "ranks": ranks})
-            next_id += 1
-
-        for _ in range(MAX_ROUNDS):
-            big = [s for s in segs if s["size"] > max_leaf]
-            if not big:
-                break
-            rows = _in_segments(freq, _seg_frame(spark, big))
-            fracs = [k / buckets for k in range(1, buckets)]
-            bounds = {r["seg_id"]: sorted(set(r["b"])) for r in
-                      rows.groupBy("seg_id").agg(
-                          F.percentile_approx("value", fracs, SKETCH_ACCURACY).alias("b")).collect()}
-            bdf = spark.createDataFrame([(k, v) for k, v in bounds.items()], "b_seg int, b array<double>")
-            bucketed = (rows.join(F.broadcast(bdf), rows["seg_id"] == bdf["b_seg"])
-                        .select("seg_id", F.size(F.filter("b", lambda x: x < F.col("value"))).alias("bucket"),
-                                "cnt"))
-            stats = {}
-            for r in bucketed.groupBy("seg_id", "bucket").agg(
-                    F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect():
-                stats.setdefault(r["seg_id"], []).append((r["bucket"], int(r["n"]), int(r["d"])))
-            new_segs = [s for s in segs if s["size"] <= max_leaf]
-            for s in big:
-                b = bounds[s["id"]]
-                placed = {}
-                cum = 0
-                for k, n_k, d_k in sorted(stats[s["id"]]):
-                    for r in s["ranks"]:
-                        if cum <= r - s["below"] < cum + n_k:
-                            placed.setdefault(k, (cum, d_k, set()))[2].add(r)
-                    cum += n_k
-                for k, (before, d_k, rs) in placed.items():
-                    new_segs.append({"id": next_id, "variable": s["variable"],
-                                     "lo": b[k - 1] if k > 0 else s["lo"],
-                                     "hi": b[k] if k < len(b) else s["hi"],
-                                     "below": s["below"] + before, "size": d_k, "ranks": rs})
-                    next_id += 1
-            segs = new_segs
-
-        found = {}
-        if segs:
-            rows = _in_segments(freq, _seg_frame(spark, segs))
-            w = Window.partitionBy("seg_id").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-            ranked = rows.select("seg_id", "s_variable", "value",
-                                 (F.col("below") + F.sum("cnt").over(w)).alias("end"), "cnt")
-            rank_df = spark.createDataFrame([(s["id"], float(r)) for s in segs for r in s["ranks"]],
-                                            "r_seg int, r double")
-            hit = ranked.join(F.broadcast(rank_df),
-                              (ranked["seg_id"] == rank_df["r_seg"])
-                              & (rank_df["r"] >= ranked["end"] - ranked["cnt"]) & (rank_df["r"] < ranked["end"]))
-            for r in hit.select("s_variable", "r", "value").collect():
-                found[(r["s_variable"], int(r["r"]))] = r["value"]
-    finally:
-        freq.unpersist()
+    def ranks_for(_v, n):
+        rs = set()
+        for p in probs:
+            h = (n - 1) * p
+            rs.update({math.floor(h), math.ceil(h)})
+        return rs
 
+    found, totals = rank_values(long, ranks_for, max_leaf, buckets)
     out = {}
     for c in cols:
         for p in probs:
             if c not in totals:
                 out[(c, p)] = None
                 continue
-            n = totals[c][0]
-            h = (n - 1) * p
+            h = (totals[c] - 1) * p
             lo, hi = math.floor(h), math.ceil(h)
             vlo, vhi = found[(c, lo)], found[(c, hi)]
             out[(c, p)] = vlo + (h - lo) * (vhi - vlo)

@@ -1,43 +1,66 @@
 """Query catalogue: one callable ``(spark, sf_dir) -> DataFrame`` per operator
 family of the survey, each reading the supplied tables (or the attempts view
-derived from them) in full.  Computed doubles are rounded to 6 decimals so the
-DuckDB oracle can be compared value by value."""
+derived from them) in full, registered together with its DuckDB oracle SQL
+when the result has a SQL form.  Computed doubles are rounded to 6 decimals
+and timestamps are rendered as text so results compare value by value."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorecraft.plans import prep
 from scorecraft.sources.attempts import attempts
 from scorecraft.sources.tables import load_table
 
 QUERIES: dict = {}
+SQL: dict = {}
 
 
-def query(name: str):
+def query(name: str, sql: str | None = None):
     def deco(fn):
+        if name in QUERIES:
+            raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
+        if sql is not None:
+            SQL[name] = sql
         return fn
     return deco
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double/float column (presentation for value comparison)."""
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
-                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
-                       for f in df.schema.fields])
+    """Round doubles, render timestamps/dates as text (presentation only)."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            c = F.round(c, digits)
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
+        out.append(c.alias(f.name))
+    return df.select(*out)
 
 
-def _att(spark: SparkSession, sf: str) -> DataFrame:
+def att(spark: SparkSession, sf: str) -> DataFrame:
     return attempts(spark, sf)
 
 
-def _tbl(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def tbl(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return load_table(spark, sf, name)
 
 
-@query("prep_study")
-def q_prep_study(spark, sf):
-    return rounded(prep.prep_study(_att(spark, sf)))
+def ts_sql(expr: str) -> str:
+    """DuckDB rendering matching ``rounded`` for timestamps."""
+    return f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+
+
+def load_all() -> dict:
+    """Import every query module (registration side effect)."""
+    from scorecraft.plans import q_rows, q_profile, q_prep, q_model  # noqa: F401
+    return QUERIES
+
+
+def lit_col(v) -> Column:
+    return F.lit(v)

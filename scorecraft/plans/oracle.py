@@ -60,22 +60,3 @@ def with_attempts(select: str, *ctes: str) -> str:
     return "WITH " + ",\n".join([ATTEMPTS_CTE, *ctes]) + "\n" + select
 
 
-SQL: dict[str, str] = {}
-
-SQL["prep_study"] = with_attempts("""
-SELECT i.item_type_code_name, count(*) AS n_rows, round(avg(i.target), 6) AS event_rate,
-       round(max(e.swoe), 6) AS swoe, count_if(i.imputed) AS n_imputed, round(avg(i.dur), 6) AS mean_duration
-FROM i JOIN e ON i.item_type_code_name = e.item_type_code_name
-GROUP BY i.item_type_code_name""", STUDY_CTE, """q AS (
-  SELECT quantile_cont(item_attempt_duration_mins, 0.25) AS q1,
-         quantile_cont(item_attempt_duration_mins, 0.5) AS med,
-         quantile_cont(item_attempt_duration_mins, 0.75) AS q3
-  FROM study WHERE item_attempt_duration_mins >= 0)""", """i AS (
-  SELECT s.item_type_code_name, s.target,
-         CASE WHEN s.item_attempt_duration_mins > q.q3 + 1.5 * (q.q3 - q.q1) THEN q.med
-              ELSE s.item_attempt_duration_mins END AS dur,
-         s.item_attempt_duration_mins > q.q3 + 1.5 * (q.q3 - q.q1) AS imputed
-  FROM study s, q)""", """p AS (SELECT avg(target) AS p1 FROM i)""", """e AS (
-  SELECT item_type_code_name,
-         ln((sum(target) + 24 * max(p1)) / (count(*) - sum(target) + 24 * (1 - max(p1)))) AS swoe
-  FROM i, p GROUP BY item_type_code_name)""")
