@@ -158,8 +158,12 @@ def association_matrix(df: DataFrame, nominal, numeric) -> DataFrame:
         parts.append(correlation_ratio(df, nominal, numeric).select(
             "v1", "v2", F.lit("eta").alias("measure"), F.col("eta").alias("value")))
     if len(numeric) > 1:
-        cm = corr_matrix(df, numeric).where(F.col("v1") < F.col("v2"))
-        parts.append(cm.select("v1", "v2", F.lit("pearson").alias("measure"), "value"))
+        pairs = list(itertools.combinations(numeric, 2))
+        one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
+                       for i, (a, b) in enumerate(pairs)])
+        parts.append(one.select(F.inline(F.array(*[
+            F.struct(F.lit(a).alias("v1"), F.lit(b).alias("v2"), F.lit("pearson").alias("measure"),
+                     F.col(f"r{i}").alias("value")) for i, (a, b) in enumerate(pairs)]))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
