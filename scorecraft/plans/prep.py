@@ -41,3 +41,33 @@ def prep_study(att: DataFrame, c: float = SWOE_C, approx: bool = False) -> DataF
         F.max(f"{ITEM_TYPE}_swoe").alias("swoe"),
         F.count_if(F.col(f"{DURATION}_imputed")).alias("n_imputed"),
         F.avg(DURATION).alias("mean_duration"))
+
+
+# The study's fitted scoring formula (log-odds coefficients).
+G3_INTERCEPT = -0.199966
+G3_COEFS = {"student_duration_mins": 0.000709, "timeliness_duration_mins": 0.000003,
+            "item_type_code_name_swoe": 0.979045, "number_of_distinct_instance_items": 0.008417}
+MODEL_FEATURES = ["student_duration_mins", "timeliness_duration_mins", "item_type_code_name_swoe",
+                  "number_of_distinct_instance_items"]
+
+
+def scored_frame(att: DataFrame) -> DataFrame:
+    """Study rows with SWOE (inner join) and the fixed-formula score (G3):
+    label, score, prediction.  Rows without the two student durations drop."""
+    from scorecraft.operators.model import classify, score_by_coefficients
+    s = study_frame(att)
+    s = add_swoe(s, ITEM_TYPE, "target", SWOE_C)
+    s = s.where(F.col("student_duration_mins").isNotNull() & F.col("timeliness_duration_mins").isNotNull())
+    s = score_by_coefficients(s, G3_COEFS, G3_INTERCEPT)
+    return classify(s.withColumnRenamed("target", "label"))
+
+
+def model_frame(att: DataFrame, which: str = "train") -> DataFrame:
+    """The modelling table: cleaned (C7, C2, J3, B5), hash split, then SWOE and
+    IQR imputation fitted on the split itself (K7)."""
+    from scorecraft.functions.dates import add_durations as durations
+    from scorecraft.operators.clean import keep_scored as c1
+    from scorecraft.plans import cleaning
+    c = cleaning.clean_before_split(durations(c1(att)))
+    train, valid = cleaning.split_frames(c)
+    return cleaning.impute_split(train if which == "train" else valid)
