@@ -27,6 +27,7 @@ GROUP BY i.item_type_code_name""", STUDY_CTE, """q AS (
 
 @query("prep_study", _PREP_SQL)
 def q_prep_study(spark, sf):
+    """Flagship: C1 -> B3 -> C5 -> B5 -> K1 -> L3, summarised per item type."""
     return rounded(prep.prep_study(att(spark, sf)))
 
 
