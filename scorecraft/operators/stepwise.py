@@ -36,7 +36,7 @@ class LinearEngine:
         self.names, self.n, self.xx, self.xy, self.yy = names, n, xx, xy, yy
         self.ysum = xy[names.index(INTERCEPT)]
 
-    def fit_many(self, designs) -> list[Fit]:
+    def fit_many(self, designs, start: dict | None = None) -> list[Fit]:
         out = []
         for d in designs:
             idx = [self.names.index(c) for c in d]
@@ -56,6 +56,7 @@ class LogisticEngine:
                      .dropna().persist(StorageLevel.MEMORY_AND_DISK))
         agg = self.data.agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("s")).first()
         self.n, ysum = int(agg["n"]), float(agg["s"] or 0.0)
+        self.ysum = ysum
         pbar = ysum / self.n if self.n else float("nan")
         self.ll_null = (ysum * math.log(pbar) + (self.n - ysum) * math.log(1 - pbar)) if 0 < pbar < 1 else 0.0
         self.columns = list(columns)
@@ -113,32 +114,51 @@ class LogisticEngine:
                 out[r["d"]][2] = r["v"]
         return out
 
-    def fit_many(self, designs) -> list[Fit]:
+    def _fit(self, d, b, h, ll) -> Fit:
+        cov = np.linalg.pinv(h)
+        se = np.sqrt(np.maximum(np.diag(cov), 0.0))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            z = b / se
+        p = np.array([stats.normal_two_sided_p(float(v)) for v in z])
+        k = len(d)
+        return Fit(list(d), b, se, z, p, b - stats.Z_975 * se, b + stats.Z_975 * se, self.n, ll, self.ll_null,
+                   -2 * ll + 2 * k, -2 * ll + k * math.log(self.n),
+                   pseudo_r2=1 - ll / self.ll_null if self.ll_null else None, kind="logit")
+
+    def _intercept_only(self) -> Fit | None:
+        pbar = self.ysum / self.n if self.n else float("nan")
+        if not 0 < pbar < 1:
+            return None
+        b = np.array([math.log(pbar / (1 - pbar))])
+        h = np.array([[self.n * pbar * (1 - pbar)]])
+        return self._fit([INTERCEPT], b, h, self.ll_null)
+
+    def fit_many(self, designs, start: dict | None = None) -> list[Fit]:
+        """Newton-Raphson for every design at once (one pass per iteration).
+        ``start`` warm-starts terms from a previous fit (others start at 0).
+        Standard errors use the Hessian of the last iteration, whose step is
+        below the tolerance; the intercept-only model is closed form."""
         designs = [list(d) for d in designs]
-        betas = [np.zeros(len(d)) for d in designs]
-        open_ = set(range(len(designs)))
+        start = start or {}
+        fits: list = [self._intercept_only() if d == [INTERCEPT] else None for d in designs]
+        betas = [np.array([float(start.get(t, 0.0)) for t in d]) for d in designs]
+        open_ = {k for k in range(len(designs)) if fits[k] is None}
+        last = {}
         for _ in range(MAX_NEWTON):
             if not open_:
                 break
             todo = sorted(open_)
             sums = self._pass([designs[k] for k in todo], [betas[k] for k in todo])
-            for k, (h, g, _ll) in zip(todo, sums):
+            for k, (h, g, ll) in zip(todo, sums):
                 step = np.linalg.pinv(h) @ g
+                last[k] = (h, ll)
                 betas[k] = betas[k] + step
                 if np.max(np.abs(step)) < NEWTON_TOL:
                     open_.discard(k)
-        final = self._pass(designs, betas)
-        fits = []
-        for d, b, (h, _g, ll) in zip(designs, betas, final):
-            cov = np.linalg.pinv(h)
-            se = np.sqrt(np.maximum(np.diag(cov), 0.0))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                z = b / se
-            p = np.array([stats.normal_two_sided_p(float(v)) for v in z])
-            k = len(d)
-            fits.append(Fit(d, b, se, z, p, b - stats.Z_975 * se, b + stats.Z_975 * se, self.n, ll, self.ll_null,
-                            -2 * ll + 2 * k, -2 * ll + k * math.log(self.n),
-                            pseudo_r2=1 - ll / self.ll_null if self.ll_null else None, kind="logit"))
+        for k, d in enumerate(designs):
+            if fits[k] is None:
+                h, ll = last[k]
+                fits[k] = self._fit(d, betas[k], h, ll)
         return fits
 
     def close(self):
@@ -189,12 +209,13 @@ def forward_selection(df: DataFrame, columns, label: str, model_type: str = "lin
     use_crit = _crit_usable(criterion, kind)
     selected, others = [INTERCEPT], list(columns)
     sel = Selection(selected)
-    base = eng.fit_many([selected])[0]
-    crit = base.criterion(criterion) if use_crit else None
+    current = eng.fit_many([selected])[0]
+    crit = current.criterion(criterion) if use_crit else None
     for _ in range(len(columns) + 1):
         if not others:
             break
-        fits = eng.fit_many([selected + [c] for c in others])
+        warm = dict(zip(current.terms, current.coef))
+        fits = eng.fit_many([selected + [c] for c in others], start=warm)
         cands = sorted(((f.pvalue(c), i, c, f) for i, (c, f) in enumerate(zip(others, fits))
                         if not math.isnan(f.pvalue(c)) and f.pvalue(c) <= sl), key=lambda t: (t[0], t[1]))
         if not cands:
@@ -207,6 +228,7 @@ def forward_selection(df: DataFrame, columns, label: str, model_type: str = "lin
                 selected.append(best)
                 others.remove(best)
                 crit = new
+                current = fit
                 sel.log.append(("entered", best, p, fit.aic, fit.bic, new))
             else:
                 sel.log.append(("break_criterion", best, p, fit.aic, fit.bic, new))
@@ -214,8 +236,9 @@ def forward_selection(df: DataFrame, columns, label: str, model_type: str = "lin
         else:
             selected.append(best)
             others.remove(best)
+            current = fit
             sel.log.append(("entered", best, p, fit.aic, fit.bic, None))
-    sel.final = eng.fit_many([selected])[0]
+    sel.final = current
     if hasattr(eng, "close"):
         eng.close()
     return sel
@@ -234,7 +257,8 @@ def backward_selection(df: DataFrame, columns, label: str, model_type: str = "li
     sel = Selection(list(current))
     model, last_dropped, cols = None, None, list(current)
     for i in range(len(current)):
-        new_model = eng.fit_many([current])[0]
+        warm = dict(zip(model.terms, model.coef)) if model is not None else None
+        new_model = eng.fit_many([current], start=warm)[0]
         if i != 0 and use_crit:
             if _better(criterion, model.criterion(criterion), new_model.criterion(criterion)):
                 sel.log.append(("regained", last_dropped, None, new_model.aic, new_model.bic,

@@ -43,8 +43,30 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
+_STAGED: dict = {}
+
+
 def att(spark: SparkSession, sf: str) -> DataFrame:
-    return attempts(spark, sf)
+    """The attempts view, staged once per session and table folder as parquet in
+    the shared checkpoint folder: later queries scan it with pruning and
+    pushdown instead of re-running the four joins, and the staged copy
+    survives executor loss (lineage is cut at the write)."""
+    return _STAGED[_stage(spark, sf)][1]
+
+
+def att_path(spark: SparkSession, sf: str) -> str:
+    """Folder of the staged attempts parquet (input of the streaming queries)."""
+    return _STAGED[_stage(spark, sf)][0]
+
+
+def _stage(spark: SparkSession, sf: str):
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STAGED:
+        from scorecraft.session import scratch_path
+        from scorecraft.sources.attempts import materialise_attempts
+        path = scratch_path(spark, "attempts")
+        _STAGED[key] = (path, materialise_attempts(spark, sf, path))
+    return key
 
 
 def tbl(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -58,7 +80,7 @@ def ts_sql(expr: str) -> str:
 
 def load_all() -> dict:
     """Import every query module (registration side effect)."""
-    from scorecraft.plans import q_rows, q_profile, q_prep, q_model  # noqa: F401
+    from scorecraft.plans import q_rows, q_profile, q_prep, q_model, q_stream  # noqa: F401
     return QUERIES
 
 
