@@ -131,7 +131,7 @@ def logit_l2(df: DataFrame, features, label: str = "target", C: float = 1.0):
     data = _assemble(df, features, label).persist(StorageLevel.MEMORY_AND_DISK)
     n = data.count()
     lr = LogisticRegression(regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False,
-                            fitIntercept=True, maxIter=500, tol=1e-12, labelCol=label, featuresCol="features")
+                            fitIntercept=True, maxIter=500, tol=1e-10, labelCol=label, featuresCol="features")
     m = lr.fit(data)
     spark = df.sparkSession
     rows = [(INTERCEPT, float(m.intercept))] + [(f, float(b)) for f, b in zip(features, m.coefficients.toArray())]

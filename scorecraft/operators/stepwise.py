@@ -281,6 +281,8 @@ def backward_selection(df: DataFrame, columns, label: str, model_type: str = "li
             break
     sel.selected = cols
     sel.final = model
+    if model is not None:
+        sel.log.append(("final", None, None, model.aic, model.bic, model.criterion(criterion) if use_crit else None))
     if hasattr(eng, "close"):
         eng.close()
     return sel

@@ -150,28 +150,28 @@ def q_logit_inference(spark, sf):
     """M1/M9: ML logistic regression with intercept: coefficient table
     (estimate, standard error, z, p, 95 % interval)."""
     fit = model.logit_fit(_model_data(spark, sf), prep.MODEL_FEATURES, "target", intercept=True)
-    return rounded(fit.coef_frame(spark))
+    return fit.coef_frame(spark)
 
 
 @query("logit_model_stats")
 def q_logit_model_stats(spark, sf):
     """N, log-likelihood, null LL, AIC, BIC, McFadden pseudo-R2."""
     fit = model.logit_fit(_model_data(spark, sf), prep.MODEL_FEATURES, "target", intercept=True)
-    return rounded(fit.stats_frame(spark))
+    return fit.stats_frame(spark)
 
 
 @query("logit_no_intercept")
 def q_logit_no_intercept(spark, sf):
     """M2: the same model without intercept."""
     fit = model.logit_fit(_model_data(spark, sf), prep.MODEL_FEATURES, "target", intercept=False)
-    return rounded(fit.coef_frame(spark))
+    return fit.coef_frame(spark)
 
 
 @query("logit_l2")
 def q_logit_l2(spark, sf):
     """M3: L2-regularised logistic regression (C = 1)."""
     _, table = model.logit_l2(_model_data(spark, sf), prep.MODEL_FEATURES, "target", C=1.0)
-    return rounded(table)
+    return table
 
 
 @query("coef_table")
@@ -182,7 +182,7 @@ def q_coef_table(spark, sf):
     valid = prep.model_frame(att(spark, sf), "valid")
     scored = model.classify(model.score_by_coefficients(valid, coefs, float(fit.coef[0])))
     m = evaluate.binary_metrics(scored.withColumnRenamed("target", "label"))
-    return rounded(
+    return (
         fit.coef_frame(spark).select(F.col("term").alias("param"), "estimate").unionByName(
             m.select(F.lit("validation_accuracy").alias("param"), F.col("accuracy").alias("estimate"))))
 
@@ -202,7 +202,7 @@ def q_ols_one(spark, sf):
 def q_ols_inference(spark, sf):
     """M5: OLS with standard errors, t, p and intervals from one Gram pass."""
     fit = model.ols_fit(tbl(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
-    return rounded(fit.coef_frame(spark).unionByName(
+    return (fit.coef_frame(spark).unionByName(
         fit.stats_frame(spark).select(F.col("statistic").alias("term"), F.col("value").alias("estimate"),
                                       *[F.lit(None).cast("double").alias(c) for c in
                                         ("std_err", "stat", "p_value", "ci_low", "ci_high")])))
@@ -216,28 +216,34 @@ _STEP_COLS = ["student_duration_mins", "timeliness_duration_mins", "item_attempt
 def q_stepwise_forward(spark, sf):
     """Forward selection, logistic, AIC, sl = 0.05 (selection log)."""
     sel = stepwise.forward_selection(_model_data(spark, sf), _STEP_COLS, "target", "logistic", "aic", 0.05)
-    return rounded(sel.log_frame(spark))
+    return sel.log_frame(spark)
 
 
 @query("stepwise_backward")
 def q_stepwise_backward(spark, sf):
     """Backward elimination with regain, logistic, AIC."""
     sel = stepwise.backward_selection(_model_data(spark, sf), _STEP_COLS, "target", "logistic", "aic", 0.05)
-    return rounded(sel.log_frame(spark))
+    return sel.log_frame(spark)
 
 
 @query("selection_log")
 def q_selection_log(spark, sf):
-    """M6/M10 linear: forward selection on the Gram matrix (adjusted R2) and the
-    final model's coefficient table."""
-    li = tbl(spark, sf, "lineitem").withColumn("l_flag_r", (F.col("l_returnflag") == "R").cast("double"))
-    sel = stepwise.forward_selection(li, ["l_quantity", "l_discount", "l_tax", "l_flag_r"], "l_extendedprice",
-                                     "linear", "adjr2", 0.05)
-    return rounded(sel.final.coef_frame(spark))
+    """M6/M10 linear: forward selection of the raw score on one Gram matrix
+    (adjusted R2 criterion): the log followed by the final coefficient table."""
+    s = prep.study_frame(att(spark, sf))
+    cands = ["number_of_distinct_instance_items", "final_score_unweighted", "item_attempt_duration_mins",
+             "number_of_learners"]
+    sel = stepwise.forward_selection(s, cands, "raw_score", "linear", "adjr2", 0.05)
+    log = sel.log_frame(spark).select(F.concat(F.lit("step "), F.col("step").cast("string")).alias("item"),
+                                      "action", "variable", "p_value", "criterion")
+    coefs = sel.final.coef_frame(spark).select(F.lit("final").alias("item"), F.lit("coefficient").alias("action"),
+                                               F.col("term").alias("variable"), "p_value",
+                                               F.col("estimate").alias("criterion"))
+    return log.unionByName(coefs)
 
 
 @query("pca_variance")
 def q_pca_variance(spark, sf):
     """M8: explained variance ratio and cumulative share of centred columns."""
     t, _ = model.pca_variance(tbl(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
-    return rounded(t)
+    return t
