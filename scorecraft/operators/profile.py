@@ -145,15 +145,17 @@ KNOWN_CONSTANT = ["assignment_late_submission", "learner_attempt_status", "is_de
 
 def constant_columns(df: DataFrame, skip=KNOWN_CONSTANT) -> DataFrame:
     """Columns holding a single value (NULL counted as the value 'null'),
-    with that value.  One pass: distinct count and min of the text form."""
+    with that value.  A column has exactly one distinct text value iff the
+    minimum and maximum of that text agree, so one pass of min/max answers it
+    without the per-column distinct-count expansion."""
     cols = [c for c in df.columns if not skip or c not in set(skip)]
     aggs = []
     for i, c in enumerate(cols):
-        txt = F.coalesce(F.col(c).cast("string"), F.lit("null"))
-        aggs += [F.countDistinct(txt).alias(f"u{i}"), F.min(txt).alias(f"v{i}")]
-    items = [F.struct(F.lit(c).alias("variable"), F.col(f"u{i}").cast("long").alias("n_values"),
-                      F.col(f"v{i}").alias("value")) for i, c in enumerate(cols)]
-    return _long(df.agg(*aggs), items).where(F.col("n_values") == 1).select("variable", "value")
+        txt = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null"))
+        aggs += [F.min(txt).alias(f"a{i}"), F.max(txt).alias(f"b{i}")]
+    items = [F.struct(F.lit(c).alias("variable"), F.col(f"a{i}").alias("value"),
+                      (F.col(f"a{i}") == F.col(f"b{i}")).alias("single")) for i, c in enumerate(cols)]
+    return _long(df.agg(*aggs), items).where(F.col("single")).select("variable", "value")
 
 
 def describe_long(df: DataFrame, cols) -> DataFrame:

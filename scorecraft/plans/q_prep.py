@@ -186,6 +186,26 @@ def q_offset_impute(spark, sf):
         (F.avg(epoch_micros("scored_datetime")) / 86400e6).alias("mean_day")))
 
 
+@query("offset_impute_faithful", with_attempts("""
+SELECT org_id, count_if(assignment_due_date IS NULL) AS n_filled, count(scored_fill) AS n_present,
+       round(avg(epoch(scored_fill)) / 86400.0, 6) AS mean_day
+FROM (SELECT b.*, CASE WHEN b.assignment_due_date IS NULL
+                       THEN to_timestamp(epoch(b.student_start_datetime) - o.off)
+                       ELSE b.assignment_due_date END AS scored_fill
+      FROM base b, (SELECT avg(epoch(assignment_due_date) - epoch(student_start_datetime)) AS off FROM base) o) t
+GROUP BY org_id""", f"base AS (SELECT * FROM attempts WHERE {_C1})"))
+def q_offset_impute_faithful(spark, sf):
+    """K3 as in the study: gaps of one date filled from another date shifted by
+    the mean offset with the study's sign, and written to a third column (Q23)."""
+    d = impute.offset_impute(clean.keep_scored(att(spark, sf)), "assignment_due_date", "student_start_datetime",
+                             faithful=True, write_to="scored_datetime")
+    from scorecraft.functions.dates import epoch_micros
+    return rounded(d.groupBy("org_id").agg(
+        F.count_if(F.col("assignment_due_date").isNull()).alias("n_filled"),
+        F.count("scored_datetime").alias("n_present"),
+        (F.avg(epoch_micros("scored_datetime")) / 86400e6).alias("mean_day")))
+
+
 @query("guarded_offset_impute", with_attempts("""
 SELECT org_id, count_if(sub_imputed) AS n_null_before, count(sub_fill) AS n_present,
        round(avg(epoch(sub_fill)) / 86400.0, 6) AS mean_day

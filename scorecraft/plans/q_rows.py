@@ -492,4 +492,20 @@ def q_initials_label(spark, sf):
     return v.join(F.broadcast(nn), v["variable"] == nn["column_name"]).select("category", "variable", "non_null")
 
 
+@query("dictionary_types", with_attempts(f"""
+SELECT d.type, count(*) AS n_fields, min(d.field) AS first_field, sum(n.non_null) AS non_null
+FROM {_dict_values_sql()}
+JOIN ({_nonnull_long_sql(_PRESENT)}) n ON n.column_name = d.field
+GROUP BY d.type"""))
+def q_dictionary_types(spark, sf):
+    """Distinct statistical types of the present columns, dictionary ordered
+    by field, with the non-null values each type holds in the data."""
+    a = att(spark, sf)
+    d = dct.dictionary_df(spark).orderBy("field")
+    nn = _nonnull_long(a.select(*[c for c in a.columns if c in set(_PRESENT)]))
+    return (d.join(F.broadcast(nn), d["field"] == nn["column_name"])
+            .groupBy("type").agg(F.count(F.lit(1)).alias("n_fields"), F.min("field").alias("first_field"),
+                                 F.sum("non_null").cast("long").alias("non_null")))
+
+
 _ = initials_label  # re-exported helper used by the dictionary module
