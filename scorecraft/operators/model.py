@@ -81,8 +81,16 @@ def _assemble(df: DataFrame, features, label, out: str = "features") -> DataFram
 
 
 def logit_fit(df: DataFrame, features, label: str = "target", intercept: bool = True,
-              max_iter: int = 100, tol: float = 1e-10) -> Fit:
-    """M1/M2: maximum-likelihood logistic regression (GLR binomial/logit, IRLS)."""
+              solver: str = "newton", max_iter: int = 100, tol: float = 1e-10) -> Fit:
+    """M1/M2: maximum-likelihood logistic regression with the inference table.
+
+    ``solver='newton'`` (default): distributed Newton-Raphson, one pass over the
+    rows per iteration (the stepwise engine).  ``solver='glr'``: Spark ML's
+    GeneralizedLinearRegression (binomial/logit IRLS); its summary launches
+    several further jobs (and a second fit for the null deviance), so it is the
+    slower path for the same numbers."""
+    if solver == "newton":
+        return newton_logit(df, features, label, intercept)
     from pyspark.ml.regression import GeneralizedLinearRegression
     data = _assemble(df, features, label).persist(StorageLevel.MEMORY_AND_DISK)
     glr = GeneralizedLinearRegression(family="binomial", link="logit", regParam=0.0, fitIntercept=intercept,

@@ -131,17 +131,28 @@ def _select_ranks(freq: DataFrame, wanted: dict, totals: dict, max_leaf: int, bu
 def rank_values(long: DataFrame, wanted: dict, max_leaf: int = MAX_LEAF, buckets: int = BUCKETS):
     """Order statistics of a long (variable, value) frame.
 
-    ``wanted`` maps variable -> 0-based ranks, or a callable ``n -> ranks`` given
-    the variable's count.  Returns ({(variable, rank): value}, {variable: n})."""
-    freq = _frequencies(long)
-    try:
-        totals = _totals(freq)
-        if callable(wanted):
-            wanted = {v: wanted(v, n) for v, (n, _) in totals.items()}
-        found = _select_ranks(freq, wanted, totals, max_leaf, buckets)
-    finally:
-        freq.unpersist()
-    return found, {v: t[0] for v, t in totals.items()}
+    ``wanted`` maps variable -> 0-based ranks, or a callable ``(variable, n) ->
+    ranks``.  Returns ({(variable, rank): value}, {variable: n}).
+
+    A light first pass gives each variable's exact count and a HyperLogLog
+    estimate of its distinct values.  When every variable is small enough the
+    ranks are read with one windowed pass over the value frequencies; only
+    otherwise are the frequencies persisted for the narrowing rounds."""
+    est = {r["variable"]: (int(r["n"]), int(r["d"])) for r in
+           long.groupBy("variable").agg(F.count("value").alias("n"),
+                                        F.approx_count_distinct("value", 0.05).alias("d")).collect()}
+    if callable(wanted):
+        wanted = {v: wanted(v, n) for v, (n, _) in est.items()}
+    freq = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    if all(d <= max_leaf * 0.85 for _, d in est.values()):
+        found = _select_ranks(freq, wanted, est, max_leaf, buckets)
+    else:
+        freq = freq.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            found = _select_ranks(freq, wanted, _totals(freq), max_leaf, buckets)
+        finally:
+            freq.unpersist()
+    return found, {v: t[0] for v, t in est.items()}
 
 
 def quantile_values(df: DataFrame, cols, probs, value_filter=None, approx: bool = False,

@@ -36,9 +36,10 @@ def logit_data(spark):
     return df, np.column_stack([x1, x2, x3]), y
 
 
-def test_logit_glr_matches_newton(spark, logit_data):
+@pytest.mark.parametrize("solver", ["glr", "newton"])
+def test_logit_matches_numpy_newton(spark, logit_data, solver):
     df, x, y = logit_data
-    fit = model.logit_fit(df, ["x1", "x2", "x3"], "target")
+    fit = model.logit_fit(df, ["x1", "x2", "x3"], "target", solver=solver)
     xb = np.column_stack([np.ones(len(y)), x])
     b, se, ll = _newton(xb, y)
     assert fit.terms == ["intercept", "x1", "x2", "x3"]
