@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 ROWS_PER_RANGE = 1_000_000
+MAX_RANGES = 4096
 SKETCH_ACCURACY = 20_000
 
 
@@ -90,10 +91,12 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score",
     g = _score_groups(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
     tot = g.agg(F.count(F.lit(1)).alias("d"), F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
     d, P, N = int(tot["d"] or 0), int(tot["p"] or 0), int(tot["n"] or 0)
-    ranges = max(1, math.ceil(d / rows_per_range))
+    # beyond MAX_RANGES * rows_per_range distinct scores each range grows past
+    # rows_per_range; the window then spills to disk instead of growing the plan.
+    ranges = min(MAX_RANGES, max(1, math.ceil(d / rows_per_range)))
     if ranges > 1:
         fr = [k / ranges for k in range(1, ranges)]
-        bounds = sorted(set(g.agg(F.percentile_approx("score", fr, SKETCH_ACCURACY)).first()[0]))
+        bounds = sorted(set(g.agg(F.percentile_approx("score", fr, max(SKETCH_ACCURACY, 4 * ranges))).first()[0]))
         # range 0 holds the highest scores: count bounds >= score
         rng = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b >= F.col("score")))
     else:

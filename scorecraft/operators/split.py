@@ -22,6 +22,8 @@ SAMPLE_SEED = 8764664
 SPLIT_SEED = 11112020
 TRAIN_FRACTION = 0.75
 SAMPLE_FRACTION = 0.10
+# Classes above which a stratified split is refused (one cut-off per class is kept on the driver).
+MAX_CLASSES = 100_000
 
 
 def key_text(keys) -> Column:
@@ -69,6 +71,9 @@ def stratified_split(df: DataFrame, label: str, keys, train_fraction: float = TR
     'train': those with the smallest hash of the key.  The per-class cut-off is
     the hash value at rank floor(f*n_c) - 1, found by the distributed rank
     search (only one number per class reaches the driver)."""
+    n_classes = df.agg(F.approx_count_distinct(label)).first()[0]
+    if n_classes > MAX_CLASSES:
+        raise ValueError(f"{label} has about {n_classes} classes; stratification supports {MAX_CLASSES}")
     u = hash_unit(keys)
     long = df.select(F.col(label).cast("string").alias("variable"), u.alias("value"))
 

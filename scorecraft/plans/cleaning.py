@@ -82,6 +82,42 @@ def impute_split(df: DataFrame, fit_on: DataFrame | None = None, c: float = 24.0
     return imp.transform(enc)
 
 
+def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0) -> DataFrame:
+    """K7 for all splits at once: the split is part of every grouping key, so
+    the SWOE counts of all splits are one grouped aggregation and the fences of
+    all (split, duration) pairs one quantile search.  Equivalent to fitting
+    each split on itself (Q25); rows with a NULL item type drop (inner join)."""
+    from scorecraft.operators.distribution import QUARTILES, WHISKER
+    from scorecraft.operators.quantiles import quantile_values
+    cat = "item_type_code_name"
+    cnt = (df.groupBy(split_col, cat).agg(F.count_if(F.col("target") == 1).alias("n_event"),
+                                          F.count_if(F.col("target") == 0).alias("n_nonevent"),
+                                          F.count(F.col("target")).alias("n_target"),
+                                          F.sum(F.col("target").cast("double")).alias("sum_target")))
+    cnt = broadcast_if_small(cnt)
+    p1 = {r[split_col]: r["s"] / r["n"] for r in cnt.groupBy(split_col).agg(
+        F.sum("sum_target").alias("s"), F.sum("n_target").alias("n")).collect() if r["n"]}
+    p1_col = F.create_map(*[F.lit(x) for kv in p1.items() for x in kv])[F.col(split_col)]
+    table = cnt.select(split_col, cat, F.ln(F.try_divide(
+        F.col("n_event") + F.lit(c) * p1_col, F.col("n_nonevent") + F.lit(c) * (1 - p1_col))).alias(f"{cat}_swoe"))
+    enc = df.join(table, [split_col, cat], "inner").persist(StorageLevel.MEMORY_AND_DISK)
+    keyed = enc.select(*[F.when(F.col(split_col) == s, F.col(d)).alias(f"{s}|{d}") for s in p1 for d in DURATIONS])
+    q = quantile_values(keyed, keyed.columns, QUARTILES, lambda v: v >= 0)
+    flags, vals = {}, {}
+    for d in DURATIONS:
+        hi_e, med_e = F.lit(None).cast("double"), F.lit(None).cast("double")
+        for s in p1:
+            q1, med, q3 = (q[(f"{s}|{d}", p)] for p in QUARTILES)
+            if q1 is None:
+                continue
+            hi_e = F.when(F.col(split_col) == s, F.lit(q3 + WHISKER * (q3 - q1))).otherwise(hi_e)
+            med_e = F.when(F.col(split_col) == s, F.lit(med)).otherwise(med_e)
+        over = F.col(d) > hi_e
+        flags[d + "_imputed"] = over
+        vals[d] = F.when(over, med_e).otherwise(F.col(d))
+    return enc.withColumns(flags).withColumns(vals)
+
+
 def pre_split_audit(df: DataFrame) -> DataFrame:
     """K8 (pre-split part): rows removed by each step, one aggregate."""
     f = _step_flags(df)
@@ -107,11 +143,20 @@ def post_split_audit(imputed: DataFrame, data: str) -> DataFrame:
     return one.select(F.inline(F.array(*items)))
 
 
+def post_split_audit_all(imputed: DataFrame, split_col: str = "split") -> DataFrame:
+    """K8 (post-split part) for every split in one grouped aggregate."""
+    aggs = [F.count_if(F.col(col + "_imputed")).alias(f"i{n}") for n, _, _, col in POST_STEPS if col]
+    per = imputed.groupBy(split_col).agg(*aggs)
+    items = []
+    for n, d, fn, col in POST_STEPS:
+        imp = F.col(f"i{n}").cast("long") if col else F.lit(0).cast("long")
+        items.append(F.struct(F.lit(n).alias("step"), F.lit(d).alias("description"),
+                              F.lit(0).cast("long").alias("removed"), imp.alias("imputed"),
+                              F.col(split_col).alias("data"), F.lit(fn).alias("function")))
+    return per.select(F.inline(F.array(*items)))
+
+
 def audit_table(df: DataFrame) -> DataFrame:
     """K8: the whole audit: pre-split removals and per-split imputations."""
-    cleaned = clean_before_split(df).persist(StorageLevel.MEMORY_AND_DISK)
-    train, valid = split_frames(cleaned)
-    out = pre_split_audit(df)
-    for name, part in (("train", train), ("valid", valid)):
-        out = out.unionByName(post_split_audit(impute_split(part), name))
-    return out
+    cleaned = hash_split(clean_before_split(df), SPLIT_KEYS)
+    return pre_split_audit(df).unionByName(post_split_audit_all(impute_by_split(cleaned)))

@@ -97,18 +97,15 @@ def q_clean_steps(spark, sf):
     f"count_if({c}_imputed) AS n_{c}, round(avg({c}), 6) AS mean_{c}" for c in _D3)
     + ", round(avg(swoe), 6) AS mean_swoe FROM imp GROUP BY split", *_IMP_CTES))
 def q_post_split_impute(spark, sf):
-    """K7: per split SWOE + IQR imputation, each fitted on its own split (Q25)."""
-    c = cleaning.clean_before_split(_filtered(spark, sf)).persist()
-    train, valid = cleaning.split_frames(c)
-    out = None
-    for name, part in (("train", train), ("valid", valid)):
-        d = cleaning.impute_split(part)
-        r = d.agg(F.count(F.lit(1)).alias("n_rows"),
-                  *[a for col in _D3 for a in (F.count_if(F.col(col + "_imputed")).alias(f"n_{col}"),
-                                                F.avg(col).alias(f"mean_{col}"))],
-                  F.avg("item_type_code_name_swoe").alias("mean_swoe")).select(F.lit(name).alias("split"), "*")
-        out = r if out is None else out.unionByName(r)
-    return rounded(out)
+    """K7: per split SWOE + IQR imputation, each fitted on its own split (Q25);
+    all splits share the same grouped passes (the split is part of each key)."""
+    c = split.hash_split(cleaning.clean_before_split(_filtered(spark, sf)), cleaning.SPLIT_KEYS)
+    d = cleaning.impute_by_split(c)
+    return rounded(d.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[a for col in _D3 for a in (F.count_if(F.col(col + "_imputed")).alias(f"n_{col}"),
+                                      F.avg(col).alias(f"mean_{col}"))],
+        F.avg("item_type_code_name_swoe").alias("mean_swoe")))
 
 
 def _audit_sql():
