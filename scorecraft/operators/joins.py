@@ -10,17 +10,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Rows above which a lookup table is joined by shuffle instead of broadcast.
+# A lookup table is broadcast only if it has at most this many rows AND its
+# estimated size is at most this many bytes (every executor receives a copy).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Estimated bytes per value by type (strings use Spark's planner default of 20).
+_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Persist the (usually aggregated) side, count it, broadcast it only if it
-    holds at most ``max_rows`` rows.  The persisted copy is reused by the join,
-    so the aggregate is computed once."""
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema."""
+    w = 8  # row header
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        w += _WIDTH.get(t, 20 if t == "string" else 8)
+    return w
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Persist the (usually aggregated) side and count it; broadcast it only if
+    both its row count and its estimated size are within bounds.  The persisted
+    copy feeds the broadcast, so the aggregate is computed once; a side over the
+    bounds is released again and joined by shuffle (sort-merge, AQE skew split)."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows and n * row_width(df) <= max_bytes:
+        return F.broadcast(df)
+    df.unpersist()
+    return df
 
 
 def join_aggregate_back(detail: DataFrame, agg: DataFrame, on, how: str = "left",

@@ -31,8 +31,12 @@ def key_text(keys) -> Column:
     return cols[0] if len(cols) == 1 else F.concat_ws("|", *cols)
 
 
-def hash_bucket(keys, buckets: int = 100) -> Column:
-    """0..buckets-1 from the first 32 bits of md5(key) (same value in DuckDB)."""
+def hash_bucket(keys, buckets: int = 100, method: str = "md5") -> Column:
+    """0..buckets-1 from a hash of the key.  ``md5`` (first 32 bits) gives the
+    same bucket in other engines (the SQL oracle); ``xxhash64`` is Spark's
+    cheaper native hash for production splits where that is not needed."""
+    if method == "xxhash64":
+        return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
     h = F.conv(F.substring(F.md5(key_text(keys)), 1, 8), 16, 10).cast("long")
     return (h % buckets).cast("int")
 
@@ -43,14 +47,15 @@ def hash_unit(keys) -> Column:
     return h / F.lit(float(2 ** 52))
 
 
-def hash_sample(df: DataFrame, keys, fraction: float = SAMPLE_FRACTION) -> DataFrame:
+def hash_sample(df: DataFrame, keys, fraction: float = SAMPLE_FRACTION, method: str = "md5") -> DataFrame:
     """S1 (deterministic): rows whose hash bucket is below fraction*100."""
-    return df.filter(hash_bucket(keys) < int(round(fraction * 100)))
+    return df.filter(hash_bucket(keys, 100, method) < int(round(fraction * 100)))
 
 
-def hash_split(df: DataFrame, keys, train_fraction: float = TRAIN_FRACTION, col: str = "split") -> DataFrame:
+def hash_split(df: DataFrame, keys, train_fraction: float = TRAIN_FRACTION, col: str = "split",
+               method: str = "md5") -> DataFrame:
     """S2 (deterministic): 'train' when the hash bucket < train_fraction*100, else 'valid'."""
-    return df.withColumn(col, F.when(hash_bucket(keys) < int(round(train_fraction * 100)), "train")
+    return df.withColumn(col, F.when(hash_bucket(keys, 100, method) < int(round(train_fraction * 100)), "train")
                          .otherwise("valid"))
 
 

@@ -82,7 +82,7 @@ def impute_split(df: DataFrame, fit_on: DataFrame | None = None, c: float = 24.0
     return imp.transform(enc)
 
 
-def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0) -> DataFrame:
+def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0, keep=()) -> DataFrame:
     """K7 for all splits at once: the split is part of every grouping key, so
     the SWOE counts of all splits are one grouped aggregation and the fences of
     all (split, duration) pairs one quantile search.  Equivalent to fitting
@@ -90,6 +90,7 @@ def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0) ->
     from scorecraft.operators.distribution import QUARTILES, WHISKER
     from scorecraft.operators.quantiles import quantile_values
     cat = "item_type_code_name"
+    df = df.select(*dict.fromkeys([split_col, cat, "target", *DURATIONS, *keep]))
     cnt = (df.groupBy(split_col, cat).agg(F.count_if(F.col("target") == 1).alias("n_event"),
                                           F.count_if(F.col("target") == 0).alias("n_nonevent"),
                                           F.count(F.col("target")).alias("n_target"),

@@ -68,6 +68,9 @@ def model_frame(att: DataFrame, which: str = "train") -> DataFrame:
     from scorecraft.functions.dates import add_durations as durations
     from scorecraft.operators.clean import keep_scored as c1
     from scorecraft.plans import cleaning
-    c = cleaning.clean_before_split(durations(c1(att))).persist(StorageLevel.MEMORY_AND_DISK)
+    c = (cleaning.clean_before_split(durations(c1(att)))
+         .select(*cleaning.SPLIT_KEYS, ITEM_TYPE, "target", "number_of_distinct_instance_items",
+                 *cleaning.DURATIONS)
+         .persist(StorageLevel.MEMORY_AND_DISK))
     train, valid = cleaning.split_frames(c)
     return cleaning.impute_split(train if which == "train" else valid)

@@ -93,7 +93,9 @@ def test_size_checked_broadcast_falls_back(spark):
         small = spark.range(10).withColumnRenamed("id", "k")
         j1 = big.join(broadcast_if_small(small, max_rows=100), "k")
         j2 = big.join(broadcast_if_small(small, max_rows=5), "k")
+        j3 = big.join(broadcast_if_small(small, max_rows=100, max_bytes=100), "k")
         assert "BroadcastHashJoin" in _plan(j1)
         assert "BroadcastHashJoin" not in _plan(j2)
+        assert "BroadcastHashJoin" not in _plan(j3)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -69,6 +69,13 @@ def test_hash_split_deterministic(spark):
     assert a == b and 0.7 < a / 5000 < 0.8
 
 
+def test_xxhash_split_deterministic(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    a = split.hash_split(df, ["k"], method="xxhash64").where("split = 'train'").count()
+    b = split.hash_split(df.repartition(7), ["k"], method="xxhash64").where("split = 'train'").count()
+    assert a == b and 0.7 < a / 5000 < 0.8
+
+
 def test_stratified_exact(spark):
     df = spark.range(1003).select(F.col("id").alias("k"), (F.col("id") % 3 == 0).cast("int").alias("y"))
     s = split.stratified_split(df, "y", ["k"])
