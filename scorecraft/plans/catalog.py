@@ -17,13 +17,33 @@ QUERIES: dict = {}
 SQL: dict = {}
 
 
+def bigint_counts(sql: str) -> str:
+    """Wrap every ``count_if(...)`` in ``CAST(... AS BIGINT)``: DuckDB returns
+    HUGEINT for it, Spark's ``count_if`` is bigint, and the oracle compares
+    result types as well as values."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while True:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            SQL[name] = sql
+            SQL[name] = bigint_counts(sql)
         return fn
     return deco
 

@@ -102,16 +102,16 @@ def q_roc_curve(spark, sf):
 
 
 @query("auc", with_attempts("""
-SELECT round(sum(neg * (2.0 * cp - pos)) / (2.0 * max(P) * max(N)), 6) AS auc, max(P) AS positives,
-       max(N) AS negatives FROM cu, tt""", *_ROC_CTES))
+SELECT round(sum(neg * (2.0 * cp - pos)) / (2.0 * max(P) * max(N)), 6) AS auc, CAST(max(P) AS BIGINT) AS positives,
+       CAST(max(N) AS BIGINT) AS negatives FROM cu, tt""", *_ROC_CTES))
 def q_auc(spark, sf):
     """Trapezoid AUC."""
     return rounded(evaluate.auc(_scored(spark, sf), "label", "score"))
 
 
 @query("auc_hard", with_attempts("""
-SELECT round(sum(neg * (2.0 * cp - pos)) / (2.0 * max(P) * max(N)), 6) AS auc, max(P) AS positives,
-       max(N) AS negatives
+SELECT round(sum(neg * (2.0 * cp - pos)) / (2.0 * max(P) * max(N)), 6) AS auc, CAST(max(P) AS BIGINT) AS positives,
+       CAST(max(N) AS BIGINT) AS negatives
 FROM (SELECT prediction, pos, neg,
         sum(pos) OVER (ORDER BY prediction DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cp
       FROM (SELECT CAST(prediction AS DOUBLE) AS prediction, count_if(label = 1) AS pos, count_if(label <> 1) AS neg

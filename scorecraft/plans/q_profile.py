@@ -477,7 +477,7 @@ def q_distinct_rows(spark, sf):
 
 
 @query("except_distinct", with_attempts("""
-SELECT count(*) AS incomplete_distinct, coalesce(sum(k), 0) AS incomplete_rows FROM (
+SELECT count(*) AS incomplete_distinct, CAST(coalesce(sum(k), 0) AS BIGINT) AS incomplete_rows FROM (
   SELECT org_id, response_correctness, item_type_code_name, count(*) AS k FROM attempts
   WHERE org_id IS NULL OR response_correctness IS NULL OR item_type_code_name IS NULL GROUP BY 1, 2, 3) t"""))
 def q_except_distinct(spark, sf):

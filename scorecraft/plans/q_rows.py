@@ -463,7 +463,7 @@ def q_var_types(spark, sf):
 
 
 @query("var_categories", with_attempts(f"""
-SELECT d.category, count(*) AS n_fields, sum(n.non_null) AS non_null
+SELECT d.category, count(*) AS n_fields, CAST(sum(n.non_null) AS BIGINT) AS non_null
 FROM {_dict_values_sql()}
 JOIN ({_nonnull_long_sql(_PRESENT)}) n ON n.column_name = d.field
 GROUP BY d.category"""))
@@ -493,7 +493,7 @@ def q_initials_label(spark, sf):
 
 
 @query("dictionary_types", with_attempts(f"""
-SELECT d.type, count(*) AS n_fields, min(d.field) AS first_field, sum(n.non_null) AS non_null
+SELECT d.type, count(*) AS n_fields, min(d.field) AS first_field, CAST(sum(n.non_null) AS BIGINT) AS non_null
 FROM {_dict_values_sql()}
 JOIN ({_nonnull_long_sql(_PRESENT)}) n ON n.column_name = d.field
 GROUP BY d.type"""))
