@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def select_cols(df: DataFrame, include=None, exclude=None) -> DataFrame:

@@ -7,7 +7,6 @@ the offending ids of the anti-join step are a distinct DataFrame joined back."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,11 +73,12 @@ def impute_split(df: DataFrame, fit_on: DataFrame | None = None, c: float = 24.0
     split itself, the study's leakage-prevention choice, Q25)."""
     base = fit_on if fit_on is not None else df
     from scorecraft.operators.encode import swoe_table
+    from scorecraft.session import persisted
     table = swoe_table(base, "item_type_code_name", "target", c)
     enc = add_swoe(df, "item_type_code_name", "target", c, table=table)
     fit_frame = add_swoe(base, "item_type_code_name", "target", c, table=table) if fit_on is not None else enc
-    fit_frame = fit_frame.persist(StorageLevel.MEMORY_AND_DISK)
-    imp = IqrImputer(list(DURATIONS)).fit(fit_frame)
+    with persisted(fit_frame) as cached:
+        imp = IqrImputer(list(DURATIONS)).fit(cached)
     return imp.transform(enc)
 
 
@@ -101,7 +101,7 @@ def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0, ke
     p1_col = F.create_map(*[F.lit(x) for kv in p1.items() for x in kv])[F.col(split_col)]
     table = cnt.select(split_col, cat, F.ln(F.try_divide(
         F.col("n_event") + F.lit(c) * p1_col, F.col("n_nonevent") + F.lit(c) * (1 - p1_col))).alias(f"{cat}_swoe"))
-    enc = df.join(table, [split_col, cat], "inner").persist(StorageLevel.MEMORY_AND_DISK)
+    enc = df.join(table, [split_col, cat], "inner")
     keyed = enc.select(*[F.when(F.col(split_col) == s, F.col(d)).alias(f"{s}|{d}") for s in p1 for d in DURATIONS])
     q = quantile_values(keyed, keyed.columns, QUARTILES, lambda v: v >= 0)
     flags, vals = {}, {}

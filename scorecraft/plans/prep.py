@@ -7,7 +7,6 @@ the fit steps (quantile search, SWOE counts) read it several times."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +15,7 @@ from scorecraft.functions.flags import target_from_score
 from scorecraft.operators.clean import keep_ordered, keep_scored
 from scorecraft.operators.encode import add_swoe, swoe_table
 from scorecraft.operators.impute import IqrImputer
+from scorecraft.session import persisted
 
 DURATION = "item_attempt_duration_mins"
 ITEM_TYPE = "item_type_code_name"
@@ -31,10 +31,11 @@ def study_frame(att: DataFrame) -> DataFrame:
 
 
 def prep_study(att: DataFrame, c: float = SWOE_C, approx: bool = False) -> DataFrame:
-    work = (study_frame(att).select(ITEM_TYPE, "target", DURATION)
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    imp = IqrImputer([DURATION], approx=approx).fit(work).transform(work)
-    enc = add_swoe(imp, ITEM_TYPE, "target", c, table=swoe_table(work, ITEM_TYPE, "target", c))
+    work = study_frame(att).select(ITEM_TYPE, "target", DURATION)
+    with persisted(work) as cached:  # the fit steps read it several times
+        imputer = IqrImputer([DURATION], approx=approx).fit(cached)
+        table = swoe_table(cached, ITEM_TYPE, "target", c)
+    enc = add_swoe(imputer.transform(work), ITEM_TYPE, "target", c, table=table)
     return enc.groupBy(ITEM_TYPE).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.avg("target").alias("event_rate"),
@@ -70,7 +71,6 @@ def model_frame(att: DataFrame, which: str = "train") -> DataFrame:
     from scorecraft.plans import cleaning
     c = (cleaning.clean_before_split(durations(c1(att)))
          .select(*cleaning.SPLIT_KEYS, ITEM_TYPE, "target", "number_of_distinct_instance_items",
-                 *cleaning.DURATIONS)
-         .persist(StorageLevel.MEMORY_AND_DISK))
+                 *cleaning.DURATIONS))
     train, valid = cleaning.split_frames(c)
     return cleaning.impute_split(train if which == "train" else valid)

@@ -11,6 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,3 +70,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """Cache a frame for the passes of a fit and release it afterwards; lazy
+    results built on it recompute from their source when executed later."""
+    df = df.persist(level)
+    try:
+        yield df
+    finally:
+        df.unpersist()

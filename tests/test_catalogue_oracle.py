@@ -49,3 +49,15 @@ def test_query_matches_oracle(spark, duck, key):
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(SQL)))
 def test_rows_only_queries_run(spark, key):
     assert QUERIES[key](spark, SF).count() > 0
+
+
+def test_session_zone_does_not_change_results(spark, duck):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        sdf = QUERIES["offset_impute"](spark, SF)
+        rows = [tuple(r) for r in sdf.collect()]
+        cur = duck.execute(SQL["offset_impute"])
+        ok, msg = oracle_check.compare(rows, sdf.columns, cur.fetchall(), [d[0] for d in cur.description])
+        assert ok, msg
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
