@@ -247,3 +247,53 @@ def q_pca_variance(spark, sf):
     """M8: explained variance ratio and cumulative share of centred columns."""
     t, _ = model.pca_variance(tbl(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     return t
+
+
+# ------------------------------------------------------ labelled documents
+
+def _labelled(spark, sf):
+    """labels joined to the documents' size and language (text column pruned)."""
+    docs = tbl(spark, sf, "documents").select("doc_id", "n_chars", "lang")
+    lab = tbl(spark, sf, "labels")
+    return lab.join(docs, "doc_id").withColumn("log_chars", F.log1p(F.col("n_chars").cast("double")))
+
+
+@query("labels_stratified_split", """
+SELECT quality, CASE WHEN rn <= floor(0.75 * n) THEN 'train' ELSE 'valid' END AS split, count(*) AS n_rows
+FROM (SELECT quality, row_number() OVER (PARTITION BY quality ORDER BY
+               CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT)) AS rn,
+             count(*) OVER (PARTITION BY quality) AS n
+      FROM labels) t
+GROUP BY 1, 2""")
+def q_labels_stratified_split(spark, sf):
+    """S3 on the labels table: exact per-class 75/25 split by document hash."""
+    from scorecraft.operators import split
+    s = split.stratified_split(tbl(spark, sf, "labels"), "quality", ["doc_id"])
+    return s.groupBy("quality", "split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("logit_labels")
+def q_logit_labels(spark, sf):
+    """M1 on labelled documents: quality ~ log length + toxic, with inference."""
+    return model.logit_fit(_labelled(spark, sf), ["log_chars", "toxic"], "quality").coef_frame(spark)
+
+
+@query("labels_woe", """
+WITH d AS (SELECT l.quality, CAST(doc.lang AS VARCHAR) AS category FROM labels l JOIN documents doc ON l.doc_id = doc.doc_id),
+c AS (SELECT category, count_if(quality = 1) AS n_good, count_if(quality <> 1) AS n_bad FROM d GROUP BY category),
+t AS (SELECT sum(n_good) AS tg, sum(n_bad) AS tb FROM c)
+SELECT 'lang' AS variable, category, n_good, n_bad,
+       round((CASE WHEN category IS NULL OR n_good = 0 THEN 0.5 ELSE n_good END) / tg, 6) AS good_dist,
+       round((CASE WHEN category IS NULL OR n_bad = 0 THEN 0.5 ELSE n_bad END) / tb, 6) AS bad_dist,
+       round(ln(((CASE WHEN category IS NULL OR n_good = 0 THEN 0.5 ELSE n_good END) / tg)
+              / ((CASE WHEN category IS NULL OR n_bad = 0 THEN 0.5 ELSE n_bad END) / tb)), 6) AS woe,
+       round((((CASE WHEN category IS NULL OR n_good = 0 THEN 0.5 ELSE n_good END) / tg)
+              - ((CASE WHEN category IS NULL OR n_bad = 0 THEN 0.5 ELSE n_bad END) / tb))
+             * ln(((CASE WHEN category IS NULL OR n_good = 0 THEN 0.5 ELSE n_good END) / tg)
+              / ((CASE WHEN category IS NULL OR n_bad = 0 THEN 0.5 ELSE n_bad END) / tb)), 6) AS iv
+FROM c, t""")
+def q_labels_woe(spark, sf):
+    """L1 on labelled documents: WOE/IV of the language for the quality label."""
+    from scorecraft.operators import encode
+    d = _labelled(spark, sf).select("quality", "lang")
+    return rounded(encode.woe_table(d, ["lang"], "quality", 1))

@@ -497,3 +497,35 @@ def q_subtract_incomplete(spark, sf):
 
 
 _ = ts_sql
+
+
+# ------------------------------------------------------ other supplied tables
+
+@query("events_histogram", _hist_sql("value", "events", 50))
+def q_events_histogram(spark, sf):
+    """D28 on the event stream's values: 50 equal-width bins."""
+    return rounded(distribution.histogram(tbl(spark, sf, "events"), "value", 50))
+
+
+@query("events_boxplot", """
+SELECT 'ts' AS variable, round(bq.q1, 6) AS q1, round(bq.q2, 6) AS median, round(bq.q3, 6) AS q3,
+  round(min(x) FILTER (WHERE x BETWEEN bq.q1 - 1.5 * (bq.q3 - bq.q1) AND bq.q3 + 1.5 * (bq.q3 - bq.q1)), 6) AS whisker_low,
+  round(max(x) FILTER (WHERE x BETWEEN bq.q1 - 1.5 * (bq.q3 - bq.q1) AND bq.q3 + 1.5 * (bq.q3 - bq.q1)), 6) AS whisker_high,
+  count_if(x < bq.q1 - 1.5 * (bq.q3 - bq.q1) OR x > bq.q3 + 1.5 * (bq.q3 - bq.q1)) AS outliers,
+  round(min(x), 6) AS min, round(max(x), 6) AS max,
+  CAST(CAST(to_timestamp(min(x)) - INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS axis_min,
+  CAST(CAST(to_timestamp(max(x)) + INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS axis_max
+FROM (SELECT CAST(floor(epoch(ts)) AS DOUBLE) AS x FROM events) e,
+     (SELECT quantile_cont(CAST(floor(epoch(ts)) AS DOUBLE), 0.25) AS q1,
+             quantile_cont(CAST(floor(epoch(ts)) AS DOUBLE), 0.5) AS q2,
+             quantile_cont(CAST(floor(epoch(ts)) AS DOUBLE), 0.75) AS q3 FROM events) bq
+GROUP BY bq.q1, bq.q2, bq.q3""")
+def q_events_boxplot(spark, sf):
+    """D30/E9 on the event timestamps (whole epoch seconds)."""
+    return rounded(distribution.boxplot_stats(tbl(spark, sf, "events"), ["ts"]))
+
+
+@query("events_value_counts", "SELECT event_type, count(*) AS count FROM events GROUP BY event_type")
+def q_events_value_counts(spark, sf):
+    """D3 on the event types."""
+    return profile.value_counts(tbl(spark, sf, "events"), "event_type")
