@@ -7,6 +7,7 @@ size-checked broadcast.  The reference's 2 + 1 + 2k jobs per column become one."
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +39,14 @@ def woe_table(df: DataFrame, cols, label: str, good=1, smoothing: float = 0.0) -
     ``transform`` maps NULL to NULL.  ``smoothing > 0`` applies the class
     variant's literal formula ``ln((gd + rho*c)/bd + (1 - rho)*c)`` with rho
     the mean of the label (Q26)."""
-    cnt = category_counts(df, cols, label, good)
-    totals = cnt.groupBy("variable").agg(F.sum("n_good").alias("t_good"), F.sum("n_bad").alias("t_bad"))
+    # the per-category counts are small (one row per category): persisted so the
+    # per-column totals are summed from them instead of re-scanning the rows
+    cnt = category_counts(df, cols, label, good).persist(StorageLevel.MEMORY_AND_DISK)
+    totals = F.broadcast(cnt.groupBy("variable").agg(F.sum("n_good").alias("t_good"),
+                                                     F.sum("n_bad").alias("t_bad")))  # one row per column
     gd_n = F.when(F.col("category").isNull() | (F.col("n_good") == 0), F.lit(ZERO_CELL)).otherwise(F.col("n_good"))
     bd_n = F.when(F.col("category").isNull() | (F.col("n_bad") == 0), F.lit(ZERO_CELL)).otherwise(F.col("n_bad"))
-    t = (cnt.join(totals, "variable")  # both sides have one row per category / variable
+    t = (cnt.join(totals, "variable")
          .withColumn("good_dist", F.try_divide(gd_n, F.col("t_good")))
          .withColumn("bad_dist", F.try_divide(bd_n, F.col("t_bad"))))
     ratio_log = F.ln(F.try_divide(F.col("good_dist"), F.col("bad_dist")))

@@ -101,9 +101,12 @@ def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0, ke
     p1_col = F.create_map(*[F.lit(x) for kv in p1.items() for x in kv])[F.col(split_col)]
     table = cnt.select(split_col, cat, F.ln(F.try_divide(
         F.col("n_event") + F.lit(c) * p1_col, F.col("n_nonevent") + F.lit(c) * (1 - p1_col))).alias(f"{cat}_swoe"))
+    from scorecraft.session import persisted
     enc = df.join(table, [split_col, cat], "inner")
-    keyed = enc.select(*[F.when(F.col(split_col) == s, F.col(d)).alias(f"{s}|{d}") for s in p1 for d in DURATIONS])
-    q = quantile_values(keyed, keyed.columns, QUARTILES, lambda v: v >= 0)
+    with persisted(enc.select(split_col, *DURATIONS)) as cached:  # read by both quantile passes
+        keyed = cached.select(*[F.when(F.col(split_col) == s, F.col(d)).alias(f"{s}|{d}")
+                                for s in p1 for d in DURATIONS])
+        q = quantile_values(keyed, keyed.columns, QUARTILES, lambda v: v >= 0)
     flags, vals = {}, {}
     for d in DURATIONS:
         hi_e, med_e = F.lit(None).cast("double"), F.lit(None).cast("double")
