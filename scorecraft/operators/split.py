@@ -59,15 +59,21 @@ def hash_split(df: DataFrame, keys, train_fraction: float = TRAIN_FRACTION, col:
                          .otherwise("valid"))
 
 
-def native_sample(df: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = SAMPLE_SEED) -> DataFrame:
-    """S1 as in the study (Bernoulli, fixed seed) on a checkpointed input."""
-    return cut_lineage(df).sample(False, fraction, seed)
-
-
-def native_split(df: DataFrame, weights=(TRAIN_FRACTION, 1 - TRAIN_FRACTION), seed: int = SPLIT_SEED):
-    """S2 as in the study (``randomSplit``) on a checkpointed input, so both
-    halves see the same partitioning even if recomputed."""
-    return cut_lineage(df).randomSplit(list(weights), seed)
+def native_sample(df: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = SAMPLE_SEED,
+                  checkpoint: bool = False) -> DataFrame:
+    """S1 as in the study (Bernoulli, fixed seed).  Over a deterministic input
+    (a file scan, filters, projections, hash shuffles) a recomputed partition
+    yields the same sample; set ``checkpoint`` when the input's partition
+    contents can change on recomputation (round-robin repartition, sampling
+    upstream), so the sample is drawn from a reliably checkpointed copy."""
+    return (cut_lineage(df) if checkpoint else df).sample(False, fraction, seed)
+
+
+def native_split(df: DataFrame, weights=(TRAIN_FRACTION, 1 - TRAIN_FRACTION), seed: int = SPLIT_SEED,
+                 checkpoint: bool = False):
+    """S2 as in the study (``randomSplit``, which sorts each partition so both
+    halves agree); ``checkpoint`` as in ``native_sample``."""
+    return (cut_lineage(df) if checkpoint else df).randomSplit(list(weights), seed)
 
 
 def stratified_split(df: DataFrame, label: str, keys, train_fraction: float = TRAIN_FRACTION,

@@ -60,9 +60,11 @@ def clean_before_split(df: DataFrame) -> DataFrame:
 
 def split_frames(df: DataFrame, keys=SPLIT_KEYS, native: bool = False, seed: int | None = None):
     """(train, valid).  Default: hash of the key (deterministic); ``native``
-    reproduces ``randomSplit`` on a checkpointed input."""
+    reproduces ``randomSplit`` on a reliably checkpointed copy (the cleaned
+    frame comes out of an anti-join shuffle)."""
     if native:
-        return tuple(native_split(df) if seed is None else native_split(df, seed=seed))
+        return tuple(native_split(df, checkpoint=True) if seed is None
+                     else native_split(df, seed=seed, checkpoint=True))
     s = hash_split(df, keys)
     return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "valid").drop("split")
 

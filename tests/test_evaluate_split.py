@@ -86,8 +86,10 @@ def test_stratified_exact(spark):
     assert got[(0, "train")] == math.floor(0.75 * n0)
 
 
-def test_native_split_partitions_rows(spark):
+@pytest.mark.parametrize("checkpoint", [False, True])
+def test_native_split_partitions_rows(spark, checkpoint):
     df = spark.range(1000)
-    tr, va = split.native_split(df)
+    tr, va = split.native_split(df, checkpoint=checkpoint)
     assert tr.count() + va.count() == 1000
     assert tr.join(va, "id").count() == 0
+    assert split.native_sample(df, checkpoint=checkpoint).count() == split.native_sample(df, checkpoint=checkpoint).count()
