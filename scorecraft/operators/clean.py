@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorecraft.operators.joins import broadcast_if_small
+from scorecraft.operators.joins import sized_join
 
 # Status and marker strings of the source system.
 FULLY_SCORED = "fully scored"
@@ -79,7 +79,7 @@ def remove_bad_ids(df: DataFrame, bad: Column, id_col: str = "assessment_item_re
     removed with a left-anti join, broadcast only when the id set is small.
     Unlike the literal IN-list form, NULL ids are kept (Q13)."""
     ids = df.filter(bad).select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    return df.join(broadcast_if_small(ids), id_col, "left_anti")
+    return sized_join(df, ids, id_col, "left_anti")
 
 
 def row_loss(df: DataFrame, predicate: Column) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorecraft.operators.joins import broadcast_if_small
+from scorecraft.operators.joins import broadcast_if_small, sized_join
 
 # A zero event/non-event count is replaced by this before the log.
 ZERO_CELL = 0.5
@@ -71,8 +71,8 @@ def apply_woe(df: DataFrame, table: DataFrame, cols, suffix: str = "_woe") -> Da
     for c in cols:
         enc = table.where(F.col("variable") == c).select(
             F.col("category").alias(f"__cat_{c}"), F.col("woe").alias(c + suffix))
-        enc = broadcast_if_small(enc)
-        out = (out.join(enc, out[c].cast("string") == enc[f"__cat_{c}"], "left").drop(f"__cat_{c}"))
+        out = sized_join(out.withColumn(f"__cat_{c}", F.col(c).cast("string")), enc, f"__cat_{c}", "left")
+        out = out.drop(f"__cat_{c}")
     return out
 
 
@@ -98,7 +98,7 @@ def add_swoe(df: DataFrame, cat: str, target: str = "target", c: float = 24.0,
              how: str = "inner", table: DataFrame | None = None) -> DataFrame:
     """Join ``<cat>_swoe``; inner join drops NULL categories (Q12)."""
     t = swoe_table(df, cat, target, c) if table is None else table
-    return df.join(t.select(cat, f"{cat}_swoe"), cat, how)
+    return sized_join(df, t.select(cat, f"{cat}_swoe"), cat, how)
 
 
 def dummy_levels(df: DataFrame, col: str, max_levels: int = 1000) -> list[str]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from scorecraft.functions.dates import epoch_seconds
 from scorecraft.operators.distribution import fence_values
-from scorecraft.operators.joins import broadcast_if_small
+from scorecraft.operators.joins import broadcast_if_small, sized_join
 
 # Level-collapsing rule for item types.
 LEVEL_SYNONYMS = {"FillinBlankResponse": "fillInTheBlank", "MultipleChoiceResponse": "multipleChoice"}
@@ -89,8 +89,7 @@ def recount_impute(df: DataFrame, group: str = "assessment_instance_id", member:
                    stored: str = "number_of_learners", by_stored: bool = False) -> DataFrame:
     """K5: replace the stored count by the recomputed distinct count (J1 + B12)."""
     calc = recount_per_group(df, group, member, stored, by_stored).select(group, f"{stored}_calc")
-    calc = broadcast_if_small(calc)
-    return (df.join(calc, group, "left").drop(stored)
+    return (sized_join(df, calc, group, "left").drop(stored)
             .withColumnRenamed(f"{stored}_calc", stored))
 
 

@@ -42,10 +42,41 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return df
 
 
-def join_aggregate_back(detail: DataFrame, agg: DataFrame, on, how: str = "left",
+def _fits(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    n = df.count()
+    return n <= max_rows and n * row_width(df) <= max_bytes
+
+
+def sized_join(left: DataFrame, right: DataFrame, on: str, how: str = "left",
+               max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Lookup join of a (usually aggregated) ``right`` side on one key.
+
+    Small right side (rows and estimated bytes checked): broadcast hash join,
+    no shuffle of ``left``.  Otherwise a shuffle join in which rows whose key
+    is NULL (they can never match, and NULL is the classic hot key) are kept
+    out of the shuffle and re-attached with the result their join type gives
+    them: dropped (inner), kept (left anti), or NULL-extended (left)."""
+    right = right.persist(StorageLevel.MEMORY_AND_DISK)
+    if _fits(right, max_rows, max_bytes):
+        return left.join(F.broadcast(right), on, how)
+    right.unpersist()
+    if how not in ("inner", "left", "left_outer", "left_anti"):
+        return left.join(right, on, how)
+    key = F.col(on)
+    joined = left.where(key.isNotNull()).join(right, on, how)
+    if how == "inner":
+        return joined
+    nulls = left.where(key.isNull())
+    if how == "left_anti":
+        return joined.unionByName(nulls)
+    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != on]
+    return joined.unionByName(nulls.select("*", *extra))
+
+
+def join_aggregate_back(detail: DataFrame, agg: DataFrame, on: str, how: str = "left",
                         max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Join a grouped aggregate back to the detail rows."""
-    return detail.join(broadcast_if_small(agg, max_rows), on, how)
+    return sized_join(detail, agg, on, how, max_rows)
 
 
 def id_to_name(df: DataFrame, id_col: str, new_col: str, names: list[str]) -> DataFrame:

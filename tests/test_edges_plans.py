@@ -99,3 +99,21 @@ def test_size_checked_broadcast_falls_back(spark):
         assert "BroadcastHashJoin" not in _plan(j3)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_sized_join_null_keys_outside_shuffle(spark, how):
+    from scorecraft.operators.joins import sized_join
+    left = spark.createDataFrame([(None, 1)] * 5 + [("a", 2), ("b", 3)], "k string, v int")
+    right = spark.createDataFrame([("a", 10.0)], "k string, w double")
+    small = sorted(map(tuple, sized_join(left, right, "k", how).collect()), key=repr)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = sized_join(left, right, "k", how, max_rows=0)
+        assert sorted(map(tuple, big.collect()), key=repr) == small
+        assert "BroadcastHashJoin" not in _plan(big)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert {"inner": 1, "left": 7, "left_anti": 6}[how] == len(small)
