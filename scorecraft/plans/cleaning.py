@@ -14,7 +14,7 @@ from scorecraft.functions.flags import target_from_score
 from scorecraft.operators.clean import UNASSIGNED
 from scorecraft.operators.encode import add_swoe
 from scorecraft.operators.impute import IqrImputer
-from scorecraft.operators.joins import broadcast_if_small
+from scorecraft.operators.joins import broadcast_if_small, sized_join
 from scorecraft.operators.split import hash_split, native_split
 
 ID = "assessment_item_response_id"
@@ -45,10 +45,9 @@ def _step_flags(df: DataFrame) -> DataFrame:
     flagged = df.withColumns({"__k1": keep1, "__k2": keep1 & keep2})
     bad = (flagged.where(c("__k2") & (c("item_attempt_end_datetime_utc") < c("item_attempt_start_datetime_utc"))
                          & c(ID).isNotNull())
-           .select(c(ID).alias("__bad_id")).distinct())
-    bad = broadcast_if_small(bad)
-    j = flagged.join(bad, flagged[ID] == bad["__bad_id"], "left")
-    return j.withColumn("__k3", c("__k2") & c("__bad_id").isNull()).drop("__bad_id")
+           .select(ID).distinct().withColumn("__bad", F.lit(True)))
+    j = sized_join(flagged, bad, ID, "left")
+    return j.withColumn("__k3", c("__k2") & c("__bad").isNull()).drop("__bad")
 
 
 def clean_before_split(df: DataFrame) -> DataFrame:
