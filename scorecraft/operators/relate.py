@@ -89,13 +89,13 @@ def date_diff_matrix(df: DataFrame, cols, unit: str = "h") -> DataFrame:
 
 
 def contingency_all_pairs(df: DataFrame, cols) -> DataFrame:
-    """(pair, x, y, count) for every unordered pair of nominal columns, one shuffle.
-    NULL is the level 'null' (``nan_replace_value='null'``)."""
+    """(v1, v2, x, y, count) for every unordered pair of nominal columns, one
+    shuffle.  NULL is the level 'null' (``nan_replace_value='null'``)."""
     pairs = list(itertools.combinations(cols, 2))
-    arr = F.array(*[F.struct(F.lit(f"{a}|{b}").alias("pair"), _txt(a).alias("x"), _txt(b).alias("y"))
+    arr = F.array(*[F.struct(F.lit(a).alias("v1"), F.lit(b).alias("v2"), _txt(a).alias("x"), _txt(b).alias("y"))
                     for a, b in pairs])
-    return (df.select(F.explode(arr).alias("p")).select("p.pair", "p.x", "p.y")
-            .groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("count")))
+    return (df.select(F.explode(arr).alias("p")).select("p.v1", "p.v2", "p.x", "p.y")
+            .groupBy("v1", "v2", "x", "y").agg(F.count(F.lit(1)).alias("count")))
 
 
 def cramers_v(df: DataFrame, cols) -> DataFrame:
@@ -105,11 +105,11 @@ def cramers_v(df: DataFrame, cols) -> DataFrame:
     per-row and per-column totals are windows over the pair's cells (the
     contingency table itself, not the data rows)."""
     cells = contingency_all_pairs(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
-    rt = F.sum("count").over(Window.partitionBy("pair", "x"))
-    ct = F.sum("count").over(Window.partitionBy("pair", "y"))
-    n = F.sum("count").over(Window.partitionBy("pair"))
-    e = cells.select("pair", "x", "y", "count", rt.alias("rt"), ct.alias("ct"), n.alias("n"))
-    per = e.groupBy("pair").agg(
+    rt = F.sum("count").over(Window.partitionBy("v1", "v2", "x"))
+    ct = F.sum("count").over(Window.partitionBy("v1", "v2", "y"))
+    n = F.sum("count").over(Window.partitionBy("v1", "v2"))
+    e = cells.select("v1", "v2", "x", "y", "count", rt.alias("rt"), ct.alias("ct"), n.alias("n"))
+    per = e.groupBy("v1", "v2").agg(
         (F.sum(F.col("count") * F.col("count") * F.col("n") / (F.col("rt") * F.col("ct"))) - F.max("n")).alias("chi2"),
         F.max("n").cast("double").alias("n"),
         F.countDistinct("x").alias("r"), F.countDistinct("y").alias("k"))
@@ -119,7 +119,7 @@ def cramers_v(df: DataFrame, cols) -> DataFrame:
     rc = r - (r - 1) * (r - 1) / (n_ - 1)
     kc = k - (k - 1) * (k - 1) / (n_ - 1)
     return per.select(
-        F.split("pair", r"\|").getItem(0).alias("v1"), F.split("pair", r"\|").getItem(1).alias("v2"),
+        "v1", "v2",
         F.sqrt(F.try_divide(phi2, F.least(r, k) - 1)).alias("cramers_v"),
         F.sqrt(F.try_divide(phi2c, F.least(kc - 1, rc - 1))).alias("cramers_v_corrected"))
 
