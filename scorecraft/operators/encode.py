@@ -86,8 +86,11 @@ def swoe_table(df: DataFrame, cat: str, target: str = "target", c: float = 24.0)
                                F.count_if(F.col(target) == 0).alias("n_nonevent"),
                                F.count(F.col(target)).alias("n_target"),
                                F.sum(F.col(target).cast("double")).alias("sum_target")))
-    cnt = broadcast_if_small(cnt)
-    tot = cnt.agg(F.sum("sum_target").alias("s"), F.sum("n_target").alias("n")).first()
+    cnt = cnt.persist(StorageLevel.MEMORY_AND_DISK)
+    # one job: the event rate and the table's row count (for the broadcast check)
+    tot = cnt.agg(F.sum("sum_target").alias("s"), F.sum("n_target").alias("n"),
+                  F.count(F.lit(1)).alias("rows")).first()
+    cnt = broadcast_if_small(cnt, n=int(tot["rows"]))
     p1 = (tot["s"] / tot["n"]) if tot["n"] else None
     swoe = F.ln(F.try_divide(F.col("n_event") + F.lit(c * p1), F.col("n_nonevent") + F.lit(c * (1 - p1)))) \
         if p1 is not None else F.lit(None).cast("double")

@@ -29,13 +29,13 @@ def row_width(df: DataFrame) -> int:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES, n: int | None = None) -> DataFrame:
     """Persist the (usually aggregated) side and count it; broadcast it only if
     both its row count and its estimated size are within bounds.  The persisted
     copy feeds the broadcast, so the aggregate is computed once; a side over the
     bounds is released again and joined by shuffle (sort-merge, AQE skew split)."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
+    n = df.count() if n is None else n  # callers that already aggregated the side pass its row count
     if n <= max_rows and n * row_width(df) <= max_bytes:
         return F.broadcast(df)
     df.unpersist()

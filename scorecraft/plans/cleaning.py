@@ -7,6 +7,7 @@ the offending ids of the anti-join step are a distinct DataFrame joined back."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,9 +97,11 @@ def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0, ke
                                           F.count_if(F.col("target") == 0).alias("n_nonevent"),
                                           F.count(F.col("target")).alias("n_target"),
                                           F.sum(F.col("target").cast("double")).alias("sum_target")))
-    cnt = broadcast_if_small(cnt)
-    p1 = {r[split_col]: r["s"] / r["n"] for r in cnt.groupBy(split_col).agg(
-        F.sum("sum_target").alias("s"), F.sum("n_target").alias("n")).collect() if r["n"]}
+    cnt = cnt.persist(StorageLevel.MEMORY_AND_DISK)
+    per_split = cnt.groupBy(split_col).agg(F.sum("sum_target").alias("s"), F.sum("n_target").alias("n"),
+                                           F.count(F.lit(1)).alias("rows")).collect()
+    cnt = broadcast_if_small(cnt, n=sum(int(r["rows"]) for r in per_split))
+    p1 = {r[split_col]: r["s"] / r["n"] for r in per_split if r["n"]}
     p1_col = F.create_map(*[F.lit(x) for kv in p1.items() for x in kv])[F.col(split_col)]
     table = cnt.select(split_col, cat, F.ln(F.try_divide(
         F.col("n_event") + F.lit(c) * p1_col, F.col("n_nonevent") + F.lit(c) * (1 - p1_col))).alias(f"{cat}_swoe"))
