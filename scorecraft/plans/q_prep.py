@@ -165,13 +165,13 @@ def q_iqr_impute(spark, sf):
 _OFF_CTE = [f"base AS (SELECT * FROM attempts WHERE {_C1})",
             "o AS (SELECT avg(epoch(scored_datetime) - epoch(student_stop_datetime)) AS off FROM base)",
             """k2 AS (SELECT b.*, b.scored_datetime IS NULL AS scored_datetime_imputed,
-                 CASE WHEN b.scored_datetime IS NULL THEN to_timestamp(epoch(b.student_stop_datetime) + o.off)
-                      ELSE b.scored_datetime END AS scored_fill FROM base b, o)"""]
+                 CASE WHEN b.scored_datetime IS NULL THEN epoch(b.student_stop_datetime) + o.off
+                      ELSE epoch(b.scored_datetime) END AS scored_fill FROM base b, o)"""]
 
 
 @query("offset_impute", with_attempts("""
 SELECT org_id, count_if(scored_datetime_imputed) AS n_imputed, count(scored_fill) AS n_present,
-       round(avg(epoch(scored_fill)) / 86400.0, 6) AS mean_day
+       round(avg(scored_fill) / 86400.0, 6) AS mean_day
 FROM k2 GROUP BY org_id""", *_OFF_CTE))
 def q_offset_impute(spark, sf):
     """K2: NULL scored date from the stop date plus the mean offset (correct sign)."""
@@ -185,10 +185,10 @@ def q_offset_impute(spark, sf):
 
 @query("offset_impute_faithful", with_attempts("""
 SELECT org_id, count_if(assignment_due_date IS NULL) AS n_filled, count(scored_fill) AS n_present,
-       round(avg(epoch(scored_fill)) / 86400.0, 6) AS mean_day
+       round(avg(scored_fill) / 86400.0, 6) AS mean_day
 FROM (SELECT b.*, CASE WHEN b.assignment_due_date IS NULL
-                       THEN to_timestamp(epoch(b.student_start_datetime) - o.off)
-                       ELSE b.assignment_due_date END AS scored_fill
+                       THEN epoch(b.student_start_datetime) - o.off
+                       ELSE epoch(b.assignment_due_date) END AS scored_fill
       FROM base b, (SELECT avg(epoch(assignment_due_date) - epoch(student_start_datetime)) AS off FROM base) o) t
 GROUP BY org_id""", f"base AS (SELECT * FROM attempts WHERE {_C1})"))
 def q_offset_impute_faithful(spark, sf):
@@ -205,12 +205,12 @@ def q_offset_impute_faithful(spark, sf):
 
 @query("guarded_offset_impute", with_attempts("""
 SELECT org_id, count_if(sub_imputed) AS n_null_before, count(sub_fill) AS n_present,
-       round(avg(epoch(sub_fill)) / 86400.0, 6) AS mean_day
+       round(avg(sub_fill) / 86400.0, 6) AS mean_day
 FROM (SELECT k2.*, k2.was_submitted_datetime_actual IS NULL AS sub_imputed,
              CASE WHEN NOT k2.scored_datetime_imputed AND k2.was_submitted_datetime_actual IS NULL
                        AND k2.final_score_unweighted > 0
-                  THEN to_timestamp(epoch(k2.scored_fill) + o4.off4) ELSE k2.was_submitted_datetime_actual END AS sub_fill
-      FROM k2, (SELECT avg(epoch(was_submitted_datetime_actual) - epoch(scored_fill)) AS off4 FROM k2) o4) t
+                  THEN k2.scored_fill + o4.off4 ELSE epoch(k2.was_submitted_datetime_actual) END AS sub_fill
+      FROM k2, (SELECT avg(epoch(was_submitted_datetime_actual) - scored_fill) AS off4 FROM k2) o4) t
 GROUP BY org_id""", *_OFF_CTE))
 def q_guarded_offset_impute(spark, sf):
     """K4: NULL submitted date from the scored date, only where the scored date

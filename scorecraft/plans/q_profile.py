@@ -370,8 +370,8 @@ def _box_sql():
   round(min({x}) FILTER (WHERE {x} BETWEEN {lo} AND {hi}), 6) AS whisker_low,
   round(max({x}) FILTER (WHERE {x} BETWEEN {lo} AND {hi}), 6) AS whisker_high,
   count_if({x} < {lo} OR {x} > {hi}) AS outliers, round(min({x}), 6) AS min, round(max({x}), 6) AS max,
-  CAST(CAST(to_timestamp(min({x})) - INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS axis_min,
-  CAST(CAST(to_timestamp(max({x})) + INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS axis_max
+  CAST(CAST(make_timestamp(CAST(min({x}) * 1000000 AS BIGINT)) - INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS axis_min,
+  CAST(CAST(make_timestamp(CAST(max({x}) * 1000000 AS BIGINT)) + INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS axis_max
 FROM attempts, (SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS q2, quantile_cont({x}, 0.75) AS q3
                 FROM attempts) bq
 GROUP BY bq.q1, bq.q2, bq.q3""")
@@ -513,8 +513,8 @@ SELECT 'ts' AS variable, round(bq.q1, 6) AS q1, round(bq.q2, 6) AS median, round
   round(max(x) FILTER (WHERE x BETWEEN bq.q1 - 1.5 * (bq.q3 - bq.q1) AND bq.q3 + 1.5 * (bq.q3 - bq.q1)), 6) AS whisker_high,
   count_if(x < bq.q1 - 1.5 * (bq.q3 - bq.q1) OR x > bq.q3 + 1.5 * (bq.q3 - bq.q1)) AS outliers,
   round(min(x), 6) AS min, round(max(x), 6) AS max,
-  CAST(CAST(to_timestamp(min(x)) - INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS axis_min,
-  CAST(CAST(to_timestamp(max(x)) + INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS axis_max
+  CAST(CAST(make_timestamp(CAST(min(x) * 1000000 AS BIGINT)) - INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS axis_min,
+  CAST(CAST(make_timestamp(CAST(max(x) * 1000000 AS BIGINT)) + INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS axis_max
 FROM (SELECT CAST(floor(epoch(ts)) AS DOUBLE) AS x FROM events) e,
      (SELECT quantile_cont(CAST(floor(epoch(ts)) AS DOUBLE), 0.25) AS q1,
              quantile_cont(CAST(floor(epoch(ts)) AS DOUBLE), 0.5) AS q2,
