@@ -71,11 +71,21 @@ TYPE_GROUPS = {
 }
 
 
+DICTIONARY_SCHEMA = "field string, category string, type string, description string"
+
+
 def dictionary_df(spark: SparkSession) -> DataFrame:
     """A2: the dictionary as a DataFrame (field, category, type)."""
     return spark.createDataFrame(DICTIONARY, "field string, category string, type string")
 
 
+def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """A2: a dictionary CSV (field, category, type, description; with header)
+    read with an explicit schema; the result is small and may be broadcast."""
+    from scorecraft.sources.files import read_csv
+    return read_csv(spark, path, DICTIONARY_SCHEMA).select("field", "category", "type", "description")
+
+
 def _restrict(d: DataFrame, columns) -> DataFrame:
     if not columns:
         return d

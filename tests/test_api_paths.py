@@ -74,3 +74,14 @@ def test_sentinel_nulling_uses_explicit_as_of(spark):
         .select(F.col("d").cast("timestamp").alias("d"))
     out = dates.null_sentinel_dates(df, ["d"], "2020-06-01 00:00:00").collect()
     assert out[0]["d"] is None and out[1]["d"] is not None
+
+
+def test_read_dictionary_csv(spark):
+    from scorecraft.sources import dictionary as dct
+    d = tempfile.mkdtemp(prefix="scorecraft-dict-")
+    rows = [(f, c, t, f"about {f}") for f, c, t in dct.DICTIONARY]
+    files.write_csv(spark.createDataFrame(rows, dct.DICTIONARY_SCHEMA), os.path.join(d, "dict"))
+    back = dct.read_dictionary(spark, os.path.join(d, "dict"))
+    assert back.count() == len(dct.DICTIONARY)
+    cats = {r["category"]: r["n_fields"] for r in dct.var_categories(back.drop("description")).collect()}
+    assert sum(cats.values()) == len(dct.DICTIONARY) and "Item Attempt" in cats
