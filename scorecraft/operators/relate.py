@@ -185,3 +185,24 @@ def density_2d(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("count")))
 
 
+
+
+def density_pairs(df: DataFrame, cols, bins: int = 20) -> DataFrame:
+    """D33 (scatter matrix input): 2-D binned counts for every pair of numeric
+    columns.  One aggregate gives all min/max; one explode of (pair, bin_x,
+    bin_y) and one grouped count (combined map-side) give all grids."""
+    mm = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(cols)
+                  for n, f in (("lo", F.min), ("hi", F.max))]).first()
+
+    def idx(i):
+        lo, hi = mm[f"lo{i}"], mm[f"hi{i}"]
+        if lo is None:
+            return F.lit(None).cast("int")
+        w = (hi - lo) / bins if hi > lo else 1.0
+        return F.least(F.floor((F.col(cols[i]).cast("double") - F.lit(lo)) / F.lit(w)).cast("int"), F.lit(bins - 1))
+    pairs = list(itertools.combinations(range(len(cols)), 2))
+    arr = F.array(*[F.struct(F.lit(cols[i]).alias("v1"), F.lit(cols[j]).alias("v2"), idx(i).alias("bin_x"),
+                             idx(j).alias("bin_y")) for i, j in pairs])
+    return (df.select(F.explode(arr).alias("p")).select("p.*")
+            .where(F.col("bin_x").isNotNull() & F.col("bin_y").isNotNull())
+            .groupBy("v1", "v2", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("count")))

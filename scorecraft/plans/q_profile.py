@@ -443,6 +443,27 @@ def q_density_2d(spark, sf):
     return relate.density_2d(tbl(spark, sf, "lineitem"), "l_quantity", "l_extendedprice", 20)
 
 
+_DM = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def _density_matrix_sql():
+    mm = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _DM)
+
+    def b(c):
+        return (f"least(CAST(floor(({c} - lo_{c}) / CASE WHEN hi_{c} > lo_{c} THEN (hi_{c} - lo_{c}) / 20 ELSE 1.0 END)"
+                f" AS INTEGER), 19)")
+    parts = [f"SELECT '{a}' AS v1, '{c}' AS v2, {b(a)} AS bin_x, {b(c)} AS bin_y, count(*) AS count "
+             f"FROM lineitem, mm WHERE {a} IS NOT NULL AND {c} IS NOT NULL GROUP BY 3, 4"
+             for a, c in itertools.combinations(_DM, 2)]
+    return f"WITH mm AS (SELECT {mm} FROM lineitem)\n" + _union(parts)
+
+
+@query("density_matrix", _density_matrix_sql())
+def q_density_matrix(spark, sf):
+    """D33 scatter matrix: binned counts for every column pair in one pass."""
+    return relate.density_pairs(tbl(spark, sf, "lineitem"), _DM, 20)
+
+
 @query("compare_frames", with_attempts(f"""
 SELECT 'all' AS series, response_correctness, count(*) AS count FROM attempts GROUP BY 2
 UNION ALL
