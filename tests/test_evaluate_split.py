@@ -93,3 +93,12 @@ def test_native_split_partitions_rows(spark, checkpoint):
     assert tr.count() + va.count() == 1000
     assert tr.join(va, "id").count() == 0
     assert split.native_sample(df, checkpoint=checkpoint).count() == split.native_sample(df, checkpoint=checkpoint).count()
+
+
+def test_auc_matches_spark_ml_evaluator(spark, scored):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    df, _, _ = scored
+    ours = evaluate.auc(df, "label", "score").first()["auc"]
+    ml = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", metricName="areaUnderROC",
+                                       numBins=0).evaluate(df.withColumn("label", F.col("label").cast("double")))
+    assert ours == pytest.approx(ml, abs=1e-9)
