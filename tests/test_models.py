@@ -131,3 +131,24 @@ def test_pca_matches_numpy(spark):
     got = [r["explained_variance_ratio"] for r in t.orderBy("component").collect()]
     ev = np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1]
     np.testing.assert_allclose(got, ev / ev.sum(), atol=1e-9)
+
+
+def test_forward_without_criterion_enters_on_p(spark, logit_data):
+    df, _, _ = logit_data
+    a = stepwise.forward_selection(df, ["x3", "x2", "x1"], "target", "logistic", None, 0.05)
+    b = stepwise.forward_selection(df, ["x3", "x2", "x1"], "target", "logistic", "r2", 0.05)  # r2: no use for logit
+    assert a.selected == b.selected and set(a.selected[1:]) == {"x1", "x2"}
+    assert all(act in ("entered", "break_significance") for act, *_ in a.log)
+
+
+def test_backward_keep_intercept(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    n = 600
+    x = rng.normal(size=(n, 2))
+    y = 3 * x[:, 0] + rng.normal(size=n)  # true intercept 0: droppable unless kept
+    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(x, y)], "a double, b double, y double")
+    free = stepwise.backward_selection(df, ["a", "b"], "y", "linear", "aic", 0.05)
+    kept = stepwise.backward_selection(df, ["a", "b"], "y", "linear", "aic", 0.05, keep_intercept=True)
+    assert "a" in free.selected and "a" in kept.selected
+    assert "intercept" in kept.selected
