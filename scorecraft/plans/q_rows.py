@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from scorecraft.functions import columns as cols_
 from scorecraft.functions import dates, flags
-from scorecraft.functions.text import initials_label
 from scorecraft.operators import clean, joins
 from scorecraft.operators.impute import recount_impute
 from scorecraft.plans.catalog import att, query, rounded, tbl, ts_sql
@@ -507,5 +506,3 @@ def q_dictionary_types(spark, sf):
             .groupBy("type").agg(F.count(F.lit(1)).alias("n_fields"), F.min("field").alias("first_field"),
                                  F.sum("non_null").cast("long").alias("non_null")))
 
-
-_ = initials_label  # re-exported helper used by the dictionary module
