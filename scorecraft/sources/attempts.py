@@ -82,8 +82,11 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def materialise_attempts(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+def materialise_attempts(spark: SparkSession, sf_dir: str, path: str,
+                         partition_by: list[str] | None = None) -> DataFrame:
     """Write the view once (shared folder) and read it back: later stages scan
-    parquet with pushdown instead of re-running three shuffle joins."""
+    parquet with pushdown instead of re-running three shuffle joins.
+    ``partition_by`` (e.g. a month column derived from the start date) adds
+    partition pruning for cutoff filters at scale."""
     from scorecraft.sources.files import stage_parquet
-    return stage_parquet(spark, attempts(spark, sf_dir), path)
+    return stage_parquet(spark, attempts(spark, sf_dir), path, partition_by=partition_by)
