@@ -40,6 +40,7 @@ class Fit:
     r2_adj: float | None = None
     pseudo_r2: float | None = None
     kind: str = "logit"
+    converged: bool = True
 
     def coef_frame(self, spark) -> DataFrame:
         """M1/M9: one row per term."""
@@ -52,7 +53,7 @@ class Fit:
         """M10 model statistics in long form."""
         vals = [("n", float(self.n)), ("log_likelihood", self.ll), ("ll_null", self.ll_null), ("aic", self.aic),
                 ("bic", self.bic), ("r_squared", self.r2), ("adj_r_squared", self.r2_adj),
-                ("pseudo_r_squared", self.pseudo_r2)]
+                ("pseudo_r_squared", self.pseudo_r2), ("converged", 1.0 if self.converged else 0.0)]
         return spark.createDataFrame([(k, _f(v)) for k, v in vals if v is not None],
                                      "statistic string, value double")
 

@@ -159,6 +159,8 @@ class LogisticEngine:
             if fits[k] is None:
                 h, ll = last[k]
                 fits[k] = self._fit(d, betas[k], h, ll)
+                # still moving after MAX_NEWTON steps: (quasi-)separation, estimates diverge
+                fits[k].converged = k not in open_
         return fits
 
     def close(self):

@@ -152,3 +152,12 @@ def test_backward_keep_intercept(spark):
     kept = stepwise.backward_selection(df, ["a", "b"], "y", "linear", "aic", 0.05, keep_intercept=True)
     assert "a" in free.selected and "a" in kept.selected
     assert "intercept" in kept.selected
+
+
+def test_separation_is_flagged(spark):
+    rows = [(float(x), int(x > 0)) for x in range(-20, 21) if x != 0]
+    df = spark.createDataFrame(rows, "x double, target int")
+    fit = model.newton_logit(df, ["x"], "target")
+    assert not fit.converged
+    stats = {r["statistic"]: r["value"] for r in fit.stats_frame(spark).collect()}
+    assert stats["converged"] == 0.0
