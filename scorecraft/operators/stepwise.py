@@ -218,8 +218,10 @@ def forward_selection(df: DataFrame, columns, label: str, model_type: str = "lin
             break
         warm = dict(zip(current.terms, current.coef))
         fits = eng.fit_many([selected + [c] for c in others], start=warm)
+        # a candidate whose fit did not converge (separation) has no usable p-value
         cands = sorted(((f.pvalue(c), i, c, f) for i, (c, f) in enumerate(zip(others, fits))
-                        if not math.isnan(f.pvalue(c)) and f.pvalue(c) <= sl), key=lambda t: (t[0], t[1]))
+                        if f.converged and not math.isnan(f.pvalue(c)) and f.pvalue(c) <= sl),
+                       key=lambda t: (t[0], t[1]))
         if not cands:
             sel.log.append(("break_significance", None, None, None, None, crit))
             break
