@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from scorecraft.session import persisted
+
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 4096
 SKETCH_ACCURACY = 20_000
@@ -88,21 +89,24 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score",
     """(points, P, N): one row per distinct score with cumulative positives and
     negatives at threshold >= score.  Work per task is bounded by
     ``rows_per_range`` distinct scores."""
-    g = _score_groups(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
-    tot = g.agg(F.count(F.lit(1)).alias("d"), F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-    d, P, N = int(tot["d"] or 0), int(tot["p"] or 0), int(tot["n"] or 0)
-    # beyond MAX_RANGES * rows_per_range distinct scores each range grows past
-    # rows_per_range; the window then spills to disk instead of growing the plan.
-    ranges = min(MAX_RANGES, max(1, math.ceil(d / rows_per_range)))
-    if ranges > 1:
-        fr = [k / ranges for k in range(1, ranges)]
-        bounds = sorted(set(g.agg(F.percentile_approx("score", fr, max(SKETCH_ACCURACY, 4 * ranges))).first()[0]))
-        # range 0 holds the highest scores: count bounds >= score
-        rng = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b >= F.col("score")))
-    else:
-        rng = F.lit(0)
+    g = _score_groups(df, label, score)
+    with persisted(g) as cached:  # read by the parameter passes below, then released
+        tot = cached.agg(F.count(F.lit(1)).alias("d"), F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
+        d, P, N = int(tot["d"] or 0), int(tot["p"] or 0), int(tot["n"] or 0)
+        # beyond MAX_RANGES * rows_per_range distinct scores each range grows past
+        # rows_per_range; the window then spills to disk instead of growing the plan.
+        ranges = min(MAX_RANGES, max(1, math.ceil(d / rows_per_range)))
+        if ranges > 1:
+            fr = [k / ranges for k in range(1, ranges)]
+            bounds = sorted(set(cached.agg(F.percentile_approx("score", fr, max(SKETCH_ACCURACY, 4 * ranges)))
+                                .first()[0]))
+            # range 0 holds the highest scores: count bounds >= score
+            rng = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b >= F.col("score")))
+        else:
+            rng = F.lit(0)
+        per = (cached.withColumn("rng", rng).groupBy("rng")
+               .agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn")).collect())
     gr = g.withColumn("rng", rng)
-    per = gr.groupBy("rng").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn")).collect()
     off, cp, cn = [], 0, 0
     for r in sorted(per, key=lambda r: r["rng"]):
         off.append((r["rng"], cp, cn))
