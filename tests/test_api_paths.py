@@ -85,3 +85,14 @@ def test_read_dictionary_csv(spark):
     assert back.count() == len(dct.DICTIONARY)
     cats = {r["category"]: r["n_fields"] for r in dct.var_categories(back.drop("description")).collect()}
     assert sum(cats.values()) == len(dct.DICTIONARY) and "Item Attempt" in cats
+
+
+def test_partitioned_fact_view_prunes(spark):
+    from scorecraft.sources.attempts import materialise_attempts
+    d = tempfile.mkdtemp(prefix="scorecraft-att-")
+    src = "/root/testdata/sf0.001"
+    m = materialise_attempts(spark, src, os.path.join(d, "att"), partition_by=["org_id"])
+    q = m.where(F.col("org_id") == 1)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "org_id" in plan
+    assert q.count() == m.where(F.col("org_id") == 1).count() > 0
