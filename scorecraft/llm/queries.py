@@ -25,6 +25,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_exact_dedup", r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256
+FROM n""")
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorecraft.llm.exact_dedup import exact_dedup
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op3_mixing", r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                  ('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, '')), 1, 3))::INT AS slot FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
+r AS (SELECT *, 3 * source_size AS cap, row_number() OVER (ORDER BY 3 * source_size / weight, source NULLS LAST) AS k FROM s),
+c AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone,
+             sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open,
+             (SELECT sum(source_size) FROM s) AS total FROM r),
+l AS (SELECT arg_min((total - gone)::DOUBLE / open::DOUBLE, k) AS level FROM c WHERE cap > (total - gone)::DOUBLE / open::DOUBLE * weight),
+t AS (SELECT source, source_size, least(cap::DOUBLE, level * weight) AS target FROM r, l),
+w AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
+g AS (SELECT *, target - whole * source_size AS goal FROM w),
+b AS (SELECT source, slot, sum(size) AS words FROM d GROUP BY source, slot),
+a AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY slot) AS reached FROM b),
+u AS (SELECT g.source, goal, coalesce(max(slot) FILTER (reached <= goal), -1) AS last,
+             goal - coalesce(max(reached) FILTER (reached <= goal), 0) AS gap
+      FROM a JOIN g ON a.source IS NOT DISTINCT FROM g.source WHERE goal > 0 GROUP BY g.source, goal),
+f AS (SELECT u.source, min({'off': abs(words - gap), 'slot': slot, 'gap': gap}) AS fit
+      FROM a JOIN u ON a.source IS NOT DISTINCT FROM u.source WHERE slot > last GROUP BY u.source),
+h AS (SELECT source, fit.slot AS fill FROM f WHERE fit.off < fit.gap)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       ((whole + (slot <= coalesce(last, -1) OR slot = coalesce(fill, -1))::INT) * size)::BIGINT AS taken
+FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN u ON d.source IS NOT DISTINCT FROM u.source
+LEFT JOIN h ON d.source IS NOT DISTINCT FROM h.source""")
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorecraft.llm.mixing import mix
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op7_simhash")
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorecraft.llm.simhash import simhash_dedup
+    return simhash_dedup(table(spark, sf_dir, "documents"), 3, 3).select("doc_id", "fingerprint", "component_id")
+
+
 @query("op8_token_files")
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from scorecraft.llm.token_files import read_token_files, write_token_files
