@@ -64,6 +64,21 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op4_embedding_dedup")
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorecraft.llm.embedding_dedup import embedding_dedup
+    return embedding_dedup(table(spark, sf_dir, "embeddings"), 0.9)
+
+
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@query("op5_url_filter")
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorecraft.llm.url_filter import url_filter
+    return url_filter(table(spark, sf_dir, "pages"), URL_RULES).drop("component")
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from scorecraft.llm.simhash import simhash_dedup
