@@ -110,3 +110,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from scorecraft.llm.token_counts import token_counts
     rows = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return rows.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorecraft.llm.quality import fit_quality, held_out, score_quality
+    docs = table(spark, sf_dir, "documents")
+    network = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, network).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                                               (F.col("score") >= 0.3).cast("int").alias("predicted"))
