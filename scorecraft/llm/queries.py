@@ -119,3 +119,9 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     network = fit_quality(docs, table(spark, sf_dir, "labels"))
     return score_quality(docs, network).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                                                (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorecraft.llm.line_dedup import line_dedup
+    return line_dedup(table(spark, sf_dir, "documents"))
