@@ -30,11 +30,20 @@ from scorecraft.llm.library import library, read_spec, texts_of
 from scorecraft.llm.pretokens import distinct
 from scorecraft.session import scratch_path
 
-_BLOCKS = "block long, bucket int, ids array<{id}>, n_bytes array<long>, whole array<long>, ends array<long>, freq binary, pieces array<binary>, at array<int>"
+# bucket null: a block's documents, with ``n`` entries (steps between pre-token numbers,
+# frequencies) in data; else ``n`` pre-tokens numbered from ``lo`` (sizes, bytes)
+_BLOCKS = "block long, bucket int, lo int, n int, ids array<{id}>, n_bytes array<long>, whole array<long>, ends array<long>, sizes binary, data binary"
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    return pa.compress(b"".join(a.tobytes() for a in arrays), codec="zstd", asbytes=True)
+    """Numbers below 2^32, compressed with the bytes of equal weight side by side."""
+    return pa.compress(b"".join(a.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for a in arrays), codec="zstd", asbytes=True)
+
+
+def _unpack(cell: pa.Scalar, *sizes: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(cell.as_buffer(), 4 * sum(sizes), codec="zstd"), np.uint8)
+    ends = np.cumsum([0, *sizes]) * 4
+    return [np.ascontiguousarray(raw[a:b].reshape(4, -1).T).view("<u4").ravel() for a, b in zip(ends[:-1], ends[1:])]
 
 
 def _bucket(pieces: pa.Array, n: int) -> np.ndarray:
@@ -74,30 +83,33 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
             codes, pieces = distinct(buf, starts)
             doc = np.repeat(np.arange(batch.num_rows), np.diff(np.searchsorted(starts, off)))
             use = ~whole[doc]
-            # one key per document and pre-token; its run length is the frequency
-            key, count = np.unique(doc[use] * max(len(pieces), 1) + codes[use], return_counts=True)
-            doc, code = np.divmod(key, max(len(pieces), 1))
+            # number the pre-tokens that count by bucket, so that a bucket is a range of numbers
             seen = np.zeros(len(pieces), bool)
-            seen[code] = True
+            seen[codes[use]] = True
+            kept = np.flatnonzero(seen)
+            bucket = _bucket(pieces, n_buckets)[kept]
+            order = np.argsort(bucket, kind="stable")
+            kept, bucket = kept[order], bucket[order]
+            number = np.zeros(len(pieces), np.int64)
+            number[kept] = np.arange(len(kept))
+            # one key per document and pre-token; its run length is the frequency
+            key, count = np.unique(doc[use] * max(len(kept), 1) + number[codes[use]], return_counts=True)
+            doc, code = np.divmod(key, max(len(kept), 1))
             ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=batch.num_rows))])
+            gap = np.diff(code, prepend=0)
+            gap[ends[:-1][ends[:-1] < ends[1:]]] = code[ends[:-1][ends[:-1] < ends[1:]]]
             row = dict.fromkeys(names)
-            row |= {"block": [block], "ids": pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0)),
-                    "n_bytes": [np.diff(off)], "whole": [own], "ends": [ends],
-                    "freq": [_pack(code.astype(np.int32), count.astype(np.int32))]}
+            row |= {"block": [block], "n": [len(code)], "ids": pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0)),
+                    "n_bytes": [np.diff(off)], "whole": [own], "ends": [ends], "data": [_pack(gap, count)]}
             yield _batch(row, 1)
-            use = np.flatnonzero(seen)
-            if not len(use):
-                continue
-            bucket = _bucket(pieces, n_buckets)[use]
-            order = np.argsort(bucket, kind="stable")
-            use, bucket = use[order], bucket[order]
             cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
-            lists = pa.array(cuts, pa.int32())
-            row = dict.fromkeys(names)
-            row |= {"block": np.full(len(cuts) - 1, block), "bucket": bucket[cuts[:-1]].astype(np.int32),
-                    "pieces": pa.ListArray.from_arrays(lists, pieces.take(pa.array(use)).cast(pa.binary())),
-                    "at": pa.ListArray.from_arrays(lists, pa.array(use, pa.int32()))}
-            yield _batch(row, len(cuts) - 1)
+            if len(bucket):
+                raw, at = text_buffer(pieces.take(pa.array(kept)))
+                row = dict.fromkeys(names)
+                row |= {"block": np.full(len(cuts) - 1, block), "bucket": bucket[cuts[:-1]].astype(np.int32), "lo": cuts[:-1].astype(np.int32),
+                        "n": np.diff(cuts).astype(np.int32), "sizes": [_pack(np.diff(at[a:b + 1])) for a, b in zip(cuts[:-1], cuts[1:])],
+                        "data": [pa.compress(raw[at[a]:at[b]].tobytes(), codec="zstd", asbytes=True) for a, b in zip(cuts[:-1], cuts[1:])]}
+                yield _batch(row, len(cuts) - 1)
 
     id_arrow = None
 
@@ -105,8 +117,9 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         nonlocal id_arrow
         if isinstance(row["ids"], pa.ListArray):
             id_arrow = row["ids"].type
-        types = {"block": pa.int64(), "bucket": pa.int32(), "ids": id_arrow, "n_bytes": pa.list_(pa.int64()), "whole": pa.list_(pa.int64()),
-                 "ends": pa.list_(pa.int64()), "freq": pa.binary(), "pieces": pa.list_(pa.binary()), "at": pa.list_(pa.int32())}
+        wide = pa.list_(pa.int64())
+        types = {"block": pa.int64(), "bucket": pa.int32(), "lo": pa.int32(), "n": pa.int32(), "ids": id_arrow, "n_bytes": wide, "whole": wide,
+                 "ends": wide, "sizes": pa.binary(), "data": pa.binary()}
         return pa.RecordBatch.from_arrays(
             [v if isinstance(v, pa.Array) else pa.nulls(n, types[k]) if v is None else pa.array(v, types[k]) for k, v in row.items()], list(row))
 
@@ -114,14 +127,16 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         lib = library(shared)
         known: dict[bytes, int] = {}  # of this task's buckets: no pre-token is in another task
         for batch in batches:
-            lists = batch.column(1)
-            pieces = lists.flatten().to_pylist()
-            new = [x for x in dict.fromkeys(pieces) if x not in known]
-            known.update(zip(new, lib.count_pieces(new)))
-            n = np.fromiter(map(known.__getitem__, pieces), np.int32, len(pieces))
-            off = lists.offsets.to_numpy().astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.ListArray.from_arrays(pa.array(off - off[0]), pa.array(n))], ["block", "at", "n"])
+            out = []
+            for k in range(batch.num_rows):
+                size, = _unpack(batch.column(3)[k], batch.column(2)[k].as_py())
+                cut = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+                data = pa.decompress(batch.column(4)[k].as_buffer(), int(cut[-1]), codec="zstd", asbytes=True)
+                pieces = [data[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+                new = [x for x in pieces if x not in known]
+                known.update(zip(new, lib.count_pieces(new)))
+                out.append(_pack(np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], ["block", "lo", "n", "counts"])
 
     def total(batches):
         for batch in batches:
@@ -129,11 +144,13 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
             for k in range(batch.num_rows):
                 get = lambda n: col[n].slice(k, 1).flatten()
                 ids, n_bytes, own, ends = get("ids"), get("n_bytes"), get("whole").to_numpy(), get("ends").to_numpy()
-                code, freq = np.frombuffer(pa.decompress(col["freq"][k].as_buffer(), 8 * int(ends[-1]), codec="zstd"), np.int32).reshape(2, -1)
-                got = get("got")
-                at, n = (got.field(x).flatten().to_numpy() for x in ("at", "n")) if len(got) else (np.zeros(0, int), np.zeros(0, int))
-                pieces = np.zeros(int(at.max()) + 1 if len(at) else 1, np.int64)
-                pieces[at] = n
+                gap, freq = _unpack(col["data"][k], int(ends[-1]), int(ends[-1]))
+                code = np.cumsum(gap, dtype=np.int64)
+                full = ends[:-1][ends[:-1] < ends[1:]]  # numbers begin anew with every document
+                code -= np.repeat(code[full] - gap[full], np.diff(np.append(full, len(code))))
+                pieces = np.zeros(int(code.max(initial=0)) + 1, np.int64)
+                for x in get("got").to_pylist():
+                    pieces[x["lo"]:x["lo"] + x["n"]] = _unpack(pa.scalar(x["counts"], pa.binary()), x["n"])[0]
                 sums = np.concatenate([[0], np.cumsum(pieces[code] * freq)])[ends]
                 yield pa.RecordBatch.from_arrays([ids, n_bytes, pa.array(own + np.diff(sums), pa.int64())], ["__id", "n_bytes", "n_tokens"])
 
@@ -141,10 +158,11 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     path = scratch_path(spark, "token_counts")
     rows.mapInArrow(blocks, schema).write.option("compression", "zstd").parquet(path)
     staged = spark.read.schema(schema).parquet(path)
-    counted = (staged.where("bucket is not null").select("block", "bucket", "pieces", "at")
-               .repartition(n_buckets, "bucket").select("block", "pieces", "at")
-               .mapInArrow(count, "block long, at array<int>, n array<int>"))
-    back = counted.groupBy("block").agg(F.collect_list(F.struct("at", "n")).alias("got"))  # at most a block's vocabulary
-    texts = staged.where("bucket is null").select("block", "ids", "n_bytes", "whole", "ends", "freq")
-    joined = texts.join(back, "block", "left").withColumn("got", F.coalesce("got", F.array().cast("array<struct<at:array<int>,n:array<int>>>")))
+    counted = (staged.where("bucket is not null").select("block", "bucket", "lo", "n", "sizes", "data")
+               .repartition(n_buckets, "bucket").select("block", "lo", "n", "sizes", "data")
+               .mapInArrow(count, "block long, lo int, n int, counts binary"))
+    back = counted.groupBy("block").agg(F.collect_list(F.struct("lo", "n", "counts")).alias("got"))  # at most a block's vocabulary
+    texts = staged.where("bucket is null").select("block", "ids", "n_bytes", "whole", "ends", "data")
+    joined = (texts.join(back, "block", "left")
+              .withColumn("got", F.coalesce("got", F.array().cast("array<struct<lo:int,n:int,counts:binary>>"))))
     return joined.drop("block").mapInArrow(total, f"__id {id_type}, n_bytes long, n_tokens long").withColumnRenamed("__id", id_col)
