@@ -1,12 +1,13 @@
 """Line dedup by content-defined chunks of lines.
 
 A text's lines (cut at line feeds, which stay with their line) are hashed, and a
-rolling hash over the last ``window`` line hashes chooses boundaries: a chunk ends
-after a line where it is 0 modulo ``spread``.  Boundaries depend on nearby lines only,
-so a passage that is inserted elsewhere is cut the same way again, but for its ends.
-Chunks of at least ``min_lines`` lines (or fewer, if longer than ``min_words`` words)
-that occur again anywhere are removed after their bytes were compared; the occurrence
-with the smallest (id, place) stays.
+rolling hash over the last ``window`` line hashes chooses boundaries: a chunk of at
+least ``min_lines`` lines ends after a line where it is 0 modulo ``spread``.  Boundaries
+depend on nearby lines only, so a passage that is inserted elsewhere is cut the same
+way again, but for its ends.  A line of more than ``min_words`` words, a paragraph, is
+a chunk of its own.  Chunks of at least ``min_lines`` lines and such paragraphs that
+occur again anywhere are removed after their bytes were compared; the occurrence with
+the smallest (id, place) stays.
 
 Chunks are written once to the shared checkpoint folder; counting reads only their
 hashes.  A chunk's occurrences are counted before the shuffle, and only texts of
@@ -32,7 +33,15 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
 
 
-def chunk_spans(buf: np.ndarray, offsets: np.ndarray, window: int, spread: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _words(buf: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Words that begin between each start and the next."""
+    word = ~_BLANK[buf]
+    word[1:] &= _BLANK[buf[:-1]]
+    word[start] = ~_BLANK[buf[start]]
+    return np.add.reduceat(word, start, dtype=np.int64) if len(start) else np.zeros(0, np.int64)
+
+
+def chunk_spans(buf: np.ndarray, offsets: np.ndarray, window: int, spread: int, min_lines: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start byte of every chunk, its number of lines, first chunk of every text) of a
     batch of texts; an empty text has no chunk."""
     n = len(buf)
@@ -52,10 +61,17 @@ def chunk_spans(buf: np.ndarray, offsets: np.ndarray, window: int, spread: int)
         back = np.zeros_like(h)
         back[k:] = h[:-k]
         rolling = rolling * _FACTOR + np.where(place >= k, back, 0)
-    ends = (rolling * _MIX >> np.uint64(33)) % np.uint64(spread) == 0
-    starts = opens.copy()
-    starts[1:] |= ends[:-1]
-    chunk = np.flatnonzero(starts)
+    ends = ((rolling * _MIX >> np.uint64(33)) % np.uint64(spread) == 0).tolist()
+    long = (_words(buf, line) > min_words).tolist()
+    starts, have = [], 0
+    for k, new in enumerate(opens.tolist()):
+        if new or long[k] or have < 0:
+            starts.append(k)
+            have = 0
+        have += 1
+        if long[k] or ends[k] and have >= min_lines:
+            have = -1
+    chunk = np.array(starts)
     return line[chunk], np.diff(np.append(chunk, len(line))), np.searchsorted(line[chunk], offsets)
 
 
@@ -80,11 +96,9 @@ def line_dedup(docs: DataFrame, window: int = 2, spread: int = 2, min_lines: int
     def chunks(batches):
         for batch in steps(batches, "text"):
             buf, off = text_buffer(batch.column(1))
-            start, lines, edge = chunk_spans(buf, off, window, spread)
+            start, lines, edge = chunk_spans(buf, off, window, spread, min_lines, min_words)
             size = np.diff(np.append(start, len(buf)))
-            word = ~_BLANK[buf]
-            word[1:] &= _BLANK[buf[:-1]]
-            words = np.add.reduceat(word, start, dtype=np.int64) if len(start) else np.zeros(0, np.int64)
+            words = _words(buf, start)
             doc = np.repeat(np.arange(batch.num_rows), np.diff(edge))
             use = np.flatnonzero((lines >= min_lines) | (words > min_words))
             text = binary_array(np.append(start, len(buf)), buf).take(pa.array(use)).cast(pa.binary())
@@ -103,7 +117,7 @@ def line_dedup(docs: DataFrame, window: int = 2, spread: int = 2, min_lines: int
     def cut(batches):
         for batch in steps(batches, "text"):
             buf, off = text_buffer(batch.column(1))
-            start, _, edge = chunk_spans(buf, off, window, spread)
+            start, _, edge = chunk_spans(buf, off, window, spread, min_lines, min_words)
             drop = np.zeros(len(start), bool)
             lists = batch.column(2)
             for k in np.flatnonzero(~lists.is_null().to_numpy(zero_copy_only=False)):
