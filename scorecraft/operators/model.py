@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorecraft.operators import stats
+from scorecraft.operators.linalg import independent, inverse
 
 INTERCEPT = "intercept"
 
@@ -41,13 +42,15 @@ class Fit:
     pseudo_r2: float | None = None
     kind: str = "logit"
     converged: bool = True
+    aliased: tuple = ()
 
     def coef_frame(self, spark) -> DataFrame:
-        """M1/M9: one row per term."""
-        rows = [(t, float(b), _f(s), _f(z), _f(p), _f(lo), _f(hi)) for t, b, s, z, p, lo, hi in
+        """M1/M9: one row per term; an aliased term (a combination of terms before it)
+        has NULL numbers; ``converged`` is false where the fit did not end."""
+        rows = [(t, _f(b), _f(s), _f(z), _f(p), _f(lo), _f(hi), self.converged, t in self.aliased) for t, b, s, z, p, lo, hi in
                 zip(self.terms, self.coef, self.se, self.stat, self.p, self.ci_low, self.ci_high)]
-        return spark.createDataFrame(rows, "term string, estimate double, std_err double, stat double, "
-                                           "p_value double, ci_low double, ci_high double")
+        return spark.createDataFrame(rows, "term string, estimate double, std_err double, stat double, p_value double, "
+                                           "ci_low double, ci_high double, converged boolean, aliased boolean")
 
     def stats_frame(self, spark) -> DataFrame:
         """M10 model statistics in long form."""
@@ -85,11 +88,11 @@ def logit_fit(df: DataFrame, features, label: str = "target", intercept: bool =
               solver: str = "newton", max_iter: int = 100, tol: float = 1e-10) -> Fit:
     """M1/M2: maximum-likelihood logistic regression with the inference table.
 
-    ``solver='newton'`` (default): distributed Newton-Raphson, one pass over the
-    rows per iteration (the stepwise engine).  ``solver='glr'``: Spark ML's
-    GeneralizedLinearRegression (binomial/logit IRLS); its summary launches
-    several further jobs (and a second fit for the null deviance), so it is the
-    slower path for the same numbers."""
+    ``solver='newton'`` (default): the stepwise engine's Newton-Raphson on standardised
+    columns, one pass over the rows per iteration; it names aliased terms and says
+    whether it converged.  ``solver='glr'``: Spark ML's GeneralizedLinearRegression
+    (binomial/logit IRLS), which neither does.  ``tests/test_models.py`` holds both to
+    the same numbers on badly scaled columns."""
     if solver == "newton":
         return newton_logit(df, features, label, intercept)
     from pyspark.ml.regression import GeneralizedLinearRegression
@@ -148,53 +151,69 @@ def logit_l2(df: DataFrame, features, label: str = "target", C: float = 1.0):
     return m, spark.createDataFrame(rows, "term string, estimate double")
 
 
-def gram(df: DataFrame, features, label, intercept: bool = True):
-    """One aggregate pass: n, X'X, X'y, y'y over complete cases."""
-    cols = ([F.lit(1.0)] if intercept else []) + [F.col(c).cast("double") for c in features]
-    names = ([INTERCEPT] if intercept else []) + list(features)
-    y = F.col(label).cast("double")
+@dataclass
+class Moments:
+    """Sufficient statistics of complete cases: count, means, centred cross-products."""
+    names: list
+    n: int
+    mean: np.ndarray    # of the columns, then of the label
+    cross: np.ndarray   # sums of (x - mean)(z - mean), label last
+
+
+def moments(df: DataFrame, features, label) -> Moments:
+    """One aggregate pass over complete cases.  The covariances are Spark's, which
+    merge centred sums, so a large mean costs no digits."""
+    cols = [F.col(c).cast("double") for c in features] + [F.col(label).cast("double")]
     d = complete_cases(df, features, label)
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y * y).alias("yy")]
-    aggs += [F.sum(cols[i] * y).alias(f"xy{i}") for i in range(len(cols))]
-    aggs += [F.sum(cols[i] * cols[j]).alias(f"xx{i}_{j}") for i, j in
-             itertools.combinations_with_replacement(range(len(cols)), 2)]
+    pairs = list(itertools.combinations_with_replacement(range(len(cols)), 2))
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
+    aggs += [F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]
     r = d.agg(*aggs).first()
-    m = len(cols)
-    xx = np.zeros((m, m))
-    for i, j in itertools.combinations_with_replacement(range(m), 2):
-        xx[i, j] = xx[j, i] = r[f"xx{i}_{j}"] or 0.0
-    xy = np.array([r[f"xy{i}"] or 0.0 for i in range(m)])
-    return names, int(r["n"]), xx, xy, float(r["yy"] or 0.0)
-
-
-def ols_from_gram(names, n, xx, xy, yy, ysum=None, intercept: bool = True) -> Fit:
-    """M5: OLS with the usual inference table from sufficient statistics."""
-    k = len(names)
-    inv = np.linalg.pinv(xx)
-    beta = inv @ xy
-    ssr = max(float(yy - 2 * beta @ xy + beta @ xx @ beta), 0.0)
+    n = int(r["n"])
+    cross = np.zeros((len(cols), len(cols)))
+    for i, j in pairs:
+        cross[i, j] = cross[j, i] = (r[f"c{i}_{j}"] or 0.0) * n
+    return Moments(list(features), n, np.array([r[f"m{i}"] or 0.0 for i in range(len(cols))]), cross)
+
+
+def ols_from_moments(m: Moments, terms) -> Fit:
+    """M5: OLS with the usual inference table, for any subset of the columns, with or
+    without the intercept.  Slopes are solved on centred (with an intercept) columns;
+    the intercept follows from the means."""
+    terms, n = list(terms), m.n
+    intercept = INTERCEPT in terms
+    cols = [m.names.index(t) for t in terms if t != INTERCEPT]
+    mean, y = m.mean[cols], len(m.names)
+    cross = m.cross if intercept else m.cross + n * np.outer(m.mean, m.mean)
+    sub, xy, yy = cross[np.ix_(cols, cols)], cross[cols, y], float(cross[y, y])
+    kept = independent(sub)
+    used = [m.names[cols[k]] for k in kept]
+    inv = inverse(sub[np.ix_(kept, kept)]) if kept else np.zeros((0, 0))
+    slope = inv @ xy[kept]
+    ssr = max(yy - float(xy[kept] @ slope), 0.0)
+    k = len(kept) + intercept
     df_resid = n - k
     sigma2 = ssr / df_resid if df_resid > 0 else float("nan")
-    se = np.sqrt(np.maximum(np.diag(inv) * sigma2, 0.0))
+    estimate, variance = dict(zip(used, slope)), dict(zip(used, np.diag(inv) * sigma2))
+    if intercept:
+        estimate[INTERCEPT] = m.mean[y] - float(mean[kept] @ slope)
+        variance[INTERCEPT] = sigma2 * (1.0 / n + float(mean[kept] @ inv @ mean[kept])) if n else float("nan")
+    beta = np.array([estimate.get(t, np.nan) for t in terms])
+    se = np.sqrt(np.array([variance.get(t, np.nan) for t in terms]))
     with np.errstate(divide="ignore", invalid="ignore"):
         t = beta / se
     p = np.array([stats.t_two_sided_p(float(v), df_resid) for v in t])
     crit = stats.t_quantile_975(df_resid) if df_resid > 0 else float("nan")
-    if intercept:
-        ysum = xy[names.index(INTERCEPT)] if ysum is None else ysum
-        sst = yy - ysum * ysum / n
-    else:
-        sst = yy
-    r2 = 1 - ssr / sst if sst > 0 else float("nan")
-    r2_adj = 1 - (n - (1 if intercept else 0)) / df_resid * (1 - r2) if df_resid > 0 else float("nan")
+    r2 = 1 - ssr / yy if yy > 0 else float("nan")
+    r2_adj = 1 - (n - intercept) / df_resid * (1 - r2) if df_resid > 0 else float("nan")
     ll = -n / 2.0 * (math.log(2 * math.pi) + math.log(ssr / n) + 1) if ssr > 0 else float("inf")
-    return Fit(list(names), beta, se, t, p, beta - crit * se, beta + crit * se, n, ll, None,
-               -2 * ll + 2 * k, -2 * ll + k * math.log(n), r2=r2, r2_adj=r2_adj, kind="ols")
+    return Fit(terms, beta, se, t, p, beta - crit * se, beta + crit * se, n, ll, None,
+               -2 * ll + 2 * k, -2 * ll + k * math.log(n) if n else float("nan"), r2=r2, r2_adj=r2_adj, kind="ols",
+               aliased=tuple(x for x in terms if x not in estimate))
 
 
 def ols_fit(df: DataFrame, features, label, intercept: bool = True) -> Fit:
-    names, n, xx, xy, yy = gram(df, features, label, intercept)
-    return ols_from_gram(names, n, xx, xy, yy, intercept=intercept)
+    return ols_from_moments(moments(df, features, label), ([INTERCEPT] if intercept else []) + list(features))
 
 
 def score_by_coefficients(df: DataFrame, coefs: dict, intercept: float, out: str = "score") -> DataFrame:

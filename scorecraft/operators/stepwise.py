@@ -2,12 +2,14 @@
 
 Every candidate fit of a step is served by the same passes over the rows:
 
-* linear: ONE aggregate builds the Gram matrix of [intercept, all columns, y];
-  every candidate OLS is solved on the driver from its sub-block;
-* logistic: Newton-Raphson for all candidates at once; each iteration is one
-  distributed pass in which every partition returns, for every open candidate,
-  its X'WX, X'(y - p) and log-likelihood (numpy on Arrow batches inside
-  ``mapInPandas``), summed by a grouped aggregation.
+* linear: ONE aggregate builds the centred cross-products of all columns and the
+  label; every candidate OLS is solved on the driver from its sub-block;
+* logistic: Newton-Raphson for all candidates at once, on centred and scaled
+  columns; each iteration is one distributed pass in which every partition returns,
+  for every open candidate, its X'WX, X'(y - p) and log-likelihood (numpy on Arrow
+  batches inside ``mapInPandas``), summed by a grouped aggregation.  A step that
+  lowers the likelihood is halved; a fit ends when the Newton decrement, which has no
+  scale, is negligible.
 
 Only (candidates x terms^2) numbers reach the driver; the rows never do."""
 
@@ -22,48 +24,65 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorecraft.operators import stats
-from scorecraft.operators.model import INTERCEPT, Fit, gram, ols_from_gram
+from scorecraft.operators.linalg import independent, inverse
+from scorecraft.operators.model import INTERCEPT, Fit, moments, ols_from_moments
 
+# Passes after which a fit is reported as not converged, and the Newton decrement
+# (twice the likelihood still to gain) under which the last step ends it.
 MAX_NEWTON = 50
-NEWTON_TOL = 1e-9
+NEWTON_TOL = 1e-12
 
 
 class LinearEngine:
     kind = "linear"
 
     def __init__(self, df: DataFrame, columns, label: str):
-        names, n, xx, xy, yy = gram(df, columns, label, intercept=True)
-        self.names, self.n, self.xx, self.xy, self.yy = names, n, xx, xy, yy
-        self.ysum = xy[names.index(INTERCEPT)]
+        self.moments = moments(df, columns, label)
 
     def fit_many(self, designs, start: dict | None = None) -> list[Fit]:
-        out = []
-        for d in designs:
-            idx = [self.names.index(c) for c in d]
-            sub = self.xx[np.ix_(idx, idx)]
-            out.append(ols_from_gram(list(d), self.n, sub, self.xy[idx], self.yy, ysum=self.ysum,
-                                     intercept=INTERCEPT in d))
-        return out
+        return [ols_from_moments(self.moments, d) for d in designs]
 
 
 class LogisticEngine:
     kind = "logistic"
 
     def __init__(self, df: DataFrame, columns, label: str):
-        self.names = [INTERCEPT] + list(columns)
+        self.columns = list(columns)
         self.data = (df.select(*[F.col(c).cast("double").alias(c) for c in columns],
                                F.col(label).cast("double").alias("__y"))
                      .dropna().persist(StorageLevel.MEMORY_AND_DISK))
-        agg = self.data.agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("s")).first()
-        self.n, ysum = int(agg["n"]), float(agg["s"] or 0.0)
-        self.ysum = ysum
-        pbar = ysum / self.n if self.n else float("nan")
-        self.ll_null = (ysum * math.log(pbar) + (self.n - ysum) * math.log(1 - pbar)) if 0 < pbar < 1 else 0.0
-        self.columns = list(columns)
+        m = moments(self.data, self.columns, "__y")
+        self.n, self.ysum = m.n, float(m.mean[-1] * m.n)
+        self.mean = dict(zip(self.columns, m.mean))
+        spread = np.sqrt(np.maximum(np.diag(m.cross)[:-1], 0.0) / max(m.n, 1))
+        self.scale = {c: float(s) if s > 0 else 1.0 for c, s in zip(self.columns, spread)}
+        # without an intercept nothing is centred, so a column's size is its root mean square
+        self.size = {c: float(np.hypot(s, a)) or 1.0 for c, s, a in zip(self.columns, spread, m.mean)}
+        self.moments = m
+        pbar = self.ysum / self.n if self.n else float("nan")
+        self.ll_null = self.n * (pbar * math.log(pbar) + (1 - pbar) * math.log1p(-pbar)) if 0 < pbar < 1 else 0.0
+
+    def _standard(self, d) -> tuple[np.ndarray, np.ndarray]:
+        """(centre, scale) of the terms of a design; the intercept's are 0 and 1."""
+        inner = INTERCEPT in d
+        centre = [self.mean[t] if inner and t != INTERCEPT else 0.0 for t in d]
+        scale = [1.0 if t == INTERCEPT else (self.scale if inner else self.size)[t] for t in d]
+        return np.array(centre), np.array(scale)
+
+    def _aliased(self, d) -> list:
+        """Terms that the terms before them explain."""
+        cols = [t for t in d if t != INTERCEPT]
+        at = [self.columns.index(t) for t in cols]
+        cross = self.moments.cross if INTERCEPT in d else self.moments.cross + self.n * np.outer(self.moments.mean, self.moments.mean)
+        kept = independent(cross[np.ix_(at, at)])
+        return [t for k, t in enumerate(cols) if k not in kept]
 
     def _pass(self, designs, betas):
         cols = self.columns
-        plan = [([self.names.index(c) for c in d], b.copy()) for d, b in zip(designs, betas)]
+        plan = []
+        for d, b in zip(designs, betas):
+            centre, scale = self._standard(d)
+            plan.append(([0 if t == INTERCEPT else 1 + cols.index(t) for t in d], centre, scale, b.copy()))
 
         def partial_sums(batches):
             import pandas as pd
@@ -73,15 +92,14 @@ class LogisticEngine:
                     continue
                 x = np.column_stack([np.ones(len(pdf))] + [pdf[c].to_numpy(dtype=float) for c in cols])
                 y = pdf["__y"].to_numpy(dtype=float)
-                for k, (idx, beta) in enumerate(plan):
-                    d = x[:, idx]
+                for k, (idx, centre, scale, beta) in enumerate(plan):
+                    d = (x[:, idx] - centre) / scale
                     eta = d @ beta
-                    p = 1.0 / (1.0 + np.exp(-eta))
-                    p = np.clip(p, 1e-15, 1 - 1e-15)
-                    w = p * (1 - p)
+                    p = np.exp(-np.logaddexp(0.0, -eta))
+                    w = p * np.exp(-np.logaddexp(0.0, eta))
                     h = (d * w[:, None]).T @ d
                     g = d.T @ (y - p)
-                    ll = float(np.sum(y * np.log(p) + (1 - y) * np.log(1 - p)))
+                    ll = float(np.sum(y * eta - np.logaddexp(0.0, eta)))
                     if acc[k] is None:
                         acc[k] = [h, g, ll]
                     else:
@@ -114,53 +132,76 @@ class LogisticEngine:
                 out[r["d"]][2] = r["v"]
         return out
 
-    def _fit(self, d, b, h, ll) -> Fit:
-        cov = np.linalg.pinv(h)
-        se = np.sqrt(np.maximum(np.diag(cov), 0.0))
+    def _fit(self, terms, used, b, cov, ll, converged: bool = True) -> Fit:
+        """From standardised estimates of the terms ``used`` back to the columns' scale."""
+        centre, scale = self._standard(used)
+        back = np.diag(1.0 / scale)
+        if INTERCEPT in used:
+            back[used.index(INTERCEPT)] -= centre / scale
+        b, cov = back @ b, back @ cov @ back.T
+        at = [used.index(t) if t in used else -1 for t in terms]
+        pick = lambda v: np.array([v[k] if k >= 0 else np.nan for k in at])
+        coef, se = pick(b), pick(np.sqrt(np.maximum(np.diag(cov), 0.0)))
         with np.errstate(divide="ignore", invalid="ignore"):
-            z = b / se
+            z = coef / se
         p = np.array([stats.normal_two_sided_p(float(v)) for v in z])
-        k = len(d)
-        return Fit(list(d), b, se, z, p, b - stats.Z_975 * se, b + stats.Z_975 * se, self.n, ll, self.ll_null,
-                   -2 * ll + 2 * k, -2 * ll + k * math.log(self.n),
-                   pseudo_r2=1 - ll / self.ll_null if self.ll_null else None, kind="logit")
-
-    def _intercept_only(self) -> Fit | None:
-        pbar = self.ysum / self.n if self.n else float("nan")
-        if not 0 < pbar < 1:
-            return None
-        b = np.array([math.log(pbar / (1 - pbar))])
-        h = np.array([[self.n * pbar * (1 - pbar)]])
-        return self._fit([INTERCEPT], b, h, self.ll_null)
+        k = len(used)
+        return Fit(list(terms), coef, se, z, p, coef - stats.Z_975 * se, coef + stats.Z_975 * se, self.n, ll, self.ll_null,
+                   -2 * ll + 2 * k, -2 * ll + k * math.log(self.n) if self.n else float("nan"),
+                   pseudo_r2=1 - ll / self.ll_null if self.ll_null else None, kind="logit", converged=converged,
+                   aliased=tuple(t for t in terms if t not in used))
 
     def fit_many(self, designs, start: dict | None = None) -> list[Fit]:
         """Newton-Raphson for every design at once (one pass per iteration).
-        ``start`` warm-starts terms from a previous fit (others start at 0).
-        Standard errors use the Hessian of the last iteration, whose step is
-        below the tolerance; the intercept-only model is closed form."""
-        designs = [list(d) for d in designs]
+        ``start`` warm-starts terms from a previous fit (others start at 0).  Aliased
+        terms are left out and named in the fit.  The intercept-only model is closed
+        form."""
         start = start or {}
-        fits: list = [self._intercept_only() if d == [INTERCEPT] else None for d in designs]
-        betas = [np.array([float(start.get(t, 0.0)) for t in d]) for d in designs]
-        open_ = {k for k in range(len(designs)) if fits[k] is None}
-        last = {}
+        open_: dict[int, dict] = {}
+        fits: list = [None] * len(designs)
+        pbar = self.ysum / self.n if self.n else float("nan")
+        for k, terms in enumerate(designs):
+            aliased = self._aliased(terms)
+            used = [t for t in terms if t not in aliased]
+            if used == [INTERCEPT] and 0 < pbar < 1:
+                fits[k] = self._fit(terms, used, np.array([math.log(pbar / (1 - pbar))]), np.array([[1 / (self.n * pbar * (1 - pbar))]]), self.ll_null)
+                continue
+            centre, scale = self._standard(used)
+            given = [start.get(t) for t in used]
+            b = np.array([0.0 if v is None or math.isnan(v) else v for v in given]) * scale
+            if INTERCEPT in used:  # at the centre of the columns
+                b[used.index(INTERCEPT)] += float(sum(c * x / s for c, x, s in zip(centre, b, scale)))
+            open_[k] = {"used": used, "b": b, "ll": -math.inf, "step": None, "from": b}
+        state = dict(open_)
         for _ in range(MAX_NEWTON):
             if not open_:
                 break
             todo = sorted(open_)
-            sums = self._pass([designs[k] for k in todo], [betas[k] for k in todo])
+            sums = self._pass([open_[k]["used"] for k in todo], [open_[k]["b"] for k in todo])
             for k, (h, g, ll) in zip(todo, sums):
-                step = np.linalg.pinv(h) @ g
-                last[k] = (h, ll)
-                betas[k] = betas[k] + step
-                if np.max(np.abs(step)) < NEWTON_TOL:
-                    open_.discard(k)
-        for k, d in enumerate(designs):
-            if fits[k] is None:
-                h, ll = last[k]
-                fits[k] = self._fit(d, betas[k], h, ll)
-                # still moving after MAX_NEWTON steps: (quasi-)separation, estimates diverge
-                fits[k].converged = k not in open_
+                s = open_[k]
+                if ll < s["ll"] - 1e-9 * abs(s["ll"]) and np.max(np.abs(s["step"]), initial=0.0) > 1e-12:
+                    s["step"] = s["step"] / 2
+                    s["b"] = s["from"] + s["step"]
+                    continue
+                diagonal = np.diag(h)
+                if not np.all(np.isfinite(h)) or np.any(diagonal <= 0) or len(independent(h, 1e-13)) < len(h):
+                    s.update(ll=ll, cov=np.full_like(h, np.nan), stuck=True)  # weights vanish: separation
+                    del open_[k]
+                    continue
+                cov = inverse(h)
+                step = cov @ g
+                s.update(ll=ll, cov=cov, step=step, b=s["b"] + step, **{"from": s["b"]})
+                gain, before = float(g @ step), s.get("gain", math.inf)
+                s["gain"] = gain
+                if gain < NEWTON_TOL:
+                    # Newton's last steps gain less and less by squares; a fit that creeps
+                    # on by a constant factor runs away to a separating direction
+                    s["done"] = gain < 0.1 * before
+                    del open_[k]
+        for k, s in state.items():
+            m = len(s["used"])
+            fits[k] = self._fit(designs[k], s["used"], s["b"], s.get("cov", np.full((m, m), np.nan)), s["ll"], bool(s.get("done")))
         return fits
 
     def close(self):
@@ -259,6 +300,9 @@ def backward_selection(df: DataFrame, columns, label: str, model_type: str = "li
     use_crit = _crit_usable(criterion, kind)
     current = [INTERCEPT] + list(columns)
     sel = Selection(list(current))
+    for t in eng.fit_many([current])[0].aliased:  # no p-value decides on these
+        current.remove(t)
+        sel.log.append(("aliased", t, None, None, None, None))
     model, last_dropped, cols = None, None, list(current)
     for i in range(len(current)):
         warm = dict(zip(model.terms, model.coef)) if model is not None else None

@@ -161,3 +161,49 @@ def test_separation_is_flagged(spark):
     assert not fit.converged
     stats = {r["statistic"]: r["value"] for r in fit.stats_frame(spark).collect()}
     assert stats["converged"] == 0.0
+
+
+def _epoch_frame(spark, n=3000, seed=4):
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    z, w = rng.standard_normal(n), rng.standard_normal(n)
+    y = (rng.random(n) < 1 / (1 + np.exp(-(0.3 + z - 0.5 * w)))).astype(int)
+    v = 2.0 + 3.0 * z + 0.7 * rng.standard_normal(n)
+    rows = [(float(1.6e9 + 1e5 * a), float(a), float(b), int(t), float(u)) for a, b, t, u in zip(z, w, y, v)]
+    return spark.createDataFrame(rows, "raw double, std double, w double, target int, v double")
+
+
+def test_raw_scale_equals_standardised(spark):
+    df = _epoch_frame(spark)
+    for a, b in [(model.logit_fit(df, ["raw", "w"]), model.logit_fit(df, ["std", "w"])),
+                 (model.ols_fit(df, ["raw", "w"], "v"), model.ols_fit(df, ["std", "w"], "v"))]:
+        assert a.converged and abs(a.ll - b.ll) < 1e-6
+        assert abs(a.coef[1] * 1e5 - b.coef[1]) < 1e-6 * abs(b.coef[1])
+        assert abs(a.se[1] * 1e5 - b.se[1]) < 1e-6 * b.se[1] and abs(a.stat[2] - b.stat[2]) < 1e-5
+        assert abs(a.p[1] - b.p[1]) <= 1e-4 * b.p[1]
+    assert model.ols_fit(df, ["raw"], "v").r2 > 0.9
+    glr = model.logit_fit(df, ["raw", "w"], solver="glr")
+    newton = model.logit_fit(df, ["raw", "w"])
+    assert abs(glr.ll - newton.ll) < 1e-6 and abs(glr.coef[1] - newton.coef[1]) < 1e-5 * abs(newton.coef[1])
+
+
+def test_without_intercept_equals_glr(spark):
+    df = _epoch_frame(spark)
+    a, b = model.logit_fit(df, ["std", "w"], intercept=False), model.logit_fit(df, ["std", "w"], intercept=False, solver="glr")
+    assert abs(a.ll - b.ll) < 1e-6 and max(abs(a.coef - b.coef)) < 1e-6
+
+
+def test_aliased_terms_are_named(spark):
+    df = _epoch_frame(spark).selectExpr("raw", "w", "target", "v", "raw * 2 + 5 AS twin", "raw - 3 * w AS both", "1.0 AS one")
+    for fit in (model.logit_fit(df, ["raw", "twin", "w", "both", "one"]), model.ols_fit(df, ["raw", "twin", "w", "both", "one"], "v")):
+        assert set(fit.aliased) == {"twin", "both", "one"}
+        rows = {r.term: r for r in fit.coef_frame(spark).collect()}
+        assert rows["twin"].estimate is None and rows["twin"].aliased and not rows["raw"].aliased
+    alone = model.logit_fit(df, ["raw", "w"])
+    full = model.logit_fit(df, ["raw", "twin", "w"])
+    assert abs(alone.ll - full.ll) < 1e-9 and abs(alone.se[1] - full.se[1]) < 1e-9
+
+
+def test_quasi_separation_is_flagged(spark):
+    rows = [(float(x), int(x > 0)) for x in range(-20, 21) if x] + [(0.0, 0), (0.0, 1)]
+    assert not model.logit_fit(spark.createDataFrame(rows, "x double, target int"), ["x"]).converged
