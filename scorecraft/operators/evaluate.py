@@ -3,9 +3,10 @@
 Label and prediction stay in one row (``model.transform`` keeps both), so no
 column-wise concatenation is needed (J6).  Counts are one aggregate; the ROC
 curve needs cumulative counts by descending score, which are computed without
-a global single-task window: distinct scores are cut into ranges at approximate
-boundaries, per-range totals (one row per range) give each range's offset, and
-a window partitioned by range finishes the running sums."""
+a global single-task window: the counts per score are grouped once, dealt into
+ranges by Spark's range partitioning and written with the range's number; totals per
+range (one row each) give its offset, and a window partitioned by range finishes the
+running sums."""
 
 from __future__ import annotations
 
@@ -15,11 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scorecraft.session import persisted
+from scorecraft.session import staged
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4096
-SKETCH_ACCURACY = 20_000
 
 
 def confusion_counts(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -87,38 +86,22 @@ def _score_groups(df: DataFrame, label: str, score: str) -> DataFrame:
 def roc_points(df: DataFrame, label: str = "label", score: str = "score",
                rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, int, int]:
     """(points, P, N): one row per distinct score with cumulative positives and
-    negatives at threshold >= score.  Work per task is bounded by
-    ``rows_per_range`` distinct scores."""
-    g = _score_groups(df, label, score)
-    with persisted(g) as cached:  # read by the parameter passes below, then released
-        tot = cached.agg(F.count(F.lit(1)).alias("d"), F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-        d, P, N = int(tot["d"] or 0), int(tot["p"] or 0), int(tot["n"] or 0)
-        # beyond MAX_RANGES * rows_per_range distinct scores each range grows past
-        # rows_per_range; the window then spills to disk instead of growing the plan.
-        ranges = min(MAX_RANGES, max(1, math.ceil(d / rows_per_range)))
-        if ranges > 1:
-            fr = [k / ranges for k in range(1, ranges)]
-            bounds = sorted(set(cached.agg(F.percentile_approx("score", fr, max(SKETCH_ACCURACY, 4 * ranges)))
-                                .first()[0]))
-            # range 0 holds the highest scores: count bounds >= score
-            rng = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b >= F.col("score")))
-        else:
-            rng = F.lit(0)
-        per = (cached.withColumn("rng", rng).groupBy("rng")
-               .agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn")).collect())
-    gr = g.withColumn("rng", rng)
-    off, cp, cn = [], 0, 0
-    for r in sorted(per, key=lambda r: r["rng"]):
-        off.append((r["rng"], cp, cn))
-        cp += r["rp"]
-        cn += r["rn"]
-    offs = df.sparkSession.createDataFrame(off, "rng int, off_pos long, off_neg long")
+    negatives at threshold >= score.  The number of ranges grows with the rows, so
+    that a range holds about ``rows_per_range`` distinct scores at most."""
+    ranges = max(1, math.ceil(df.count() / rows_per_range))
+    groups = _score_groups(df, label, score).repartitionByRange(ranges, F.desc("score"))
+    groups = staged(groups.withColumn("rng", F.spark_partition_id()), "scores")
+    per = groups.groupBy("rng").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn"))
+    before = Window.orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offs = per.select("rng", F.coalesce(F.sum("rp").over(before), F.lit(0)).alias("off_pos"),
+                      F.coalesce(F.sum("rn").over(before), F.lit(0)).alias("off_neg"))
+    tot = per.agg(F.sum("rp").alias("p"), F.sum("rn").alias("n")).first()
     w = Window.partitionBy("rng").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    pts = (gr.join(F.broadcast(offs), "rng")  # one row per range
+    pts = (groups.join(F.broadcast(offs), "rng")
            .select("score", "pos", "neg",
                    (F.col("off_pos") + F.sum("pos").over(w)).alias("cum_pos"),
                    (F.col("off_neg") + F.sum("neg").over(w)).alias("cum_neg")))
-    return pts, P, N
+    return pts, int(tot["p"] or 0), int(tot["n"] or 0)
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

@@ -1,193 +1,151 @@
 """Exact quantiles with linear interpolation (pandas ``quantile``, DuckDB
-``quantile_cont``), computed without gathering a group into one task.
-
-Spark's exact ``percentile`` keeps every distinct value of a group in one
-buffer and merges it in one task: unbounded for a 100 TB column.  Here:
-
-1. values are pre-aggregated to ``(variable, value, cnt)`` (map-side combine);
-2. the rank positions needed, ``floor/ceil((n-1)·p)``, are derived from the
-   per-variable totals (a few numbers per column);
-3. while a search interval still holds more than ``max_leaf`` distinct values,
-   one distributed pass splits it into ``buckets`` sub-ranges at approximate
-   boundaries (``percentile_approx`` sketch, bounded memory) and counts rows per
-   sub-range; only the sub-range holding each wanted rank is kept;
-4. a final pass ranks the (now small) intervals with a window partitioned by
-   interval and picks the values at the wanted ranks.
-
-Only interval bounds and counts (O(columns x probabilities x buckets)) reach the
-driver.  ``approx=True`` gives the one-pass sketch answer instead."""
+``quantile_cont``), computed without gathering a group into one task and without
+shuffling a column.
+
+Spark's exact ``percentile`` keeps every distinct value of a group in one buffer
+and merges it in one task: unbounded for a 100 TB column.  Here:
+
+1. one pass over the rows counts each column and sketches it
+   (``percentile_approx``, merged from bounded partial sketches).  The sketch's
+   error bound gives a bracket of values around every wanted quantile;
+2. a second pass counts the rows under each bracket and the frequencies of the
+   values inside it, combined before the shuffle: about 4 / SKETCH_ACCURACY of a
+   continuous column leaves the map side, the rest only as counts;
+3. the values at the wanted ranks are read from the brackets by a window per
+   bracket.  A bracket with more than ``max_leaf`` distinct values is first narrowed
+   on its own small table, round by round; a round that does not shrink it is an
+   error.  A bracket that misses its rank is widened to the whole column.
+
+Only bounds and counts per column and quantile reach the driver.  ``approx=True``
+gives the one-pass sketch answer instead."""
 
 from __future__ import annotations
 
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 MAX_LEAF = 1_000_000
-BUCKETS = 512
+BUCKETS = 64
 SKETCH_ACCURACY = 20_000
-MAX_ROUNDS = 6
 
 
 def long_values(df: DataFrame, cols, value_filter=None) -> DataFrame:
-    """(variable, value double) for every non-null value of ``cols``."""
+    """(variable, value double) for every value of ``cols`` that is neither null nor NaN."""
     kv = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value"))
                             for c in cols])).alias("kv")
-    long = df.select(kv).select("kv.variable", "kv.value").where(F.col("value").isNotNull())
+    value = F.col("value")
+    long = df.select(kv).select("kv.variable", "kv.value").where(value.isNotNull() & ~F.isnan(value))
     if value_filter is not None:
-        long = long.where(value_filter(F.col("value")))
+        long = long.where(value_filter(value))
     return long
 
 
-def _in_segments(freq: DataFrame, segs: DataFrame) -> DataFrame:
-    cond = ((freq["variable"] == segs["s_variable"])
-            & (segs["lo"].isNull() | (freq["value"] > segs["lo"]))
-            & (segs["hi"].isNull() | (freq["value"] <= segs["hi"])))
-    # segs has one row per search interval: bounded by columns x ranks.
-    return freq.join(F.broadcast(segs), cond)
-
-
-def _seg_frame(spark, segs):
-    return spark.createDataFrame(
-        [(s["id"], s["variable"], s["lo"], s["hi"], float(s["below"])) for s in segs],
-        "seg_id int, s_variable string, lo double, hi double, below double")
+def _frequencies(long: DataFrame, segs: list[dict]) -> DataFrame:
+    """(seg, value, cnt) inside each bracket; value NULL counts the rows under it."""
+    frame = long.sparkSession.createDataFrame([(s["id"], s["variable"], s["lo"], s["hi"]) for s in segs],
+                                              "seg int, s_variable string, lo double, hi double")
+    # one row per column and quantile
+    rows = long.join(F.broadcast(frame), (F.col("variable") == F.col("s_variable")) & (F.col("value") <= F.col("hi")))
+    return (rows.select("seg", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("value"))
+            .groupBy("seg", "value").agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def _frequencies(long: DataFrame) -> DataFrame:
-    return (long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("cnt"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-
-
-def _totals(freq: DataFrame) -> dict:
-    return {r["variable"]: (int(r["n"]), int(r["d"])) for r in
-            freq.groupBy("variable").agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect()}
-
-
-def _select_ranks(freq: DataFrame, wanted: dict, totals: dict, max_leaf: int, buckets: int) -> dict:
-    """{(variable, rank): value} for 0-based ranks in ascending value order."""
+def _narrow(freq: DataFrame, segs: list[dict], buckets: int) -> None:
+    """Shrink brackets to the one of ``buckets`` parts that holds their ranks (a bracket
+    whose two ranks fall in different parts keeps both and what lies between)."""
     spark = freq.sparkSession
-    segs, next_id = [], 0
-    for v, ranks in wanted.items():
-        if v not in totals or not ranks:
-            continue
-        segs.append({"id": next_id, "variable": v, "lo": None, "hi": None, "below": 0,
-                     "size": totals[v][1], "ranks": set(ranks)})
-        next_id += 1
-
-    for _ in range(MAX_ROUNDS):
-        big = [s for s in segs if s["size"] > max_leaf]
-        if not big:
-            break
-        rows = _in_segments(freq, _seg_frame(spark, big))
-        fracs = [k / buckets for k in range(1, buckets)]
-        bounds = {r["seg_id"]: sorted(set(r["b"])) for r in
-                  rows.groupBy("seg_id").agg(
-                      F.percentile_approx("value", fracs, SKETCH_ACCURACY).alias("b")).collect()}
-        bdf = spark.createDataFrame([(k, v) for k, v in bounds.items()], "b_seg int, b array<double>")
-        bucketed = (rows.join(F.broadcast(bdf), rows["seg_id"] == bdf["b_seg"])
-                    .select("seg_id", F.size(F.filter("b", lambda x: x < F.col("value"))).alias("bucket"),
-                            "cnt"))
-        stats = {}
-        for r in bucketed.groupBy("seg_id", "bucket").agg(
-                F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect():
-            stats.setdefault(r["seg_id"], []).append((r["bucket"], int(r["n"]), int(r["d"])))
-        new_segs = [s for s in segs if s["size"] <= max_leaf]
-        for s in big:
-            b = bounds[s["id"]]
-            placed = {}
-            cum = 0
-            for k, n_k, d_k in sorted(stats[s["id"]]):
-                for r in s["ranks"]:
-                    if cum <= r - s["below"] < cum + n_k:
-                        placed.setdefault(k, (cum, d_k, set()))[2].add(r)
-                cum += n_k
-            for k, (before, d_k, rs) in placed.items():
-                new_segs.append({"id": next_id, "variable": s["variable"],
-                                 "lo": b[k - 1] if k > 0 else s["lo"],
-                                 "hi": b[k] if k < len(b) else s["hi"],
-                                 "below": s["below"] + before, "size": d_k, "ranks": rs})
-                next_id += 1
-        segs = new_segs
-
-    found = {}
-    if segs:
-        rows = _in_segments(freq, _seg_frame(spark, segs))
-        w = Window.partitionBy("seg_id").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-        ranked = rows.select("seg_id", "s_variable", "value",
-                             (F.col("below") + F.sum("cnt").over(w)).alias("end"), "cnt")
-        rank_df = spark.createDataFrame([(s["id"], float(r)) for s in segs for r in s["ranks"]],
-                                        "r_seg int, r double")
-        hit = ranked.join(F.broadcast(rank_df),
-                          (ranked["seg_id"] == rank_df["r_seg"])
-                          & (rank_df["r"] >= ranked["end"] - ranked["cnt"]) & (rank_df["r"] < ranked["end"]))
-        for r in hit.select("s_variable", "r", "value").collect():
-            found[(r["s_variable"], int(r["r"]))] = r["value"]
-    return found
-
-
-def rank_values(long: DataFrame, wanted: dict, max_leaf: int = MAX_LEAF, buckets: int = BUCKETS):
-    """Order statistics of a long (variable, value) frame.
-
-    ``wanted`` maps variable -> 0-based ranks, or a callable ``(variable, n) ->
-    ranks``.  Returns ({(variable, rank): value}, {variable: n}).
-
-    A light first pass gives each variable's exact count and a HyperLogLog
-    estimate of its distinct values.  When every variable is small enough the
-    ranks are read with one windowed pass over the value frequencies; only
-    otherwise are the frequencies persisted for the narrowing rounds."""
-    est = {r["variable"]: (int(r["n"]), int(r["d"])) for r in
-           long.groupBy("variable").agg(F.count("value").alias("n"),
-                                        F.approx_count_distinct("value", 0.05).alias("d")).collect()}
-    if callable(wanted):
-        wanted = {v: wanted(v, n) for v, (n, _) in est.items()}
-    freq = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    if all(d <= max_leaf * 0.85 for _, d in est.values()):
-        found = _select_ranks(freq, wanted, est, max_leaf, buckets)
-    else:
-        freq = freq.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            found = _select_ranks(freq, wanted, _totals(freq), max_leaf, buckets)
-        finally:
-            freq.unpersist()
-    return found, {v: t[0] for v, t in est.items()}
+    frame = spark.createDataFrame([(s["id"], s["lo"], s["hi"]) for s in segs], "seg int, lo double, hi double")
+    rows = freq.join(F.broadcast(frame), "seg").where(F.col("value").between(F.col("lo"), F.col("hi"))).select("seg", "value", "cnt")
+    bounds = {r["seg"]: sorted(set(r["b"])) for r in rows.groupBy("seg").agg(
+        F.percentile_approx("value", [k / buckets for k in range(1, buckets)], SKETCH_ACCURACY).alias("b")).collect()}
+    cuts = spark.createDataFrame(list(bounds.items()), "seg int, b array<double>")
+    part = F.size(F.filter("b", lambda x: x < F.col("value"))).alias("part")
+    parts: dict = {}
+    for r in (rows.join(F.broadcast(cuts), "seg").select("seg", part, "value", "cnt").groupBy("seg", "part")
+              .agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()):
+        parts.setdefault(r["seg"], []).append(r)
+    for s in segs:
+        before, kept = s["below"], []
+        for r in sorted(parts[s["id"]], key=lambda r: r["part"]):
+            if any(before <= k < before + r["n"] for k in s["ranks"]) or kept and max(s["ranks"]) >= before:
+                kept.append((before, r))
+            before += r["n"]
+        size = sum(r["d"] for _, r in kept)
+        if size >= s["size"]:
+            raise RuntimeError(f"{s['variable']}: narrowing made no progress at {size} distinct values")
+        s.update(below=kept[0][0], lo=kept[0][1]["lo"], hi=kept[-1][1]["hi"], size=size)
+
+
+def _read(freq: DataFrame, segs: list[dict], buckets: int, max_leaf: int) -> dict:
+    """{(variable, rank): value} from brackets that hold their ranks."""
+    while big := [s for s in segs if s["size"] > max_leaf and s["lo"] < s["hi"]]:
+        _narrow(freq, big, buckets)
+    spark = freq.sparkSession
+    frame = spark.createDataFrame([(s["id"], s["variable"], s["lo"], s["hi"], s["below"], sorted(s["ranks"])) for s in segs],
+                                  "seg int, variable string, lo double, hi double, below long, ranks array<long>")
+    w = Window.partitionBy("seg").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    rows = (freq.join(F.broadcast(frame), "seg").where(F.col("value").between(F.col("lo"), F.col("hi")))
+            .withColumn("end", F.col("below") + F.sum("cnt").over(w)))
+    hit = rows.select("variable", "value", "end", "cnt", F.explode("ranks").alias("rank")).where(
+        (F.col("rank") >= F.col("end") - F.col("cnt")) & (F.col("rank") < F.col("end")))
+    return {(r["variable"], r["rank"]): r["value"] for r in hit.select("variable", "rank", "value").collect()}
 
 
 def quantile_values(df: DataFrame, cols, probs, value_filter=None, approx: bool = False,
-                    max_leaf: int = MAX_LEAF, buckets: int = BUCKETS) -> dict:
+                    max_leaf: int = MAX_LEAF, buckets: int = BUCKETS, accuracy: int = SKETCH_ACCURACY) -> dict:
     """{(variable, p): value}; value is None for a column without values."""
-    cols = list(cols)
-    probs = [float(p) for p in probs]
+    cols, probs = list(cols), [float(p) for p in probs]
     long = long_values(df, cols, value_filter)
+    slack = 2.0 / accuracy  # the sketch may be off by 1 / accuracy
+    fracs = probs if approx else [f for p in probs for f in (max(0.0, p - slack), min(1.0, p + slack))]
+    seen = {r["variable"]: r for r in long.groupBy("variable").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
+        F.percentile_approx("value", fracs, accuracy).alias("q")).collect()}
     if approx:
-        rows = (long.groupBy("variable")
-                .agg(F.percentile_approx("value", probs, SKETCH_ACCURACY).alias("q")).collect())
-        out = {(c, p): None for c in cols for p in probs}
-        for r in rows:
-            for p, v in zip(probs, r["q"]):
-                out[(r["variable"], p)] = v
-        return out
-
-    def ranks_for(_v, n):
-        rs = set()
-        for p in probs:
-            h = (n - 1) * p
-            rs.update({math.floor(h), math.ceil(h)})
-        return rs
-
-    found, totals = rank_values(long, ranks_for, max_leaf, buckets)
+        return {(c, p): seen[c]["q"][k] if c in seen else None for c in cols for k, p in enumerate(probs)}
+    segs = []
+    for c, r in seen.items():
+        for k, p in enumerate(probs):
+            h = (r["n"] - 1) * p
+            segs.append({"id": len(segs), "variable": c, "ranks": {math.floor(h), math.ceil(h)},
+                         "lo": r["lo"] if p <= slack else r["q"][2 * k], "hi": r["hi"] if p >= 1 - slack else r["q"][2 * k + 1]})
+    found: dict = {}
+    while segs:
+        freq = _frequencies(long, segs).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            inside = F.col("value").isNotNull()
+            stat = {r["seg"]: r for r in freq.groupBy("seg").agg(
+                F.sum(F.when(~inside, F.col("cnt"))).alias("below"), F.sum(F.when(inside, F.col("cnt"))).alias("n"),
+                F.count("value").alias("d")).collect()}
+            good, missed = [], []
+            for s in segs:
+                r = stat.get(s["id"])
+                below, n = (int(r["below"] or 0), int(r["n"] or 0)) if r else (0, 0)
+                s.update(below=below, size=int(r["d"]) if r else 0)
+                (good if below <= min(s["ranks"]) and max(s["ranks"]) < below + n else missed).append(s)
+            if good:
+                found.update(_read(freq, good, buckets, max_leaf))
+        finally:
+            freq.unpersist()
+        for s in missed:
+            whole = seen[s["variable"]]
+            if (s["lo"], s["hi"]) == (whole["lo"], whole["hi"]):
+                raise RuntimeError(f"{s['variable']}: its values changed between two passes")
+            s.update(lo=whole["lo"], hi=whole["hi"])
+        segs = missed
     out = {}
     for c in cols:
         for p in probs:
-            if c not in totals:
+            if c not in seen:
                 out[(c, p)] = None
                 continue
-            h = (totals[c] - 1) * p
-            lo, hi = math.floor(h), math.ceil(h)
-            vlo, vhi = found[(c, lo)], found[(c, hi)]
-            out[(c, p)] = vlo + (h - lo) * (vhi - vlo)
+            h = (seen[c]["n"] - 1) * p
+            low, high = found[(c, math.floor(h))], found[(c, math.ceil(h))]
+            out[(c, p)] = low + (h - math.floor(h)) * (high - low)
     return out
 
 
@@ -197,8 +155,3 @@ def quantiles(df: DataFrame, cols, probs, value_filter=None, approx: bool = Fals
     return df.sparkSession.createDataFrame(
         [(c, p, vals[(c, p)]) for c in cols for p in [float(x) for x in probs]],
         "variable string, probability double, value double")
-
-
-def median_expr(c: str) -> Column:
-    """Exact median as an aggregate expression, for per-group use on bounded groups."""
-    return F.percentile(F.col(c), 0.5)

@@ -2,19 +2,20 @@
 
 The default split is a hash of a key, so a row's side never depends on the
 partitioning or on a recomputation after an executor is lost (Q21).  The
-native ``sample``/``randomSplit`` are offered on a reliably checkpointed input
-for the same reason.  The stratified split is exact per class without ranking a
-whole class in one task: each class's cut-off hash is an order statistic found
-by the distributed rank search."""
+native ``sample``/``randomSplit`` are offered as in the study; give
+``checkpoint=True`` where the input's partitions can change on recomputation.
+The stratified split is exact per class: the hash is uniform, so the cut-off of a
+class of n rows lies within a few standard errors of the fraction.  Rows outside
+that bracket are decided by their hash alone, and only the bracket (about sqrt(n)
+rows a class) is ranked."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from scorecraft.operators.quantiles import rank_values
+from scorecraft.operators.joins import sized_join
 from scorecraft.session import cut_lineage
 
 # Seeds and proportions used by the study.
@@ -22,8 +23,8 @@ SAMPLE_SEED = 8764664
 SPLIT_SEED = 11112020
 TRAIN_FRACTION = 0.75
 SAMPLE_FRACTION = 0.10
-# Classes above which a stratified split is refused (one cut-off per class is kept on the driver).
-MAX_CLASSES = 100_000
+# Half width, in standard errors, of the bracket in which a class's cut-off is sought.
+BRACKET = 8.0
 
 
 def key_text(keys) -> Column:
@@ -31,32 +32,26 @@ def key_text(keys) -> Column:
     return cols[0] if len(cols) == 1 else F.concat_ws("|", *cols)
 
 
-def hash_bucket(keys, buckets: int = 100, method: str = "md5") -> Column:
-    """0..buckets-1 from a hash of the key.  ``md5`` (first 32 bits) gives the
-    same bucket in other engines (the SQL oracle); ``xxhash64`` is Spark's
-    cheaper native hash for production splits where that is not needed."""
+def hash_unit(keys, method: str = "md5") -> Column:
+    """A deterministic double in [0, 1).  ``md5`` (its first 52 bits) gives the same
+    number in other engines (the SQL oracle); ``xxhash64`` is Spark's cheaper native
+    hash for production splits where that is not needed."""
     if method == "xxhash64":
-        return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-    h = F.conv(F.substring(F.md5(key_text(keys)), 1, 8), 16, 10).cast("long")
-    return (h % buckets).cast("int")
-
-
-def hash_unit(keys) -> Column:
-    """A deterministic double in [0, 1) from the first 52 bits of md5(key)."""
-    h = F.conv(F.substring(F.md5(key_text(keys)), 1, 13), 16, 10).cast("double")
+        h = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(2 ** 52)).cast("double")
+    else:
+        h = F.conv(F.substring(F.md5(key_text(keys)), 1, 13), 16, 10).cast("double")
     return h / F.lit(float(2 ** 52))
 
 
 def hash_sample(df: DataFrame, keys, fraction: float = SAMPLE_FRACTION, method: str = "md5") -> DataFrame:
-    """S1 (deterministic): rows whose hash bucket is below fraction*100."""
-    return df.filter(hash_bucket(keys, 100, method) < int(round(fraction * 100)))
+    """S1 (deterministic): rows whose hash is below ``fraction``."""
+    return df.filter(hash_unit(keys, method) < fraction)
 
 
 def hash_split(df: DataFrame, keys, train_fraction: float = TRAIN_FRACTION, col: str = "split",
                method: str = "md5") -> DataFrame:
-    """S2 (deterministic): 'train' when the hash bucket < train_fraction*100, else 'valid'."""
-    return df.withColumn(col, F.when(hash_bucket(keys, 100, method) < int(round(train_fraction * 100)), "train")
-                         .otherwise("valid"))
+    """S2 (deterministic): 'train' when the hash is below ``train_fraction``, else 'valid'."""
+    return df.withColumn(col, F.when(hash_unit(keys, method) < train_fraction, "train").otherwise("valid"))
 
 
 def native_sample(df: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = SAMPLE_SEED,
@@ -78,25 +73,29 @@ def native_split(df: DataFrame, weights=(TRAIN_FRACTION, 1 - TRAIN_FRACTION), se
 
 def stratified_split(df: DataFrame, label: str, keys, train_fraction: float = TRAIN_FRACTION,
                      col: str = "split") -> DataFrame:
-    """S3: exactly floor(train_fraction * n_c) rows of each class c go to
-    'train': those with the smallest hash of the key.  The per-class cut-off is
-    the hash value at rank floor(f*n_c) - 1, found by the distributed rank
-    search (only one number per class reaches the driver)."""
-    n_classes = df.agg(F.approx_count_distinct(label)).first()[0]
-    if n_classes > MAX_CLASSES:
-        raise ValueError(f"{label} has about {n_classes} classes; stratification supports {MAX_CLASSES}")
-    u = hash_unit(keys)
-    long = df.select(F.col(label).cast("string").alias("variable"), u.alias("value"))
-
-    def wanted(_v, n):
-        k = math.floor(train_fraction * n)
-        return {k - 1} if k > 0 else set()
-
-    found, totals = rank_values(long, wanted)
-    cut = {v: found.get((v, math.floor(train_fraction * n) - 1)) for v, n in totals.items()}
-    spark = df.sparkSession
-    cuts = spark.createDataFrame([(v, c) for v, c in cut.items()], "__lab string, __cut double")
-    # one row per class: bounded by the number of classes
-    j = df.join(F.broadcast(cuts), F.col(label).cast("string").eqNullSafe(F.col("__lab")), "left")
-    return (j.withColumn(col, F.when(F.col("__cut").isNotNull() & (u <= F.col("__cut")), "train")
-                         .otherwise("valid")).drop("__lab", "__cut"))
+    """S3: exactly floor(train_fraction * n_c) rows of each class c (NULL is a class
+    like any other) go to 'train': those with the smallest hash of the key, ties by
+    the key's text and then by the whole row.
+
+    One pass counts each class and its rows under the bracket; the counts are joined
+    back, and a window ranks the rows inside the bracket only.  Rows that share one
+    key share one hash, so a key should not hold a large part of a class."""
+    u, name = hash_unit(keys), F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))
+    rows = df.withColumn("__class", name).withColumn("__u", u)
+    totals = rows.groupBy("__class").agg(F.count(F.lit(1)).alias("__n"))
+    slack = F.lit(BRACKET) * F.sqrt(F.lit(train_fraction * (1 - train_fraction)) / F.col("__n")) + F.lit(BRACKET) / F.col("__n")
+    sized = sized_join(rows, totals.withColumn("__lo", F.lit(train_fraction) - slack).withColumn("__hi", F.lit(train_fraction) + slack), "__class", "inner")
+    under = (sized.groupBy("__class").agg(F.count_if(F.col("__u") < F.col("__lo")).alias("__under"), F.count_if(F.col("__u") <= F.col("__hi")).alias("__over"),
+                                          F.first("__n").alias("__n"), F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"))
+             .withColumn("__k", F.floor(F.lit(train_fraction) * F.col("__n"))))
+    # a cut-off outside its bracket (many rows of one key): rank the whole class
+    missed = (F.col("__under") > F.col("__k")) | (F.col("__over") < F.col("__k"))
+    under = under.select("__class", "__k", F.when(missed, F.lit(0)).otherwise(F.col("__under")).alias("__under"),
+                         F.when(missed, F.lit(-1.0)).otherwise(F.col("__lo")).alias("__lo"), F.when(missed, F.lit(2.0)).otherwise(F.col("__hi")).alias("__hi"))
+    placed = sized_join(rows, under, "__class", "inner")
+    inside = F.col("__u").between(F.col("__lo"), F.col("__hi"))
+    order = Window.partitionBy("__class").orderBy("__u", key_text(keys), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    near = (placed.where(inside).withColumn("__rank", F.col("__under") + F.row_number().over(order))
+            .withColumn(col, F.when(F.col("__rank") <= F.col("__k"), "train").otherwise("valid")).drop("__rank"))
+    far = placed.where(~inside).withColumn(col, F.when(F.col("__u") < F.col("__lo"), "train").otherwise("valid"))
+    return far.unionByName(near).drop("__class", "__u", "__k", "__under", "__lo", "__hi")

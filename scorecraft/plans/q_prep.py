@@ -45,8 +45,8 @@ _C1 = "assessment_item_response_id IS NOT NULL AND learner_attempt_status = 'ful
 _DUR_SQL = """(epoch(item_attempt_end_datetime_utc) - epoch(item_attempt_start_datetime_utc)) / 60.0 AS item_attempt_duration_mins,
   (epoch(student_stop_datetime) - epoch(student_start_datetime)) / 60.0 AS student_duration_mins,
   (epoch(assignment_due_date) - epoch(student_start_datetime)) / 60.0 AS timeliness_duration_mins"""
-_HASH75 = ("CASE WHEN CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8) "
-           "AS BIGINT) % 100 < 75 THEN 'train' ELSE 'valid' END")
+_HASH75 = ("CASE WHEN CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 13) "
+           "AS BIGINT) / 4503599627370496.0 < 0.75 THEN 'train' ELSE 'valid' END")
 _CLEAN_CTES = [
     f"base AS (SELECT *, {_DUR_SQL} FROM attempts WHERE {_C1})",
     "c7 AS (SELECT * FROM base WHERE response_correctness IS NULL OR response_correctness <> '[unassigned]')",
@@ -365,7 +365,7 @@ def q_dummies(spark, sf):
 
 @query("hash_sample", """
 SELECT count(*) AS n_rows, round(sum(o_totalprice), 6) AS sum_price FROM orders
-WHERE CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 10""")
+WHERE CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0 < 0.1""")
 def q_hash_sample(spark, sf):
     """S1 (deterministic 10 % by key hash)."""
     s = split.hash_sample(tbl(spark, sf, "orders"), ["o_orderkey"], 0.10)
@@ -373,7 +373,7 @@ def q_hash_sample(spark, sf):
 
 
 @query("hash_split", """
-SELECT CASE WHEN CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8) AS BIGINT) % 100 < 75
+SELECT CASE WHEN CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 13) AS BIGINT) / 4503599627370496.0 < 0.75
             THEN 'train' ELSE 'valid' END AS split, count(*) AS n_rows, round(sum(l_quantity), 6) AS sum_qty
 FROM lineitem GROUP BY 1""")
 def q_hash_split(spark, sf):

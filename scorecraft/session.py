@@ -66,6 +66,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "staged", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet into the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)

@@ -102,3 +102,28 @@ def test_auc_matches_spark_ml_evaluator(spark, scored):
     ml = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", metricName="areaUnderROC",
                                        numBins=0).evaluate(df.withColumn("label", F.col("label").cast("double")))
     assert ours == pytest.approx(ml, abs=1e-9)
+
+
+def test_small_fractions_are_not_cut(spark):
+    df = spark.range(100_000).withColumnRenamed("id", "k")
+    for f in (0.004, 0.016, 0.755):
+        for method in ("md5", "xxhash64"):
+            n = split.hash_sample(df, ["k"], f, method).count()
+            assert abs(n - 100_000 * f) < 5 * math.sqrt(100_000 * f * (1 - f))
+
+
+def test_stratified_with_ties_and_null_class(spark):
+    rows = [(k % 2, "a", k) for k in range(400)] + [(k, None, k) for k in range(100)] + [(k, "b", k) for k in range(7)] + [(0, "c", 0)]
+    df = spark.createDataFrame(rows, "k long, y string, v long")
+    for parts in (1, 5):
+        s = split.stratified_split(df.repartition(parts), "y", ["k"])
+        assert s.columns == ["k", "y", "v", "split"] and s.count() == len(rows)
+        got = {(r["y"], r["split"]): r["count"] for r in s.groupBy("y", "split").count().collect()}
+        assert (got[("a", "train")], got[(None, "train")], got[("b", "train")]) == (300, 75, 5)
+        assert ("c", "train") not in got
+
+
+def test_stratified_ranks_only_the_bracket(spark):
+    df = spark.range(200_000).select(F.col("id").alias("k"), (F.col("id") % 2).alias("y"))
+    s = split.stratified_split(df, "y", ["k"])
+    assert {r["count"] for r in s.where("split = 'train'").groupBy("y").count().collect()} == {75_000}
