@@ -36,6 +36,7 @@ from scorecraft.operators.joins import sized_join
 
 # Members that a tile aims at, and the branching that one level of rings gives.
 TILE, BRANCHING = 4096, 11
+BLOCK = 1 << 16  # shingles hashed at a time
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _BLANK = np.zeros(256, bool)
@@ -70,14 +71,15 @@ def fingerprints(buf: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
     """Unsigned 64-bit fingerprints of texts; 0 for a text without words."""
     raw, lo, hi, n = shingle_spans(buf, offsets, size)
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(raw[a:b], 42) for a, b in zip(lo.tolist(), hi.tolist())), np.uint64, len(lo))
-    out = np.zeros(len(n), np.uint64)
-    has = np.flatnonzero(n)
-    if len(has):
+    count = np.zeros((len(n), 64), np.int64)
+    text = np.repeat(np.arange(len(n)), n)
+    for a in range(0, len(lo), BLOCK):  # so that a long text needs no more room than short ones
+        b = min(len(lo), a + BLOCK)
+        h = np.fromiter((digest(raw[x:y], 42) for x, y in zip(lo[a:b].tolist(), hi[a:b].tolist())), np.uint64, b - a)
         bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        count = np.add.reduceat(bits, (np.cumsum(n) - n)[has], axis=0, dtype=np.int64)
-        out[has] = np.packbits(2 * count > n[has][:, None], axis=1, bitorder="little").view("<u8").ravel()
-    return out
+        first = np.flatnonzero(np.diff(text[a:b], prepend=-1))
+        count[text[a:b][first]] += np.add.reduceat(bits, first, axis=0, dtype=np.int32)
+    return np.packbits(2 * count > n[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
 def fingerprint(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -85,7 +87,7 @@ def fingerprint(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: st
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", 1 << 20):
             buf, off = text_buffer(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprints(buf, off, size).view(np.int64))], ["id", "fp"])
 
