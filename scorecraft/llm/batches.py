@@ -9,7 +9,7 @@ import pyarrow as pa
 
 # Text bytes that one step inside a task works on.  Batches are cut between
 # rows, so a longer single text is a step of its own; results do not depend on it.
-STEP_BYTES = 8 << 20
+STEP_BYTES = 4 << 20
 
 
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

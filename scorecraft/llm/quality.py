@@ -183,7 +183,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = 1500, train_bytes: int = 12_000_000,
+def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = 1500, train_bytes: int = 12_000_000, updates: int = 420,
                 id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Network:
     """Fit on labelled documents that are not held out: of each class the ``train_rows``
     with the smallest hash of the id, and of these as many, in the same order, as hold
@@ -197,7 +197,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = 1500, trai
     share = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not share:
         known.unpersist()
-        return Network.fit([], np.zeros(0), np.zeros(0))
+        return Network.fit([], np.zeros(0), np.zeros(0), updates)
     chosen = None
     for y in sorted(share):
         part = known.where(F.col("y") == y).orderBy("h", "id").limit(train_rows)
@@ -213,7 +213,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = 1500, trai
     y = np.array([r.y for r in rows])
     n = {k: max(1, int((y == k).sum())) for k in share}
     weights = np.array([share[k] / n[k] for k in y.tolist()], float)
-    return Network.fit([r.text.encode() for r in rows], y, weights / weights.mean() if len(weights) else weights)
+    return Network.fit([r.text.encode() for r in rows], y, weights / weights.mean() if len(weights) else weights, updates)
 
 
 def score_quality(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -72,7 +72,7 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     def blocks(batches):
         lib = library(shared)
         part, step = TaskContext.get().partitionId(), 0
-        for batch in steps(batches, "__text", 2 * STEP_BYTES):
+        for batch in steps(batches, "__text", 4 * STEP_BYTES):
             block = part << 32 | step
             step += 1
             buf, off = text_buffer(batch.column(1))

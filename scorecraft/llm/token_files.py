@@ -37,8 +37,8 @@ from scorecraft.llm.pretokens import distinct
 from scorecraft.session import scratch_path
 
 MAGIC = b"TKB1"
-# Blocks in one file (a block holds the ids of about 8 MB of text).
-BLOCKS_PER_FILE = 4
+# Blocks in one file (a block holds the ids of about 4 MB of text).
+BLOCKS_PER_FILE = 8
 _LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 _STAGED = "block long, ids array<long>, sizes array<int>, tokens binary"
 
@@ -206,7 +206,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     (staged.mapInArrow(write, "block binary").select(F.col("block").cast("string"))
      .write.option("maxRecordsPerFile", BLOCKS_PER_FILE).text(f"{folder}/blocks"))
     sizes = staged.select("block", F.coalesce(F.col("ids")[0], F.lit(-2**63)).alias("first"), F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-    w = Window.orderBy("first", "block")  # one narrow row per block of 8 MB of text
+    w = Window.orderBy("first", "block")  # one narrow row per block of 4 MB of text
     sizes.select("block", (F.row_number().over(w) - 1).alias("position"),
                  (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("start"), "n").write.parquet(f"{folder}/index")
 
