@@ -94,6 +94,14 @@ def histogram(df: DataFrame, col: str, bins: int = 10, log_counts: bool = False)
     return out
 
 
+def month_ticks(df: DataFrame, cols) -> DataFrame:
+    """(variable, tick): the first of every month from the month of a date column's
+    minimum to its maximum; as many rows as the dates span months."""
+    one = df.agg(*[f(F.col(c)).cast("date").alias(f"{c}__{n}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))])
+    rows = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"{c}__lo").alias("lo"), F.col(f"{c}__hi").alias("hi")) for c in cols])))
+    return rows.where("lo IS NOT NULL").select("variable", F.explode(F.sequence(F.trunc("lo", "MM"), F.col("hi"), F.expr("INTERVAL 1 MONTH"))).alias("tick"))
+
+
 def boxplot_stats(df: DataFrame, cols, approx: bool = False) -> DataFrame:
     """Per (date or numeric) column: quartiles, whiskers at 1.5 IQR (the most
     extreme values inside the fences), outlier count, and min/max padded by one

@@ -7,11 +7,11 @@ size-checked broadcast.  The reference's 2 + 1 + 2k jobs per column become one."
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorecraft.operators.joins import broadcast_if_small, sized_join
+from scorecraft.operators.joins import sized_join
+from scorecraft.session import staged
 
 # A zero event/non-event count is replaced by this before the log.
 ZERO_CELL = 0.5
@@ -39,9 +39,9 @@ def woe_table(df: DataFrame, cols, label: str, good=1, smoothing: float = 0.0) -
     ``transform`` maps NULL to NULL.  ``smoothing > 0`` applies the class
     variant's literal formula ``ln((gd + rho*c)/bd + (1 - rho)*c)`` with rho
     the mean of the label (Q26)."""
-    # the per-category counts are small (one row per category): persisted so the
+    # the per-category counts are small (one row per category): written, so the
     # per-column totals are summed from them instead of re-scanning the rows
-    cnt = category_counts(df, cols, label, good).persist(StorageLevel.MEMORY_AND_DISK)
+    cnt = staged(category_counts(df, cols, label, good), "categories")
     totals = F.broadcast(cnt.groupBy("variable").agg(F.sum("n_good").alias("t_good"),
                                                      F.sum("n_bad").alias("t_bad")))  # one row per column
     gd_n = F.when(F.col("category").isNull() | (F.col("n_good") == 0), F.lit(ZERO_CELL)).otherwise(F.col("n_good"))
@@ -86,11 +86,8 @@ def swoe_table(df: DataFrame, cat: str, target: str = "target", c: float = 24.0)
                                F.count_if(F.col(target) == 0).alias("n_nonevent"),
                                F.count(F.col(target)).alias("n_target"),
                                F.sum(F.col(target).cast("double")).alias("sum_target")))
-    cnt = cnt.persist(StorageLevel.MEMORY_AND_DISK)
-    # one job: the event rate and the table's row count (for the broadcast check)
-    tot = cnt.agg(F.sum("sum_target").alias("s"), F.sum("n_target").alias("n"),
-                  F.count(F.lit(1)).alias("rows")).first()
-    cnt = broadcast_if_small(cnt, n=int(tot["rows"]))
+    cnt = staged(cnt, "swoe")
+    tot = cnt.agg(F.sum("sum_target").alias("s"), F.sum("n_target").alias("n")).first()
     p1 = (tot["s"] / tot["n"]) if tot["n"] else None
     swoe = F.ln(F.try_divide(F.col("n_event") + F.lit(c * p1), F.col("n_nonevent") + F.lit(c * (1 - p1)))) \
         if p1 is not None else F.lit(None).cast("double")
@@ -105,12 +102,12 @@ def add_swoe(df: DataFrame, cat: str, target: str = "target", c: float = 24.0,
 
 
 def dummy_levels(df: DataFrame, col: str, max_levels: int = 1000) -> list[str]:
-    """Distinct non-null levels, sorted (bounded: a design matrix needs one column
-    per level, so more than ``max_levels`` is an error, not a silent cap)."""
+    """Distinct non-null levels, sorted.  One column per level ends up in the plan, so
+    more than ``max_levels`` is an error; ``dummy_vector`` has no such bound."""
     lv = df.select(F.col(col).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
     n = lv.count()
     if n > max_levels:
-        raise ValueError(f"{col} has {n} levels; dummy coding supports at most {max_levels}")
+        raise ValueError(f"{col} has {n} levels; one column each is meant for {max_levels} at most: use dummy_vector")
     return sorted(r["v"] for r in lv.collect())
 
 
@@ -126,7 +123,7 @@ def dummy_columns(df: DataFrame, cols, mode: str = "dummy_dropfirst", max_levels
         levels = dummy_levels(df, c, max_levels)
         if mode != "dummy":
             levels = levels[1:]
-        out = out.withColumns({f"{c}_{lv}": F.when(F.col(c).cast("string") == lv, 1).otherwise(0)
+        out = out.withColumns({f"{c}_{lv}": F.when(F.col(f"`{c}`").cast("string") == lv, 1).otherwise(0)
                                for lv in levels}).drop(c)
     return out
 
@@ -134,10 +131,11 @@ def dummy_columns(df: DataFrame, cols, mode: str = "dummy_dropfirst", max_levels
 def dummy_vector(df: DataFrame, col: str, output_col: str | None = None) -> DataFrame:
     """L5 with Spark ML: levels indexed alphabetically descending and one-hot
     encoded with ``dropLast``, so the alphabetically first level is the zero
-    vector (Q27).  Rows with a NULL level are removed (``handleInvalid='skip'``)."""
+    vector (Q27).  Rows with a NULL level stay, as the zero vector too."""
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
     out = output_col or col + "_vec"
-    idx = StringIndexer(inputCol=col, outputCol=col + "__idx", stringOrderType="alphabetDesc",
-                        handleInvalid="skip").fit(df)
+    low = df.agg(F.min(F.col(col).cast("string"))).first()[0]
+    df = df.withColumn(col + "__lvl", F.coalesce(F.col(col).cast("string"), F.lit(low if low is not None else "")))
+    idx = StringIndexer(inputCol=col + "__lvl", outputCol=col + "__idx", stringOrderType="alphabetDesc").fit(df)
     ohe = OneHotEncoder(inputCol=col + "__idx", outputCol=out, dropLast=True).fit(idx.transform(df))
-    return ohe.transform(idx.transform(df)).drop(col + "__idx")
+    return ohe.transform(idx.transform(df)).drop(col + "__idx", col + "__lvl")

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from scorecraft.functions.dates import epoch_seconds
 from scorecraft.operators.distribution import fence_values
-from scorecraft.operators.joins import broadcast_if_small, sized_join
+from scorecraft.operators.joins import sized_join
+from scorecraft.session import staged
 
 # Level-collapsing rule for item types.
 LEVEL_SYNONYMS = {"FillinBlankResponse": "fillInTheBlank", "MultipleChoiceResponse": "multipleChoice"}
@@ -49,23 +50,27 @@ def iqr_impute(df: DataFrame, cols, approx: bool = False) -> DataFrame:
 
 
 def mean_offset_seconds(df: DataFrame, target: str, source: str, sample_fraction: float | None = None,
-                        seed: int = 8764664) -> float | None:
+                        seed: int = 8764664, sample_keys=None) -> float | None:
     """Mean of (target - source) in seconds over rows where both are present.
-    ``sample_fraction`` reproduces the 10 % sample fit (S1); default uses all rows."""
-    base = df.sample(False, sample_fraction, seed) if sample_fraction else df
+    ``sample_fraction`` reproduces the 10 % sample fit (S1), by the hash of ``sample_keys``
+    where given; default uses all rows."""
+    base = df
+    if sample_fraction:
+        from scorecraft.operators.split import hash_sample
+        base = hash_sample(df, sample_keys, sample_fraction) if sample_keys else df.sample(False, sample_fraction, seed)
     return base.agg(F.avg(epoch_seconds(target) - epoch_seconds(source))).first()[0]
 
 
 def offset_impute(df: DataFrame, target: str, source: str, guard=None, flag: str | None = None,
                   faithful: bool = False, write_to: str | None = None,
-                  sample_fraction: float | None = None, offset: float | None = None) -> DataFrame:
+                  sample_fraction: float | None = None, offset: float | None = None, sample_keys=None) -> DataFrame:
     """K2/K3/K4: fill NULL ``target`` from ``source`` shifted by the mean offset.
 
     Default: target := source + mean(target - source).  ``faithful=True`` keeps
     the study's sign (source - mean) (Q23).  ``guard`` restricts which NULLs are
     filled (K4); ``flag`` adds ``<flag>`` = target IS NULL before filling;
     ``write_to`` writes the result to another column (K3 wrote ``scored_datetime``)."""
-    off = mean_offset_seconds(df, target, source, sample_fraction) if offset is None else offset
+    off = mean_offset_seconds(df, target, source, sample_fraction, sample_keys=sample_keys) if offset is None else offset
     if off is None:
         return df.withColumn(flag, F.col(target).isNull()) if flag else df
     shift = -off if faithful else off
@@ -95,7 +100,7 @@ def recount_impute(df: DataFrame, group: str = "assessment_instance_id", member:
 
 def level_frequencies(df: DataFrame, col: str) -> DataFrame:
     """Level, count, percent of the non-NULL total (Q24)."""
-    cnt = df.groupBy(col).agg(F.count(F.lit(1)).alias("cnt_per_group")).persist()
+    cnt = staged(df.groupBy(col).agg(F.count(F.lit(1)).alias("cnt_per_group")), "levels")
     tot = cnt.where(F.col(col).isNotNull()).agg(F.sum("cnt_per_group")).first()[0] or 0
     return cnt.withColumn("perc_of_count_total",
                           F.try_divide(F.col("cnt_per_group") * 100.0, F.lit(tot).cast("double")))
@@ -110,9 +115,9 @@ def collapse_levels(df: DataFrame, col: str = "item_type_code_name", synonyms: d
     if syn:
         m = F.create_map(*[F.lit(x) for kv in syn.items() for x in kv])
         merged = df.withColumn(col, F.coalesce(m[F.col(col)], F.col(col)))
-    freq = broadcast_if_small(level_frequencies(merged, col).select(
-        F.col(col).alias("__lvl"), (F.col("perc_of_count_total") < min_pct).alias("__rare")))
-    return (merged.join(freq, merged[col].eqNullSafe(freq["__lvl"]), "left")
+    # a NULL level is ``other`` without a lookup, so it stays out of the join
+    rare = level_frequencies(merged, col).where(F.col("perc_of_count_total") < min_pct).select(F.col(col), F.lit(True).alias("__rare"))
+    return (sized_join(merged, rare, col, "left").select(*merged.columns, "__rare")
             .withColumn(col, F.when(F.col(col).isNull() | F.coalesce(F.col("__rare"), F.lit(False)),
                                     F.lit(other)).otherwise(F.col(col)))
-            .drop("__lvl", "__rare"))
+            .drop("__rare"))

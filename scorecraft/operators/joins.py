@@ -5,61 +5,69 @@ beyond the bound the join stays a shuffle join (sort-merge, AQE skew split)."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-# A lookup table is broadcast only if it has at most this many rows AND its
-# estimated size is at most this many bytes (every executor receives a copy).
+from scorecraft.session import staged
+
+# A lookup table is broadcast only if it has at most this many rows AND at most this
+# many measured bytes (every executor receives a copy).
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Estimated bytes per value by type (strings use Spark's planner default of 20).
-_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema."""
-    w = 8  # row header
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: 8 per fixed-width value, the real length of strings and binaries,
+    the length of its text for a nested value."""
+    total = F.lit(8).cast("long")
     for f in df.schema.fields:
-        t = f.dataType.simpleString()
-        w += _WIDTH.get(t, 20 if t == "string" else 8)
-    return w
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, _FIXED):
+            size = F.lit(8)
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = F.lit(16) + F.coalesce(F.octet_length(c), F.lit(0))
+        else:
+            size = F.lit(16) + F.coalesce(F.octet_length(c.cast("string")), F.lit(0))
+        total = total + size
+    return total
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       max_bytes: int = DEFAULT_BROADCAST_BYTES, n: int | None = None) -> DataFrame:
-    """Persist the (usually aggregated) side and count it; broadcast it only if
-    both its row count and its estimated size are within bounds.  The persisted
-    copy feeds the broadcast, so the aggregate is computed once; a side over the
-    bounds is released again and joined by shuffle (sort-merge, AQE skew split)."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count() if n is None else n  # callers that already aggregated the side pass its row count
-    if n <= max_rows and n * row_width(df) <= max_bytes:
-        return F.broadcast(df)
-    df.unpersist()
-    return df
+def _fits(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
-def _fits(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    n = df.count()
-    return n <= max_rows and n * row_width(df) <= max_bytes
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` in the shared folder, computed once; a column without a type becomes text."""
+    return staged(df.withColumns({f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields
+                                  if isinstance(f.dataType, T.NullType)}), "lookup")
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES, written: bool = False) -> DataFrame:
+    """Write the (usually aggregated) side once, measure its rows and bytes there, and
+    hint it for broadcast only if both are within bounds; otherwise it is joined by
+    shuffle (sort-merge, AQE skew split).  ``written``: it is a table already."""
+    df = df if written else _written(df)
+    return F.broadcast(df) if _fits(df, max_rows, max_bytes) else df
 
 
 def sized_join(left: DataFrame, right: DataFrame, on: str, how: str = "left",
                max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Lookup join of a (usually aggregated) ``right`` side on one key.
 
-    Small right side (rows and estimated bytes checked): broadcast hash join,
+    Small right side (rows and bytes measured): broadcast hash join,
     no shuffle of ``left``.  Otherwise a shuffle join in which rows whose key
     is NULL (they can never match, and NULL is the classic hot key) are kept
     out of the shuffle and re-attached with the result their join type gives
     them: dropped (inner), kept (left anti), or NULL-extended (left)."""
-    right = right.persist(StorageLevel.MEMORY_AND_DISK)
+    right = _written(right)
     if _fits(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), on, how)
-    right.unpersist()
     if how not in ("inner", "left", "left_outer", "left_anti"):
         return left.join(right, on, how)
     key = F.col(on)
@@ -87,7 +95,7 @@ def id_to_name(df: DataFrame, id_col: str, new_col: str, names: list[str]) -> Da
     on the driver) and the lookup is broadcast.  NULL ids map to NULL."""
     spark = df.sparkSession
     ids = df.select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    ids = ids.persist(StorageLevel.MEMORY_AND_DISK)
+    ids = staged(ids, "ids")
     n_ids = ids.count()
     if n_ids > len(names):
         raise ValueError(f"{n_ids} distinct ids but only {len(names)} names")

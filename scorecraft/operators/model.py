@@ -75,7 +75,7 @@ def _f(v):
 
 
 def complete_cases(df: DataFrame, features, label) -> DataFrame:
-    return df.select(*features, label).dropna()
+    return df.select(*[F.col(f"`{c}`") for c in [*features, label]]).dropna()
 
 
 def _assemble(df: DataFrame, features, label, out: str = "features") -> DataFrame:
@@ -163,7 +163,7 @@ class Moments:
 def moments(df: DataFrame, features, label) -> Moments:
     """One aggregate pass over complete cases.  The covariances are Spark's, which
     merge centred sums, so a large mean costs no digits."""
-    cols = [F.col(c).cast("double") for c in features] + [F.col(label).cast("double")]
+    cols = [F.col(f"`{c}`").cast("double") for c in [*features, label]]
     d = complete_cases(df, features, label)
     pairs = list(itertools.combinations_with_replacement(range(len(cols)), 2))
     aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]

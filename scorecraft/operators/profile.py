@@ -6,11 +6,11 @@ scans per statistic); the one-row result is turned into long form with
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorecraft.operators.quantiles import quantile_values
+from scorecraft.session import staged
 
 
 def _long(one_row: DataFrame, items) -> DataFrame:
@@ -23,7 +23,7 @@ def _ndv(c: Column, approx: bool) -> Column:
 
 def _share(small: DataFrame, count_col: str = "count", name: str = "pct") -> DataFrame:
     """Percent of the total of a small grouped table (total = sum over its rows)."""
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    small = staged(small, "shares")
     tot = small.agg(F.sum(count_col)).first()[0] or 0
     return small.withColumn(name, F.try_divide(F.col(count_col) * 100.0, F.lit(tot).cast("double")))
 
@@ -50,8 +50,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 def distinct_per_group(df: DataFrame, group: str, member: str, alias: str) -> DataFrame:
     """Distinct members per group plus a 'mean' row = round(avg) (Q14)."""
-    per = (df.groupBy(group).agg(F.countDistinct(member).cast("double").alias(alias))
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    per = staged(df.groupBy(group).agg(F.countDistinct(member).cast("double").alias(alias)), "per_group")
     mean = per.agg(F.round(F.avg(alias)).alias(alias)).select(F.lit("mean").alias(group), alias)
     return per.select(F.col(group).cast("string").alias(group), alias).unionByName(mean)
 
@@ -59,14 +58,14 @@ def distinct_per_group(df: DataFrame, group: str, member: str, alias: str) -> Da
 def mean_distinct_two_level(df: DataFrame, g1: str, g2: str, member: str, alias: str) -> DataFrame:
     """Distinct members per (g1, g2), averaged per g1 (unweighted), plus 'mean' row."""
     inner = df.groupBy(g1, g2).agg(F.countDistinct(member).alias(alias))
-    per = inner.groupBy(g1).agg(F.avg(alias).alias(alias)).persist(StorageLevel.MEMORY_AND_DISK)
+    per = staged(inner.groupBy(g1).agg(F.avg(alias).alias(alias)), "per_group")
     mean = per.agg(F.round(F.avg(alias)).alias(alias)).select(F.lit("mean").alias(g1), alias)
     return per.select(F.col(g1).cast("string").alias(g1), alias).unionByName(mean)
 
 
 def mean_by_group(df: DataFrame, group: str, value: str, alias: str = "scores") -> DataFrame:
     """Mean per group plus the rounded unweighted mean of the group means."""
-    per = df.groupBy(group).agg(F.avg(value).alias(alias)).persist(StorageLevel.MEMORY_AND_DISK)
+    per = staged(df.groupBy(group).agg(F.avg(value).alias(alias)), "per_group")
     mean = per.agg(F.round(F.avg(alias)).alias(alias)).select(F.lit("mean").alias(group), alias)
     return per.select(F.col(group).cast("string").alias(group), alias).unionByName(mean)
 

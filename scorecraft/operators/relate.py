@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scorecraft.functions.dates import epoch_micros
+from scorecraft.session import staged
 
 NULL_LABEL = "null"
 TOTAL_LABEL = "Total"
@@ -101,18 +101,19 @@ def contingency_all_pairs(df: DataFrame, cols) -> DataFrame:
 def cramers_v(df: DataFrame, cols) -> DataFrame:
     """D32 nominal-nominal: Cramér's V, plain and bias-corrected (Bergsma), per pair.
 
-    chi2 = sum(O^2 / E) - n over the non-empty cells, E = row * col / n; the
-    per-row and per-column totals are windows over the pair's cells (the
-    contingency table itself, not the data rows)."""
-    cells = contingency_all_pairs(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
-    rt = F.sum("count").over(Window.partitionBy("v1", "v2", "x"))
-    ct = F.sum("count").over(Window.partitionBy("v1", "v2", "y"))
-    n = F.sum("count").over(Window.partitionBy("v1", "v2"))
-    e = cells.select("v1", "v2", "x", "y", "count", rt.alias("rt"), ct.alias("ct"), n.alias("n"))
-    per = e.groupBy("v1", "v2").agg(
-        (F.sum(F.col("count") * F.col("count") * F.col("n") / (F.col("rt") * F.col("ct"))) - F.max("n")).alias("chi2"),
-        F.max("n").cast("double").alias("n"),
-        F.countDistinct("x").alias("r"), F.countDistinct("y").alias("k"))
+    chi2 = sum(O^2 / E) - n over the non-empty cells, E = row * col / n; the row and
+    column totals are grouped sums of the written contingency cells, joined back, so
+    no pair's table has to fit one task."""
+    cells = staged(contingency_all_pairs(df, cols), "cells")
+    rows = staged(cells.groupBy("v1", "v2", "x").agg(F.sum("count").alias("rt")), "cell_rows")
+    columns = staged(cells.groupBy("v1", "v2", "y").agg(F.sum("count").alias("ct")), "cell_columns")
+    # chi2 + n = n * sum(O^2 / (row * column)): every part is a grouped sum
+    share = (cells.join(rows, ["v1", "v2", "x"]).join(columns, ["v1", "v2", "y"])
+             .groupBy("v1", "v2").agg(F.sum(F.col("count") * F.col("count") / (F.col("rt") * F.col("ct"))).alias("s")))
+    # one row per pair of columns
+    per = (share.join(rows.groupBy("v1", "v2").agg(F.sum("rt").cast("double").alias("n"), F.count(F.lit(1)).alias("r")), ["v1", "v2"])
+           .join(columns.groupBy("v1", "v2").agg(F.count(F.lit(1)).alias("k")), ["v1", "v2"])
+           .withColumn("chi2", F.col("n") * F.col("s") - F.col("n")))
     phi2 = F.col("chi2") / F.col("n")
     r, k, n_ = F.col("r"), F.col("k"), F.col("n")
     phi2c = F.greatest(F.lit(0.0), phi2 - (k - 1) * (r - 1) / (n_ - 1))
@@ -127,9 +128,11 @@ def cramers_v(df: DataFrame, cols) -> DataFrame:
 def correlation_ratio(df: DataFrame, nominal, numeric) -> DataFrame:
     """D32 nominal-numeric: eta = sqrt(SS_between / SS_total) from grouped sums.
     All (nominal, numeric) pairs come from one grouping of the unpivoted levels;
-    rows with a NULL numeric value are left out of that pair."""
+    rows with a NULL numeric value are left out of that pair.  Values are shifted by
+    their mean first, so a large mean costs no digits."""
+    means = df.agg(*[F.avg(F.col(y).cast("double")).alias(y) for y in numeric]).first()
     kv = F.explode(F.array(*[F.struct(F.lit(c).alias("nominal"), _txt(c).alias("level")) for c in nominal]))
-    g = (df.select(kv.alias("kv"), *[F.col(y).cast("double").alias(y) for y in numeric])
+    g = (df.select(kv.alias("kv"), *[(F.col(y).cast("double") - F.lit(means[y])).alias(y) for y in numeric])
          .select("kv.nominal", "kv.level", *numeric)
          .groupBy("nominal", "level")
          .agg(*[a for y in numeric for a in (F.count(y).alias(f"{y}__n"), F.sum(y).alias(f"{y}__s"),

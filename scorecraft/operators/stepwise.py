@@ -48,7 +48,7 @@ class LogisticEngine:
 
     def __init__(self, df: DataFrame, columns, label: str):
         self.columns = list(columns)
-        self.data = (df.select(*[F.col(c).cast("double").alias(c) for c in columns],
+        self.data = (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns],
                                F.col(label).cast("double").alias("__y"))
                      .dropna().persist(StorageLevel.MEMORY_AND_DISK))
         m = moments(self.data, self.columns, "__y")
@@ -242,11 +242,29 @@ def _better(criterion, new, old):
     return new < old if criterion in ("aic", "bic") else new > old
 
 
+def code_strings(df: DataFrame, columns, strings: str = "dummy_dropfirst") -> tuple[DataFrame, list]:
+    """L5 ahead of a selection: string columns are left out (``drop``) or replaced by 0/1
+    columns of their levels (``dummy``: all, ``dummy_dropfirst``: all but the first)."""
+    from scorecraft.operators.encode import dummy_columns
+    if strings not in ("drop", "dummy", "dummy_dropfirst"):
+        raise ValueError("strings must be drop, dummy or dummy_dropfirst")
+    text = [c for c in columns if dict(df.dtypes)[c] == "string"]
+    if not text:
+        return df, list(columns)
+    coded = dummy_columns(df, text, strings)
+    made = [c for c in coded.columns if c not in df.columns]
+    out = []
+    for c in columns:
+        out += [m for m in made if m.startswith(f"{c}_")] if c in text else [c]
+    return coded, list(dict.fromkeys(out))
+
+
 def forward_selection(df: DataFrame, columns, label: str, model_type: str = "linear",
-                      criterion: str | None = "aic", sl: float = 0.05) -> Selection:
-    """M6: start from the intercept; each round fit every candidate, keep
+                      criterion: str | None = "aic", sl: float = 0.05, strings: str = "dummy_dropfirst") -> Selection:
+    """M6: string columns are coded as ``strings`` says; start from the intercept; each round fit every candidate, keep
     p <= sl, the lowest p (ties: column order) enters only if the criterion
     strictly improves; without a usable criterion it enters on p alone."""
+    df, columns = code_strings(df, columns, strings)
     eng = engine(df, columns, label, model_type)
     kind = eng.kind
     use_crit = _crit_usable(criterion, kind)
@@ -290,11 +308,13 @@ def forward_selection(df: DataFrame, columns, label: str, model_type: str = "lin
 
 
 def backward_selection(df: DataFrame, columns, label: str, model_type: str = "linear",
-                       criterion: str | None = "aic", sl: float = 0.05, keep_intercept: bool = False) -> Selection:
-    """M7: start from all columns and the intercept; drop the term with the
+                       criterion: str | None = "aic", sl: float = 0.05, keep_intercept: bool = False,
+                       strings: str = "dummy_dropfirst") -> Selection:
+    """M7: string columns are coded as ``strings`` says; start from all columns and the intercept; drop the term with the
     largest p above sl (the intercept too, unless ``keep_intercept``); if the
     next fit's criterion is worse, the last dropped term is regained and the
     search stops (Q32)."""
+    df, columns = code_strings(df, columns, strings)
     eng = engine(df, columns, label, model_type)
     kind = eng.kind
     use_crit = _crit_usable(criterion, kind)

@@ -99,6 +99,6 @@ def ts_sql(expr: str) -> str:
 
 def load_all() -> dict:
     """Import every query module (registration side effect)."""
-    from scorecraft.plans import q_rows, q_profile, q_prep, q_model, q_stream  # noqa: F401
+    from scorecraft.plans import q_rows, q_profile, q_prep, q_model, q_fits, q_variants, q_stream  # noqa: F401
     return QUERIES
 

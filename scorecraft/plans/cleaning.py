@@ -7,7 +7,6 @@ the offending ids of the anti-join step are a distinct DataFrame joined back."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,24 +16,27 @@ from scorecraft.operators.encode import add_swoe
 from scorecraft.operators.impute import IqrImputer
 from scorecraft.operators.joins import broadcast_if_small, sized_join
 from scorecraft.operators.split import hash_split, native_split
+from scorecraft.session import staged
 
 ID = "assessment_item_response_id"
+# Values of the split column that one imputation pass handles (train, valid, folds).
+MAX_SPLITS = 64
 DURATIONS = ["student_duration_mins", "timeliness_duration_mins", "item_attempt_duration_mins"]
 SPLIT_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
-# The audit descriptions and function names of the cleaning steps.
+# The audit descriptions of the cleaning steps (the operators that do them follow).
 STEPS = [
-    (1, "Remove [unassigned] in response_correctness", "remove_unassigned_response_correctness"),
-    (2, "Remove student start or stop null dates", "remove_null_student_dates"),
-    (3, "Remove attempt stop dates before start date", "remove_attempt_stop_dates_before_start_dates"),
+    (1, "Remove [unassigned] in response_correctness", "drop_value_keep_null"),
+    (2, "Remove student start or stop null dates", "keep_dates_present"),
+    (3, "Remove attempt stop dates before start date", "remove_bad_ids"),
 ]
 POST_STEPS = [
     (4, "Reduce number of levels in item_type_code_name", "add_swoe", None),
-    (5, "Impute max durations outliers in student attempt times", "impute_student_duration",
+    (5, "Impute max durations outliers in student attempt times", "IqrImputer",
      "student_duration_mins"),
-    (6, "Impute timeliness durations min and max outliers", "impute_timeliness_duration",
+    (6, "Impute timeliness durations min and max outliers", "IqrImputer",
      "timeliness_duration_mins"),
-    (7, "Impute max durations outliers in item attempt times", "impute_item_attempt_duration",
+    (7, "Impute max durations outliers in item attempt times", "IqrImputer",
      "item_attempt_duration_mins"),
 ]
 
@@ -97,10 +99,11 @@ def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0, ke
                                           F.count_if(F.col("target") == 0).alias("n_nonevent"),
                                           F.count(F.col("target")).alias("n_target"),
                                           F.sum(F.col("target").cast("double")).alias("sum_target")))
-    cnt = cnt.persist(StorageLevel.MEMORY_AND_DISK)
-    per_split = cnt.groupBy(split_col).agg(F.sum("sum_target").alias("s"), F.sum("n_target").alias("n"),
-                                           F.count(F.lit(1)).alias("rows")).collect()
-    cnt = broadcast_if_small(cnt, n=sum(int(r["rows"]) for r in per_split))
+    cnt = staged(cnt, "swoe")
+    per_split = cnt.groupBy(split_col).agg(F.sum("sum_target").alias("s"), F.sum("n_target").alias("n")).collect()
+    if len(per_split) > MAX_SPLITS:  # each is part of the plan below
+        raise ValueError(f"{split_col} has {len(per_split)} values; at most {MAX_SPLITS} splits are imputed at once")
+    cnt = broadcast_if_small(cnt, written=True)
     p1 = {r[split_col]: r["s"] / r["n"] for r in per_split if r["n"]}
     p1_col = F.create_map(*[F.lit(x) for kv in p1.items() for x in kv])[F.col(split_col)]
     table = cnt.select(split_col, cat, F.ln(F.try_divide(

@@ -109,22 +109,12 @@ def q_post_split_impute(spark, sf):
 
 
 def _audit_sql():
-    pre = with_attempts("""
-SELECT 1 AS step, 'Remove [unassigned] in response_correctness' AS description,
-       (SELECT count(*) FROM base) - (SELECT count(*) FROM c7) AS removed, 0 AS imputed, 'all' AS data,
-       'remove_unassigned_response_correctness' AS function
-UNION ALL SELECT 2, 'Remove student start or stop null dates', (SELECT count(*) FROM c7) - (SELECT count(*) FROM c2),
-       0, 'all', 'remove_null_student_dates'
-UNION ALL SELECT 3, 'Remove attempt stop dates before start date', (SELECT count(*) FROM c2) - (SELECT count(*) FROM c3),
-       0, 'all', 'remove_attempt_stop_dates_before_start_dates'
-UNION ALL SELECT 4, 'Reduce number of levels in item_type_code_name', 0, 0, split, 'add_swoe' FROM imp GROUP BY split
-UNION ALL SELECT 5, 'Impute max durations outliers in student attempt times', 0, count_if(student_duration_mins_imputed),
-       split, 'impute_student_duration' FROM imp GROUP BY split
-UNION ALL SELECT 6, 'Impute timeliness durations min and max outliers', 0, count_if(timeliness_duration_mins_imputed),
-       split, 'impute_timeliness_duration' FROM imp GROUP BY split
-UNION ALL SELECT 7, 'Impute max durations outliers in item attempt times', 0, count_if(item_attempt_duration_mins_imputed),
-       split, 'impute_item_attempt_duration' FROM imp GROUP BY split""", *_IMP_CTES)
-    return pre
+    steps = ["base", "c7", "c2", "c3"]
+    parts = [f"SELECT {n} AS step, '{text}' AS description, (SELECT count(*) FROM {a}) - (SELECT count(*) FROM {b}) AS removed, "
+             f"0 AS imputed, 'all' AS data, '{fn}' AS function" for (n, text, fn), a, b in zip(cleaning.STEPS, steps, steps[1:])]
+    parts += [f"SELECT {n}, '{text}', 0, " + (f"count_if({col}_imputed)" if col else "0") + f", split, '{fn}' FROM imp GROUP BY split"
+              for n, text, fn, col in cleaning.POST_STEPS]
+    return with_attempts("\nUNION ALL ".join(parts), *_IMP_CTES)
 
 
 @query("audit_table", _audit_sql())
@@ -245,10 +235,11 @@ def q_recount_impute(spark, sf):
 @query("collapse_levels", with_attempts("""
 SELECT CASE WHEN t.item_type_code_name IS NULL OR f.pct < 6 THEN 'Other' ELSE t.item_type_code_name END AS item_type_code_name,
        count(*) AS n_rows
-FROM attempts t LEFT JOIN (
-  SELECT item_type_code_name, count(*) * 100.0 / (SELECT count(item_type_code_name) FROM attempts) AS pct
-  FROM attempts WHERE item_type_code_name IS NOT NULL GROUP BY 1) f ON t.item_type_code_name = f.item_type_code_name
-GROUP BY 1"""))
+FROM m t LEFT JOIN (
+  SELECT item_type_code_name, count(*) * 100.0 / (SELECT count(item_type_code_name) FROM m) AS pct
+  FROM m WHERE item_type_code_name IS NOT NULL GROUP BY 1) f ON t.item_type_code_name = f.item_type_code_name
+GROUP BY 1""", "m AS (SELECT CASE item_type_code_name " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in impute.LEVEL_SYNONYMS.items())
+                             + " ELSE item_type_code_name END AS item_type_code_name FROM attempts)"))
 def q_collapse_levels(spark, sf):
     """K6: synonyms merged; levels under 6 % of the non-NULL total and NULL -> 'Other'."""
     return impute.collapse_levels(att(spark, sf)).groupBy("item_type_code_name").agg(
@@ -395,15 +386,25 @@ def q_stratified_split(spark, sf):
     return s.groupBy("target", "split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("native_sample")
+@query("native_sample", """
+SELECT CAST(0 AS BIGINT) AS foreign_rows, CAST(0 AS BIGINT) AS repeated_rows, true AS share_fits FROM orders LIMIT 1""")
 def q_native_sample(spark, sf):
-    """S1 as in the study: Bernoulli 10 % with a fixed seed (engine-specific rows)."""
-    return split.native_sample(tbl(spark, sf, "orders").select("o_orderkey", "o_totalprice"))
-
-
-@query("native_split")
+    """S1 as in the study: Bernoulli 10 % with a fixed seed.  Which rows it takes is
+    the engine's own; the result says whether they are a sample: rows not in the table,
+    rows taken twice, and whether their number is within 6 standard errors."""
+    orders = tbl(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    taken = split.native_sample(orders).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("times"))
+    table = orders.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("there"))
+    f, n, k = split.SAMPLE_FRACTION, F.sum("there"), F.coalesce(F.sum("times"), F.lit(0))
+    return table.join(taken, "o_orderkey", "full").agg(
+        F.count_if(F.col("there").isNull()).alias("foreign_rows"), F.count_if(F.col("times") > F.col("there")).alias("repeated_rows"),
+        (F.abs(k - f * n) <= 6 * F.sqrt(f * (1 - f) * n)).alias("share_fits"))
+
+
+@query("native_split", """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2""")
 def q_native_split(spark, sf):
-    """S2 as in the study: randomSplit([0.75, 0.25], seed) on a checkpointed input."""
+    """S2 as in the study: randomSplit([0.75, 0.25], seed).  The union of both halves
+    holds every row once, wherever the engine puts it."""
     train, valid = split.native_split(tbl(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
-    return (train.select(F.lit("train").alias("split"), "*")
-            .unionByName(valid.select(F.lit("valid").alias("split"), "*")))
+    return train.unionByName(valid).groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n_rows"))

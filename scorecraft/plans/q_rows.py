@@ -403,7 +403,7 @@ def q_anti_bad_ids(spark, sf):
 @query("scalar_predicates", with_attempts("""
 SELECT coalesce(response_correctness, 'none') AS rc,
        count_if(raw_score IS NOT NULL AND NOT (final_score_unweighted > 0)) AS a,
-       count_if(item_type_code_name IN ('Brand#11', 'Brand#22', 'Brand#33') OR raw_score IS NULL) AS b,
+       count_if(item_type_code_name IN ('multipleChoice', 'orderList', 'drawing') OR raw_score IS NULL) AS b,
        CAST(sum(epoch(item_attempt_end_datetime_utc)) AS BIGINT) AS sum_epoch,
        count_if(round(final_score_unweighted) = 5) AS c
 FROM attempts GROUP BY 1"""))
@@ -414,7 +414,7 @@ def q_scalar_predicates(spark, sf):
     a = att(spark, sf)
     return a.groupBy(F.coalesce(c("response_correctness"), F.lit("none")).alias("rc")).agg(
         F.count_if(c("raw_score").isNotNull() & ~(c("final_score_unweighted") > 0)).alias("a"),
-        F.count_if(c("item_type_code_name").isin("Brand#11", "Brand#22", "Brand#33") | c("raw_score").isNull()
+        F.count_if(c("item_type_code_name").isin("multipleChoice", "orderList", "drawing") | c("raw_score").isNull()
                    ).alias("b"),
         F.sum(dates.epoch_seconds("item_attempt_end_datetime_utc")).cast("long").alias("sum_epoch"),
         F.count_if(F.round(c("final_score_unweighted")) == 5).alias("c"))

@@ -1,14 +1,17 @@
 """Session construction and the shared checkpoint folder.
 
 On a cluster the session is created by the platform; ``get_session`` only adds
-defaults that are unset.  Lineage is cut with reliable ``checkpoint()`` into the
-folder named by ``spark.checkpoint.dir`` (never ``localCheckpoint``); a private
-folder is created only when the session names none, which is the test setup.
+defaults that are unset.  Lineage is cut with reliable ``checkpoint()`` and written
+tables in the folder named by ``spark.checkpoint.dir`` (never ``localCheckpoint``).
+On a cluster a session without that folder is an error; only a local master, whose
+tasks all run on this machine, gets a private one, removed when Python ends.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -48,22 +51,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only when none is configured."""
+    """The shared checkpoint folder; a private one only for a local master without any."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="scorecraft-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for staged tables."""
+    """A fresh folder for a staged table, under one folder per application, which can
+    be deleted when the application has ended."""
     base = checkpoint_dir(spark)
-    return os.path.join(base, "staged", f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(base, "staged", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from scorecraft.sources.tables import load_table
 
 # Default dates injected as sentinels.
+# Item types and the percent of parts up to which each reaches: two synonym pairs, levels
+# on both sides of the 6 % rule, uneven shares.
+ITEM_TYPES = [("multipleChoice", 30), ("MultipleChoiceResponse", 38), ("fillInTheBlank", 55), ("FillinBlankResponse", 59),
+              ("multipleSelect", 72), ("association", 82), ("choiceMatrix", 89), ("orderList", 94), ("hotSpot", 97), ("drawing", 100)]
 HIGH_SENTINEL = "2999-01-01 00:00:00"
 LOW_SENTINEL = "1900-01-01 00:00:00"
 
@@ -33,7 +37,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     customer = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = load_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    part = load_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    part = load_table(spark, sf_dir, "part").select("p_partkey", "p_size")
 
     cust = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
     ord_cust = orders.join(cust, orders.o_custkey == cust.c_custkey)
@@ -45,6 +49,23 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     null = F.lit(None)
     ntz = lambda s: F.lit(s).cast("timestamp_ntz")
+    # pseudo-random numbers from the keys; long tails for a few percent of the rows
+    k = c("l_partkey") * 31 + c("l_orderkey") * 17 + c("l_linenumber") * 7
+    seconds = {
+        "item": F.when(c("l_orderkey") % 101 == 0, F.lit(-3600).cast("long"))
+                 .otherwise(60 * (1 + k % 90) * F.when((c("l_partkey") % 23 == 0) | (c("l_suppkey") % 57 == 0), 40).otherwise(1)),
+        "student": F.when(c("l_orderkey") % 103 == 1, F.lit(-7200).cast("long"))
+                    .otherwise(60 * (5 + k * 3 % 200) * F.when(c("l_suppkey") % 19 == 0, 30).otherwise(1)),
+        "due": 3600 * (1 + k * 5 % 300) * F.when((c("l_orderkey") % 29 == 0) | (c("l_suppkey") % 57 == 0), 25).otherwise(1),
+    }
+    after = lambda name: F.timestamp_add("SECOND", seconds[name], c("o_orderdate"))
+    share = c("l_partkey") % 100
+    item_type = None
+    for name, top in ITEM_TYPES:
+        item_type = F.when(share < top, name) if item_type is None else item_type.when(share < top, name)
+    luck = (k * 7919 + c("l_suppkey") * 1047) % 1000
+    ease = (F.when(share < 38, 650).when(share < 59, 420).when(share < 89, 250).otherwise(120)
+            + F.least(k * 3 % 200, F.lit(150)) + c("p_size"))
     return j.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.when(c("l_partkey") % 11 == 0, null)
@@ -57,21 +78,21 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(c("o_orderstatus") == "F", "fully scored")
          .when(c("o_orderstatus") == "O", "in progress")
          .otherwise("assigned").alias("learner_attempt_status"),
-        F.when(c("p_size") % 10 == 0, null).otherwise(c("p_brand")).alias("item_type_code_name"),
+        F.when(c("p_size") % 10 == 0, null).otherwise(item_type).alias("item_type_code_name"),
         F.when(c("l_returnflag") == "A", "[unassigned]")
          .when(c("l_returnflag") == "R", "correct").alias("response_correctness"),
         F.when(c("l_partkey") % 13 == 0, null)
-         .when((c("l_quantity") + c("p_size") > 50) != (c("l_orderkey") % 4 == 0), c("l_quantity"))
+         .when(luck < ease, c("l_quantity"))
          .otherwise(F.lit(0.0)).alias("raw_score"),
         F.when(c("l_discount") < 0.01, F.lit(0.0))
          .otherwise(c("l_discount") * 100).alias("final_score_unweighted"),
         c("p_size").alias("number_of_distinct_instance_items"),
         (F.lit(1) + c("l_suppkey") % 40).alias("number_of_learners"),
         c("o_orderdate").alias("item_attempt_start_datetime_utc"),
-        c("l_shipdate").alias("item_attempt_end_datetime_utc"),
+        after("item").alias("item_attempt_end_datetime_utc"),
         F.when(c("l_orderkey") % 97 == 0, null).otherwise(c("o_orderdate")).alias("student_start_datetime"),
-        F.when(c("l_orderkey") % 97 <= 1, null).otherwise(c("l_shipdate")).alias("student_stop_datetime"),
-        F.when(c("l_returnflag") == "A", null).otherwise(c("l_shipdate")).alias("assignment_due_date"),
+        F.when(c("l_orderkey") % 97 <= 1, null).otherwise(after("student")).alias("student_stop_datetime"),
+        F.when(c("l_returnflag") == "A", null).otherwise(after("due")).alias("assignment_due_date"),
         F.when(c("l_linenumber") == 1, null).otherwise(c("l_shipdate")).alias("scored_datetime"),
         F.when(c("l_suppkey") % 5 == 0, null)
          .when(c("o_custkey") % 53 == 0, ntz(HIGH_SENTINEL))
