@@ -74,8 +74,16 @@ def _f(v):
     return None if math.isnan(v) else v
 
 
+def drop_incomplete(df: DataFrame) -> DataFrame:
+    """Rows without NULL or NaN; column names may hold dots."""
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        df = df.where(c.isNotNull() & ~F.isnan(c) if f.dataType.simpleString() in ("double", "float") else c.isNotNull())
+    return df
+
+
 def complete_cases(df: DataFrame, features, label) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in [*features, label]]).dropna()
+    return drop_incomplete(df.select(*[F.col(f"`{c}`") for c in [*features, label]]))
 
 
 def _assemble(df: DataFrame, features, label, out: str = "features") -> DataFrame:

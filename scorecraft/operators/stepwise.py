@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from scorecraft.operators import stats
 from scorecraft.operators.linalg import independent, inverse
-from scorecraft.operators.model import INTERCEPT, Fit, moments, ols_from_moments
+from scorecraft.operators.model import INTERCEPT, Fit, drop_incomplete, moments, ols_from_moments
 
 # Passes after which a fit is reported as not converged, and the Newton decrement
 # (twice the likelihood still to gain) under which the last step ends it.
@@ -48,9 +48,8 @@ class LogisticEngine:
 
     def __init__(self, df: DataFrame, columns, label: str):
         self.columns = list(columns)
-        self.data = (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns],
-                               F.col(label).cast("double").alias("__y"))
-                     .dropna().persist(StorageLevel.MEMORY_AND_DISK))
+        self.data = drop_incomplete(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns],
+                                              F.col(label).cast("double").alias("__y"))).persist(StorageLevel.MEMORY_AND_DISK)
         m = moments(self.data, self.columns, "__y")
         self.n, self.ysum = m.n, float(m.mean[-1] * m.n)
         self.mean = dict(zip(self.columns, m.mean))
