@@ -17,8 +17,22 @@ def _long(one_row: DataFrame, items) -> DataFrame:
     return one_row.select(F.inline(F.array(*items)))
 
 
-def _ndv(c: Column, approx: bool) -> Column:
-    return F.approx_count_distinct(c) if approx else F.countDistinct(c)
+def _with_distinct(df: DataFrame, cols, stats: DataFrame, approx: bool, out_cols) -> DataFrame:
+    """``stats`` (one row per variable) with n_distinct.  Exact counts come from narrow
+    (variable, value) pairs, combined before the shuffle, instead of one aggregate that
+    expands every row once per column."""
+    if approx:
+        one = df.agg(*[F.approx_count_distinct(c).alias(f"u{i}") for i, c in enumerate(cols)])
+        counts = _long(one, [F.struct(F.lit(c).alias("variable"), F.col(f"u{i}").alias("n_distinct")) for i, c in enumerate(cols)])
+    else:
+        kinds = dict(df.dtypes)
+        text = lambda c: (F.col(c) + 0.0 if kinds[c] in ("double", "float") else F.col(c)).cast("string")  # noqa: E731  -0.0 is 0.0
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), text(c).alias("value")) for c in cols])).alias("kv"))
+        counts = (pairs.select("kv.*").where("value IS NOT NULL").distinct()
+                  .groupBy("variable").agg(F.count(F.lit(1)).alias("n_distinct")))
+    # one row per column
+    joined = stats.join(F.broadcast(counts), "variable", "left")
+    return joined.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)).cast("long")).select(*out_cols)
 
 
 def _share(small: DataFrame, count_col: str = "count", name: str = "pct") -> DataFrame:
@@ -77,30 +91,28 @@ def group_describe(df: DataFrame, group: str, col: str) -> DataFrame:
 
 
 def column_stats(df: DataFrame, cols, approx: bool = False) -> DataFrame:
-    """Per column distinct, null, min and max (min/max as text) in one pass."""
+    """Per column distinct, null, min and max (min/max as text)."""
     aggs = []
     for i, c in enumerate(cols):
         v = F.col(c)
-        aggs += [_ndv(v, approx).alias(f"u{i}"), F.count_if(v.isNull()).alias(f"n{i}"),
+        aggs += [F.count_if(v.isNull()).alias(f"n{i}"),
                  F.min(v).cast("string").alias(f"a{i}"), F.max(v).cast("string").alias(f"b{i}")]
-    items = [F.struct(F.lit(c).alias("variable"), F.col(f"u{i}").cast("long").alias("n_distinct"),
-                      F.col(f"n{i}").cast("long").alias("n_null"), F.col(f"a{i}").alias("min"),
-                      F.col(f"b{i}").alias("max")) for i, c in enumerate(cols)]
-    return _long(df.agg(*aggs), items)
+    items = [F.struct(F.lit(c).alias("variable"), F.col(f"n{i}").cast("long").alias("n_null"),
+                      F.col(f"a{i}").alias("min"), F.col(f"b{i}").alias("max")) for i, c in enumerate(cols)]
+    return _with_distinct(df, cols, _long(df.agg(*aggs), items), approx, ["variable", "n_distinct", "n_null", "min", "max"])
 
 
 def date_statistics(df: DataFrame, cols, approx: bool = False) -> DataFrame:
-    """Per date column distinct, null, min date and max date (one pass)."""
+    """Per date column distinct, null, min date and max date."""
     cols = sorted(cols)
     aggs = []
     for i, c in enumerate(cols):
         v = F.col(c)
-        aggs += [_ndv(v, approx).alias(f"u{i}"), F.count_if(v.isNull()).alias(f"n{i}"),
+        aggs += [F.count_if(v.isNull()).alias(f"n{i}"),
                  F.min(v.cast("date")).alias(f"a{i}"), F.max(v.cast("date")).alias(f"b{i}")]
-    items = [F.struct(F.lit(c).alias("variable"), F.col(f"u{i}").cast("long").alias("n_distinct"),
-                      F.col(f"n{i}").cast("long").alias("n_null"), F.col(f"a{i}").alias("min_date"),
-                      F.col(f"b{i}").alias("max_date")) for i, c in enumerate(cols)]
-    return _long(df.agg(*aggs), items)
+    items = [F.struct(F.lit(c).alias("variable"), F.col(f"n{i}").cast("long").alias("n_null"),
+                      F.col(f"a{i}").alias("min_date"), F.col(f"b{i}").alias("max_date")) for i, c in enumerate(cols)]
+    return _with_distinct(df, cols, _long(df.agg(*aggs), items), approx, ["variable", "n_distinct", "n_null", "min_date", "max_date"])
 
 
 def date_range(df: DataFrame, cols) -> DataFrame:
@@ -123,12 +135,7 @@ def null_zero_counts(df: DataFrame, cols) -> DataFrame:
 def unique_nulls(df: DataFrame, cols, approx: bool = False) -> DataFrame:
     """Distinct and NULL counts per column."""
     cols = sorted(cols)
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"n{i}"), _ndv(F.col(c), approx).alias(f"u{i}")]
-    items = [F.struct(F.lit(c).alias("variable"), F.col(f"n{i}").cast("long").alias("n_null"),
-                      F.col(f"u{i}").cast("long").alias("n_distinct")) for i, c in enumerate(cols)]
-    return _long(df.agg(*aggs), items)
+    return _with_distinct(df, cols, null_counts(df, cols), approx, ["variable", "n_null", "n_distinct"])
 
 
 def null_counts(df: DataFrame, cols) -> DataFrame:

@@ -78,8 +78,19 @@ def att_path(spark: SparkSession, sf: str) -> str:
     return _STAGED[_stage(spark, sf)][0]
 
 
+def _state(spark: SparkSession, sf: str) -> tuple:
+    """Sizes and times of the tables' files, so that rewritten tables are staged anew."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in ("lineitem", "orders", "customer", "nation", "part"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        out.append((fs.getContentSummary(path).getLength(), fs.getFileStatus(path).getModificationTime()))
+    return tuple(out)
+
+
 def _stage(spark: SparkSession, sf: str):
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, _state(spark, sf))
     if key not in _STAGED:
         from scorecraft.session import scratch_path
         from scorecraft.sources.attempts import materialise_attempts

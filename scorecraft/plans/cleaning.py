@@ -55,8 +55,11 @@ def _step_flags(df: DataFrame) -> DataFrame:
 
 def clean_before_split(df: DataFrame) -> DataFrame:
     """K9: C7 -> C2 -> J3 -> B5."""
-    f = _step_flags(df)
-    return (f.where("__k3").drop("__k1", "__k2", "__k3")
+    return _kept(_step_flags(df))
+
+
+def _kept(flagged: DataFrame) -> DataFrame:
+    return (flagged.where("__k3").drop("__k1", "__k2", "__k3")
             .withColumn("target", target_from_score("raw_score")))
 
 
@@ -94,7 +97,8 @@ def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0, ke
     from scorecraft.operators.distribution import QUARTILES, WHISKER
     from scorecraft.operators.quantiles import quantile_values
     cat = "item_type_code_name"
-    df = df.select(*dict.fromkeys([split_col, cat, "target", *DURATIONS, *keep]))
+    # written once: the counts, the quantile passes and the result read it
+    df = staged(df.select(*dict.fromkeys([split_col, cat, "target", *DURATIONS, *keep])), "cleaned")
     cnt = (df.groupBy(split_col, cat).agg(F.count_if(F.col("target") == 1).alias("n_event"),
                                           F.count_if(F.col("target") == 0).alias("n_nonevent"),
                                           F.count(F.col("target")).alias("n_target"),
@@ -108,12 +112,9 @@ def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0, ke
     p1_col = F.create_map(*[F.lit(x) for kv in p1.items() for x in kv])[F.col(split_col)]
     table = cnt.select(split_col, cat, F.ln(F.try_divide(
         F.col("n_event") + F.lit(c) * p1_col, F.col("n_nonevent") + F.lit(c) * (1 - p1_col))).alias(f"{cat}_swoe"))
-    from scorecraft.session import persisted
     enc = df.join(table, [split_col, cat], "inner")
-    with persisted(enc.select(split_col, *DURATIONS)) as cached:  # read by both quantile passes
-        keyed = cached.select(*[F.when(F.col(split_col) == s, F.col(d)).alias(f"{s}|{d}")
-                                for s in p1 for d in DURATIONS])
-        q = quantile_values(keyed, keyed.columns, QUARTILES, lambda v: v >= 0)
+    keyed = enc.select(*[F.when(F.col(split_col) == s, F.col(d)).alias(f"{s}|{d}") for s in p1 for d in DURATIONS])
+    q = quantile_values(keyed, keyed.columns, QUARTILES, lambda v: v >= 0)
     flags, vals = {}, {}
     for d in DURATIONS:
         hi_e, med_e = F.lit(None).cast("double"), F.lit(None).cast("double")
@@ -131,7 +132,10 @@ def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0, ke
 
 def pre_split_audit(df: DataFrame) -> DataFrame:
     """K8 (pre-split part): rows removed by each step, one aggregate."""
-    f = _step_flags(df)
+    return _removed(_step_flags(df))
+
+
+def _removed(f: DataFrame) -> DataFrame:
     one = f.agg(F.count_if(~F.col("__k1")).alias("r1"),
                 F.count_if(F.col("__k1") & ~F.col("__k2")).alias("r2"),
                 F.count_if(F.col("__k2") & ~F.col("__k3")).alias("r3"))
@@ -168,6 +172,10 @@ def post_split_audit_all(imputed: DataFrame, split_col: str = "split") -> DataFr
 
 
 def audit_table(df: DataFrame) -> DataFrame:
-    """K8: the whole audit: pre-split removals and per-split imputations."""
-    cleaned = hash_split(clean_before_split(df), SPLIT_KEYS)
-    return pre_split_audit(df).unionByName(post_split_audit_all(impute_by_split(cleaned)))
+    """K8: the whole audit: pre-split removals and per-split imputations, both from
+    the flagged rows, which are written once."""
+    cols = dict.fromkeys([ID, *SPLIT_KEYS, "item_type_code_name", "raw_score", *DURATIONS, "response_correctness",
+                          "student_start_datetime", "student_stop_datetime", "item_attempt_start_datetime_utc",
+                          "item_attempt_end_datetime_utc"])
+    flagged = staged(_step_flags(df.select(*cols)), "audit")
+    return _removed(flagged).unionByName(post_split_audit_all(impute_by_split(hash_split(_kept(flagged), SPLIT_KEYS))))
