@@ -31,6 +31,7 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
        row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256
 FROM n""")
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts (white space normalised) among all documents."""
     from scorecraft.llm.exact_dedup import exact_dedup
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -60,12 +61,14 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN u ON d.source IS NOT DISTINCT FROM u.source
 LEFT JOIN h ON d.source IS NOT DISTINCT FROM h.source""")
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mix of all documents: sources weigh 1, 2, 3 in turn, at most 3 epochs each."""
     from scorecraft.llm.mixing import mix
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query("op4_embedding_dedup")
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.9 or more among all embeddings, and their components."""
     from scorecraft.llm.embedding_dedup import embedding_dedup
     return embedding_dedup(table(spark, sf_dir, "embeddings"), 0.9)
 
@@ -75,18 +78,21 @@ URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/"
 
 @query("op5_url_filter")
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url by the longest rule or its aliases."""
     from scorecraft.llm.url_filter import url_filter
     return url_filter(table(spark, sf_dir, "pages"), URL_RULES).drop("component")
 
 
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints (3-word shingles) and components over at most 3 differing bits."""
     from scorecraft.llm.simhash import simhash_dedup
     return simhash_dedup(table(spark, sf_dir, "documents"), 3, 3).select("doc_id", "fingerprint", "component_id")
 
 
 @query("op8_token_files")
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids written to binary files in ascending doc_id order, then read back."""
     from scorecraft.llm.token_files import read_token_files, write_token_files
     from scorecraft.session import scratch_path
     folder = scratch_path(spark, "token_files")
@@ -97,6 +103,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the bytes they decode to, as digests."""
     from scorecraft.llm.bpe import decode, encode
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     rows = decode(encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
@@ -107,6 +114,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
     from scorecraft.llm.token_counts import token_counts
     rows = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return rows.withColumn("over_limit", F.col("n_tokens") > 512)
@@ -114,6 +122,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_quality")
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of held-out ids are not learned from."""
     from scorecraft.llm.quality import fit_quality, held_out, score_quality
     docs = table(spark, sf_dir, "documents")
     network = fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -123,5 +132,6 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_line_dedup")
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document less the line chunks that stand in an earlier one."""
     from scorecraft.llm.line_dedup import line_dedup
     return line_dedup(table(spark, sf_dir, "documents"))
