@@ -35,7 +35,7 @@ from scorecraft.llm.staging import staged
 from scorecraft.operators.joins import sized_join
 
 # Members that a tile aims at, and the branching that one level of rings gives.
-TILE, BRANCHING = 4096, 11
+TILE, BRANCHING = 1024, 11
 BLOCK = 1 << 16  # shingles hashed at a time
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
