@@ -66,17 +66,49 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-@query("op4_embedding_dedup")
+@query("op4_embedding_dedup", """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+      ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a""")
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.9 or more among all embeddings, and their components."""
     from scorecraft.llm.embedding_dedup import embedding_dedup
     return embedding_dedup(table(spark, sf_dir, "embeddings"), 0.9)
 
 
+# Urls are judged once each; links come from canonical and refresh tags, resolved against the page.
+_URL_SQL = r"""
+WITH RECURSIVE tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+raw AS (SELECT url AS a, CASE
+    WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?canonical\b') THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+    WHEN regexp_matches(tag, '(?is)^<meta\b.*\bhttp-equiv\s*=\s*["'']?refresh\b') THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) END AS b FROM tags),
+e0 AS (SELECT DISTINCT a, CASE WHEN starts_with(b, '//') THEN regexp_extract(a, '(?s)^(.*?)://', 1) || ':' || b
+    WHEN starts_with(b, '/') THEN regexp_extract(a, '(?s)^.*?://[^/?#]*') || b ELSE b END AS b FROM raw WHERE b <> ''),
+e AS (SELECT a, b FROM e0 WHERE a <> b UNION SELECT b, a FROM e0 WHERE a <> b),
+reach AS (SELECT DISTINCT a AS node, a AS other FROM e UNION SELECT reach.node, e.b FROM reach JOIN e ON reach.other = e.a),
+urls AS (SELECT url FROM pages UNION SELECT node FROM reach),
+parts AS (SELECT url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM urls),
+fit AS (SELECT *, '.' || host AS h FROM parts),
+judged AS (SELECT url, host, path, CASE WHEN ends_with(h, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ends_with(h, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ends_with(h, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN ends_with(h, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM fit),
+own AS (SELECT *, CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block' WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow' END AS said FROM judged),
+alias AS (SELECT node, coalesce(bool_or(said = 'block'), false) AND NOT coalesce(bool_or(said = 'allow'), false) AS spread FROM reach JOIN own ON own.url = other GROUP BY node)
+SELECT page_id, host, path, rule, coalesce(said, CASE WHEN spread THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages JOIN own ON pages.url IS NOT DISTINCT FROM own.url LEFT JOIN alias ON alias.node = pages.url"""
+
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
-@query("op5_url_filter")
+@query("op5_url_filter", _URL_SQL)
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url by the longest rule or its aliases."""
     from scorecraft.llm.url_filter import url_filter
