@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from scorecraft.llm.components import components
 from scorecraft.llm.staging import staged
 
-# Rows of a tile, dimensions added at a time, vectors of a block at most, blocks at least.
-TILE, STEP, BLOCK, BLOCKS = 1024, 16, 8192, 8
+# Rows of a tile, dimensions added at a time, blocks at least, and vectors that a block
+# aims at (of 64 dimensions; longer vectors make smaller blocks, down to a tile).
+TILE, STEP, BLOCKS, BLOCK = 1024, 16, 8, 8192
 # Rounding of rotated products; pairs this near the threshold are left to the exact test.
 SLACK = 1e-9
 
@@ -173,7 +174,8 @@ def _compare(points: DataFrame, dim: int, threshold: float) -> DataFrame:
     """Rows (a, b, n): n links of representative a where b is null, else an edge."""
     spark = points.sparkSession
     axes = spark.sparkContext.broadcast(_axes(points, dim))  # dim * dim numbers
-    n_blocks = max(BLOCKS, math.ceil(points.count() / BLOCK))
+    block = min(BLOCK, max(TILE, BLOCK * 64 // dim))
+    n_blocks = max(BLOCKS, math.ceil(points.count() / block))
 
     def lead(batches):
         for batch in batches:
@@ -192,7 +194,7 @@ def _compare(points: DataFrame, dim: int, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(lo.astype(np.int32))], ["rep", "v", "n", "block"])
 
     blocked = located.mapInArrow(blocks, "rep long, v array<double>, n long, block int")
-    per = blocked.groupBy("block").count().withColumn("k", F.ceil(F.col("count") / (2 * BLOCK)))
+    per = blocked.groupBy("block").count().withColumn("k", F.ceil(F.col("count") / (2 * block)))
     start = per.select("block", "k", (F.sum("k").over(Window.orderBy("block")) - F.col("k")).alias("start"))  # one row per block
     placed = blocked.join(F.broadcast(start), "block").select("rep", "v", "n", (F.col("start") + F.pmod(F.xxhash64("rep"), F.col("k"))).cast("int").alias("block"))
     total = int(start.agg(F.sum("k")).head()[0] or 0)
