@@ -8,6 +8,7 @@ or bytes whose cut is not decided in ``pretokens`` are given to the library whol
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +17,9 @@ from tokenizers import Tokenizer
 
 from scorecraft.llm.pretokens import boundaries
 
-# Pre-tokens whose ids a worker remembers (about 250 bytes each) before it starts anew.
-REMEMBERED = 600_000
+# Pre-tokens whose ids a task remembers (about 200 bytes each) before it starts anew, and
+# pre-tokens given to the library at once.
+REMEMBERED, AT_ONCE = 500_000, 5_000
 
 
 def read_spec(path: str) -> str:
@@ -35,6 +37,8 @@ class Library:
     """One worker's tokenizer."""
 
     def __init__(self, spec: str):
+        # Spark's tasks are the parallelism; the library's own threads would each keep memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -51,8 +55,8 @@ class Library:
             self.known.clear()
         known = self.known
         new = [x for x in wanted if x not in known]
-        for lo in range(0, len(new), 20_000):
-            part = new[lo:lo + 20_000]
+        for lo in range(0, len(new), AT_ONCE):
+            part = new[lo:lo + AT_ONCE]
             for x, e in zip(part, self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)):
                 known[x] = np.array(e.ids, np.int32).tobytes()
         found = [known[x] for x in wanted]
@@ -61,8 +65,8 @@ class Library:
 
     def count_pieces(self, pieces: list[bytes]) -> list[int]:
         out: list[int] = []
-        for lo in range(0, len(pieces), 20_000):
-            part = [x.decode() for x in pieces[lo:lo + 20_000]]
+        for lo in range(0, len(pieces), AT_ONCE):
+            part = [x.decode() for x in pieces[lo:lo + AT_ONCE]]
             out += [len(e) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
         return out
 

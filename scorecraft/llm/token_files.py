@@ -31,14 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scorecraft.llm.batches import expand, steps, text_buffer
+from scorecraft.llm.batches import STEP_BYTES, expand, steps, text_buffer
 from scorecraft.llm.library import library, read_spec, texts_of
 from scorecraft.llm.pretokens import distinct
 from scorecraft.session import scratch_path
 
 MAGIC = b"TKB1"
-# Blocks in one file (a block holds the ids of about 4 MB of text).
-BLOCKS_PER_FILE = 8
+# Blocks in one file (a block holds the ids of about 8 MB of text).
+BLOCKS_PER_FILE = 4
 _LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 _STAGED = "block long, ids array<long>, sizes array<int>, tokens binary"
 
@@ -113,7 +113,7 @@ def _encode(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
     def run(batches):
         lib = library(shared)
         part, step = TaskContext.get().partitionId(), 0
-        for batch in steps(batches, "__text"):
+        for batch in steps(batches, "__text", 2 * STEP_BYTES):
             buf, off = text_buffer(batch.column(1))
             starts, whole = lib.cut(buf, off)
             codes, pieces = distinct(buf, starts)
@@ -132,6 +132,7 @@ def _encode(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
             tokens[kept] = np.concatenate(doc)
             yield _staged_batch(part << 32 | step, batch.column(0).take(pa.array(order)), sizes, tokens)
             step += 1
+        lib.known.clear()  # an idle worker holds no memory
 
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     return rows.mapInArrow(run, _STAGED)
@@ -206,7 +207,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     (staged.mapInArrow(write, "block binary").select(F.col("block").cast("string"))
      .write.option("maxRecordsPerFile", BLOCKS_PER_FILE).text(f"{folder}/blocks"))
     sizes = staged.select("block", F.coalesce(F.col("ids")[0], F.lit(-2**63)).alias("first"), F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-    w = Window.orderBy("first", "block")  # one narrow row per block of 4 MB of text
+    w = Window.orderBy("first", "block")  # one narrow row per block of 8 MB of text
     sizes.select("block", (F.row_number().over(w) - 1).alias("position"),
                  (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("start"), "n").write.parquet(f"{folder}/index")
 
