@@ -455,7 +455,7 @@ def q_var_types(spark, sf):
     """Dictionary types and labels of the columns present,
     with each column's non-null count from the data."""
     a = att(spark, sf)
-    t = dct.var_types(dct.dictionary_df(spark), a.columns)
+    t = dct.var_types(dct.written_dictionary(spark), a.columns)
     nn = _nonnull_long(a.select(*[c for c in a.columns if c in set(_PRESENT)]))
     return t.join(F.broadcast(nn), t["field"] == nn["column_name"]).select(
         "type", "field", "category", "label", "non_null")
@@ -469,7 +469,7 @@ GROUP BY d.category"""))
 def q_var_categories(spark, sf):
     """O1: columns per entity category (present columns) with their non-null total."""
     a = att(spark, sf)
-    cats = dct.var_categories(dct.dictionary_df(spark), a.columns)
+    cats = dct.var_categories(dct.written_dictionary(spark), a.columns)
     nn = _nonnull_long(a.select(*[c for c in a.columns if c in set(_PRESENT)]))
     per = cats.select("category", "n_fields", F.explode("fields").alias("field"))
     return (per.join(F.broadcast(nn), per["field"] == nn["column_name"])
@@ -486,7 +486,7 @@ WHERE d.type = 'Categorical Interval'"""))
 def q_initials_label(spark, sf):
     """Variables of one type listed with 'Category (ci)', for present columns."""
     a = att(spark, sf)
-    v = dct.variables_of_type(dct.dictionary_df(spark), "Categorical Interval")
+    v = dct.variables_of_type(dct.written_dictionary(spark), "Categorical Interval")
     nn = _nonnull_long(a.select(*[c for c in a.columns if c in set(_PRESENT)]))
     return v.join(F.broadcast(nn), v["variable"] == nn["column_name"]).select("category", "variable", "non_null")
 
@@ -500,7 +500,7 @@ def q_dictionary_types(spark, sf):
     """Distinct statistical types of the present columns, dictionary ordered
     by field, with the non-null values each type holds in the data."""
     a = att(spark, sf)
-    d = dct.dictionary_df(spark).orderBy("field")
+    d = dct.written_dictionary(spark).orderBy("field")
     nn = _nonnull_long(a.select(*[c for c in a.columns if c in set(_PRESENT)]))
     return (d.join(F.broadcast(nn), d["field"] == nn["column_name"])
             .groupBy("type").agg(F.count(F.lit(1)).alias("n_fields"), F.min("field").alias("first_field"),

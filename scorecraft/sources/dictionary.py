@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorecraft.functions.text import initials_label
+from scorecraft.session import scratch_path
 
 # Field, category and statistical type of every column of the
 # item-attempt fact table, in the dictionary's own order.
@@ -86,6 +87,13 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, DICTIONARY_SCHEMA).select("field", "category", "type", "description")
 
 
+def written_dictionary(spark: SparkSession) -> DataFrame:
+    """A2: the dictionary as a CSV file in the shared folder, read back by its schema."""
+    path = scratch_path(spark, "dictionary")
+    (dictionary_df(spark).withColumn("description", F.lit("")).coalesce(1).write.option("header", True).csv(path))
+    return read_dictionary(spark, path)
+
+
 def _restrict(d: DataFrame, columns) -> DataFrame:
     if not columns:
         return d
