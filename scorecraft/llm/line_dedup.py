@@ -1,6 +1,13 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup: repeated passages of whole lines, or content-defined chunks of lines.
 
-A text's lines (cut at line feeds, which stay with their line) are hashed, and a
+``passage_dedup`` (the query's) compares every run of ``min_lines`` consecutive lines,
+a window, and every line of more than ``min_words`` words, a paragraph, with all others.
+Lines of windows and paragraphs that stand at an earlier (id, place) are removed, after
+their bytes were compared; a longer passage is the union of its windows, so it goes whole
+wherever it stands.  First only hashes are written, a narrow row per line; texts are
+cut again for those whose hash repeats.
+
+``line_dedup`` is the cheaper method that misses the ends of passages.  A text's lines (cut at line feeds, which stay with their line) are hashed, and a
 rolling hash over the last ``window`` line hashes chooses boundaries: a chunk of at
 least ``min_lines`` lines ends after a line where it is 0 modulo ``spread``.  Boundaries
 depend on nearby lines only, so a passage that is inserted elsewhere is cut the same
@@ -9,9 +16,9 @@ a chunk of its own.  Chunks of at least ``min_lines`` lines and such paragraphs
 occur again anywhere are removed after their bytes were compared; the occurrence with
 the smallest (id, place) stays.
 
-Chunks are written once to the shared checkpoint folder; counting reads only their
-hashes.  A chunk's occurrences are counted before the shuffle, and only texts of
-chunks whose hash repeats are compared, as grouping keys.  Decisions are narrow rows
+Its chunks are written once to the shared checkpoint folder; counting reads only their
+hashes.  Occurrences are counted before the shuffle, and only texts whose hash repeats
+are compared, as grouping keys.  Decisions are narrow rows
 per document, joined back to the documents; a very common passage is a skewed join
 key, which adaptive execution splits."""
 
@@ -41,6 +48,14 @@ def _words(buf: np.ndarray, start: np.ndarray) -> np.ndarray:
     return np.add.reduceat(word, start, dtype=np.int64) if len(start) else np.zeros(0, np.int64)
 
 
+def _lines(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Start byte of every line of a batch of texts; an empty text has none."""
+    head = np.zeros(len(buf), bool)
+    head[1:] = buf[:-1] == 0x0A
+    head[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return np.flatnonzero(head)
+
+
 def chunk_spans(buf: np.ndarray, offsets: np.ndarray, window: int, spread: int, min_lines: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start byte of every chunk, its number of lines, first chunk of every text) of a
     batch of texts; an empty text has no chunk."""
@@ -49,9 +64,7 @@ def chunk_spans(buf: np.ndarray, offsets: np.ndarray, window: int, spread: int,
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     first = np.zeros(n, bool)
     first[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
-    head = first.copy()
-    head[1:] |= buf[:-1] == 0x0A
-    line = np.flatnonzero(head)
+    line = _lines(buf, offsets)
     raw = buf.tobytes()
     h = np.fromiter((xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip(line.tolist(), [*line[1:].tolist(), n])), np.uint64, len(line))
     opens = first[line]
@@ -139,3 +152,108 @@ def line_dedup(docs: DataFrame, window: int = 2, spread: int = 2, min_lines: int
     joined = sized_join(rows, lists, "id", "left").select("id", "text", "gone")
     out = joined.mapInArrow(cut, f"id {id_type}, text string, n_chunks long, n_removed long")
     return out.withColumnsRenamed({"id": id_col, "text": text_col})
+
+
+class _Units:
+    """Windows and paragraphs of a batch of texts, by the line they begin with."""
+
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, min_lines: int, min_words: int):
+        self.raw, self.min_lines = buf.tobytes(), min_lines
+        self.start = _lines(buf, offsets)
+        self.edge = np.searchsorted(self.start, offsets)  # first line of every text
+        n = len(self.start)
+        self.size = np.diff(np.append(self.start, len(buf)))
+        self.stop = self.start + self.size
+        h = np.fromiter((xxhash.xxh64_intdigest(self.raw[a:b]) for a, b in zip(self.start.tolist(), self.stop.tolist())), np.uint64, n)
+        self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(self.edge))
+        self.window = np.arange(n) + min_lines <= self.edge[self.doc + 1]
+        self.paragraph = _words(buf, self.start) > min_words
+        rolling = h.copy()
+        for k in range(1, min_lines):
+            ahead = np.zeros_like(h)
+            ahead[:-k] = h[k:]
+            rolling = rolling * _FACTOR + ahead
+        self.window_hash, self.paragraph_hash = (rolling * _MIX).view(np.int64), h.view(np.int64)
+
+    def found(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first line, hash, number of lines) of the units that ``lists`` (a list of
+        (no, h) or null per text) name and that are there."""
+        doc = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        items = lists.flatten()
+        no, h = (items.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        line = self.edge[doc] + no
+        there = line < self.edge[doc + 1]
+        line, h = line[there], h[there]
+        window = self.window[line] & (self.window_hash[line] == h)
+        use = window | self.paragraph[line] & (self.paragraph_hash[line] == h)
+        return line[use], h[use], np.where(window, self.min_lines, 1)[use]
+
+    def text(self, line: int, lines: int) -> bytes:
+        return self.raw[self.start[line]:self.stop[line + lines - 1]]
+
+
+def passage_dedup(docs: DataFrame, min_lines: int = 2, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id_col, text_col (what is left of it), n_chunks (its
+    lines) and n_removed (lines removed).
+
+    A line goes if it belongs to ``min_lines`` consecutive lines, or has more than
+    ``min_words`` words, that stand at a smaller (id, place) too; windows that overlap
+    their first place in the same text stay.  The first place of every line stays.
+
+    Cases: null text counts as empty and has no lines; a text without line feeds is
+    one line; a passage that repeats within one text is removed there too; rows that
+    repeat an id are one document to the decisions (the same lines at the same place
+    stay or go in all of them); a null id keeps its text and counts nowhere; an empty
+    table gives an empty result; other columns are not read, whatever their names."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def hashes(batches):
+        for batch in steps(batches, "text"):
+            u = _Units(*text_buffer(batch.column(1)), min_lines, min_words)
+            for use, h in ((u.window, u.window_hash), (u.paragraph, u.paragraph_hash)):
+                at = np.flatnonzero(use)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(u.doc[at])), pa.array((at - u.edge[u.doc[at]]).astype(np.int32)), pa.array(h[at])],
+                                                 ["id", "no", "h"])
+
+    def texts(batches):
+        for batch in steps(batches, "text"):
+            u = _Units(*text_buffer(batch.column(1)), min_lines, min_words)
+            at, h, lines = u.found(batch.column(2))
+            for lo in range(0, len(at), 1 << 14):
+                k = slice(lo, lo + (1 << 14))
+                chunk = pa.array([u.text(a, n) for a, n in zip(at[k].tolist(), lines[k].tolist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(u.doc[at[k]])), pa.array((at - u.edge[u.doc[at]])[k].astype(np.int32)),
+                                                  pa.array(lines[k].astype(np.int32)), pa.array(h[k]), chunk], ["id", "no", "lines", "h", "chunk"])
+
+    def per_text(units, name):  # at most a text's lines, twice
+        return staged(units.groupBy("id").agg(F.collect_set(F.struct("no", "h")).alias("units")), name)
+
+    found = staged(rows.where("id is not null").mapInArrow(hashes, f"id {id_type}, no int, h long"), "line_windows")
+    again = staged(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "line_hashes")
+    maybe = per_text(sized_join(found, again, "h", "inner"), "line_maybe")
+    candidates = sized_join(rows, maybe, "id", "inner").select("id", "text", "units")
+    candidates = staged(candidates.mapInArrow(texts, f"id {id_type}, no int, lines int, h long, chunk binary"), "line_candidates")
+    # equal bytes, not only equal hashes
+    keep = staged(candidates.groupBy("h", "lines", "chunk").agg(F.min(F.struct("id", "no")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "line_repeats")
+    apart = (F.col("id") != F.col("first.id")) | (F.col("first.no") + F.col("lines") <= F.col("no"))
+    lists = per_text(candidates.join(keep, ["h", "lines", "chunk"]).where(apart), "line_removals")
+
+    def cut(batches):
+        for batch in steps(batches, "text"):
+            buf, off = text_buffer(batch.column(1))
+            u = _Units(buf, off, min_lines, min_words)
+            at, _, lines = u.found(batch.column(2))
+            cover = np.zeros(len(u.start) + 1, np.int64)
+            np.add.at(cover, at, 1)
+            np.add.at(cover, at + lines, -1)
+            drop = np.cumsum(cover)[:-1] > 0
+            kept = np.concatenate([[0], np.cumsum(np.where(drop, 0, u.size))])[u.edge]
+            left = buf[np.repeat(~drop, u.size)]
+            text = pa.Array.from_buffers(pa.large_string(), batch.num_rows, [None, pa.py_buffer(kept.astype(np.int64)), pa.py_buffer(left)])
+            count = np.concatenate([[0], np.cumsum(drop)])[u.edge]
+            yield pa.RecordBatch.from_arrays([batch.column(0), text.cast(pa.string()), pa.array(np.diff(u.edge)), pa.array(np.diff(count))],
+                                             ["id", "text", "n_chunks", "n_removed"])
+
+    out = sized_join(rows, lists, "id", "left").select("id", "text", "units").mapInArrow(cut, f"id {id_type}, text string, n_chunks long, n_removed long")
+    return out.withColumnsRenamed({"id": id_col, "text": text_col})

@@ -164,6 +164,6 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_line_dedup")
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document less the line chunks that stand in an earlier one."""
-    from scorecraft.llm.line_dedup import line_dedup
-    return line_dedup(table(spark, sf_dir, "documents"))
+    """Every document less the passages of whole lines that stand in an earlier one."""
+    from scorecraft.llm.line_dedup import passage_dedup
+    return passage_dedup(table(spark, sf_dir, "documents"))
