@@ -1,7 +1,8 @@
 """Line dedup: repeated passages of whole lines, or content-defined chunks of lines.
 
 ``passage_dedup`` (the query's) compares every run of ``min_lines`` consecutive lines,
-a window, and every line of more than ``min_words`` words, a paragraph, with all others.
+a window, and every line of more than ``min_words`` words, a paragraph, with all others, without
+the line ends.
 Lines of windows and paragraphs that stand at an earlier (id, place) are removed, after
 their bytes were compared; a longer passage is the union of its windows, so it goes whole
 wherever it stands.  First only hashes are written, a narrow row per line; texts are
@@ -163,7 +164,9 @@ class _Units:
         self.edge = np.searchsorted(self.start, offsets)  # first line of every text
         n = len(self.start)
         self.size = np.diff(np.append(self.start, len(buf)))
-        self.stop = self.start + self.size
+        self.stop = self.start + self.size  # less the line's terminator
+        for byte in (0x0A, 0x0D):
+            self.stop -= (self.stop > self.start) & (buf[self.stop - 1] == byte)
         h = np.fromiter((xxhash.xxh64_intdigest(self.raw[a:b]) for a, b in zip(self.start.tolist(), self.stop.tolist())), np.uint64, n)
         self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(self.edge))
         self.window = np.arange(n) + min_lines <= self.edge[self.doc + 1]
@@ -189,7 +192,7 @@ class _Units:
         return line[use], h[use], np.where(window, self.min_lines, 1)[use]
 
     def text(self, line: int, lines: int) -> bytes:
-        return self.raw[self.start[line]:self.stop[line + lines - 1]]
+        return b"\n".join(self.raw[self.start[k]:self.stop[k]] for k in range(line, line + lines))
 
 
 def passage_dedup(docs: DataFrame, min_lines: int = 2, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,6 +202,8 @@ def passage_dedup(docs: DataFrame, min_lines: int = 2, min_words: int = 50, id_c
     A line goes if it belongs to ``min_lines`` consecutive lines, or has more than
     ``min_words`` words, that stand at a smaller (id, place) too; windows that overlap
     their first place in the same text stay.  The first place of every line stays.
+    Lines are compared without the line feed, or carriage return and line feed, that
+    ends them, and keep it in what is left.
 
     Cases: null text counts as empty and has no lines; a text without line feeds is
     one line; a passage that repeats within one text is removed there too; rows that

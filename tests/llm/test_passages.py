@@ -19,7 +19,7 @@ def _left(rows, min_lines=2, min_words=50):
         for no in range(len(lines)):
             units = [1] if len(re.findall(rb"[^\x20\x09-\x0D]+", lines[no])) > min_words else []
             for n in units + [min_lines] * (no + min_lines <= len(lines)):
-                at = first.setdefault(tuple(lines[no:no + n]), (k, no))
+                at = first.setdefault(tuple(re.sub(rb"\r?\n?$", b"", x) for x in lines[no:no + n]), (k, no))
                 if at[0] != k or at[1] + n <= no:
                     gone |= set(range(no, no + n))
         out[k] = b"".join(x for no, x in enumerate(lines) if no not in gone).decode()
@@ -73,3 +73,10 @@ def test_query_removes_whole_passages(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.text for r in QUERIES["op6_line_dedup"](spark, str(tmp_path)).collect()}
     assert got == {k: t if k == 0 else t.replace(passage, "") for k, t in rows}
+
+
+def test_line_ends_do_not_matter(spark):
+    long, a, b = (text(k, n, 100).replace("\n", " ") for k, n in ((1, 70), (2, 9), (3, 9)))
+    rows = [(1, f"one\n{long}\n{a}\n{b}\nend"), (2, f"two\n{long}"), (3, f"three\r\n{a}\r\n{b}"), (4, f"four\r\n{long}\r\n{a}\n{b}\r\nend4\r\n"), (5, f"{a}\r")]
+    got = _check(spark, rows)
+    assert [got[k].text for k in range(1, 6)] == [rows[0][1], "two\n", "three\r\n", "four\r\nend4\r\n", f"{a}\r"]
