@@ -1,7 +1,8 @@
 """Corpus pipeline: quality filter, exact dedup, SimHash near-dedup, mixing, token ids.
 
 Each stage calls one operator of ``scorecraft.llm`` on the documents that the stage
-before it kept.  All but the last return the columns of ``documents``; the last
+before it kept.  Decisions are applied row by row, so repeated and null ids are
+documents like any other.  All but the last return the columns of ``documents``; the last
 returns doc_id, ids and n_tokens for every document that the mix takes, as often as
 it takes it."""
 
@@ -27,11 +28,15 @@ SHINGLE, MAX_BITS = 3, 3
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, judged: DataFrame, name: str) -> DataFrame:
-    """``docs`` less those whose id ``judged`` (doc_id, kept) keeps in no row; the ids
-    that go are sent to the documents where their measured size allows it."""
-    gone = staged(judged.where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select("doc_id"), name)
-    return sized_join(docs, gone, "doc_id", "left_anti")
+def _keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a key of its own for every row, written so that it stays the same."""
+    return staged(docs.withColumn("__row", F.monotonically_increasing_id()), name)
+
+
+def _without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """``docs`` (with __row) less the rows ``gone`` (__row); their keys are sent to the
+    documents where their measured size allows it."""
+    return sized_join(docs, staged(gone.select("__row"), name), "__row", "left_anti").drop("__row")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,20 +48,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of equal texts."""
-    return _without(docs, exact_dedup(docs), "exact_gone")
+    """Keeps one row of each group of equal texts, whatever the rows' ids."""
+    docs = _keyed(docs, "exact_rows")
+    return _without(docs, exact_dedup(docs, keep=["__row"]).where("not kept"), "exact_gone")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of linked fingerprints."""
-    return _without(docs, simhash_dedup(docs, SHINGLE, MAX_BITS), "near_gone")
+    """Keeps one row of each group of linked fingerprints: that of the smallest id."""
+    docs = _keyed(docs, "near_rows")
+    judged = simhash_dedup(docs, SHINGLE, MAX_BITS, id_col="__row", keep=["doc_id"])
+    judged = staged(judged.select("__row", "doc_id", F.col("component_id").alias("component")), "near")
+    first = judged.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first"), F.count("*").alias("n"))
+    first = staged(first.where("n > 1").select("component", F.col("first.__row").alias("stays")), "near_first")
+    return _without(docs, sized_join(judged.select("__row", "component"), first, "component", "inner").where("__row <> stays"), "near_gone")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them (0 to 3 times)."""
-    plan = mix(docs).where("repeats > 0 and doc_id is not null").groupBy("doc_id").agg(F.max("repeats").cast("int").alias("__times"))
-    taken = sized_join(docs, staged(plan, "mix_plan"), "doc_id", "inner")
-    return taken.withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    """Rows as often as the mix takes them (0 to 3 times)."""
+    docs = _keyed(docs, "mix_rows")
+    plan = mix(docs, keep=["__row"]).where("repeats > 0").select("__row", F.col("repeats").cast("int").alias("__times"))
+    taken = sized_join(docs, staged(plan, "mix_plan"), "__row", "inner").drop("__row")
+    return taken.withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times")))).drop("__time", "__times")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

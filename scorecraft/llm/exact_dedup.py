@@ -51,28 +51,29 @@ def _range(key: Column, splitters: Column, n: int) -> Column:
     return F.aggregate(powers, start, step, lambda s: s["n"])
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id_col, keep_id (smallest id of the equal texts),
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple | list = ()) -> DataFrame:
+    """One row per row of ``docs``: id_col, the columns ``keep``, keep_id (smallest id of the equal texts),
     group_size, kept (true for exactly one row of each group) and text_sha256.
 
     Cases: null text equals empty text; null ids come after all others (keep_id is
     null only where the whole group has none); of rows that repeat an id and text
     one is kept; an empty table gives an empty result; only the id and text
-    columns are read, so others may have any name."""
+    columns and ``keep`` are read, so others may have any name."""
     spark = docs.sparkSession
     found = _splitters(docs, id_col, text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
     # read back as one folded literal
     splitters = F.from_json(F.lit(json.dumps([k.asDict() for k in found], default=str)), f"array<struct<p:string,h:bigint,i:{id_type}>>")
-    rows = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm")).withColumn("key", _key(F.col("norm"), F.col("id")))
-    ranged = rows.withColumn("range", _range(F.col("key"), splitters, len(found))).select("id", "norm", "range", "key.p", "key.h")
+    kept = F.struct(F.lit(0), *map(F.col, keep)).alias("__keep")
+    rows = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"), kept).withColumn("key", _key(F.col("norm"), F.col("id")))
+    ranged = rows.withColumn("range", _range(F.col("key"), splitters, len(found))).select("id", "norm", "__keep", "range", "key.p", "key.h")
     touches = lambda s: F.coalesce((s["p"] == F.col("p")) & (s["h"] == F.col("h")), F.lit(False))
     w = Window.partitionBy("range").orderBy("norm", F.col("id").asc_nulls_last())
     first = F.coalesce(F.col("before") != F.col("norm"), F.lit(True))
     runs = (ranged.withColumn("before", F.lag("norm").over(w)).withColumn("first", first.cast("long"))
             .withColumn("run", F.sum("first").over(w.rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("edge", touches(F.get(splitters, F.col("range") - 1)) | touches(F.get(splitters, F.col("range")))))
-    narrow = staged(runs.select("id", "range", "run", (F.col("first") == 1).alias("first"), "edge", F.sha2("norm", 256).alias("sha"),
+    narrow = staged(runs.select("id", "__keep", "range", "run", (F.col("first") == 1).alias("first"), "edge", F.sha2("norm", 256).alias("sha"),
                                 F.when(F.col("edge") & (F.col("first") == 1), F.col("norm")).alias("text")), "exact_dedup")
     # runs of the texts that may lie in several ranges: at most two a range
     parts = narrow.where("edge").groupBy("range", "run").agg(F.min("id").alias("low"), F.count("*").alias("n"), F.max("text").alias("text"))
@@ -82,6 +83,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     own = Window.partitionBy("range", "run")
     out = (narrow.drop("text", "edge").withColumn("low", F.min("id").over(own)).withColumn("n", F.count("*").over(own))
            .join(F.broadcast(merged), ["range", "run"], "left"))
-    return out.select(F.col("id").alias(id_col), F.when(F.col("holds").isNull(), F.col("low")).otherwise(F.col("all_low")).alias("keep_id"),
+    return out.select(F.col("id").alias(id_col), *[F.col(f"__keep.{c}") for c in keep], F.when(F.col("holds").isNull(), F.col("low")).otherwise(F.col("all_low")).alias("keep_id"),
                       F.coalesce("all_n", "n").alias("group_size"),
                       (F.col("first") & F.coalesce("holds", F.lit(True))).alias("kept"), F.col("sha").alias("text_sha256"))

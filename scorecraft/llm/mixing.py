@@ -59,8 +59,8 @@ def ranked_weights(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) ->
 
 
 def mix(docs: DataFrame, weights=ranked_weights, max_epochs: int = 3, total: float | None = None, seed: str = "mix",
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per row of ``docs``: id_col, source, size (words), source_size, target
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: tuple | list = ()) -> DataFrame:
+    """One row per row of ``docs``: id_col, the columns ``keep``, source, size (words), source_size, target
     (words of its source), repeats (how often the mix takes it) and taken
     (repeats * size).  ``weights`` gets the frame of sources (source, source_size,
     one row each) and returns it with the column weight; ``total`` words are shared
@@ -70,7 +70,7 @@ def mix(docs: DataFrame, weights=ranked_weights, max_epochs: int = 3, total: flo
     has target 0 and its documents 0 repeats; rows that repeat an id are taken
     alike; an empty table gives an empty result; other columns are not read."""
     sized = staged(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-                               _name(F.col(source_col)).alias("key"), slot(F.col(id_col), seed).alias("slot")), "mix")
+                               _name(F.col(source_col)).alias("key"), slot(F.col(id_col), seed).alias("slot"), F.struct(F.lit(0), *map(F.col, keep)).alias("__keep")), "mix")
     slots = sized.groupBy("key", "slot").agg(F.sum("size").alias("words"), F.first("source").alias("source"))
     slots = staged(slots, "mix_slots")  # at most 4096 rows a source
     sources = slots.groupBy("key").agg(F.sum("words").alias("source_size"), F.first("source").alias("source"))
@@ -90,4 +90,4 @@ def mix(docs: DataFrame, weights=ranked_weights, max_epochs: int = 3, total: flo
     table = table.select("key", "source_size", "target", "whole", F.coalesce("last", F.lit(-1)).alias("last"), F.coalesce("fill", F.lit(-1)).alias("fill"))
     out = sized_join(sized, table, "key", "inner")
     repeats = F.col("whole") + ((F.col("slot") <= F.col("last")) | (F.col("slot") == F.col("fill"))).cast("long")
-    return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken"))
+    return out.select(F.col("id").alias(id_col), *[F.col(f"__keep.{c}") for c in keep], "source", "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken"))

@@ -82,16 +82,17 @@ def fingerprints(buf: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
     return np.packbits(2 * count > n[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
-def fingerprint(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the fingerprint of every row as a signed 64-bit number."""
+def fingerprint(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text", keep: tuple | list = ()) -> DataFrame:
+    """(id, fp, the columns ``keep``): the fingerprint of every row as a signed 64-bit number."""
     id_type = docs.schema[id_col].dataType.simpleString()
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches):
         for batch in steps(batches, "text", 1 << 20):
             buf, off = text_buffer(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprints(buf, off, size).view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprints(buf, off, size).view(np.int64)), *batch.columns[2:]], ["id", "fp", *keep])
 
-    return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, f"id {id_type}, fp long")
+    return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *keep).mapInArrow(run, f"id {id_type}, fp long{more}")
 
 
 def _rings(fp: Column, part: int, parts: int, levels: int) -> list[Column]:
@@ -191,8 +192,9 @@ def links(points: DataFrame, max_bits: int) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
-def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id_col (whole numbers), fingerprint (16 hex
+def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text", keep: tuple | list = ()) -> DataFrame:
+    """One row per row of ``docs``: id_col (whole numbers), the columns ``keep`` (other than
+    those of the result, id and fp), fingerprint (16 hex
     digits), component_id (the smallest id reachable over links of at most
     ``max_bits`` differing bits) and kept (the row has that id).
 
@@ -200,11 +202,11 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col:
     fewer words than a shingle make one shingle; rows that repeat an id are kept or
     dropped together; a null id has a fingerprint, component_id null, kept true, and
     links nothing; an empty table gives an empty result; other columns are not read."""
-    marks = staged(fingerprint(docs, shingle, id_col, text_col).withColumn("id", F.col("id").cast("long")), "fingerprints")
+    marks = staged(fingerprint(docs, shingle, id_col, text_col, keep).withColumn("id", F.col("id").cast("long")), "fingerprints")
     points = staged(marks.where("id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "distinct_fingerprints")
     found = components(staged(links(points, max_bits), "links"))
     named = points.join(found, points["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     out = marks.join(named, "fp", "left")
     component = F.when(F.col("id").isNotNull(), F.col("component_id"))
-    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), component.alias("component_id"),
+    return out.select(F.col("id").alias(id_col), *keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), component.alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
