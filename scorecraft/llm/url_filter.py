@@ -48,14 +48,46 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return rule, verdict
 
 
+def _bare(url: Column) -> Column:
+    """Without its fragment."""
+    return F.regexp_extract(url, r"(?s)^[^#]*", 0)
+
+
+def _without_dots(path: Column) -> Column:
+    """``path`` (empty or from its first slash) without ``.`` and ``..`` segments."""
+    parts = F.split(path, "/", -1)
+    step = lambda done, x: (F.when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+                            .when(x == ".", done).otherwise(F.concat(done, F.array(x))))
+    done = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array(F.lit("")).cast("array<string>"), step)
+    ends = path.rlike(r"(?s)/\.\.?$")  # names a folder
+    return F.when(path == "", path).otherwise(F.array_join(F.when(ends, F.concat(done, F.array(F.lit("")))).otherwise(done), "/"))
+
+
+def resolved(target: Column, page: Column) -> Column:
+    """The url that a reference in the html of ``page`` means (RFC 3986), without its
+    fragment; null where it is no url with ``://`` or the page's is none to resolve against."""
+    ref = _bare(F.regexp_replace(target, "(?i)&(amp|#38|#x26);", "&"))
+    scheme, site = F.regexp_extract(page, r"(?s)^(.*?)://", 1), F.regexp_extract(page, r"(?s)^.*?://[^/?#]*", 0)
+    path, query = path_of(page), F.regexp_extract(page, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    own, more = F.regexp_extract(ref, r"(?s)^[^?]*", 0), F.regexp_extract(ref, r"(?s)(\?.*)$", 1)  # its path and query
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"(?s)^.*/", 0))
+    full = (F.when(ref == "", F.concat(site, path, query))
+            .when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), ref)
+            .when(ref.startswith("//"), F.concat(scheme, F.lit(":"), ref))
+            .when(ref.startswith("/"), F.concat(site, ref))
+            .when(ref.startswith("?"), F.concat(site, path, ref))
+            .otherwise(F.concat(site, folder, own, more)))
+    whole = F.regexp_extract(full, r"(?s)^[A-Za-z][A-Za-z0-9+.\-]*://[^/?]*", 0)
+    clean = F.concat(whole, _without_dots(path_of(full)), F.regexp_extract(full, r"(?s)^[^?]*(\?.*)$", 1))
+    return F.when(whole != "", clean)
+
+
 def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Edges (a, b) between a page's url and what it redirects to or calls canonical."""
+    """Edges (a, b) between a page's url and what it redirects to or calls canonical,
+    both without fragments."""
     found = pages.where(F.col(url_col).isNotNull() & F.col(html_col).isNotNull()).select(
         F.col(url_col).alias("a"), F.explode(F.concat(F.regexp_extract_all(html_col, F.lit(CANONICAL), 1), F.regexp_extract_all(html_col, F.lit(REFRESH), 1))).alias("b"))
-    base = F.regexp_extract("a", r"(?s)^(.*?)://", 1)
-    site = F.regexp_extract("a", r"(?s)^.*?://[^/?#]*", 0)
-    target = F.when(F.col("b").startswith("//"), F.concat(base, F.lit(":"), "b")).when(F.col("b").startswith("/"), F.concat(site, "b")).otherwise(F.col("b"))
-    return found.select("a", target.alias("b")).distinct()
+    return found.select(_bare(F.col("a")).alias("a"), resolved(F.col("b"), F.col("a")).alias("b")).where("b is not null").distinct()
 
 
 def url_filter(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFrame | None = None,
@@ -65,21 +97,24 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFr
     without any).  ``rules`` is a list of (rule, ``allow`` or ``block``), held in the
     plan; ``redirects`` adds edges (a, b) between urls, from a crawl log for example.
 
+    References are resolved against the page's url; urls that differ in the fragment
+    only are one resource to links, so component has none where there are aliases.
+
     Cases: a null url or one without ``://`` has empty host and path, fits no rule and
     has no alias; null html has no links; without a rule the verdict is block if a url
     of the component is blocked and none is allowed, else allow; repeated rows are
     judged alike; an empty table gives an empty result; other columns are not read."""
     edges = page_edges(pages, url_col, html_col)
     if redirects is not None:
-        edges = edges.union(redirects.select("a", "b")).distinct()
+        edges = edges.union(redirects.select(_bare(F.col("a")).alias("a"), _bare(F.col("b")).alias("b"))).distinct()
     found = staged(components(edges), "aliases")  # urls in edges only
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     judge = lambda df, url: df.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url))).withColumn("rule", rule).withColumn("own", verdict)
     # targets that are not pages count as well: a redirect to a blocked url is blocked
     spread = (judge(found, "node").groupBy("component")
               .agg(F.max(F.col("own") == "block").alias("blocked"), F.max(F.col("own") == "allow").alias("allowed")))
-    alias = found.join(spread, "component").select(F.col("node").alias("url"), "component", (F.col("blocked") & ~F.coalesce("allowed", F.lit(False))).alias("spread"))
-    rows = judge(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")), "url")
-    out = sized_join(rows, staged(alias, "aliases"), "url", "left")
+    alias = found.join(spread, "component").select(F.col("node").alias("bare"), "component", (F.col("blocked") & ~F.coalesce("allowed", F.lit(False))).alias("spread"))
+    rows = judge(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")), "url").withColumn("bare", _bare(F.col("url")))
+    out = sized_join(rows, staged(alias, "aliases"), "bare", "left")
     method = F.when(F.coalesce("spread", F.lit(False)), "block").otherwise("allow")
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("own", method).alias("verdict"), F.coalesce("component", "url").alias("component"))
