@@ -206,8 +206,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     # a text file's line is written byte for byte: a block and its newline
     (staged.mapInArrow(write, "block binary").select(F.col("block").cast("string"))
      .write.option("maxRecordsPerFile", BLOCKS_PER_FILE).text(f"{folder}/blocks"))
-    sizes = staged.select("block", F.coalesce(F.col("ids")[0], F.lit(-2**63)).alias("first"), F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-    w = Window.orderBy("first", "block")  # one narrow row per block of 8 MB of text
+    sizes = staged.select("block", F.coalesce(F.col("ids")[0], F.lit(-2**63)).alias("first"),
+                          F.coalesce(F.element_at("ids", -1), F.lit(-2**63)).alias("last"), F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
+    w = Window.orderBy("first", "last", "block")  # one narrow row per block of 8 MB of text
     sizes.select("block", (F.row_number().over(w) - 1).alias("position"),
                  (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("start"), "n").write.parquet(f"{folder}/index")
 
