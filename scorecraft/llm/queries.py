@@ -193,3 +193,31 @@ def op13_sentence_piece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     rows = decode(encode(table(spark, sf_dir, "documents"), model), model)
     return rows.select("doc_id", "ids", "decoded").mapInArrow(_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def _with_repetitions(docs: DataFrame) -> DataFrame:
+    """Texts, of which one in ten repeats a stretch of its words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", (h % 10 == 0).alias("chosen"), F.floor(h / 10).alias("g"))
+    rows = rows.withColumn("words", F.when(F.col("chosen"), words)).withColumn("n", F.size("words").cast("long"))
+    a = F.col("g") % F.col("n")
+    rows = rows.withColumn("a", a).withColumn("p", 1 + F.floor((F.col("n") - a) / (3 + F.col("g") % 8)))
+    again = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get(
+        "words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return rows.select("doc_id", F.when(F.col("chosen") & (F.col("n") > 0), F.concat_ws(" ", again)).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of every document, the one of the greatest exponent, and the text without repetitions."""
+    from scorecraft.llm.periodic_runs import periodic_runs
+    rows = periodic_runs(_with_repetitions(table(spark, sf_dir, "documents")))
+    zero = F.struct(*[F.lit(0).cast("long").alias(c) for c in ("start", "length", "period")])
+    # the first of the greatest ratios; lengths and periods are far below the root of 2^63
+    best = F.aggregate("runs", zero, lambda m, r: F.when((m["period"] == 0) | (r["length"] * m["period"] > m["length"] * r["period"]), r).otherwise(m))
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))))
+    rows = rows.withColumn("best", F.when(F.size("runs") > 0, best))
+    return rows.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                       F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
