@@ -221,3 +221,44 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
                        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def _rebuilt(rows: DataFrame) -> DataFrame:
+    """Paths with the first turns of the conversation of the next lower multiple of five put first."""
+    from scorecraft.llm.prefix_trie import head, tail
+    conv = F.col("conv_id")
+    rows = rows.withColumn("h", (F.crc32(conv.cast("string").cast("binary")) % 9).cast("int"))
+    first, sizes = head(F.col("path"), F.col("sizes"), F.lit(8))
+    base = rows.where(conv % 5 == 0).select(conv.alias("base"), first.alias("base_path"), sizes.alias("base_sizes"))
+    own, own_sizes = tail(F.col("path"), F.col("sizes"), F.col("h"))
+    took, took_sizes = head(F.coalesce("base_path", F.lit(b"")), F.coalesce("base_sizes", F.array().cast("array<long>")), F.col("h"))
+    return rows.join(base, conv - conv % 5 == F.col("base"), "left").select(
+        "conv_id", F.concat(took, own).alias("path"), F.concat(took_sizes, own_sizes).alias("sizes"))
+
+
+@query("op12_prefix_trie", """
+WITH t0 AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+t1 AS (SELECT *, sha256(strlen(role)::VARCHAR || ':' || role || text) AS mark FROM t0),
+t AS (SELECT conv_id, mark, strlen(text) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, mark) AS k FROM t1),
+c AS (SELECT conv_id, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(s) + 1), lambda i: ord(s[i]))),
+        lambda x, b: list_reduce(list_prepend(xor(x, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))) % 9 AS h
+      FROM (SELECT DISTINCT conv_id, conv_id::VARCHAR AS s FROM t0)),
+r AS (SELECT c.conv_id, 0 AS part, k, mark, size FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 WHERE k <= h
+      UNION ALL SELECT c.conv_id, 1, k, mark, size FROM c JOIN t ON t.conv_id = c.conv_id WHERE k > h),
+o AS (SELECT *, row_number() OVER w AS d, sha256(string_agg(mark, '') OVER w) AS node FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, k)),
+p AS (SELECT conv_id, d, node, coalesce(lag(node) OVER (PARTITION BY conv_id ORDER BY d), 'root') AS up, size FROM o
+      UNION ALL SELECT conv_id, 0, 'root', NULL, 0 FROM c),
+n AS (SELECT node, min(conv_id) AS conv_id, any_value(d) AS depth, any_value(up) AS up, any_value(size) AS size, count(*) AS n_convs FROM p GROUP BY node),
+kids AS (SELECT up, count(*) AS n_children FROM n GROUP BY up),
+e AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ends
+      FROM (SELECT conv_id, arg_max(node, d) AS node FROM p GROUP BY conv_id) GROUP BY node),
+b AS (SELECT p.node, sum((n.n_convs - 1) * n.size) AS saved, count_if(kids.n_children IS NULL) AS leaves
+      FROM n JOIN p ON p.conv_id = n.conv_id AND p.d <= n.depth LEFT JOIN kids ON kids.up = n.node GROUP BY p.node)
+SELECT n.conv_id, n.depth::BIGINT AS depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n_children, 0) AS n_children, b.leaves::BIGINT AS n_leaves,
+       b.saved::BIGINT AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM n JOIN b ON b.node = n.node LEFT JOIN n a ON a.node = n.up LEFT JOIN kids ON kids.up = n.node LEFT JOIN e ON e.node = n.node""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    from scorecraft.llm.prefix_trie import paths, prefix_trie
+    from scorecraft.llm.staging import staged
+    return prefix_trie(_rebuilt(staged(paths(table(spark, sf_dir, "conversations")), "turns")))
