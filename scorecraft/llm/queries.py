@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,28 +169,13 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_dedup(table(spark, sf_dir, "documents"))
 
 
-def _digests(batches):
-    """Number and SHA-256 of each row's ids (little-endian, 32 bits) and SHA-256 of its text."""
-    from scorecraft.llm.batches import text_buffer
-    for batch in batches:
-        lists = batch.column(1)
-        at = lists.offsets.to_numpy()
-        ids = lists.values.to_numpy().astype("<u4", copy=False)
-        raw, off = text_buffer(batch.column(2))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(at[1:] - at[:-1], pa.int64()),
-             pa.array([hashlib.sha256(ids[a:b]).hexdigest() for a, b in zip(at, at[1:])]),
-             pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(off, off[1:])])],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-
 @query("op13_sentence_piece")
 def op13_sentence_piece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, with begin and end ids, and the text they decode to, as digests."""
     from scorecraft.llm.sentence_piece import decode, encode
     model = public_tokenizers.path("piece_bpe_32k.model")
-    rows = decode(encode(table(spark, sf_dir, "documents"), model), model)
-    return rows.select("doc_id", "ids", "decoded").mapInArrow(_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    rows = decode(encode(table(spark, sf_dir, "documents"), model), model, digest="ids_sha256")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def _with_repetitions(docs: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ name.  Ids that are null or an empty list decode to the empty text."""
 from __future__ import annotations
 
 import codecs
+import hashlib
 import heapq
 import struct
 from functools import lru_cache
@@ -38,7 +39,8 @@ from scorecraft.llm.pretokens import distinct
 BLANK = 0x2581
 _BLANK_BYTES = chr(BLANK).encode()
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # kinds of pieces in a model file
-_NONE = np.int64(1) << 40  # no pair
+_NONE = np.int32(1 << 30)  # no pair
+STEP_BYTES, STEP_IDS = 1 << 20, 1 << 18  # texts and ids that a task works on at once
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CHARS = np.int64(0x110000)
 
@@ -125,7 +127,7 @@ class Model:
         self.size = len(pieces)
         self.begin, self.end = spec["begin"], spec["end"]
         words = {p: k for k, (p, _, kind) in enumerate(pieces) if kind == NORMAL}
-        self.symbol = np.arange(_CHARS, dtype=np.int64) + self.size  # of a character
+        self.symbol = np.arange(_CHARS, dtype=np.int32) + np.int32(self.size)  # of a character
         for p, k in words.items():
             if len(p) == 1:
                 self.symbol[ord(p)] = k
@@ -141,22 +143,18 @@ class Model:
                     rights.append(b)
                     made.append(k)
         self.pairs = Table(self._pair(np.array(lefts, np.int64), np.array(rights, np.int64)))
-        self.made = np.array([*made, -1], np.int64)
-        self.rank = np.array([*(rank[pieces[k][1]] for k in made), _NONE], np.int64)
+        self.made = np.array([*made, -1], np.int32)
+        self.rank = np.array([*(rank[pieces[k][1]] for k in made), _NONE], np.int32)
         self.nexts = Table(np.array([ord(a) * int(_CHARS) + ord(b) for a, b in nexts], np.int64))
         self.blanks_lead = all(chr(BLANK) not in p.lstrip(chr(BLANK)) for p in words)
-        self.byte = np.zeros(256, np.int64)
+        self.byte = np.zeros(256, np.int32)
         for k, (p, _, kind) in enumerate(pieces):
             if kind == BYTE:
                 self.byte[int(p[3:5], 16)] = k
-        self.kind = np.array([kind for _, _, kind in pieces])
-        self.text = pa.array([bytes([int(p[3:5], 16)]) if kind == BYTE else spec["unknown"] if kind == UNKNOWN else b"" if kind == CONTROL
-                              else p.replace(chr(BLANK), " ").encode() for p, _, kind in pieces], pa.large_binary())
-        self.leads = np.array([kind == NORMAL and p.startswith(chr(BLANK)) for p, _, kind in pieces])
 
     @staticmethod
     def _pair(a, b):
-        return (a << 22) | b
+        return (a.astype(np.int64) << 22) | b
 
     def _look(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Index of each pair's merge, -1 (whose rank is _NONE) without one."""
@@ -190,9 +188,9 @@ class Model:
         """(symbols after all merges, number per word) of words that begin at ``first``."""
         words = len(first)
         size = np.diff(np.append(first, len(sym)))
-        word = np.repeat(np.arange(words), size)
+        word = np.repeat(np.arange(words, dtype=np.int32), size)
         out: list[tuple[np.ndarray, np.ndarray]] = []  # (word, symbol) of what is finished
-        found = np.full(len(sym), -1, np.int64)
+        found = np.full(len(sym), -1, np.int32)
 
         def renew(at):
             at = at[(at >= 0) & (at + 1 < len(sym))]
@@ -215,7 +213,7 @@ class Model:
             hit = rank == each
             # of a stretch of overlapping places every other one, from the left
             start = hit & ~np.concatenate([[False], hit[:-1] & (word[1:] == word[:-1])])
-            k = np.arange(len(sym))
+            k = np.arange(len(sym), dtype=np.int32)
             since = k - np.maximum.accumulate(np.where(start, k, 0))
             at = np.flatnonzero(hit & (since % 2 == 0))
             new = self.made[found[at]]
@@ -244,12 +242,12 @@ class Model:
             if bad.any():
                 for w in np.flatnonzero(bad):
                     lo, hi = np.searchsorted(of, [w, w + 1])
-                    done = np.array(self._one_by_one(before[lo:hi].tolist()), np.int64)
-                    out.append((np.full(len(done), w), done))
+                    done = np.array(self._one_by_one(before[lo:hi].tolist()), np.int32)
+                    out.append((np.full(len(done), w, np.int32), done))
                 stay = ~bad[word]
                 sym, word, found = sym[stay], word[stay], found[stay]
-        owner = np.concatenate([w for w, _ in out]) if out else np.zeros(0, np.int64)
-        flat = np.concatenate([s for _, s in out]) if out else np.zeros(0, np.int64)
+        owner = np.concatenate([w for w, _ in out]) if out else np.zeros(0, np.int32)
+        flat = np.concatenate([s for _, s in out]) if out else np.zeros(0, np.int32)
         order = np.argsort(owner, kind="stable")
         return flat[order], np.bincount(owner, minlength=words)
 
@@ -274,7 +272,7 @@ class Model:
         odd = np.flatnonzero(flat >= self.size)
         if not len(odd):
             return flat, count
-        raw = np.frombuffer((flat[odd] - self.size).astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
+        raw = np.frombuffer((flat[odd] - np.int32(self.size)).astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
         begins = np.flatnonzero((raw & 0xC0) != 0x80)
         size = np.ones(len(flat), np.int64)
         size[odd] = np.diff(np.append(begins, len(raw)))
@@ -307,11 +305,22 @@ class Model:
         n = np.zeros(len(off) - 1, np.int64)
         n[full] = np.diff(ends[np.append(np.searchsorted(starts, text), len(starts))])
         ends = np.concatenate([[0], np.cumsum(n + 2)])
-        out = np.empty(int(ends[-1]), np.int64)
+        out = np.empty(int(ends[-1]), np.int32)
         out[ends[:-1]], out[ends[1:] - 1] = self.begin, self.end
         out[expand(ends[:-1] + 1, n)] = flat
         return out, ends
 
+
+class Surfaces:
+    """The texts of ids."""
+
+    def __init__(self, spec: dict):
+        pieces = spec["pieces"]
+        self.kind = np.array([kind for _, _, kind in pieces], np.int8)
+        self.text = pa.array([bytes([int(p[3:5], 16)]) if kind == BYTE else spec["unknown"] if kind == UNKNOWN else b"" if kind == CONTROL
+                              else p.replace(chr(BLANK), " ").encode() for p, _, kind in pieces], pa.large_binary())
+        self.leads = np.array([kind == NORMAL and p.startswith(chr(BLANK)) for p, _, kind in pieces])
+
     def decode(self, ids: np.ndarray, off: np.ndarray) -> list[str]:
         """The text of each list of ids."""
         raw, at = text_buffer(self.text.take(pa.array(ids)))
@@ -349,14 +358,14 @@ def load(path: str) -> dict:
     return read_model(path)
 
 
-_LOADED: dict = {}  # of this worker: the last model
+_LOADED: dict = {}  # of this worker: the last tables of each kind
 
 
-def _model(shared) -> Model:
+def _tables(kind, shared):
     spec = shared.value
-    if _LOADED.get("spec") is not spec:
-        _LOADED.update(spec=spec, model=Model(spec))
-    return _LOADED["model"]
+    if _LOADED.get(kind, (None,))[0] is not spec:
+        _LOADED[kind] = spec, kind(spec)
+    return _LOADED[kind][1]
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -367,8 +376,8 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        tables = _model(shared)
-        for batch in steps(batches, "__text"):
+        tables = _tables(Model, shared)
+        for batch in steps(batches, "__text", STEP_BYTES):
             ids, ends = tables.encode(*text_buffer(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))], ["__id", "ids"])
@@ -377,20 +386,31 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, f"__id {id_type}, ids array<int>").withColumnRenamed("__id", id_col)
 
 
-def decode(rows: DataFrame, model: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
+def decode(rows: DataFrame, model: str, ids_col: str = "ids", to: str = "decoded", digest: str | None = None) -> DataFrame:
     """``rows`` with column ``to``: the text of the ids.  Begin and end ids have no text; a
-    byte that is no part of a character is U+FFFD."""
+    byte that is no part of a character is U+FFFD.  ``digest`` names a further column, the
+    SHA-256 of the ids as little-endian numbers of 32 bits."""
     shared = rows.sparkSession.sparkContext.broadcast(load(model))
-    keep = [c for c in rows.columns if c not in (ids_col, to)]
+    keep = [c for c in rows.columns if c not in (ids_col, to, digest)]
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (*keep, ids_col))
+    made = [to, *([digest] if digest else [])]
 
     def run(batches):
-        tables = _model(shared)
+        tables = _tables(Surfaces, shared)
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids_col))
+            lists = batch.column(len(keep))
             off = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
-            ids = lists.values.slice(off[0], off[-1] - off[0]).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tables.decode(ids, off - off[0]), pa.string())], [*batch.schema.names, to])
+            values, lo = lists.values, 0
+            while lo < batch.num_rows:  # some rows at a time
+                hi = max(lo + 1, int(np.searchsorted(off, off[lo] + STEP_IDS, side="right")) - 1)
+                at = off[lo:hi + 1] - off[lo]
+                ids = values.slice(off[lo], int(at[-1])).to_numpy(zero_copy_only=False)
+                new = [pa.array(tables.decode(ids, at), pa.string())]
+                if digest:
+                    raw = ids.astype("<u4")
+                    new.append(pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(at, at[1:])], pa.string()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, *new], [*keep, ids_col, *made])
+                lo = hi
 
     slim = rows.select(*keep, F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias(ids_col))
-    return slim.mapInArrow(run, f"{schema}, `{to}` string")
+    return slim.mapInArrow(run, ", ".join([schema, *(f"`{c}` string" for c in made)]))
