@@ -101,20 +101,21 @@ def add_swoe(df: DataFrame, cat: str, target: str = "target", c: float = 24.0,
     return sized_join(df, t.select(cat, f"{cat}_swoe"), cat, how)
 
 
-def dummy_levels(df: DataFrame, col: str, max_levels: int = 1000) -> list[str]:
-    """Distinct non-null levels, sorted.  One column per level ends up in the plan, so
-    more than ``max_levels`` is an error; ``dummy_vector`` has no such bound."""
-    lv = df.select(F.col(col).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
-    n = lv.count()
-    if n > max_levels:
-        raise ValueError(f"{col} has {n} levels; one column each is meant for {max_levels} at most: use dummy_vector")
-    return sorted(r["v"] for r in lv.collect())
+def dummy_levels(df: DataFrame, col: str, max_levels: int | None = None) -> list[str]:
+    """Distinct non-null levels, sorted; more than ``max_levels`` (if given) are an error."""
+    lv = df.select(F.col(f"`{col}`").cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
+    found = sorted(r["v"] for r in (lv if max_levels is None else lv.limit(max_levels + 1)).collect())
+    if max_levels is not None and len(found) > max_levels:
+        raise ValueError(f"{col} has more than {max_levels} levels")
+    return found
 
 
-def dummy_columns(df: DataFrame, cols, mode: str = "dummy_dropfirst", max_levels: int = 1000) -> DataFrame:
+def dummy_columns(df: DataFrame, cols, mode: str = "dummy_dropfirst", max_levels: int | None = None) -> DataFrame:
     """0/1 columns ``<col>_<level>``.  ``dummy_dropfirst`` drops the
     alphabetically first level (``get_dummies(drop_first=True)``), ``dummy``
-    keeps all levels, ``drop`` removes the string columns.  NULL -> all zeros."""
+    keeps all levels, ``drop`` removes the string columns.  NULL -> all zeros.
+    The result has a column per level; regressions and selections over strings do
+    not go through it (``gram.Design``)."""
     out = df
     for c in cols:
         if mode == "drop":

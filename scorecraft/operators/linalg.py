@@ -17,19 +17,18 @@ def independent(cross: np.ndarray, tolerance: float = TOLERANCE) -> list[int]:
     """Columns, in order, that those before them do not explain; ``cross`` is a matrix
     of (weighted) sums of products."""
     scale = np.sqrt(np.maximum(np.diag(cross), 0.0))
+    some = np.flatnonzero(scale > 0)
+    left = cross[np.ix_(some, some)] / np.outer(scale[some], scale[some])
+    try:  # the squared diagonal is what each column has left after those before it
+        if np.all(np.diag(np.linalg.cholesky(left)) ** 2 > tolerance):
+            return some.tolist()
+    except np.linalg.LinAlgError:
+        pass
     kept: list[int] = []
-    rows: list[np.ndarray] = []  # of the Cholesky factor
-    for j in range(len(cross)):
-        if not scale[j] > 0:
-            continue
-        row = np.array([cross[j, k] / (scale[j] * scale[k]) for k in kept])
-        done = np.zeros(len(kept))
-        for i in range(len(kept)):
-            done[i] = (row[i] - rows[i][:i] @ done[:i]) / rows[i][i]
-        left = 1.0 - float(done @ done)
-        if left > tolerance:
-            kept.append(j)
-            rows.append(np.append(done, np.sqrt(left)))
+    for j in range(len(some)):
+        if left[j, j] > tolerance:
+            kept.append(int(some[j]))
+            left = left - np.outer(left[:, j], left[j]) / left[j, j]
     return kept
 
 
@@ -38,3 +37,32 @@ def inverse(cross: np.ndarray) -> np.ndarray:
     scale = np.sqrt(np.diag(cross))
     unit = cross / np.outer(scale, scale)
     return np.linalg.inv((unit + unit.T) / 2) / np.outer(scale, scale)
+
+
+class Entering:
+    """What the columns that are in have left of all others: a Cholesky factor of the columns
+    that entered, one row of cross-products each, so that K candidates cost K numbers a step."""
+
+    def __init__(self, diagonal: np.ndarray, with_label: np.ndarray, label: float):
+        self.whole, self.left = diagonal, diagonal.copy()
+        self.with_label, self.label = with_label.copy(), label
+        self.factor: list[np.ndarray] = []
+
+    def enter(self, term: int, row: np.ndarray) -> None:
+        """``row``: the term's cross-products with all columns."""
+        for f in self.factor:
+            row = row - f[term] * f
+        row = row / np.sqrt(row[term])
+        mine = self.with_label[term] / np.sqrt(self.left[term])
+        self.left = self.left - row ** 2
+        self.with_label = self.with_label - mine * row
+        self.label -= mine ** 2
+        self.factor.append(row)
+
+    def candidates(self, n: int, intercept: bool = True) -> np.ndarray:
+        """t statistic of each column if it entered next; NaN if those that are in explain it."""
+        df = n - len(self.factor) - 1 - intercept
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rest = np.maximum(self.label - self.with_label ** 2 / self.left, 0.0)
+            t = self.with_label / self.left / np.sqrt(rest / df / self.left) if df > 0 else np.full(len(self.left), np.nan)
+        return np.where((self.whole > 0) & (self.left > TOLERANCE * self.whole), t, np.nan)

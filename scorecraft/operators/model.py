@@ -1,14 +1,13 @@
 """M1-M5, M8, M9: regression fits with inference tables, scoring, PCA.
 
-Fitting runs on Spark: the logistic fits are Spark ML's IRLS (GLR) and L-BFGS
-solvers, OLS is one aggregate pass producing the Gram matrix X'X, X'y, y'y,
-PCA is Spark ML's distributed covariance.  Only coefficient-sized results
+Fitting runs on Spark: the logistic fits are Newton passes, Spark ML's IRLS (GLR)
+and L-BFGS solvers, OLS is one pass producing the cross-products of the terms
+(``gram``), PCA is Spark ML's distributed covariance.  Only coefficient-sized results
 reach the driver, where the inference table (standard errors, tests,
 intervals, LL/AIC/BIC/pseudo-R2) is assembled."""
 
 from __future__ import annotations
 
-import itertools
 import math
 from dataclasses import dataclass
 
@@ -18,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorecraft.operators import stats
+from scorecraft.operators.gram import Design, Gram, gram
 from scorecraft.operators.linalg import independent, inverse
 
 INTERCEPT = "intercept"
@@ -135,7 +135,7 @@ def logit_fit(df: DataFrame, features, label: str = "target", intercept: bool =
 def newton_logit(df: DataFrame, features, label: str = "target", intercept: bool = True) -> Fit:
     """M1/M2 by the distributed Newton engine (one pass per iteration)."""
     from scorecraft.operators.stepwise import LogisticEngine
-    eng = LogisticEngine(df, features, label)
+    eng = LogisticEngine(df, Design(list(features)), label)
     try:
         design = ([INTERCEPT] if intercept else []) + list(features)
         return eng.fit_many([design])[0]
@@ -160,52 +160,56 @@ def logit_l2(df: DataFrame, features, label: str = "target", C: float = 1.0):
 
 
 @dataclass
-class Moments:
-    """Sufficient statistics of complete cases: count, means, centred cross-products."""
-    names: list
-    n: int
-    mean: np.ndarray    # of the columns, then of the label
-    cross: np.ndarray   # sums of (x - mean)(z - mean), label last
-
-
-def moments(df: DataFrame, features, label) -> Moments:
-    """One aggregate pass over complete cases.  The covariances are Spark's, which
-    merge centred sums, so a large mean costs no digits."""
-    cols = [F.col(f"`{c}`").cast("double") for c in [*features, label]]
-    d = complete_cases(df, features, label)
-    pairs = list(itertools.combinations_with_replacement(range(len(cols)), 2))
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
-    aggs += [F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]
-    r = d.agg(*aggs).first()
-    n = int(r["n"])
-    cross = np.zeros((len(cols), len(cols)))
-    for i, j in pairs:
-        cross[i, j] = cross[j, i] = (r[f"c{i}_{j}"] or 0.0) * n
-    return Moments(list(features), n, np.array([r[f"m{i}"] or 0.0 for i in range(len(cols))]), cross)
-
-
-def ols_from_moments(m: Moments, terms) -> Fit:
-    """M5: OLS with the usual inference table, for any subset of the columns, with or
-    without the intercept.  Slopes are solved on centred (with an intercept) columns;
-    the intercept follows from the means."""
-    terms, n = list(terms), m.n
-    intercept = INTERCEPT in terms
-    cols = [m.names.index(t) for t in terms if t != INTERCEPT]
-    mean, y = m.mean[cols], len(m.names)
-    cross = m.cross if intercept else m.cross + n * np.outer(m.mean, m.mean)
-    sub, xy, yy = cross[np.ix_(cols, cols)], cross[cols, y], float(cross[y, y])
-    kept = independent(sub)
-    used = [m.names[cols[k]] for k in kept]
-    inv = inverse(sub[np.ix_(kept, kept)]) if kept else np.zeros((0, 0))
-    slope = inv @ xy[kept]
-    ssr = max(yy - float(xy[kept] @ slope), 0.0)
-    k = len(kept) + intercept
+class Solved:
+    """Least squares on some terms: those that are used, the inverse of their cross-products
+    and their slopes (intercept apart), and the sum of squares left."""
+    terms: list
+    used: list
+    inv: np.ndarray
+    slope: np.ndarray
+    ssr: float
+
+
+def moments(df: DataFrame, features, label) -> Gram:
+    """Cross-products of number columns and the label over complete rows, in one pass."""
+    design = Design(list(features))
+    return gram(design.rows(df, label), design)
+
+
+def solve(g: Gram, terms) -> Solved:
+    """Slopes are solved on centred (with an intercept) columns."""
+    at = [g.design.at[t] for t in terms if t != INTERCEPT]
+    cross = g.sub(at)
+    if INTERCEPT not in terms:
+        mean = g.mean[[*at, -1]]
+        cross = cross + g.n * np.outer(mean, mean)
+    kept = independent(cross[:-1, :-1])
+    inv = inverse(cross[np.ix_(kept, kept)]) if kept else np.zeros((0, 0))
+    slope = inv @ cross[kept, -1]
+    return Solved(list(terms), [g.names[at[k]] for k in kept], inv, slope, max(float(cross[-1, -1]) - float(cross[kept, -1] @ slope), 0.0))
+
+
+def without(s: Solved, term: str) -> Solved:
+    """The same fit less one term that is used (the sweep of one pivot)."""
+    k = s.used.index(term)
+    rest = [i for i in range(len(s.used)) if i != k]
+    pivot = s.inv[rest, k] / s.inv[k, k]
+    return Solved([t for t in s.terms if t != term], [s.used[i] for i in rest], s.inv[np.ix_(rest, rest)] - np.outer(pivot, s.inv[k, rest]),
+                  s.slope[rest] - pivot * s.slope[k], s.ssr + float(s.slope[k] ** 2 / s.inv[k, k]))
+
+
+def ols_of(g: Gram, s: Solved) -> Fit:
+    """M5: the inference table; the intercept follows from the means."""
+    terms, n, intercept = s.terms, g.n, INTERCEPT in s.terms
+    mean, mean_y = g.mean[[g.design.at[t] for t in s.used]], float(g.mean[-1])
+    yy = float(g.products[-1, -1]) + (0.0 if intercept else n * mean_y ** 2)
+    ssr, k = s.ssr, len(s.used) + intercept
     df_resid = n - k
     sigma2 = ssr / df_resid if df_resid > 0 else float("nan")
-    estimate, variance = dict(zip(used, slope)), dict(zip(used, np.diag(inv) * sigma2))
+    estimate, variance = dict(zip(s.used, s.slope)), dict(zip(s.used, np.diag(s.inv) * sigma2))
     if intercept:
-        estimate[INTERCEPT] = m.mean[y] - float(mean[kept] @ slope)
-        variance[INTERCEPT] = sigma2 * (1.0 / n + float(mean[kept] @ inv @ mean[kept])) if n else float("nan")
+        estimate[INTERCEPT] = mean_y - float(mean @ s.slope)
+        variance[INTERCEPT] = sigma2 * (1.0 / n + float(mean @ s.inv @ mean)) if n else float("nan")
     beta = np.array([estimate.get(t, np.nan) for t in terms])
     se = np.sqrt(np.array([variance.get(t, np.nan) for t in terms]))
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -220,6 +224,11 @@ def ols_from_moments(m: Moments, terms) -> Fit:
                aliased=tuple(x for x in terms if x not in estimate))
 
 
+def ols_from_moments(g: Gram, terms) -> Fit:
+    """M5: OLS for any subset of the terms, with or without the intercept."""
+    return ols_of(g, solve(g, terms))
+
+
 def ols_fit(df: DataFrame, features, label, intercept: bool = True) -> Fit:
     return ols_from_moments(moments(df, features, label), ([INTERCEPT] if intercept else []) + list(features))
 
@@ -235,22 +244,38 @@ def classify(df: DataFrame, score: str = "score", out: str = "prediction", thres
     return df.withColumn(out, (F.col(score) > threshold).cast("int"))
 
 
+def _pca(df: DataFrame, cols, k: int | None, keep=()):
+    """(centred rows with ``keep`` and ``features``, Spark ML's model)."""
+    from pyspark.ml.feature import PCA, VectorAssembler
+    d = df.select(*[F.col(f"`{c}`").cast("double").alias(f"__x{i}") for i, c in enumerate(cols)], *[F.col(f"`{c}`") for c in keep])
+    names = [f"__x{i}" for i in range(len(cols))]
+    d = d.dropna(subset=names)
+    means = d.agg(*[F.avg(c).alias(c) for c in names]).first()
+    centred = d.withColumns({c: F.col(c) - F.lit(means[c]) for c in names})
+    rows = VectorAssembler(inputCols=names, outputCol="features").transform(centred).drop(*names)
+    return rows, PCA(k=k or len(cols), inputCol="features", outputCol="pcs").fit(rows)
+
+
 def pca_variance(df: DataFrame, cols, k: int | None = None):
     """M8: PCA on centred, unscaled columns (Q33).  Returns (ratios table,
     projected frame).  Means come from one aggregate; Spark ML computes the
     covariance distributedly; only k eigenvalues/vectors reach the driver."""
-    from pyspark.ml.feature import PCA, VectorAssembler
-    k = k or len(cols)
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    means = d.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    centred = d.select(*[(F.col(c) - F.lit(means[c])).alias(c) for c in cols])
-    va = VectorAssembler(inputCols=list(cols), outputCol="features").transform(centred)
-    model = PCA(k=k, inputCol="features", outputCol="pcs").fit(va)
-    ev = [float(v) for v in model.explainedVariance.toArray()]
-    cum, rows = 0.0, []
-    for i, v in enumerate(ev):
+    rows, model = _pca(df, cols, k)
+    cum, table = 0.0, []
+    for i, v in enumerate(float(v) for v in model.explainedVariance.toArray()):
         cum += v
-        rows.append((i + 1, v, cum))
-    spark = df.sparkSession
-    table = spark.createDataFrame(rows, "component int, explained_variance_ratio double, cumulative double")
-    return table, model.transform(va).select("pcs")
+        table.append((i + 1, v, cum))
+    return (df.sparkSession.createDataFrame(table, "component int, explained_variance_ratio double, cumulative double"),
+            model.transform(rows).select("pcs"))
+
+
+def pca_scores(df: DataFrame, cols, k: int | None = None, keep=()) -> DataFrame:
+    """M8: the projected rows: columns ``keep`` and pc1 .. pck.  An axis has two directions; the
+    one is taken in which its largest loading (the first of equals) is positive."""
+    from pyspark.ml.functions import vector_to_array
+    rows, model = _pca(df, cols, k, keep)
+    axes = model.pc.toArray()
+    largest = axes[np.argmax(np.abs(axes) > np.abs(axes).max(axis=0) * (1 - 1e-9), axis=0), np.arange(axes.shape[1])]
+    pcs = vector_to_array("pcs")
+    return model.transform(rows).select(*[F.col(f"`{c}`") for c in keep],
+                                        *[(pcs[i] * F.lit(1.0 if v >= 0 else -1.0)).alias(f"pc{i + 1}") for i, v in enumerate(largest)])

@@ -2,16 +2,19 @@
 
 Every candidate fit of a step is served by the same passes over the rows:
 
-* linear: ONE aggregate builds the centred cross-products of all columns and the
-  label; every candidate OLS is solved on the driver from its sub-block;
+* linear: ONE pass adds up the cross-products of all terms and the label (``gram``).
+  Going forward, the terms that are in are a Cholesky factor of a row each, from which
+  all candidates' statistics follow at once; going backward, a term is swept out of the
+  inverse.  Levels of string columns stay sparse until they enter;
 * logistic: Newton-Raphson for all candidates at once, on centred and scaled
-  columns; each iteration is one distributed pass in which every partition returns,
+  terms; each iteration is one distributed pass in which every partition returns,
   for every open candidate, its X'WX, X'(y - p) and log-likelihood (numpy on Arrow
-  batches inside ``mapInPandas``), summed by a grouped aggregation.  A step that
-  lowers the likelihood is halved; a fit ends when the Newton decrement, which has no
-  scale, is negligible.
+  batches), added up by candidate.  A step that lowers the likelihood is halved; a fit
+  ends when the Newton decrement, which has no scale, is negligible.
 
-Only (candidates x terms^2) numbers reach the driver; the rows never do."""
+String columns are never columns of 0/1 values in a plan: tasks read the strings and
+make the terms that a fit needs.  Only (candidates x terms^2) numbers reach the driver;
+the rows never do."""
 
 from __future__ import annotations
 
@@ -24,8 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorecraft.operators import stats
-from scorecraft.operators.linalg import independent, inverse
-from scorecraft.operators.model import INTERCEPT, Fit, drop_incomplete, moments, ols_from_moments
+from scorecraft.operators.encode import dummy_levels
+from scorecraft.operators.gram import _SUMS, Design, _batch, gram, summed
+from scorecraft.operators.linalg import Entering, independent, inverse
+from scorecraft.operators.model import INTERCEPT, Fit, Solved, ols_of, solve, without
 
 # Passes after which a fit is reported as not converged, and the Newton decrement
 # (twice the likelihood still to gain) under which the last step ends it.
@@ -33,31 +38,63 @@ MAX_NEWTON = 50
 NEWTON_TOL = 1e-12
 
 
+# Terms swept out of an inverse before it is computed anew.
+MAX_SWEEPS = 50
+
+
 class LinearEngine:
     kind = "linear"
 
-    def __init__(self, df: DataFrame, columns, label: str):
-        self.moments = moments(df, columns, label)
+    def __init__(self, df: DataFrame, design: Design, label: str):
+        self.gram = gram(design.rows(df, label), design)
+        self.last: Solved | None = None
+        self.sweeps = 0
+        self.entering: tuple[list, Entering] | None = None
+
+    def _solve(self, terms) -> Solved:
+        """From the last fit, if the terms are those of it less a few; else from the start."""
+        s = self.last
+        gone = [t for t in s.terms if t not in set(terms)] if s is not None else None
+        if gone and INTERCEPT not in gone and len(s.used) + (INTERCEPT in s.terms) == len(s.terms) == len(terms) + len(gone) and self.sweeps < MAX_SWEEPS:
+            for t in gone:
+                s = without(s, t)
+            self.sweeps += len(gone)
+        else:
+            s, self.sweeps = solve(self.gram, terms), 0
+        self.last = s
+        return s
 
     def fit_many(self, designs, start: dict | None = None) -> list[Fit]:
-        return [ols_from_moments(self.moments, d) for d in designs]
+        return [ols_of(self.gram, self._solve(d)) for d in designs]
+
+    def candidates(self, selected, others, start=None) -> list[tuple]:
+        """(p, order, term, None) of each term that could enter beside the intercept and ``selected``."""
+        g, inside = self.gram, [t for t in selected if t != INTERCEPT]
+        if self.entering is None or self.entering[0] != inside[:len(self.entering[0])]:
+            self.entering = [], Entering(g.diagonal()[:-1], g.row(-1)[:-1], float(g.products[-1, -1]))
+        done, state = self.entering
+        for t in inside[len(done):]:
+            state.enter(g.design.at[t], g.row(g.design.at[t])[:-1])
+            done.append(t)
+        stat = state.candidates(g.n)
+        df = g.n - len(inside) - 2
+        return [(stats.t_two_sided_p(float(stat[g.design.at[c]]), df), i, c, None) for i, c in enumerate(others)]
 
 
 class LogisticEngine:
     kind = "logistic"
 
-    def __init__(self, df: DataFrame, columns, label: str):
-        self.columns = list(columns)
-        self.data = drop_incomplete(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns],
-                                              F.col(label).cast("double").alias("__y"))).persist(StorageLevel.MEMORY_AND_DISK)
-        m = moments(self.data, self.columns, "__y")
+    def __init__(self, df: DataFrame, design: Design, label: str):
+        self.design, self.columns = design, design.names
+        self.data = design.rows(df, label).persist(StorageLevel.MEMORY_AND_DISK)
+        m = gram(self.data, design)
         self.n, self.ysum = m.n, float(m.mean[-1] * m.n)
         self.mean = dict(zip(self.columns, m.mean))
-        spread = np.sqrt(np.maximum(np.diag(m.cross)[:-1], 0.0) / max(m.n, 1))
+        spread = np.sqrt(np.maximum(m.diagonal()[:-1], 0.0) / max(m.n, 1))
         self.scale = {c: float(s) if s > 0 else 1.0 for c, s in zip(self.columns, spread)}
         # without an intercept nothing is centred, so a column's size is its root mean square
         self.size = {c: float(np.hypot(s, a)) or 1.0 for c, s, a in zip(self.columns, spread, m.mean)}
-        self.moments = m
+        self.gram = m
         pbar = self.ysum / self.n if self.n else float("nan")
         self.ll_null = self.n * (pbar * math.log(pbar) + (1 - pbar) * math.log1p(-pbar)) if 0 < pbar < 1 else 0.0
 
@@ -71,66 +108,70 @@ class LogisticEngine:
     def _aliased(self, d) -> list:
         """Terms that the terms before them explain."""
         cols = [t for t in d if t != INTERCEPT]
-        at = [self.columns.index(t) for t in cols]
-        cross = self.moments.cross if INTERCEPT in d else self.moments.cross + self.n * np.outer(self.moments.mean, self.moments.mean)
-        kept = independent(cross[np.ix_(at, at)])
+        at = [self.design.at[t] for t in cols]
+        cross = self.gram.sub(at)[:-1, :-1]
+        if INTERCEPT not in d:
+            cross = cross + self.n * np.outer(self.gram.mean[at], self.gram.mean[at])
+        kept = independent(cross)
         return [t for k, t in enumerate(cols) if k not in kept]
 
     def _pass(self, designs, betas):
-        cols = self.columns
+        """For each design (X'WX, X'(y - p), log-likelihood) at its estimates."""
+        read = self.design.reader()
         plan = []
         for d, b in zip(designs, betas):
             centre, scale = self._standard(d)
-            plan.append(([0 if t == INTERCEPT else 1 + cols.index(t) for t in d], centre, scale, b.copy()))
+            plan.append(([(t, c, s, None if t == INTERCEPT else self.design.place[self.design.at[t]]) for t, c, s in zip(d, centre, scale)], b.copy()))
+        uses: dict = {}
+        for terms, _ in plan:
+            for x in terms:
+                uses[x] = uses.get(x, 0) + 1
 
         def partial_sums(batches):
-            import pandas as pd
-            acc = [None] * len(plan)
-            for pdf in batches:
-                if len(pdf) == 0:
+            acc: dict = {}
+            for batch in batches:
+                x, codes = read(batch)
+                if not len(x):
                     continue
-                x = np.column_stack([np.ones(len(pdf))] + [pdf[c].to_numpy(dtype=float) for c in cols])
-                y = pdf["__y"].to_numpy(dtype=float)
-                for k, (idx, centre, scale, beta) in enumerate(plan):
-                    d = (x[:, idx] - centre) / scale
+                y, made = x[:, -1], {}
+
+                def column(term):
+                    if term in made:
+                        return made[term]
+                    _, centre, scale, place = term
+                    if place is None:
+                        v = np.ones(len(x))
+                    else:
+                        v = x[:, place[0]] if place[1] < 0 else (codes[place[0]] == place[1]).astype(float)
+                    v = (v - centre) / scale
+                    if uses[term] > 1:  # of the terms that are in, not of the candidates
+                        made[term] = v
+                    return v
+                for k, (terms, beta) in enumerate(plan):
+                    d = np.column_stack([column(t) for t in terms])
                     eta = d @ beta
                     p = np.exp(-np.logaddexp(0.0, -eta))
                     w = p * np.exp(-np.logaddexp(0.0, eta))
                     h = (d * w[:, None]).T @ d
-                    g = d.T @ (y - p)
                     ll = float(np.sum(y * eta - np.logaddexp(0.0, eta)))
-                    if acc[k] is None:
-                        acc[k] = [h, g, ll]
-                    else:
-                        acc[k][0] += h
-                        acc[k][1] += g
-                        acc[k][2] += ll
-            rows = []
-            for k, a in enumerate(acc):
-                if a is None:
-                    continue
-                h, g, ll = a
-                m = len(g)
-                for i in range(m):
-                    rows.append((k, 1, i, 0, float(g[i])))
-                    for j in range(m):
-                        rows.append((k, 0, i, j, float(h[i, j])))
-                rows.append((k, 2, 0, 0, ll))
-            if rows:
-                yield pd.DataFrame(rows, columns=["d", "kind", "i", "j", "v"])
-
-        res = (self.data.mapInPandas(partial_sums, "d int, kind int, i int, j int, v double")
-               .groupBy("d", "kind", "i", "j").agg(F.sum("v").alias("v")).collect())
+                    v = np.concatenate([h[np.triu_indices(len(beta))], d.T @ (y - p), [ll]])
+                    acc[k] = acc[k] + v if k in acc else v
+            if acc:
+                yield _batch([(k, -1, v) for k, v in acc.items()])
+
         out = [[np.zeros((len(d), len(d))), np.zeros(len(d)), 0.0] for d in designs]
-        for r in res:
-            if r["kind"] == 0:
-                out[r["d"]][0][r["i"], r["j"]] = r["v"]
-            elif r["kind"] == 1:
-                out[r["d"]][1][r["i"]] = r["v"]
-            else:
-                out[r["d"]][2] = r["v"]
+        for k, _, v in summed(self.data.mapInArrow(partial_sums, _SUMS)).collect():
+            h, m = out[k][0], len(betas[k])
+            h[np.triu_indices(m)] = v[:m * (m + 1) // 2]
+            out[k] = [h + np.triu(h, 1).T, np.array(v[m * (m + 1) // 2:-1]), v[-1]]
         return out
 
+    def candidates(self, selected, others, start=None) -> list[tuple]:
+        """(p, order, term, fit) of each term that could enter; a fit that did not converge
+        (separation) has no p."""
+        fits = self.fit_many([selected + [c] for c in others], start=start)
+        return [(f.pvalue(c) if f.converged else float("nan"), i, c, f) for i, (c, f) in enumerate(zip(others, fits))]
+
     def _fit(self, terms, used, b, cov, ll, converged: bool = True) -> Fit:
         """From standardised estimates of the terms ``used`` back to the columns' scale."""
         centre, scale = self._standard(used)
@@ -207,9 +248,9 @@ class LogisticEngine:
         self.data.unpersist()
 
 
-def engine(df: DataFrame, columns, label: str, model_type: str = "linear"):
+def engine(df: DataFrame, design: Design, label: str, model_type: str = "linear"):
     """Unknown model types fall back to linear, as in the reference (Q31)."""
-    return LogisticEngine(df, columns, label) if model_type == "logistic" else LinearEngine(df, columns, label)
+    return LogisticEngine(df, design, label) if model_type == "logistic" else LinearEngine(df, design, label)
 
 
 @dataclass
@@ -241,21 +282,14 @@ def _better(criterion, new, old):
     return new < old if criterion in ("aic", "bic") else new > old
 
 
-def code_strings(df: DataFrame, columns, strings: str = "dummy_dropfirst") -> tuple[DataFrame, list]:
-    """L5 ahead of a selection: string columns are left out (``drop``) or replaced by 0/1
-    columns of their levels (``dummy``: all, ``dummy_dropfirst``: all but the first)."""
-    from scorecraft.operators.encode import dummy_columns
+def design_of(df: DataFrame, columns, strings: str = "dummy_dropfirst") -> Design:
+    """L5 ahead of a selection: string columns are left out (``drop``) or their levels are
+    terms of their own (``dummy``: all, ``dummy_dropfirst``: all but the first)."""
     if strings not in ("drop", "dummy", "dummy_dropfirst"):
         raise ValueError("strings must be drop, dummy or dummy_dropfirst")
     text = [c for c in columns if dict(df.dtypes)[c] == "string"]
-    if not text:
-        return df, list(columns)
-    coded = dummy_columns(df, text, strings)
-    made = [c for c in coded.columns if c not in df.columns]
-    out = []
-    for c in columns:
-        out += [m for m in made if m.startswith(f"{c}_")] if c in text else [c]
-    return coded, list(dict.fromkeys(out))
+    levels = {c: dummy_levels(df, c) for c in text} if strings != "drop" else {}
+    return Design([c for c in columns if strings != "drop" or c not in text], {c: v[strings == "dummy_dropfirst":] for c, v in levels.items()})
 
 
 def forward_selection(df: DataFrame, columns, label: str, model_type: str = "linear",
@@ -263,8 +297,9 @@ def forward_selection(df: DataFrame, columns, label: str, model_type: str = "lin
     """M6: string columns are coded as ``strings`` says; start from the intercept; each round fit every candidate, keep
     p <= sl, the lowest p (ties: column order) enters only if the criterion
     strictly improves; without a usable criterion it enters on p alone."""
-    df, columns = code_strings(df, columns, strings)
-    eng = engine(df, columns, label, model_type)
+    design = design_of(df, columns, strings)
+    columns = design.names
+    eng = engine(df, design, label, model_type)
     kind = eng.kind
     use_crit = _crit_usable(criterion, kind)
     selected, others = [INTERCEPT], list(columns)
@@ -275,15 +310,12 @@ def forward_selection(df: DataFrame, columns, label: str, model_type: str = "lin
         if not others:
             break
         warm = dict(zip(current.terms, current.coef))
-        fits = eng.fit_many([selected + [c] for c in others], start=warm)
-        # a candidate whose fit did not converge (separation) has no usable p-value
-        cands = sorted(((f.pvalue(c), i, c, f) for i, (c, f) in enumerate(zip(others, fits))
-                        if f.converged and not math.isnan(f.pvalue(c)) and f.pvalue(c) <= sl),
-                       key=lambda t: (t[0], t[1]))
+        cands = sorted((c for c in eng.candidates(selected, others, warm) if not math.isnan(c[0]) and c[0] <= sl), key=lambda t: t[:2])
         if not cands:
             sel.log.append(("break_significance", None, None, None, None, crit))
             break
         p, _, best, fit = cands[0]
+        fit = fit or eng.fit_many([selected + [best]])[0]
         if use_crit:
             new = fit.criterion(criterion)
             if _better(criterion, new, crit):
@@ -313,8 +345,9 @@ def backward_selection(df: DataFrame, columns, label: str, model_type: str = "li
     largest p above sl (the intercept too, unless ``keep_intercept``); if the
     next fit's criterion is worse, the last dropped term is regained and the
     search stops (Q32)."""
-    df, columns = code_strings(df, columns, strings)
-    eng = engine(df, columns, label, model_type)
+    design = design_of(df, columns, strings)
+    columns = design.names
+    eng = engine(df, design, label, model_type)
     kind = eng.kind
     use_crit = _crit_usable(criterion, kind)
     current = [INTERCEPT] + list(columns)

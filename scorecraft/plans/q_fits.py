@@ -144,3 +144,84 @@ def q_backward_two(spark, sf):
     """Linear backward elimination of two candidates by AIC, with regain."""
     sel = stepwise.backward_selection(_sum_frame(spark, sf), ["l_quantity", "l_discount"], "y", "linear", "aic", 0.05, keep_intercept=True)
     return rounded(sel.log_frame(spark).select("step", "action", "variable", "aic"), 4)
+
+
+@query("pca_scores", """
+WITH d AS (SELECT l_orderkey, l_linenumber, l_quantity AS x, l_tax * 100 AS z FROM lineitem),
+m AS (SELECT avg(x) AS mx, avg(z) AS mz, var_samp(x) AS a, var_samp(z) AS c, covar_samp(x, z) AS b FROM d),
+e AS (SELECT *, (a + c) / 2 + sqrt(((a - c) / 2) ** 2 + b * b) AS l1 FROM m),
+v AS (SELECT mx, mz, (l1 - c) / sqrt(b * b + (l1 - c) ** 2) AS u1, b / sqrt(b * b + (l1 - c) ** 2) AS u2 FROM e),
+w AS (SELECT mx, mz, u1 * CASE WHEN abs(u1) >= abs(u2) THEN sign(u1) ELSE sign(u2) END AS u1, u2 * CASE WHEN abs(u1) >= abs(u2) THEN sign(u1) ELSE sign(u2) END AS u2 FROM v)
+SELECT l_orderkey, l_linenumber, round((x - mx) * u1 + (z - mz) * u2, 4) AS pc1,
+       round(((z - mz) * u1 - (x - mx) * u2) * CASE WHEN abs(u1) >= abs(u2) THEN sign(u1) ELSE -sign(u2) END, 4) AS pc2 FROM d, w""")
+def q_pca_scores(spark, sf):
+    """M8: every row projected on both axes of two columns, whose eigenvectors have a closed form."""
+    d = tbl(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", (F.col("l_tax") * 100).alias("tax"))
+    return rounded(model.pca_scores(d, ["l_quantity", "tax"], keep=["l_orderkey", "l_linenumber"]), 4)
+
+
+# A string column of three levels, of which the first is dropped: two 0/1 terms.  Both in, the
+# model is saturated; one in, it is a 2 x 2 table; so every fit has a closed form.
+_FLAGS = """xy AS (SELECT l_returnflag AS g, CASE WHEN l_discount > CASE l_returnflag WHEN 'R' THEN 0.03 ELSE 0.05 END THEN 1 ELSE 0 END AS y FROM lineitem),
+c AS (SELECT count_if(g = 'A' AND y = 1)::DOUBLE AS s0, count_if(g = 'A' AND y = 0)::DOUBLE AS f0, count_if(g = 'N' AND y = 1)::DOUBLE AS s1,
+             count_if(g = 'N' AND y = 0)::DOUBLE AS f1, count_if(g = 'R' AND y = 1)::DOUBLE AS s2, count_if(g = 'R' AND y = 0)::DOUBLE AS f2 FROM xy)"""
+
+
+def _split_ll(*groups):
+    """Log-likelihood of groups (successes, failures) with a rate each."""
+    return " + ".join(f"(({s}) * ln(({s}) / ({s} + {f})) + ({f}) * ln(({f}) / ({s} + {f})))" for s, f in groups)
+
+
+def _wald(s, f, t, g):
+    return f"abs(ln(({s}) / ({f})) - ln(({t}) / ({g}))) / sqrt(1 / ({s}) + 1 / ({f}) + 1 / ({t}) + 1 / ({g}))"
+
+
+# aic0, aic1, aic2, aic12 and |z| of each term alone (z1, z2) and beside the other (w1, w2)
+_FLAG_FITS = f"""f AS (SELECT 2 - 2 * ({_split_ll(("s0 + s1 + s2", "f0 + f1 + f2"))}) AS aic0, 4 - 2 * ({_split_ll(("s1", "f1"), ("s0 + s2", "f0 + f2"))}) AS aic1,
+  4 - 2 * ({_split_ll(("s2", "f2"), ("s0 + s1", "f0 + f1"))}) AS aic2, 6 - 2 * ({_split_ll(("s0", "f0"), ("s1", "f1"), ("s2", "f2"))}) AS aic12,
+  {_wald("s1", "f1", "s0 + s2", "f0 + f2")} AS z1, {_wald("s2", "f2", "s0 + s1", "f0 + f1")} AS z2,
+  {_wald("s1", "f1", "s0", "f0")} AS w1, {_wald("s2", "f2", "s0", "f0")} AS w2, 1.959963984540054 AS crit FROM c)"""
+
+
+def _forward_log(a, b):
+    """The log of a forward selection from two terms by AIC."""
+    return f"""b AS (SELECT *, z1 >= z2 AS one, greatest(z1, z2) AS z, CASE WHEN z1 >= z2 THEN aic1 ELSE aic2 END AS best,
+       CASE WHEN z1 >= z2 THEN w2 ELSE w1 END AS w FROM f)
+SELECT 1 AS step, CASE WHEN z < crit THEN 'break_significance' WHEN best < aic0 THEN 'entered' ELSE 'break_criterion' END AS action,
+       CASE WHEN z < crit THEN NULL WHEN one THEN '{a}' ELSE '{b}' END AS variable, CASE WHEN z >= crit THEN round(best, 4) END AS aic,
+       round(CASE WHEN z < crit THEN aic0 ELSE best END, 4) AS criterion FROM b
+UNION ALL SELECT 2, CASE WHEN w < crit THEN 'break_significance' WHEN aic12 < best THEN 'entered' ELSE 'break_criterion' END,
+       CASE WHEN w < crit THEN NULL WHEN one THEN '{b}' ELSE '{a}' END, CASE WHEN w >= crit THEN round(aic12, 4) END,
+       round(CASE WHEN w < crit THEN best ELSE aic12 END, 4) FROM b WHERE z >= crit AND best < aic0"""
+
+
+def _backward_log(a, b):
+    """The log of a backward elimination of two terms by AIC that keeps the intercept."""
+    return f"""b AS (SELECT *, w1 < w2 AS one, least(w1, w2) AS w, CASE WHEN w1 < w2 THEN aic2 ELSE aic1 END AS rest, CASE WHEN w1 < w2 THEN z2 ELSE z1 END AS z FROM f),
+p AS (SELECT *, w < crit AS gone, w < crit AND aic12 < rest AS back, w < crit AND NOT aic12 < rest AND z < crit AS empty FROM b)
+SELECT 1 AS step, CASE WHEN gone THEN 'eliminated' ELSE 'final' END AS action, CASE WHEN NOT gone THEN NULL WHEN one THEN '{a}' ELSE '{b}' END AS variable,
+       round(aic12, 4) AS aic FROM p
+UNION ALL SELECT 2, CASE WHEN back THEN 'regained' WHEN empty THEN 'eliminated' ELSE 'final' END,
+       CASE WHEN back AND one OR empty AND NOT one THEN '{a}' WHEN back OR empty THEN '{b}' END, round(rest, 4) FROM p WHERE gone
+UNION ALL SELECT 3, CASE WHEN back THEN 'final' WHEN rest < aic0 THEN 'regained' ELSE 'final' END,
+       CASE WHEN empty AND rest < aic0 THEN CASE WHEN one THEN '{b}' ELSE '{a}' END END, round(CASE WHEN back THEN aic12 ELSE aic0 END, 4) FROM p WHERE back OR empty
+UNION ALL SELECT 4, 'final', NULL, round(rest, 4) FROM p WHERE empty AND rest < aic0"""
+
+
+def _flags(spark, sf):
+    flag = F.col("l_returnflag")
+    return tbl(spark, sf, "lineitem").select(flag, (F.col("l_discount") > F.when(flag == "R", 0.03).otherwise(0.05)).cast("int").alias("y"))
+
+
+@query("forward_logit_levels", f"WITH {_FLAGS}, {_FLAG_FITS}, {_forward_log('l_returnflag_N', 'l_returnflag_R')}")
+def q_forward_logit_levels(spark, sf):
+    """Logistic forward selection from the levels of a string column."""
+    sel = stepwise.forward_selection(_flags(spark, sf), ["l_returnflag"], "y", "logistic", "aic", 0.05)
+    return rounded(sel.log_frame(spark).select("step", "action", "variable", "aic", "criterion"), 4)
+
+
+@query("backward_logit_levels", f"WITH {_FLAGS}, {_FLAG_FITS}, {_backward_log('l_returnflag_N', 'l_returnflag_R')}")
+def q_backward_logit_levels(spark, sf):
+    """Logistic backward elimination of the levels of a string column."""
+    sel = stepwise.backward_selection(_flags(spark, sf), ["l_returnflag"], "y", "logistic", "aic", 0.05, keep_intercept=True)
+    return rounded(sel.log_frame(spark).select("step", "action", "variable", "aic"), 4)

@@ -9,7 +9,7 @@ from scorecraft.functions.dates import add_durations, epoch_micros
 from scorecraft.operators import clean, distribution, impute, profile, split, stepwise
 from scorecraft.plans import cleaning
 from scorecraft.plans.catalog import att, query, rounded
-from scorecraft.plans.oracle import with_attempts
+from scorecraft.plans.oracle import STUDY_CTE, with_attempts
 from scorecraft.plans.prep import ITEM_TYPE, study_frame
 from scorecraft.plans.q_prep import _C1, _CLEAN_CTES, _D3, _filtered
 
@@ -94,8 +94,43 @@ def q_stepwise_forward_dummies(spark, sf):
     return stepwise.forward_selection(s, [ITEM_TYPE, "number_of_distinct_instance_items"], "target", "logistic", "aic", 0.05).log_frame(spark)
 
 
-@query("stepwise_backward_dummies")
+def _exchange(m, p):
+    """The matrix ``m`` (a list of rows) with pivot ``p`` swept in, or out if it was in."""
+    whole = f"range(1, len({m}) + 1)"
+    return (f"list_transform({whole}, lambda i: list_transform({whole}, lambda j: CASE WHEN i = {p} AND j = {p} THEN 1 / {m}[i][j] "
+            f"WHEN i = {p} THEN {m}[i][j] / {m}[{p}][{p}] WHEN j = {p} THEN -{m}[i][j] / {m}[{p}][{p}] ELSE {m}[i][j] - {m}[i][{p}] * {m}[{p}][j] / {m}[{p}][{p}] END))")
+
+
+# Backward elimination by sweeps of the cross-products of (intercept, levels but the first, number,
+# label): a state per model, whose least |t| goes while it is under 1.96 and the AIC is no worse.
+_BACKWARD = with_attempts(f"""
+SELECT row_number() OVER (ORDER BY i, o) AS step, action, variable, round(aic, 4) AS aic, round(aic, 4) AS criterion FROM (
+  SELECT i, 1 AS o, CASE WHEN worse THEN 'regained' ELSE 'eliminated' END AS action, name AS variable, aic
+  FROM judged JOIN tn ON tn.k = CASE WHEN worse THEN gone ELSE drop END WHERE worse OR least < 1.959963984540054
+  UNION ALL SELECT i, 2, 'final', NULL, CASE WHEN worse THEN before ELSE aic END FROM judged WHERE i = (SELECT max(i) FROM judged)) x""", STUDY_CTE,
+    "rows_ AS (SELECT item_type_code_name AS g, number_of_distinct_instance_items AS d, target AS y FROM study)",
+    "cells AS (SELECT g, d, y, count(*)::DOUBLE AS n FROM rows_ WHERE d IS NOT NULL AND y IS NOT NULL GROUP BY ALL)",
+    """tn AS (SELECT *, row_number() OVER (ORDER BY ord, g) AS k FROM (SELECT 'intercept' AS name, 1 AS ord, NULL AS g
+       UNION ALL SELECT 'item_type_code_name_' || g, 2, g FROM (SELECT DISTINCT g FROM rows_ WHERE g IS NOT NULL ORDER BY g OFFSET 1) l
+       UNION ALL SELECT 'number_of_distinct_instance_items', 3, NULL UNION ALL SELECT 'y', 4, NULL) t)""",
+    """val AS (SELECT k, cells.g, d, y, n, CASE ord WHEN 1 THEN 1 WHEN 2 THEN coalesce(cells.g = tn.g, false)::INT WHEN 3 THEN d ELSE y END::DOUBLE AS v FROM cells, tn)""",
+    """mm AS (SELECT a.k AS i, b.k AS j, sum(a.n * a.v * b.v) AS s FROM val a JOIN val b ON a.g IS NOT DISTINCT FROM b.g AND a.d = b.d AND a.y = b.y GROUP BY 1, 2)""",
+    "mat AS (SELECT list(r ORDER BY i) AS m, len(list(r)) AS w, (SELECT sum(n) FROM cells) AS n FROM (SELECT i, list(s ORDER BY j) AS r FROM mm GROUP BY i) q)",
+    f"sw AS (SELECT 0::BIGINT AS k, m, w, n FROM mat UNION ALL SELECT k + 1, {_exchange('m', '(k + 1)')}, w, n FROM sw WHERE k + 1 < w)",
+    f"""back AS (SELECT 0 AS i, m, w, n, range(1, w) AS alive, NULL::DOUBLE AS before, 0::BIGINT AS gone FROM sw WHERE k + 1 = w
+       UNION ALL SELECT i + 1, {_exchange('m', 'drop')}, w, n, list_filter(alive, lambda x: x <> drop), aic, drop
+       FROM (SELECT *, alive[list_position(t, list_min(t))] AS drop FROM (SELECT *, list_min(t) AS least FROM (
+         SELECT *, list_transform(alive, lambda x: abs(m[x][w]) / sqrt(m[w][w] / (n - len(alive)) * m[x][x])) AS t,
+                2 * len(alive) + n * (ln(2 * pi()) + ln(m[w][w] / n) + 1) AS aic FROM back) a) b) c
+       WHERE least < 1.959963984540054 AND (before IS NULL OR aic <= before) AND i + 2 < w)""",
+    """judged AS (SELECT *, alive[list_position(t, list_min(t))] AS drop, list_min(t) AS least, before IS NOT NULL AND before < aic AS worse FROM (
+         SELECT *, list_transform(alive, lambda x: abs(m[x][w]) / sqrt(m[w][w] / (n - len(alive)) * m[x][x])) AS t,
+                2 * len(alive) + n * (ln(2 * pi()) + ln(m[w][w] / n) + 1) AS aic FROM back) a)""").replace("WITH attempts", "WITH RECURSIVE attempts")
+
+
+@query("stepwise_backward_dummies", _BACKWARD)
 def q_stepwise_backward_dummies(spark, sf):
     """M7 with L5: linear backward elimination over a string column's levels and a number."""
     s = study_frame(att(spark, sf)).select(ITEM_TYPE, "number_of_distinct_instance_items", "target")
-    return stepwise.backward_selection(s, [ITEM_TYPE, "number_of_distinct_instance_items"], "target", "linear", "aic", 0.05).log_frame(spark)
+    sel = stepwise.backward_selection(s, [ITEM_TYPE, "number_of_distinct_instance_items"], "target", "linear", "aic", 0.05)
+    return rounded(sel.log_frame(spark).select("step", "action", "variable", "aic", "criterion"), 4)

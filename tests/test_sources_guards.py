@@ -79,7 +79,7 @@ def test_eta_does_not_depend_on_the_mean(spark):
 def test_string_columns_in_selection(spark, strings, names):
     df = spark.range(900).select(F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c.d")), (F.col("id") % 3 + 1).cast("int")).alias("g"),
                                  F.sin("id").alias("x"), (F.col("id") % 3 * 2 + F.sin("id") + F.cos(F.col("id") * 7)).alias("y"))
-    assert set(stepwise.code_strings(df, ["g", "x"], strings)[1]) == names
+    assert set(stepwise.design_of(df, ["g", "x"], strings).names) == names
     sel = stepwise.forward_selection(df, ["g", "x"], "y", "linear", "aic", strings=strings)
     assert set(sel.selected) - {"intercept"} <= names and "x" in sel.selected
     if strings == "dummy_dropfirst":
