@@ -7,20 +7,20 @@ the offending ids of the anti-join step are a distinct DataFrame joined back."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scorecraft.functions.flags import target_from_score
 from scorecraft.operators.clean import UNASSIGNED
+from scorecraft.operators.distribution import QUARTILES, WHISKER
 from scorecraft.operators.encode import add_swoe
+from scorecraft.operators.group_quantiles import group_quantiles, join_null_safe
 from scorecraft.operators.impute import IqrImputer
 from scorecraft.operators.joins import broadcast_if_small, sized_join
 from scorecraft.operators.split import hash_split, native_split
 from scorecraft.session import staged
 
 ID = "assessment_item_response_id"
-# Values of the split column that one imputation pass handles (train, valid, folds).
-MAX_SPLITS = 64
 DURATIONS = ["student_duration_mins", "timeliness_duration_mins", "item_attempt_duration_mins"]
 SPLIT_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -92,10 +92,9 @@ def impute_split(df: DataFrame, fit_on: DataFrame | None = None, c: float = 24.0
 def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0, keep=()) -> DataFrame:
     """K7 for all splits at once: the split is part of every grouping key, so
     the SWOE counts of all splits are one grouped aggregation and the fences of
-    all (split, duration) pairs one quantile search.  Equivalent to fitting
-    each split on itself (Q25); rows with a NULL item type drop (inner join)."""
-    from scorecraft.operators.distribution import QUARTILES, WHISKER
-    from scorecraft.operators.quantiles import quantile_values
+    all (split, duration) pairs one grouped quantile search, joined back as tables.
+    Equivalent to fitting each split on itself (Q25), for any number of splits, of
+    which NULL is one; rows with a NULL item type drop (inner join)."""
     cat = "item_type_code_name"
     # written once: the counts, the quantile passes and the result read it
     df = staged(df.select(*dict.fromkeys([split_col, cat, "target", *DURATIONS, *keep])), "cleaned")
@@ -104,41 +103,31 @@ def impute_by_split(df: DataFrame, split_col: str = "split", c: float = 24.0, ke
                                           F.count(F.col("target")).alias("n_target"),
                                           F.sum(F.col("target").cast("double")).alias("sum_target")))
     cnt = staged(cnt, "swoe")
-    per_split = cnt.groupBy(split_col).agg(F.sum("sum_target").alias("s"), F.sum("n_target").alias("n")).collect()
-    if len(per_split) > MAX_SPLITS:  # each is part of the plan below
-        raise ValueError(f"{split_col} has {len(per_split)} values; at most {MAX_SPLITS} splits are imputed at once")
-    cnt = broadcast_if_small(cnt, written=True)
-    p1 = {r[split_col]: r["s"] / r["n"] for r in per_split if r["n"]}
-    p1_col = F.create_map(*[F.lit(x) for kv in p1.items() for x in kv])[F.col(split_col)]
-    table = cnt.select(split_col, cat, F.ln(F.try_divide(
-        F.col("n_event") + F.lit(c) * p1_col, F.col("n_nonevent") + F.lit(c) * (1 - p1_col))).alias(f"{cat}_swoe"))
-    enc = df.join(table, [split_col, cat], "inner")
-    keyed = enc.select(*[F.when(F.col(split_col) == s, F.col(d)).alias(f"{s}|{d}") for s in p1 for d in DURATIONS])
-    q = quantile_values(keyed, keyed.columns, QUARTILES, lambda v: v >= 0)
-    flags, vals = {}, {}
-    for d in DURATIONS:
-        hi_e, med_e = F.lit(None).cast("double"), F.lit(None).cast("double")
-        for s in p1:
-            q1, med, q3 = (q[(f"{s}|{d}", p)] for p in QUARTILES)
-            if q1 is None:
-                continue
-            hi_e = F.when(F.col(split_col) == s, F.lit(q3 + WHISKER * (q3 - q1))).otherwise(hi_e)
-            med_e = F.when(F.col(split_col) == s, F.lit(med)).otherwise(med_e)
-        over = F.col(d) > hi_e
-        flags[d + "_imputed"] = over
-        vals[d] = F.when(over, med_e).otherwise(F.col(d))
-    return enc.withColumns(flags).withColumns(vals)
+    p1 = cnt.groupBy(split_col).agg(F.try_divide(F.sum("sum_target"), F.sum("n_target")).alias("__p1"))
+    swoe = F.ln(F.try_divide(F.col("n_event") + F.lit(c) * F.col("__p1"), F.col("n_nonevent") + F.lit(c) * (1 - F.col("__p1"))))
+    table = join_null_safe(cnt, p1, [split_col]).select(split_col, cat, swoe.alias(f"{cat}_swoe")).where(F.col(cat).isNotNull())
+    fences = group_quantiles(df.where(F.col(cat).isNotNull()), [split_col], DURATIONS, QUARTILES, lambda v: v >= 0)
+    fences = fences.select(split_col, *[x for d in DURATIONS for x in (
+        (F.col(f"{d}_q2") + WHISKER * (F.col(f"{d}_q2") - F.col(f"{d}_q0"))).alias(f"__high_{d}"), F.col(f"{d}_q1").alias(f"__mid_{d}"))])
+    enc = join_null_safe(join_null_safe(df, broadcast_if_small(table), [split_col, cat]), broadcast_if_small(fences), [split_col])
+    over = {d: F.col(d) > F.col(f"__high_{d}") for d in DURATIONS}
+    out = enc.withColumns({f"{d}_imputed": over[d] for d in DURATIONS}).withColumns(
+        {d: F.when(F.col(f"{d}_imputed"), F.col(f"__mid_{d}")).otherwise(F.col(d)) for d in DURATIONS})
+    return out.drop(*[f"__{x}_{d}" for d in DURATIONS for x in ("high", "mid")])
+
+
+def _removed_counts() -> list:
+    """Rows that each step removes, of the flagged rows."""
+    return [F.count_if(~F.col("__k1")).alias("r1"), F.count_if(F.col("__k1") & ~F.col("__k2")).alias("r2"),
+            F.count_if(F.col("__k2") & ~F.col("__k3")).alias("r3")]
 
 
 def pre_split_audit(df: DataFrame) -> DataFrame:
     """K8 (pre-split part): rows removed by each step, one aggregate."""
-    return _removed(_step_flags(df))
+    return _removed(_step_flags(df).agg(*_removed_counts()))
 
 
-def _removed(f: DataFrame) -> DataFrame:
-    one = f.agg(F.count_if(~F.col("__k1")).alias("r1"),
-                F.count_if(F.col("__k1") & ~F.col("__k2")).alias("r2"),
-                F.count_if(F.col("__k2") & ~F.col("__k3")).alias("r3"))
+def _removed(one: DataFrame) -> DataFrame:
     return one.select(F.inline(F.array(*[
         F.struct(F.lit(n).alias("step"), F.lit(d).alias("description"), F.col(f"r{n}").cast("long").alias("removed"),
                  F.lit(0).cast("long").alias("imputed"), F.lit("all").alias("data"), F.lit(fn).alias("function"))
@@ -172,10 +161,12 @@ def post_split_audit_all(imputed: DataFrame, split_col: str = "split") -> DataFr
 
 
 def audit_table(df: DataFrame) -> DataFrame:
-    """K8: the whole audit: pre-split removals and per-split imputations, both from
-    the flagged rows, which are written once."""
+    """K8: the whole audit: pre-split removals, observed while the flagged rows are written,
+    and per-split imputations from the written rows."""
     cols = dict.fromkeys([ID, *SPLIT_KEYS, "item_type_code_name", "raw_score", *DURATIONS, "response_correctness",
                           "student_start_datetime", "student_stop_datetime", "item_attempt_start_datetime_utc",
                           "item_attempt_end_datetime_utc"])
-    flagged = staged(_step_flags(df.select(*cols)), "audit")
-    return _removed(flagged).unionByName(post_split_audit_all(impute_by_split(hash_split(_kept(flagged), SPLIT_KEYS))))
+    seen = Observation("removed")  # counted while the rows are written
+    flagged = staged(_step_flags(df.select(*cols)).observe(seen, *_removed_counts()), "audit")
+    counts = df.sparkSession.createDataFrame([tuple(seen.get[f"r{n}"] for n, _, _ in STEPS)], "r1 long, r2 long, r3 long")
+    return _removed(counts).unionByName(post_split_audit_all(impute_by_split(hash_split(_kept(flagged), SPLIT_KEYS))))
