@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from scorecraft.functions.dates import epoch_seconds
 from scorecraft.operators.distribution import fence_values
 from scorecraft.operators.joins import sized_join
+from scorecraft.operators.profile import distinct_members
 from scorecraft.session import staged
 
 # Level-collapsing rule for item types.
@@ -87,7 +88,7 @@ def recount_per_group(df: DataFrame, group: str = "assessment_instance_id", memb
     """Distinct members per group next to the stored value.  ``by_stored``
     groups by (group, stored) as the study did (fans out on join, Q11)."""
     keys = [group, stored] if (by_stored and stored) else [group]
-    return df.groupBy(*keys).agg(F.countDistinct(member).alias(f"{stored or member}_calc"))
+    return distinct_members(df, keys, member, f"{stored or member}_calc")
 
 
 def recount_impute(df: DataFrame, group: str = "assessment_instance_id", member: str = "learner_id",

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from scorecraft.functions.dates import epoch_micros
 from scorecraft.operators.quantiles import quantile_values
 from scorecraft.session import staged
 
@@ -17,19 +19,57 @@ def _long(one_row: DataFrame, items) -> DataFrame:
     return one_row.select(F.inline(F.array(*items)))
 
 
+# Types whose values are whole numbers, or points of time, which are whole seconds as a rule.
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType, T.DateType)
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+
+
+def _whole_parts(c: str, kind) -> tuple[Column, Column]:
+    """(whole number, rest) of a value, which together are the value."""
+    if isinstance(kind, _TIMES):
+        micros = epoch_micros(c).cast("long")
+        return F.floor(micros / F.lit(1_000_000)).cast("long"), F.pmod(micros, F.lit(1_000_000)).cast("int")
+    whole = F.unix_date(c) if isinstance(kind, T.DateType) else F.col(f"`{c}`").cast("int") if isinstance(kind, T.BooleanType) else F.col(f"`{c}`")
+    return whole.cast("long"), F.lit(0)
+
+
+def count_distinct_whole(df: DataFrame, keys, value: Column, rest: Column, alias: str = "n_distinct") -> DataFrame:
+    """Distinct whole numbers per group, exactly: 64 neighbouring values are the bits of one
+    number, combined before the shuffle, so what is shuffled shrinks with the density of the
+    values and is never more than the values themselves."""
+    rows = df.select(*keys, value.alias("__v"), rest.alias("__rest"))
+    words = rows.groupBy(*keys, F.shiftright("__v", 6).alias("__word"), "__rest").agg(F.bit_or(F.expr("shiftleft(1L, CAST(__v & 63 AS INT))")).alias("__bits"))
+    return words.groupBy(*keys).agg(F.coalesce(F.sum(F.bit_count("__bits")), F.lit(0)).cast("long").alias(alias))
+
+
+def distinct_members(df: DataFrame, keys, member: str, alias: str) -> DataFrame:
+    """Distinct members per group (NULL is none): by bitmaps where they are whole numbers."""
+    kind = df.schema[member].dataType
+    if isinstance(kind, (*_WHOLE, *_TIMES)):
+        return count_distinct_whole(df, keys, *_whole_parts(member, kind), alias)
+    return df.groupBy(*keys).agg(F.countDistinct(member).alias(alias))
+
+
 def _with_distinct(df: DataFrame, cols, stats: DataFrame, approx: bool, out_cols) -> DataFrame:
-    """``stats`` (one row per variable) with n_distinct.  Exact counts come from narrow
-    (variable, value) pairs, combined before the shuffle, instead of one aggregate that
-    expands every row once per column."""
+    """``stats`` (one row per variable) with n_distinct.  Exact counts of whole numbers, dates
+    and times come from bitmaps, those of other types from narrow (variable, value) pairs;
+    both are combined before the shuffle, and no row is expanded by all columns at once."""
     if approx:
         one = df.agg(*[F.approx_count_distinct(c).alias(f"u{i}") for i, c in enumerate(cols)])
         counts = _long(one, [F.struct(F.lit(c).alias("variable"), F.col(f"u{i}").alias("n_distinct")) for i, c in enumerate(cols)])
     else:
-        kinds = dict(df.dtypes)
-        text = lambda c: (F.col(c) + 0.0 if kinds[c] in ("double", "float") else F.col(c)).cast("string")  # noqa: E731  -0.0 is 0.0
-        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), text(c).alias("value")) for c in cols])).alias("kv"))
-        counts = (pairs.select("kv.*").where("value IS NOT NULL").distinct()
-                  .groupBy("variable").agg(F.count(F.lit(1)).alias("n_distinct")))
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        whole = [c for c in cols if isinstance(kinds[c], (*_WHOLE, *_TIMES))]
+        found = []
+        if whole:
+            kv = [F.struct(F.lit(c).alias("variable"), *(x.alias(n) for x, n in zip(_whole_parts(c, kinds[c]), ("v", "rest")))) for c in whole]
+            found.append(count_distinct_whole(df.select(F.inline(F.array(*kv))), ["variable"], F.col("v"), F.col("rest")))
+        other = [c for c in cols if c not in whole]
+        if other:
+            text = lambda c: (F.col(c) + 0.0 if isinstance(kinds[c], (T.DoubleType, T.FloatType)) else F.col(c)).cast("string")  # noqa: E731  -0.0 is 0.0
+            pairs = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("variable"), text(c).alias("value")) for c in other])))
+            found.append(pairs.where("value IS NOT NULL").distinct().groupBy("variable").agg(F.count(F.lit(1)).alias("n_distinct")))
+        counts = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     # one row per column
     joined = stats.join(F.broadcast(counts), "variable", "left")
     return joined.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)).cast("long")).select(*out_cols)
@@ -64,14 +104,14 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 def distinct_per_group(df: DataFrame, group: str, member: str, alias: str) -> DataFrame:
     """Distinct members per group plus a 'mean' row = round(avg) (Q14)."""
-    per = staged(df.groupBy(group).agg(F.countDistinct(member).cast("double").alias(alias)), "per_group")
+    per = staged(distinct_members(df, [group], member, alias).withColumn(alias, F.col(alias).cast("double")), "per_group")
     mean = per.agg(F.round(F.avg(alias)).alias(alias)).select(F.lit("mean").alias(group), alias)
     return per.select(F.col(group).cast("string").alias(group), alias).unionByName(mean)
 
 
 def mean_distinct_two_level(df: DataFrame, g1: str, g2: str, member: str, alias: str) -> DataFrame:
     """Distinct members per (g1, g2), averaged per g1 (unweighted), plus 'mean' row."""
-    inner = df.groupBy(g1, g2).agg(F.countDistinct(member).alias(alias))
+    inner = distinct_members(df, [g1, g2], member, alias)
     per = staged(inner.groupBy(g1).agg(F.avg(alias).alias(alias)), "per_group")
     mean = per.agg(F.round(F.avg(alias)).alias(alias)).select(F.lit("mean").alias(g1), alias)
     return per.select(F.col(g1).cast("string").alias(g1), alias).unionByName(mean)
