@@ -98,16 +98,32 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score",
     tot = per.agg(F.sum("rp").alias("p"), F.sum("rn").alias("n")).first()
     w = Window.partitionBy("rng").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     pts = (groups.join(F.broadcast(offs), "rng")
-           .select("score", "pos", "neg",
+           .select("rng", "score", "pos", "neg",
                    (F.col("off_pos") + F.sum("pos").over(w)).alias("cum_pos"),
                    (F.col("off_neg") + F.sum("neg").over(w)).alias("cum_neg")))
     return pts, int(tot["p"] or 0), int(tot["n"] or 0)
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def _corners(pts: DataFrame) -> DataFrame:
+    """Points at which the curve turns: a point goes if it lies on the line from the one before
+    to the one after it (steps of one slope).  The last step of a range is compared with the
+    first step of the next one, which is carried over as a row per range."""
+    first = pts.groupBy("rng").agg(F.max_by(F.struct("pos", "neg"), "score").alias("first"))
+    after = first.select("rng", F.lead("first").over(Window.orderBy("rng")).alias("beyond"))  # one row per range
+    step = F.coalesce(F.lead(F.struct("pos", "neg")).over(Window.partitionBy("rng").orderBy(F.desc("score"))), F.col("beyond"))
+    # bigint counts: products of two are compared as decimals
+    wide = lambda c: c.cast("decimal(19,0)")
+    on_line = wide(F.col("pos")) * wide(F.col("step.neg")) == wide(F.col("neg")) * wide(F.col("step.pos"))
+    return pts.join(F.broadcast(after), "rng").withColumn("step", step).where(F.col("step").isNull() | ~on_line)
+
+
+def roc_curve(df: DataFrame, label: str = "label", score: str = "score", drop_collinear: bool = False) -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score plus the (0, 0) point
-    at threshold +inf; collinear points are kept (Q34)."""
+    at threshold +inf.  Collinear points are kept (Q34) unless ``drop_collinear``;
+    the area under the curve is the same."""
     pts, P, N = roc_points(df, label, score)
+    if drop_collinear:
+        pts = _corners(pts)
     start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return start.unionByName(pts.select(
         F.col("score").alias("threshold"),

@@ -98,15 +98,40 @@ def contingency_all_pairs(df: DataFrame, cols) -> DataFrame:
             .groupBy("v1", "v2", "x", "y").agg(F.count(F.lit(1)).alias("count")))
 
 
-def cramers_v(df: DataFrame, cols) -> DataFrame:
+def _nominal_pairs(df: DataFrame, cols) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written contingency cells of all pairs with their row and column totals."""
+    cells = staged(contingency_all_pairs(df, cols), "cells")
+    rows = staged(cells.groupBy("v1", "v2", "x").agg(F.sum("count").alias("rt")), "cell_rows")
+    columns = staged(cells.groupBy("v1", "v2", "y").agg(F.sum("count").alias("ct")), "cell_columns")
+    return cells, rows, columns
+
+
+def theils_u(df: DataFrame, cols, parts=None) -> DataFrame:
+    """D32 nominal-nominal: Theil's U in both directions: (v1, v2, theils_u), the share of the
+    entropy of v1 that v2 explains; 1 where v1 has one level only.
+
+    H(v1) and H(v1 | v2) are grouped sums over the contingency cells: with counts c of a
+    cell and t of its level of v2, H(v1 | v2) = (sum t ln t - sum c ln c) / n."""
+    cells, rows, columns = parts or _nominal_pairs(df, cols)
+    of = lambda t, c, name: t.groupBy("v1", "v2").agg(F.sum(F.col(c) * F.ln(c)).alias(name), F.sum(c).cast("double").alias("n"), F.count(F.lit(1)).alias(f"k_{name}"))
+    one = (of(cells, "count", "both").join(of(rows, "rt", "first").drop("n"), ["v1", "v2"])
+           .join(of(columns, "ct", "second").drop("n"), ["v1", "v2"]))  # one row per pair of columns
+    top = F.col("n") * F.ln("n")
+
+    def u(mine, other):  # (H(mine) - H(mine | other)) / H(mine)
+        whole, left = top - F.col(mine), F.col(other) - F.col("both")
+        return F.when(F.col(f"k_{mine}") == 1, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.try_divide(whole - left, whole)))
+    return one.select(F.inline(F.array(F.struct(F.col("v1"), F.col("v2"), u("first", "second").alias("theils_u")),
+                                       F.struct(F.col("v2").alias("v1"), F.col("v1").alias("v2"), u("second", "first").alias("theils_u")))))
+
+
+def cramers_v(df: DataFrame, cols, parts=None) -> DataFrame:
     """D32 nominal-nominal: Cramér's V, plain and bias-corrected (Bergsma), per pair.
 
     chi2 = sum(O^2 / E) - n over the non-empty cells, E = row * col / n; the row and
     column totals are grouped sums of the written contingency cells, joined back, so
     no pair's table has to fit one task."""
-    cells = staged(contingency_all_pairs(df, cols), "cells")
-    rows = staged(cells.groupBy("v1", "v2", "x").agg(F.sum("count").alias("rt")), "cell_rows")
-    columns = staged(cells.groupBy("v1", "v2", "y").agg(F.sum("count").alias("ct")), "cell_columns")
+    cells, rows, columns = parts or _nominal_pairs(df, cols)
     # chi2 + n = n * sum(O^2 / (row * column)): every part is a grouped sum
     share = (cells.join(rows, ["v1", "v2", "x"]).join(columns, ["v1", "v2", "y"])
              .groupBy("v1", "v2").agg(F.sum(F.col("count") * F.col("count") / (F.col("rt") * F.col("ct"))).alias("s")))
@@ -153,10 +178,12 @@ def association_matrix(df: DataFrame, nominal, numeric) -> DataFrame:
     """Long (v1, v2, measure, value) over the mixed column set."""
     parts = []
     if len(nominal) > 1:
-        cv = cramers_v(df, nominal)
+        tables = _nominal_pairs(df, nominal)
+        cv = cramers_v(df, nominal, tables)
         parts.append(cv.select("v1", "v2", F.lit("cramers_v").alias("measure"), F.col("cramers_v").alias("value")))
         parts.append(cv.select("v1", "v2", F.lit("cramers_v_corrected").alias("measure"),
                                F.col("cramers_v_corrected").alias("value")))
+        parts.append(theils_u(df, nominal, tables).select("v1", "v2", F.lit("theils_u").alias("measure"), F.col("theils_u").alias("value")))
     if nominal and numeric:
         parts.append(correlation_ratio(df, nominal, numeric).select(
             "v1", "v2", F.lit("eta").alias("measure"), F.col("eta").alias("value")))

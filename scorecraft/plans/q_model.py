@@ -101,6 +101,16 @@ def q_roc_curve(spark, sf):
     return rounded(evaluate.roc_curve(_scored(spark, sf), "label", "score"))
 
 
+@query("roc_corners", with_attempts("""
+SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
+UNION ALL SELECT round(score, 6), round(cn * 1.0 / N, 6), round(cp * 1.0 / P, 6) FROM (
+  SELECT *, lead(pos) OVER (ORDER BY score DESC) AS p2, lead(neg) OVER (ORDER BY score DESC) AS n2 FROM cu) t, tt
+WHERE p2 IS NULL OR pos * n2 <> neg * p2""", *_ROC_CTES))
+def q_roc_corners(spark, sf):
+    """N5 without collinear points: only thresholds at which the curve turns."""
+    return rounded(evaluate.roc_curve(_scored(spark, sf), "label", "score", drop_collinear=True))
+
+
 @query("auc", with_attempts("""
 SELECT round(sum(neg * (2.0 * cp - pos)) / (2.0 * max(P) * max(N)), 6) AS auc, CAST(max(P) AS BIGINT) AS positives,
        CAST(max(N) AS BIGINT) AS negatives FROM cu, tt""", *_ROC_CTES))

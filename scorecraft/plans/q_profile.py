@@ -415,6 +415,14 @@ def _assoc_sql():
         f"""SELECT v1, v2, 'cramers_v_corrected', round(sqrt(greatest(0.0, phi2 - (k - 1) * (r - 1) / (n - 1))
               / least((k - (k - 1) * (k - 1) / (n - 1)) - 1, (r - (r - 1) * (r - 1) / (n - 1)) - 1)), 6) FROM ({cv}) p""",
     ]
+    for a, b in itertools.permutations(_NOM, 2):
+        parts.append(f"""SELECT '{a}', '{b}', 'theils_u', CASE WHEN hx = 0 THEN 1.0 ELSE round(greatest(0.0, (hx - hxy) / hx), 6) END FROM (
+  SELECT -sum(part) AS hx, max(hxy) AS hxy FROM (
+    SELECT any_value(rt) / max(n) * ln(any_value(rt) / max(n)) AS part, max(hxy) AS hxy FROM (
+      SELECT x, rt, n, sum(cnt / n * ln(ct / cnt)) OVER () AS hxy FROM (
+        SELECT x, y, cnt, sum(cnt) OVER (PARTITION BY x) AS rt, sum(cnt) OVER (PARTITION BY y) AS ct, CAST(sum(cnt) OVER () AS DOUBLE) AS n
+        FROM (SELECT coalesce(CAST({a} AS VARCHAR), 'null') AS x, coalesce(CAST({b} AS VARCHAR), 'null') AS y, count(*)::DOUBLE AS cnt
+              FROM attempts GROUP BY 1, 2) c) e) f GROUP BY x) g) h""")
     for a in _NOM:
         for y in _NUMS:
             parts.append(f"""SELECT '{a}', '{y}', 'eta', round(sqrt(greatest(0.0,
@@ -428,7 +436,7 @@ FROM (SELECT coalesce(CAST({a} AS VARCHAR), 'null') AS lvl, count({y}) AS n, sum
 
 @query("assoc_matrix", with_attempts(_assoc_sql()))
 def q_assoc_matrix(spark, sf):
-    """Cramér's V (plain, bias-corrected), correlation ratio and Pearson."""
+    """Cramér's V (plain, bias-corrected), Theil's U, correlation ratio and Pearson."""
     return rounded(relate.association_matrix(att(spark, sf), _NOM, _NUMS))
 
 
