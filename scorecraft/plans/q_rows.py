@@ -29,6 +29,33 @@ def q_scan_csv_schema(spark, sf):
     return files.read_csv(spark, path, "n_nationkey int, n_name string, n_regionkey int")
 
 
+# Orders as CSV lines; a key of 1, 2 or 3 within its thousand misses a field, has one too many,
+# or a total that is no number.
+@query("csv_rejects", """
+SELECT k % 1000 AS damage, count(*) AS n, CAST(sum(k) AS BIGINT) AS keys, round(sum(t), 2) AS total, min(line) AS first_line FROM (
+  SELECT o_orderkey AS k, CASE WHEN o_orderkey % 1000 IN (1, 2, 3) THEN NULL ELSE o_totalprice END AS t,
+         CASE o_orderkey % 1000 WHEN 1 THEN o_orderkey || ',' || o_custkey
+              WHEN 2 THEN o_orderkey || ',' || o_custkey || ',17.5,' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ',surplus'
+              WHEN 3 THEN o_orderkey || ',' || o_custkey || ',many,' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS line FROM orders) x
+WHERE line IS NOT NULL GROUP BY 1
+UNION ALL SELECT -1, count(*), CAST(sum(o_orderkey) AS BIGINT), round(sum(o_totalprice), 2), NULL FROM orders WHERE o_orderkey % 1000 NOT IN (1, 2, 3)""")
+def q_csv_rejects(spark, sf):
+    """A1: a CSV file with short, long and unparsable lines: its good rows and its rejected lines."""
+    o = tbl(spark, sf, "orders")
+    key, cust, day = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderdate").cast("date").cast("string")
+    damage = F.col("o_orderkey") % 1000
+    line = (F.when(damage == 1, F.concat_ws(",", key, cust)).when(damage == 2, F.concat_ws(",", key, cust, F.lit("17.5"), day, F.lit("surplus")))
+            .when(damage == 3, F.concat_ws(",", key, cust, F.lit("many"), day)).otherwise(F.concat_ws(",", key, cust, F.col("o_totalprice").cast("string"), day)))
+    path = scratch_path(spark, "orders_csv")
+    o.select(line).write.text(path)
+    good, bad = files.read_csv_with_rejects(spark, path, "k bigint, c bigint, t double, d date", header=False)
+    k = F.split("line", ",")[0].cast("long")
+    kept = good.agg(F.lit(-1).cast("long").alias("damage"), F.count(F.lit(1)).alias("n"), F.sum("k").alias("keys"), F.round(F.sum("t"), 2).alias("total"),
+                    F.lit(None).cast("string").alias("first_line"))
+    return bad.groupBy((k % 1000).alias("damage")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(k).alias("keys"), F.lit(None).cast("double").alias("total"), F.min("line").alias("first_line")).unionByName(kept)
+
+
 @query("stage_parquet", "SELECT r_regionkey, r_name FROM region")
 def q_stage_parquet(spark, sf):
     """A3/A4/A5: stage a scan as parquet (no forced single file) and continue

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scorecraft.session import staged
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              header: bool = True, infer: bool = False) -> DataFrame:
@@ -20,6 +22,24 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.csv(path)
 
 
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
+                          sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """A1: (good rows, rejected lines) of a CSV file: a line with too few or too many fields, or
+    with a field that is not of its column's type, is rejected whole and kept as it stands in
+    column ``line``, beside its file.  The parsed lines are written once, so both results
+    agree and the file is parsed once."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    mark = "__line"
+    while mark in schema.names:
+        mark += "_"
+    parsed = (spark.read.schema(T.StructType([*schema.fields, T.StructField(mark, T.StringType())]))
+              .option("header", header).option("sep", sep).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", mark).csv(path))
+    parsed = staged(parsed.select("*", F.col("_metadata.file_name").alias(f"{mark}_file")), "csv")
+    return (parsed.where(F.col(mark).isNull()).drop(mark, f"{mark}_file"),
+            parsed.where(F.col(mark).isNotNull()).select(F.col(f"{mark}_file").alias("file"), F.col(mark).alias("line")))
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.mode("overwrite").option("header", header).csv(path)
 
