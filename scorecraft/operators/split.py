@@ -4,10 +4,9 @@ The default split is a hash of a key, so a row's side never depends on the
 partitioning or on a recomputation after an executor is lost (Q21).  The
 native ``sample``/``randomSplit`` are offered as in the study; give
 ``checkpoint=True`` where the input's partitions can change on recomputation.
-The stratified split is exact per class: the hash is uniform, so the cut-off of a
-class of n rows lies within a few standard errors of the fraction.  Rows outside
-that bracket are decided by their hash alone, and only the bracket (about sqrt(n)
-rows a class) is ranked."""
+The stratified split is exact per class: counts by the leading part of the hash name
+the part that holds a class's cut-off.  All other rows are decided by their hash alone;
+that part's rows (1 / HASH_PARTS of a class) are ranked over ranges."""
 
 from __future__ import annotations
 
@@ -16,15 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scorecraft.operators.joins import sized_join
-from scorecraft.session import cut_lineage
+from scorecraft.session import cut_lineage, staged
 
 # Seeds and proportions used by the study.
 SAMPLE_SEED = 8764664
 SPLIT_SEED = 11112020
 TRAIN_FRACTION = 0.75
 SAMPLE_FRACTION = 0.10
-# Half width, in standard errors, of the bracket in which a class's cut-off is sought.
-BRACKET = 8.0
+# Parts of the hash by which the rows of a class are counted.
+HASH_PARTS = 4096
 
 
 def key_text(keys) -> Column:
@@ -77,25 +76,29 @@ def stratified_split(df: DataFrame, label: str, keys, train_fraction: float = TR
     like any other) go to 'train': those with the smallest hash of the key, ties by
     the key's text and then by the whole row.
 
-    One pass counts each class and its rows under the bracket; the counts are joined
-    back, and a window ranks the rows inside the bracket only.  Rows that share one
-    key share one hash, so a key should not hold a large part of a class."""
+    One pass counts each class by the leading part of the hash; the counts name the one
+    part that holds the class's cut-off, so all other rows are placed by their hash alone.
+    The rows of that part are sorted over ranges, whose totals are the offsets of their
+    ranks: a part that holds a whole class (many rows of one key) is ranked by many tasks."""
     u, name = hash_unit(keys), F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))
-    rows = df.withColumn("__class", name).withColumn("__u", u)
-    totals = rows.groupBy("__class").agg(F.count(F.lit(1)).alias("__n"))
-    slack = F.lit(BRACKET) * F.sqrt(F.lit(train_fraction * (1 - train_fraction)) / F.col("__n")) + F.lit(BRACKET) / F.col("__n")
-    sized = sized_join(rows, totals.withColumn("__lo", F.lit(train_fraction) - slack).withColumn("__hi", F.lit(train_fraction) + slack), "__class", "inner")
-    under = (sized.groupBy("__class").agg(F.count_if(F.col("__u") < F.col("__lo")).alias("__under"), F.count_if(F.col("__u") <= F.col("__hi")).alias("__over"),
-                                          F.first("__n").alias("__n"), F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"))
-             .withColumn("__k", F.floor(F.lit(train_fraction) * F.col("__n"))))
-    # a cut-off outside its bracket (many rows of one key): rank the whole class
-    missed = (F.col("__under") > F.col("__k")) | (F.col("__over") < F.col("__k"))
-    under = under.select("__class", "__k", F.when(missed, F.lit(0)).otherwise(F.col("__under")).alias("__under"),
-                         F.when(missed, F.lit(-1.0)).otherwise(F.col("__lo")).alias("__lo"), F.when(missed, F.lit(2.0)).otherwise(F.col("__hi")).alias("__hi"))
-    placed = sized_join(rows, under, "__class", "inner")
-    inside = F.col("__u").between(F.col("__lo"), F.col("__hi"))
-    order = Window.partitionBy("__class").orderBy("__u", key_text(keys), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    near = (placed.where(inside).withColumn("__rank", F.col("__under") + F.row_number().over(order))
-            .withColumn(col, F.when(F.col("__rank") <= F.col("__k"), "train").otherwise("valid")).drop("__rank"))
-    far = placed.where(~inside).withColumn(col, F.when(F.col("__u") < F.col("__lo"), "train").otherwise("valid"))
-    return far.unionByName(near).drop("__class", "__u", "__k", "__under", "__lo", "__hi")
+    rows = df.withColumn("__class", name).withColumn("__u", u).withColumn("__part", F.floor(F.col("__u") * HASH_PARTS).cast("int"))
+    counts = rows.groupBy("__class", "__part").agg(F.count(F.lit(1)).alias("__n"))
+    end = F.sum("__n").over(Window.partitionBy("__class").orderBy("__part").rowsBetween(Window.unboundedPreceding, 0))  # HASH_PARTS rows at most
+    taken = F.floor(F.lit(train_fraction) * F.sum("__n").over(Window.partitionBy("__class")))
+    cuts = (counts.withColumn("__end", end).withColumn("__k", taken).where("__end > __k").groupBy("__class")
+            .agg(F.min(F.struct("__part", (F.col("__k") - F.col("__end") + F.col("__n")).alias("need"))).alias("c"))
+            .select("__class", F.col("c.__part").alias("__cut"), F.col("c.need").alias("__need")))
+    placed = sized_join(rows, cuts, "__class", "left")  # no cut where all rows go to train
+    train = F.col("__cut").isNull() | (F.col("__part") < F.col("__cut"))
+    far = placed.where(train | (F.col("__part") > F.col("__cut"))).withColumn(col, F.when(train, "train").otherwise("valid"))
+    order = ["__u", "__key", "__row"]
+    near = (placed.where(F.col("__part") == F.col("__cut")).withColumn("__key", key_text(keys))
+            .withColumn("__row", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])))
+    near = staged(near.repartitionByRange("__class", *order).withColumn("__range", F.spark_partition_id()), "cutoff")
+    totals = near.groupBy("__class", "__range").agg(F.count(F.lit(1)).alias("__t"))
+    before = Window.partitionBy("__class").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = totals.select("__class", "__range", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__offset"))
+    rank = F.col("__offset") + F.row_number().over(Window.partitionBy("__class", "__range").orderBy(*order))
+    near = (near.join(offsets, ["__class", "__range"]).withColumn("__rank", rank)
+            .withColumn(col, F.when(F.col("__rank") <= F.col("__need"), "train").otherwise("valid")))
+    return far.select(*df.columns, col).unionByName(near.select(*df.columns, col))
