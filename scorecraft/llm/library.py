@@ -17,6 +17,10 @@ from tokenizers import Tokenizer
 
 from scorecraft.llm.pretokens import boundaries
 
+# Characters that stand for bytes: printable ones of Latin-1 for themselves, the others from U+0100 on, in order.
+_OWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = np.arange(0x100, dtype="<u2")
+_BYTE_CHARS[sorted({*range(0x100)} - {*_OWN})] = range(0x100, 0x200 - len(_OWN))
 # Pre-tokens whose ids a task remembers (about 200 bytes each) before it starts anew, and
 # pre-tokens given to the library at once.
 REMEMBERED, AT_ONCE = 500_000, 5_000
@@ -43,7 +47,7 @@ class Library:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t["content"].encode() for t in json.loads(spec).get("added_tokens", [])]
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -57,17 +61,28 @@ class Library:
         new = [x for x in wanted if x not in known]
         for lo in range(0, len(new), AT_ONCE):
             part = new[lo:lo + AT_ONCE]
-            for x, e in zip(part, self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)):
-                known[x] = np.array(e.ids, np.int32).tobytes()
+            known.update(zip(part, self._ids_of(part)))
         found = [known[x] for x in wanted]
         count = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return np.frombuffer(b"".join(found), np.int32), count
 
+    def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids (int32) of pre-tokens: the library's model is given each as it is after the
+        byte-level step, without the rest of its pipeline, which a pre-token passes unchanged."""
+        tokenize = self.tokenizer.model.tokenize
+        text = _BYTE_CHARS[np.frombuffer(b"".join(pieces), np.uint8)].tobytes().decode("utf-16-le")
+        flat, ends, at = [], [0], 0
+        for x in pieces:
+            flat += [t.id for t in tokenize(text[at:at + len(x)])]
+            ends.append(4 * len(flat))
+            at += len(x)
+        raw = np.array(flat, np.int32).tobytes()
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
     def count_pieces(self, pieces: list[bytes]) -> list[int]:
         out: list[int] = []
         for lo in range(0, len(pieces), AT_ONCE):
-            part = [x.decode() for x in pieces[lo:lo + AT_ONCE]]
-            out += [len(e) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            out += [len(x) // 4 for x in self._ids_of(pieces[lo:lo + AT_ONCE])]
         return out
 
     def cut(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -132,7 +132,6 @@ def _encode(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
             tokens[kept] = np.concatenate(doc)
             yield _staged_batch(part << 32 | step, batch.column(0).take(pa.array(order)), sizes, tokens)
             step += 1
-        lib.known.clear()  # an idle worker holds no memory
 
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     return rows.mapInArrow(run, _STAGED)
