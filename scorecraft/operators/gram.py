@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 # Rows whose means are the shift (any value near the means will do), and pairs of levels a task holds before it passes them on.
 SHIFT_ROWS, HELD_PAIRS = 1000, 1_000_000
+# Numbers a task returns up to which they are added up as rows.
+FEW_NUMBERS = 2_000
 _SUMS = "term int, other int, v array<double>"
 
 
@@ -75,8 +77,14 @@ class Design:
         return read
 
 
-def summed(partial: DataFrame) -> DataFrame:
-    """Arrays of equal (term, other) added up, spread over the cluster by term."""
+def summed(partial: DataFrame, numbers: int) -> DataFrame:
+    """Arrays of equal (term, other) added up, spread over the cluster by term.  ``numbers`` is
+    about what a task returns: a few are added up as rows, many as arrays in numpy."""
+    if numbers <= FEW_NUMBERS:
+        each = partial.select("term", "other", F.posexplode("v").alias("at", "x")).groupBy("term", "other", "at").agg(F.sum("x").alias("x"))
+        whole = each.groupBy("term", "other").agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("v"))
+        return whole.select("term", "other", F.transform("v", lambda r: r["x"]).alias("v"))
+
     def add(batches):
         held: dict = {}
         for batch in batches:
@@ -199,7 +207,8 @@ def gram(rows: DataFrame, design: Design) -> Gram:
 
     n, total, products = 0, np.zeros(width), np.zeros((width, width))
     counts, sums, pairs = [np.zeros(s) for s in sizes], [np.zeros((s, width)) for s in sizes], {}
-    for r in summed(rows.mapInArrow(add, _SUMS)).collect():
+    about = width * (width + 1) // 2 + sum(sizes) * (width + 1) + sum(a * b for k, a in enumerate(sizes) for b in sizes[k + 1:])
+    for r in summed(rows.mapInArrow(add, _SUMS), about).collect():
         t, o, v = r
         if t < 0:
             n, total = int(v[-1]), np.array(v[:-1])

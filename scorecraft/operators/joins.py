@@ -97,7 +97,7 @@ def hot_keys(rows: DataFrame, on: str) -> list:
     return [k for k in found if k is not None]
 
 
-def _dealt_join(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
+def dealt_join(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
     """Shuffle join in which a hot key's rows are dealt over HOT_PARTS tasks."""
     hot = hot_keys(left, on)
     if not hot:
@@ -148,7 +148,7 @@ def _filtered_join(left: DataFrame, keyed: DataFrame, sure: DataFrame, right: Da
         tagged = may_match(left, staged(key_filter(right, on), "key_filter"), on)
         keyed, sure = tagged.where("__maybe").drop("__maybe"), tagged.where("NOT __maybe").drop("__maybe")
     columns = left.columns if how == "left_anti" else dict.fromkeys([*left.columns, *right.columns])
-    return _dealt_join(keyed, right, on, how).select(*[F.col(f"`{c}`") for c in columns]), sure
+    return dealt_join(keyed, right, on, how).select(*[F.col(f"`{c}`") for c in columns]), sure
 
 
 def join_aggregate_back(detail: DataFrame, agg: DataFrame, on: str, how: str = "left",

@@ -5,12 +5,12 @@ shuffling a column.
 Spark's exact ``percentile`` keeps every distinct value of a group in one buffer
 and merges it in one task: unbounded for a 100 TB column.  Here:
 
-1. one pass over the rows counts each column and sketches it
+1. one aggregate counts all columns and sketches them
    (``percentile_approx``, merged from bounded partial sketches).  The sketch's
    error bound gives a bracket of values around every wanted quantile;
-2. a second pass counts the rows under each bracket and the frequencies of the
-   values inside it, combined before the shuffle: about 4 / SKETCH_ACCURACY of a
-   continuous column leaves the map side, the rest only as counts;
+2. a second aggregate counts the rows under each bracket, and the frequencies of the
+   values inside brackets are combined before the shuffle: about 4 / SKETCH_ACCURACY of a
+   continuous column leaves the map side.  No row is expanded by its columns;
 3. the values at the wanted ranks are read from the brackets by a window per
    bracket.  A bracket with more than ``max_leaf`` distinct values is first narrowed
    on its own small table, round by round; a round that does not shrink it is an
@@ -22,6 +22,8 @@ gives the one-pass sketch answer instead."""
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -33,25 +35,27 @@ BUCKETS = 64
 SKETCH_ACCURACY = 20_000
 
 
-def long_values(df: DataFrame, cols, value_filter=None) -> DataFrame:
-    """(variable, value double) for every value of ``cols`` that is neither null nor NaN."""
-    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value"))
-                            for c in cols])).alias("kv")
-    value = F.col("value")
-    long = df.select(kv).select("kv.variable", "kv.value").where(value.isNotNull() & ~F.isnan(value))
-    if value_filter is not None:
-        long = long.where(value_filter(value))
-    return long
+def _values(df: DataFrame, cols, value_filter=None) -> DataFrame:
+    """Columns v0, v1, ...: the values as double, NULL where they are NaN or filtered out."""
+    out = []
+    for i, c in enumerate(cols):
+        v = F.col(f"`{c}`").cast("double")
+        ok = ~F.isnan(v)
+        out.append(F.when(ok & value_filter(v) if value_filter is not None else ok, v).alias(f"v{i}"))
+    return df.select(*out)
 
 
-def _frequencies(long: DataFrame, segs: list[dict]) -> DataFrame:
+def _frequencies(rows: DataFrame, segs: list[dict]) -> DataFrame:
     """(seg, value, cnt) inside each bracket; value NULL counts the rows under it."""
-    frame = long.sparkSession.createDataFrame([(s["id"], s["variable"], s["lo"], s["hi"]) for s in segs],
-                                              "seg int, s_variable string, lo double, hi double")
-    # one row per column and quantile
-    rows = long.join(F.broadcast(frame), (F.col("variable") == F.col("s_variable")) & (F.col("value") <= F.col("hi")))
-    return (rows.select("seg", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("value"))
-            .groupBy("seg", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    v = lambda s: F.col(s["column"])
+    inside = [v(s).between(F.lit(s["lo"]), F.lit(s["hi"])) for s in segs]
+    kept = F.filter(F.array(*[F.struct(F.lit(s["id"]).alias("seg"), F.when(i, v(s)).alias("value")) for s, i in zip(segs, inside)]),
+                    lambda x: x["value"].isNotNull())
+    found = (rows.where(reduce(or_, inside)).select(F.inline(kept)).groupBy("seg", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    under = rows.agg(*[F.count_if(v(s) < F.lit(s["lo"])).alias(f"n{k}") for k, s in enumerate(segs)])
+    under = under.select(F.inline(F.array(*[F.struct(F.lit(s["id"]).alias("seg"), F.lit(None).cast("double").alias("value"), F.col(f"n{k}").alias("cnt"))
+                                            for k, s in enumerate(segs)])))
+    return found.unionByName(under.where("cnt > 0"))
 
 
 def _narrow(freq: DataFrame, segs: list[dict], buckets: int) -> None:
@@ -99,23 +103,23 @@ def quantile_values(df: DataFrame, cols, probs, value_filter=None, approx: bool
                     max_leaf: int = MAX_LEAF, buckets: int = BUCKETS, accuracy: int = SKETCH_ACCURACY) -> dict:
     """{(variable, p): value}; value is None for a column without values."""
     cols, probs = list(cols), [float(p) for p in probs]
-    long = long_values(df, cols, value_filter)
+    rows = _values(df, cols, value_filter)
     slack = 2.0 / accuracy  # the sketch may be off by 1 / accuracy
     fracs = probs if approx else [f for p in probs for f in (max(0.0, p - slack), min(1.0, p + slack))]
-    seen = {r["variable"]: r for r in long.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.percentile_approx("value", fracs, accuracy).alias("q")).collect()}
+    one = rows.agg(*[a for i in range(len(cols)) for a in (F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"lo{i}"), F.max(f"v{i}").alias(f"hi{i}"),
+                                                           F.percentile_approx(f"v{i}", fracs, accuracy).alias(f"q{i}"))]).first() if cols else None
+    seen = {c: {k: one[f"{k}{i}"] for k in ("n", "lo", "hi", "q")} for i, c in enumerate(cols) if one[f"n{i}"]}
     if approx:
         return {(c, p): seen[c]["q"][k] if c in seen else None for c in cols for k, p in enumerate(probs)}
     segs = []
     for c, r in seen.items():
         for k, p in enumerate(probs):
             h = (r["n"] - 1) * p
-            segs.append({"id": len(segs), "variable": c, "ranks": {math.floor(h), math.ceil(h)},
+            segs.append({"id": len(segs), "variable": c, "column": f"v{cols.index(c)}", "ranks": {math.floor(h), math.ceil(h)},
                          "lo": r["lo"] if p <= slack else r["q"][2 * k], "hi": r["hi"] if p >= 1 - slack else r["q"][2 * k + 1]})
     found: dict = {}
     while segs:
-        freq = _frequencies(long, segs).persist(StorageLevel.MEMORY_AND_DISK)
+        freq = _frequencies(rows, segs).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             inside = F.col("value").isNotNull()
             stat = {r["seg"]: r for r in freq.groupBy("seg").agg(
