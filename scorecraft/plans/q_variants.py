@@ -87,13 +87,6 @@ def q_compare_histograms(spark, sf):
     return out.where("count > 0").select("series", F.col("bin").cast("int").alias("bin"), "count")
 
 
-@query("stepwise_forward_dummies")
-def q_stepwise_forward_dummies(spark, sf):
-    """M6 with L5: logistic forward selection over a string column's levels and a number."""
-    s = study_frame(att(spark, sf)).select(ITEM_TYPE, "number_of_distinct_instance_items", "target")
-    return stepwise.forward_selection(s, [ITEM_TYPE, "number_of_distinct_instance_items"], "target", "logistic", "aic", 0.05).log_frame(spark)
-
-
 def _exchange(m, p):
     """The matrix ``m`` (a list of rows) with pivot ``p`` swept in, or out if it was in."""
     whole = f"range(1, len({m}) + 1)"
@@ -101,6 +94,58 @@ def _exchange(m, p):
             f"WHEN i = {p} THEN {m}[i][j] / {m}[{p}][{p}] WHEN j = {p} THEN -{m}[i][j] / {m}[{p}][{p}] ELSE {m}[i][j] - {m}[i][{p}] * {m}[{p}][j] / {m}[{p}][{p}] END))")
 
 
+_ITEM_CELLS = ["rows_ AS (SELECT item_type_code_name AS g, number_of_distinct_instance_items AS d, target AS y FROM study)",
+    """tn AS (SELECT *, row_number() OVER (ORDER BY ord, g) AS k FROM (SELECT 'intercept' AS name, 1 AS ord, NULL AS g
+       UNION ALL SELECT 'item_type_code_name_' || g, 2, g FROM (SELECT DISTINCT g FROM rows_ WHERE g IS NOT NULL ORDER BY g OFFSET 1) l
+       UNION ALL SELECT 'number_of_distinct_instance_items', 3, NULL) t)"""]
+
+# Logistic forward selection: the fit of every subset of the terms on grouped rows, by steps under a
+# fixed bound of the curvature (a quarter of the cross-products), then the selection among them.
+_ALL = "range(1, len(beta) + 1)"
+_FORWARD = with_attempts("""
+SELECT step, action, variable, round(aic, 4) AS aic, round(criterion, 4) AS criterion FROM (
+  SELECT i + 1 AS step, CASE WHEN z IS NULL OR z < 1.959963984540054 THEN 'break_significance' WHEN new < aic THEN 'entered' ELSE 'break_criterion' END AS action,
+         CASE WHEN z >= 1.959963984540054 THEN name END AS variable, CASE WHEN z >= 1.959963984540054 THEN new END AS aic,
+         CASE WHEN z >= 1.959963984540054 THEN new ELSE aic END AS criterion
+  FROM sel LEFT JOIN tn ON tn.k = sel.k WHERE i < (SELECT count(*) FROM tn) - 1) x""", STUDY_CTE, *_ITEM_CELLS,
+    "cell AS (SELECT g, d, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS s FROM rows_ WHERE d IS NOT NULL AND y IS NOT NULL GROUP BY ALL)",
+    """xs AS (SELECT c.g, c.d, any_value(n) AS n, any_value(s) AS s, list(CASE ord WHEN 1 THEN 1 WHEN 2 THEN coalesce(c.g = tn.g, false)::INT ELSE d END::DOUBLE ORDER BY k) AS x
+       FROM cell c, tn GROUP BY c.g, c.d)""",
+    "cells AS (SELECT list({'n': n, 's': s, 'x': x}) AS c, (SELECT count(*) FROM tn) AS w FROM xs)",
+    "subsets AS (SELECT m AS mask, list_filter(range(1, w + 1), lambda k: k = 1 OR (m >> (k - 2)::INT) & 1 = 1) AS alive FROM cells, range(0, (1 << (w - 1)::INT)::BIGINT) r(m))",
+    """quarter AS (SELECT list_transform(range(1, w + 1), lambda i: list_transform(range(1, w + 1), lambda j: list_sum(list_transform(c, lambda e: e.n * e.x[i] * e.x[j] / 4)))) AS m
+       FROM cells)""",
+    f"""inv AS (SELECT mask, alive, 1::BIGINT AS pos, m FROM subsets, quarter
+       UNION ALL SELECT mask, alive, pos + 1, {_exchange("m", "alive[pos]")} FROM inv WHERE pos <= len(alive))""",
+    "bound AS (SELECT mask, alive, m FROM inv WHERE pos > len(alive))",
+    f"""it AS (SELECT mask, 0 AS t, list_transform(range(1, w + 1), lambda k: 0.0::DOUBLE) AS beta, 1.0::DOUBLE AS moved FROM subsets, cells
+       UNION ALL SELECT mask, t + 1, list_transform({_ALL}, lambda k: beta[k] + step[k]), list_max(list_transform(step, lambda v: abs(v))) FROM (
+         SELECT mask, t, beta, list_transform({_ALL}, lambda k: CASE WHEN list_contains(alive, k) THEN list_sum(list_transform(alive, lambda j: m[k][j] * grad[j])) ELSE 0 END) AS step FROM (
+           SELECT it.mask, t, beta, alive, m, list_transform({_ALL}, lambda k: list_sum(list_transform(c, lambda e: e.x[k] * (e.s - e.n / (1 + exp(-list_dot_product(e.x, beta))))))) AS grad
+           FROM it JOIN bound ON bound.mask = it.mask, cells WHERE t < 400 AND moved > 1e-8) q) r)""",
+    "ended AS (SELECT mask, arg_max(beta, t) AS beta FROM it GROUP BY mask)",
+    f"""h AS (SELECT mask, beta, list_transform({_ALL}, lambda i: list_transform({_ALL}, lambda j:
+         list_sum(list_transform(c, lambda e: e.n * e.x[i] * e.x[j] / ((1 + exp(-list_dot_product(e.x, beta))) * (1 + exp(list_dot_product(e.x, beta)))))))) AS m FROM ended, cells)""",
+    f"""cov AS (SELECT h.mask, beta, alive, 1::BIGINT AS pos, m FROM h JOIN subsets ON subsets.mask = h.mask
+       UNION ALL SELECT mask, beta, alive, pos + 1, {_exchange("m", "alive[pos]")} FROM cov WHERE pos <= len(alive))""",
+    """fits AS (SELECT mask, beta, m, 2 * len(alive) - 2 * list_sum(list_transform(c, lambda e: e.s * list_dot_product(e.x, beta) - e.n * ln(1 + exp(list_dot_product(e.x, beta))))) AS aic
+       FROM cov, cells WHERE pos > len(alive))""",
+    """tries AS (SELECT f.mask AS now, k, g.aic AS new, abs(g.beta[k]) / sqrt(g.m[k][k]) AS z FROM fits f, tn JOIN fits g ON g.mask = f.mask | (1 << (k - 2)::INT)
+       WHERE k > 1 AND (f.mask >> (k - 2)::INT) & 1 = 0)""",
+    "best AS (SELECT now, arg_max({'k': k, 'new': new, 'z': z}, z - k * 1e-9) AS b FROM tries GROUP BY now)",
+    """sel AS (SELECT 0 AS i, mask, aic, b.k AS k, b.new AS new, b.z AS z FROM fits LEFT JOIN best ON now = mask WHERE mask = 0
+       UNION ALL SELECT i + 1, n.mask, n.aic, n.k, n.new, n.z FROM sel JOIN (SELECT mask, aic, b.k AS k, b.new AS new, b.z AS z FROM fits LEFT JOIN best ON now = mask) n
+         ON n.mask = sel.mask | (1 << (sel.k - 2)::INT) WHERE sel.z >= 1.959963984540054 AND sel.new < sel.aic)""").replace("WITH attempts", "WITH RECURSIVE attempts")
+
+
+@query("stepwise_forward_dummies", _FORWARD)
+def q_stepwise_forward_dummies(spark, sf):
+    """M6 with L5: logistic forward selection over a string column's levels and a number."""
+    s = study_frame(att(spark, sf)).select(ITEM_TYPE, "number_of_distinct_instance_items", "target")
+    sel = stepwise.forward_selection(s, [ITEM_TYPE, "number_of_distinct_instance_items"], "target", "logistic", "aic", 0.05)
+    return rounded(sel.log_frame(spark).select("step", "action", "variable", "aic", "criterion"), 4)
+
+
 # Backward elimination by sweeps of the cross-products of (intercept, levels but the first, number,
 # label): a state per model, whose least |t| goes while it is under 1.96 and the AIC is no worse.
 _BACKWARD = with_attempts(f"""
