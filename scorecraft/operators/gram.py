@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows whose means are the shift (any value near the means will do), and pairs of levels a task holds before it passes them on.
-SHIFT_ROWS, HELD_PAIRS = 1000, 1_000_000
+SHIFT_ROWS, HELD_PAIRS = 100, 1_000_000
 # Numbers a task returns up to which they are added up as rows.
 FEW_NUMBERS = 2_000
 _SUMS = "term int, other int, v array<double>"

@@ -21,8 +21,9 @@ from scorecraft.session import staged
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Bytes that a row of the left side is taken to have at least.
-LEAST_ROW_BYTES = 64
+# Rows of the left side from which the ones that may match are looked for, and bytes that such a
+# row is taken to have at least.
+LEAST_ROWS, LEAST_ROW_BYTES = 1000, 64
 # Bits of the key filter (16 MB when all pages are in use), the share of them that may be set
 # for it to be worth a look, and bits of one page (those of Spark's bitmap functions).
 FILTER_BITS, FILTER_SHARE, PAGE_BITS = 1 << 27, 0.25, 32768
@@ -126,7 +127,8 @@ def sized_join(left: DataFrame, right: DataFrame, on: str, how: str = "left",
     if how not in ("inner", "left", "left_outer", "left_anti"):
         return left.join(right, on, how)
     keyed, sure = left.where(F.col(on).isNotNull()), left.where(F.col(on).isNull())
-    if keyed.count() * LEAST_ROW_BYTES < size:  # the lookup side is the one that costs
+    rows = keyed.count()
+    if rows < LEAST_ROWS or rows * LEAST_ROW_BYTES < size:  # too few to filter, or the lookup side is the one that costs
         joined = keyed.join(right, on, how)
     else:
         joined, sure = _filtered_join(left, keyed, sure, right, n, on, how)

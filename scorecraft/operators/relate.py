@@ -12,9 +12,9 @@ import itertools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from scorecraft.functions.dates import epoch_micros
+from scorecraft.operators.joins import sized_join
 from scorecraft.session import staged
 
 NULL_LABEL = "null"
@@ -44,19 +44,21 @@ def _pair_counts(df: DataFrame, a: str, b: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("count")))
 
 
+def _with_total(cells: DataFrame, by: str) -> DataFrame:
+    """Cells with the total of their level of ``by``: grouped sums joined back, so that no
+    level's cells have to fit one task."""
+    cells = staged(cells, "cells")
+    return sized_join(cells, cells.groupBy(by).agg(F.sum("count").alias("__total")), by, "inner")
+
+
 def crosstab_row_pct(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Cell percent of its row total, rounded half-to-even to whole percent.
-    The window runs over the grouped cells (rows x columns of the table)."""
-    cells = _pair_counts(df, a, b)
-    return cells.select(a, b, "count", F.bround(F.col("count") * 100.0 / F.sum("count").over(
-        Window.partitionBy(a)), 0).alias("row_pct"))
+    """Cell percent of its row total, rounded half-to-even to whole percent."""
+    return _with_total(_pair_counts(df, a, b), a).select(a, b, "count", F.bround(F.col("count") * 100.0 / F.col("__total"), 0).alias("row_pct"))
 
 
 def crosstab_col_share(df: DataFrame, a: str, b: str) -> DataFrame:
     """Cell share of its column total (``normalize='columns'``)."""
-    cells = _pair_counts(df, a, b)
-    return cells.select(a, b, "count", (F.col("count") / F.sum("count").over(
-        Window.partitionBy(b))).alias("col_share"))
+    return _with_total(_pair_counts(df, a, b), b).select(a, b, "count", (F.col("count") / F.col("__total")).alias("col_share"))
 
 
 def corr_matrix(df: DataFrame, cols) -> DataFrame:
