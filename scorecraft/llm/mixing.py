@@ -7,8 +7,10 @@ All that a round passes on is one number, the level (target per unit of weight).
 
 Then each source takes every document a whole number of times and the rest of its
 target as a seeded selection: documents are dealt into 4096 slots by a hash of
-their id, slots are taken in order while the words stay within the target, and one
-more slot fills the gap: the one of nearest size, if it brings the sum nearer.  Sums
+their id; slots are gone through in order, and each is taken that leaves the words
+within the target, those after one that does not fit as well; of the others the one
+nearest in size to what is missing fills the gap, if it brings the sum nearer.  A source
+then misses its target by half of its smallest slot not taken at most.  Sums
 per source and slot are combined before the shuffle, so a source with a third of
 all rows is harmless."""
 
@@ -77,17 +79,19 @@ def mix(docs: DataFrame, weights=ranked_weights, max_epochs: int = 3, total: flo
     goals = staged(targets(staged(weights(sources), "mix_sources"), max_epochs, total), "mix_targets")
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     goals = goals.withColumn("whole", F.floor(epochs)).withColumn("goal", F.col("target") - F.col("whole") * F.col("source_size"))
-    reached = F.sum("words").over(Window.partitionBy("key").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0))
-    slots = staged(sized_join(slots.select("key", "slot", "words", reached.alias("reached")), goals.where("goal > 0").select("key", "goal"), "key", "inner"), "mix_slots")
-    cuts = (slots.groupBy("key").agg(F.max(F.when(F.col("reached") <= F.col("goal"), F.col("slot"))).alias("last"),
-                                     F.max(F.when(F.col("reached") <= F.col("goal"), F.col("reached"))).alias("filled"), F.first("goal").alias("goal"))
-            .select("key", F.coalesce("last", F.lit(-1)).alias("last"), (F.col("goal") - F.coalesce("filled", F.lit(0))).alias("gap")))
-    cuts = staged(cuts, "mix_cuts")
-    fits = (sized_join(slots.select("key", "slot", "words"), cuts, "key", "inner").where("slot > last")
-            .groupBy("key").agg(F.min(F.struct(F.abs(F.col("words") - F.col("gap")).alias("off"), F.col("slot"), F.col("gap"))).alias("fit"))
-            .where("fit.off < fit.gap").select("key", F.col("fit.slot").alias("fill")))
-    table = sized_join(sized_join(goals, cuts.select("key", "last"), "key", "left"), fits, "key", "left")
-    table = table.select("key", "source_size", "target", "whole", F.coalesce("last", F.lit(-1)).alias("last"), F.coalesce("fill", F.lit(-1)).alias("fill"))
+    lists = slots.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("slot", "words"))).alias("slots"))  # at most 4096 slots
+    lists = sized_join(lists, goals.where("goal > 0").select("key", "goal"), "key", "inner")
+    # slots that do not fit are kept in the order they were passed
+    start = F.struct(F.lit(0).cast("long").alias("filled"), F.array().cast("array<struct<slot:int,words:bigint>>").alias("passed"))
+    fits = lambda s, x: s["filled"] + x["words"] <= F.col("goal")
+    walk = F.aggregate("slots", start, lambda s, x: F.when(fits(s, x), F.struct((s["filled"] + x["words"]).alias("filled"), s["passed"].alias("passed")))
+                       .otherwise(F.struct(s["filled"].alias("filled"), F.concat(s["passed"], F.array(x)).alias("passed"))))
+    gap = F.col("goal") - F.col("w.filled")
+    near = F.array_min(F.transform("w.passed", lambda x: F.struct(F.abs(x["words"] - gap).alias("off"), x["slot"].alias("slot"))))
+    picked = (lists.withColumn("w", walk).withColumn("near", near)
+              .select("key", F.transform("w.passed", lambda x: x["slot"]).alias("passed"), F.when(F.col("near.off") < gap, F.col("near.slot")).alias("fill")))
+    table = sized_join(goals, staged(picked, "mix_picked"), "key", "left", written=True).select("key", "source_size", "target", "whole", "goal", "passed", "fill")
     out = sized_join(sized, table, "key", "inner")
-    repeats = F.col("whole") + ((F.col("slot") <= F.col("last")) | (F.col("slot") == F.col("fill"))).cast("long")
+    more = (F.col("goal") > 0) & (~F.array_contains("passed", F.col("slot")) | F.coalesce(F.col("slot") == F.col("fill"), F.lit(False)))
+    repeats = F.col("whole") + more.cast("long")
     return out.select(F.col("id").alias(id_col), *[F.col(f"__keep.{c}") for c in keep], "source", "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken"))

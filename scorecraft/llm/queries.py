@@ -37,7 +37,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op3_mixing", r"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
                   ('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, '')), 1, 3))::INT AS slot FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
 r AS (SELECT *, 3 * source_size AS cap, row_number() OVER (ORDER BY 3 * source_size / weight, source NULLS LAST) AS k FROM s),
@@ -48,18 +48,18 @@ l AS (SELECT arg_min((total - gone)::DOUBLE / open::DOUBLE, k) AS level FROM c W
 t AS (SELECT source, source_size, least(cap::DOUBLE, level * weight) AS target FROM r, l),
 w AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
 g AS (SELECT *, target - whole * source_size AS goal FROM w),
-b AS (SELECT source, slot, sum(size) AS words FROM d GROUP BY source, slot),
-a AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY slot) AS reached FROM b),
-u AS (SELECT g.source, goal, coalesce(max(slot) FILTER (reached <= goal), -1) AS last,
-             goal - coalesce(max(reached) FILTER (reached <= goal), 0) AS gap
-      FROM a JOIN g ON a.source IS NOT DISTINCT FROM g.source WHERE goal > 0 GROUP BY g.source, goal),
-f AS (SELECT u.source, min({'off': abs(words - gap), 'slot': slot, 'gap': gap}) AS fit
-      FROM a JOIN u ON a.source IS NOT DISTINCT FROM u.source WHERE slot > last GROUP BY u.source),
-h AS (SELECT source, fit.slot AS fill FROM f WHERE fit.off < fit.gap)
-SELECT doc_id, size::BIGINT AS size, source_size, target,
-       ((whole + (slot <= coalesce(last, -1) OR slot = coalesce(fill, -1))::INT) * size)::BIGINT AS taken
-FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN u ON d.source IS NOT DISTINCT FROM u.source
-LEFT JOIN h ON d.source IS NOT DISTINCT FROM h.source""")
+b AS (SELECT source, slot, sum(size)::BIGINT AS words FROM d GROUP BY source, slot),
+o AS (SELECT g.source, goal, list(slot ORDER BY slot) AS slots, list(words ORDER BY slot) AS sums FROM b JOIN g ON b.source IS NOT DISTINCT FROM g.source
+      WHERE goal > 0 GROUP BY g.source, goal),
+p AS (SELECT source, 0 AS i, 0::BIGINT AS filled, false AS took FROM o
+      UNION ALL SELECT p.source, i + 1, CASE WHEN filled + sums[i + 1] <= goal THEN filled + sums[i + 1] ELSE filled END, filled + sums[i + 1] <= goal
+      FROM p JOIN o ON p.source IS NOT DISTINCT FROM o.source WHERE i < len(slots)),
+u AS (SELECT p.source, slots[i] AS slot, sums[i] AS words, took, goal - max(filled) OVER (PARTITION BY p.source) AS gap
+      FROM p JOIN o ON p.source IS NOT DISTINCT FROM o.source WHERE i > 0),
+f AS (SELECT source, min({'off': abs(words - gap), 'slot': slot, 'gap': gap}) AS fit FROM u WHERE NOT took GROUP BY source),
+h AS (SELECT source, slot FROM u WHERE took UNION ALL SELECT source, fit.slot FROM f WHERE fit.off < fit.gap)
+SELECT doc_id, size::BIGINT AS size, source_size, target, ((whole + (h.slot IS NOT NULL)::INT) * size)::BIGINT AS taken
+FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN h ON d.source IS NOT DISTINCT FROM h.source AND d.slot = h.slot""")
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix of all documents: sources weigh 1, 2, 3 in turn, at most 3 epochs each."""
     from scorecraft.llm.mixing import mix
