@@ -3,8 +3,8 @@
 Vectors are scaled to length one and rotated so that leading dimensions hold most
 of the length (eigenvectors of the second-moment matrix, from one distributed
 pass).  Copies of one vector are one representative.  Representatives are sorted
-along the leading axes and cut into blocks; every pair of blocks is one group of a
-shuffle, in which tiles are compared: inner products are accumulated over leading
+along the leading axis and cut into blocks; every pair of blocks whose stretches of that
+axis come as near as linked vectors do is one group of a shuffle, in which tiles are compared: inner products are accumulated over leading
 dimensions, what the rest can add is bounded by the product of the suffix norms,
 and pairs (in the end whole tiles) that cannot reach the threshold are dropped
 before the next dimensions.  A block pair whose tiles' balls around their centres
@@ -12,9 +12,10 @@ are too far apart is not compared at all.  Pairs left at the end are decided by
 unrotated vectors in double precision.
 
 A block pair returns for each vector how many it links with, and links that connect
-what it found (not all pairs), so a large group of near copies stays linear.  All
-pairs of blocks are met, which grows with the square of the number of distinct
-vectors; this is what an exact answer without candidates costs."""
+what it found (not all pairs), so a large group of near copies stays linear.  Where all
+vectors lie within reach along the first axis, all pairs of blocks are met, which grows
+with the square of the number of distinct vectors; this is what an exact answer without
+candidates costs."""
 
 from __future__ import annotations
 
@@ -191,14 +192,22 @@ def _compare(points: DataFrame, dim: int, threshold: float) -> DataFrame:
         for batch in batches:
             # equal leading coordinates are dealt out by id, so that no block outgrows the others
             lo = np.searchsorted(at.value, batch.column(3).to_numpy(), side="left")
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(lo.astype(np.int32))], ["rep", "v", "n", "block"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lo.astype(np.int32))], ["rep", "v", "n", "lead", "block"])
 
-    blocked = located.mapInArrow(blocks, "rep long, v array<double>, n long, block int")
+    blocked = located.mapInArrow(blocks, "rep long, v array<double>, n long, lead double, block int")
     per = blocked.groupBy("block").count().withColumn("k", F.ceil(F.col("count") / (2 * block)))
     start = per.select("block", "k", (F.sum("k").over(Window.orderBy("block")) - F.col("k")).alias("start"))  # one row per block
-    placed = blocked.join(F.broadcast(start), "block").select("rep", "v", "n", (F.col("start") + F.pmod(F.xxhash64("rep"), F.col("k"))).cast("int").alias("block"))
-    total = int(start.agg(F.sum("k")).head()[0] or 0)
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.lit(total - 1)), lambda o: F.struct(F.least("block", o).alias("p"), F.greatest("block", o).alias("q"))))
+    placed = staged(blocked.join(F.broadcast(start), "block").select("rep", "v", "n", "lead", (F.col("start") + F.pmod(F.xxhash64("rep"), F.col("k"))).cast("int").alias("block")), "blocks")
+    # blocks meet only if their stretches of the first axis come as near as linked vectors do
+    edges = sorted(placed.groupBy("block").agg(F.min("lead").alias("lo"), F.max("lead").alias("hi")).collect())  # one row per block
+    number, low, high = (np.array([r[k] for r in edges]) for k in range(3))
+    far = np.sqrt(2 - 2 * threshold) + SLACK
+    first = np.searchsorted(np.maximum.accumulate(high), low - far, side="left") if len(edges) else low
+    last = np.searchsorted(np.minimum.accumulate(low[::-1])[::-1], high + far, side="right") - 1 if len(edges) else low
+    reach = [(int(b), int(number[i]), int(number[j])) for b, i, j in zip(number, first, last)]
+    reach = spark.createDataFrame(reach, "block int, first int, last int")
+    pair = F.explode(F.transform(F.sequence("first", "last"), lambda o: F.struct(F.least("block", o).alias("p"), F.greatest("block", o).alias("q"))))
+    placed = placed.join(F.broadcast(reach), "block")
     dealt = placed.select("rep", "v", "n", "block", pair.alias("pair")).select("pair.p", "pair.q", "block", "rep", "n", "v")
 
     def compare(key, rows):
