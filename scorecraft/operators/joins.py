@@ -99,13 +99,15 @@ def hot_keys(rows: DataFrame, on: str) -> list:
 
 
 def dealt_join(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
-    """Shuffle join in which a hot key's rows are dealt over HOT_PARTS tasks."""
+    """Shuffle join in which a hot key's rows are dealt over HOT_PARTS tasks (equal rows to one)."""
     hot = hot_keys(left, on)
     if not hot:
         return left.join(right, on, how)
     is_hot = F.col(on).isin(hot)
     parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0)))
-    dealt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], F.monotonically_increasing_id()), F.lit(HOT_PARTS))).otherwise(F.lit(0))
+    # by the row's content alone: a task that runs again deals its rows the same way
+    content = [F.col(f"`{f.name}`") for f in left.schema.fields if "map<" not in f.dataType.simpleString()]  # maps have no hash
+    dealt = F.when(is_hot, F.pmod(F.xxhash64(*content), F.lit(HOT_PARTS))).otherwise(F.lit(0))
     return (left.withColumn("__part", dealt.cast("int"))
             .join(right.withColumn("__part", F.explode(parts)), [on, "__part"], how).drop("__part"))
 
