@@ -36,7 +36,7 @@ def _keyed(docs: DataFrame, name: str) -> DataFrame:
 def _without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
     """``docs`` (with __row) less the rows ``gone`` (__row); their keys are sent to the
     documents where their measured size allows it."""
-    return sized_join(docs, staged(gone.select("__row"), name), "__row", "left_anti").drop("__row")
+    return sized_join(docs, staged(gone.select("__row"), name), "__row", "left_anti", written=True).drop("__row")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,14 +60,14 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = staged(judged.select("__row", "doc_id", F.col("component_id").alias("component")), "near")
     first = judged.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first"), F.count("*").alias("n"))
     first = staged(first.where("n > 1").select("component", F.col("first.__row").alias("stays")), "near_first")
-    return _without(docs, sized_join(judged.select("__row", "component"), first, "component", "inner").where("__row <> stays"), "near_gone")
+    return _without(docs, sized_join(judged.select("__row", "component"), first, "component", "inner", written=True).where("__row <> stays"), "near_gone")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows as often as the mix takes them (0 to 3 times)."""
     docs = _keyed(docs, "mix_rows")
     plan = mix(docs, keep=["__row"]).where("repeats > 0").select("__row", F.col("repeats").cast("int").alias("__times"))
-    taken = sized_join(docs, staged(plan, "mix_plan"), "__row", "inner").drop("__row")
+    taken = sized_join(docs, staged(plan, "mix_plan"), "__row", "inner", written=True).drop("__row")
     return taken.withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times")))).drop("__time", "__times")
 
 
