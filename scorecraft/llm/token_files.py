@@ -13,7 +13,7 @@ in ascending order of document id with the number of ids before each.
 Writing takes two passes over the encoded corpus: one counts ids, one writes.
 Documents ascend within a block, and blocks do not overlap; where the input is
 not in that order already, its encoded rows are range-partitioned by document id
-first.  Files are written by Spark's committer into the given folder, so a lost
+first.  The second pass writes blocks in that order, file after file by name.  Files are written by Spark's committer into the given folder, so a lost
 executor leaves no half file, and are read back as whole binary files.
 
 Cases: null text is empty, so its document has the end id alone; null document
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from scorecraft.llm.batches import STEP_BYTES, expand, steps, text_buffer
 from scorecraft.llm.library import library, read_spec, texts_of
 from scorecraft.llm.pretokens import distinct
+from scorecraft.operators.joins import sized_join
 from scorecraft.session import scratch_path
 
 MAGIC = b"TKB1"
@@ -202,14 +203,17 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
                 tokens = _tokens(batch.column(3)[k], int(sizes.sum()))
                 yield pa.RecordBatch.from_arrays([pa.array([write_block(batch.column(0)[k].as_py(), ids, sizes, rank_of[tokens])], pa.binary())], ["block"])
 
-    # a text file's line is written byte for byte: a block and its newline
-    (staged.mapInArrow(write, "block binary").select(F.col("block").cast("string"))
-     .write.option("maxRecordsPerFile", BLOCKS_PER_FILE).text(f"{folder}/blocks"))
     sizes = staged.select("block", F.coalesce(F.col("ids")[0], F.lit(-2**63)).alias("first"),
                           F.coalesce(F.element_at("ids", -1), F.lit(-2**63)).alias("last"), F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
     w = Window.orderBy("first", "last", "block")  # one narrow row per block of 8 MB of text
     sizes.select("block", (F.row_number().over(w) - 1).alias("position"),
                  (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("start"), "n").write.parquet(f"{folder}/index")
+    index = spark.read.parquet(f"{folder}/index").select("block", "position")
+    # files and the blocks in them follow each other in the order of the ids
+    ordered = sized_join(staged, index, "block", "inner", written=True).repartitionByRange("position").sortWithinPartitions("position")
+    # a text file's line is written byte for byte: a block and its newline
+    (ordered.select(*staged.columns).mapInArrow(write, "block binary").select(F.col("block").cast("string"))
+     .write.option("maxRecordsPerFile", BLOCKS_PER_FILE).text(f"{folder}/blocks"))
 
 
 def read_token_files(spark: SparkSession, folder: str, digest=None, digest_type: str = "array<long>") -> DataFrame:
