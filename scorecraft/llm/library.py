@@ -2,8 +2,9 @@
 
 A byte-level BPE tokenizer without normaliser encodes each pre-token by itself,
 so the ids of a text are those of its pre-tokens in order, and each distinct
-pre-token needs one call.  Texts that hold one of the tokenizer's added strings
-or bytes whose cut is not decided in ``pretokens`` are given to the library whole."""
+pre-token needs one call.  Texts with characters whose cut is not decided in ``pretokens``
+are cut by the library's pre-tokenizer; only texts that hold one of the tokenizer's added
+strings are given to the library whole."""
 
 from __future__ import annotations
 
@@ -86,8 +87,11 @@ class Library:
         return out
 
     def cut(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(starts of pre-tokens, mask of the texts the library must see whole)."""
-        start, whole = boundaries(buf, offsets)
+        """(starts of pre-tokens, mask of the texts the library must see whole: those that hold
+        an added string).  Texts whose cuts ``boundaries`` does not decide are cut by the
+        library's own pre-tokenizer."""
+        start, other = boundaries(buf, offsets)
+        whole = np.zeros(len(offsets) - 1, bool)
         raw = buf.tobytes()
         for mark in self.added:
             at = raw.find(mark)
@@ -95,6 +99,12 @@ class Library:
                 k = int(np.searchsorted(offsets, at, side="right")) - 1
                 whole[k] = True
                 at = raw.find(mark, int(offsets[k + 1]))
+        for k in np.flatnonzero(other & ~whole):
+            lo, hi = int(offsets[k]), int(offsets[k + 1])
+            cuts = [a for _, (a, _) in self.tokenizer.pre_tokenizer.pre_tokenize_str(raw[lo:hi].decode())]
+            chars = np.flatnonzero((buf[lo:hi] & 0xC0) != 0x80)  # first byte of each character
+            start[lo:hi] = False
+            start[lo + chars[cuts]] = True
         return np.flatnonzero(start), whole
 
 
