@@ -15,7 +15,7 @@ from scorecraft.llm.url_filter import url_filter
 from tests.llm.helpers import documents, empty, text
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "conversations")
 
 
 @pytest.fixture(scope="module")
