@@ -82,11 +82,18 @@ def resolved(target: Column, page: Column) -> Column:
     return F.when(whole != "", clean)
 
 
+# What a browser does not read as tags: comments (to the end, if it is missing), scripts and styles.
+UNREAD = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+
+
 def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Edges (a, b) between a page's url and what it redirects to or calls canonical,
-    both without fragments."""
-    found = pages.where(F.col(url_col).isNotNull() & F.col(html_col).isNotNull()).select(
-        F.col(url_col).alias("a"), F.explode(F.concat(F.regexp_extract_all(html_col, F.lit(CANONICAL), 1), F.regexp_extract_all(html_col, F.lit(REFRESH), 1))).alias("b"))
+    both without fragments.  Tags in comments, scripts and styles are none."""
+    # only a page with one of these words can hold such a tag
+    some = pages.where(F.col(url_col).isNotNull() & F.col(html_col).rlike("(?i)canonical|refresh"))
+    html = F.regexp_replace(html_col, UNREAD, " ")
+    found = some.select(
+        F.col(url_col).alias("a"), F.explode(F.concat(F.regexp_extract_all(html, F.lit(CANONICAL), 1), F.regexp_extract_all(html, F.lit(REFRESH), 1))).alias("b"))
     return found.select(_bare(F.col("a")).alias("a"), resolved(F.col("b"), F.col("a")).alias("b")).where("b is not null").distinct()
 
 
@@ -115,6 +122,6 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFr
               .agg(F.max(F.col("own") == "block").alias("blocked"), F.max(F.col("own") == "allow").alias("allowed")))
     alias = found.join(spread, "component").select(F.col("node").alias("bare"), "component", (F.col("blocked") & ~F.coalesce("allowed", F.lit(False))).alias("spread"))
     rows = judge(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")), "url").withColumn("bare", _bare(F.col("url")))
-    out = sized_join(rows, staged(alias, "aliases"), "bare", "left")
+    out = sized_join(rows, staged(alias, "aliases"), "bare", "left", written=True)
     method = F.when(F.coalesce("spread", F.lit(False)), "block").otherwise("allow")
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("own", method).alias("verdict"), F.coalesce("component", "url").alias("component"))
