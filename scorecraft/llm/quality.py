@@ -18,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scorecraft.llm.staging import staged
 from scorecraft.llm.batches import expand, steps, text_buffer
 
 HALF, WIDTH, STRIDE = 128, 12, 4   # half a chunk, filter width and stride in bytes
 DIM, FILTERS, HIDDEN = 6, 48, 16   # numbers per byte, filters, features per chunk
 PAD = 256                          # the byte after a text's end
-_PIECE = 1 << 19                   # bytes convolved at a time
+_PIECE = 1 << 18                   # bytes convolved at a time
 
 
 def padded(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,8 +187,9 @@ def held_out(doc_id: Column) -> Column:
 def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = 1500, train_bytes: int = 12_000_000, updates: int = 420,
                 id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Network:
     """Fit on labelled documents that are not held out: of each class the ``train_rows``
-    with the smallest hash of the id, and of these as many, in the same order, as hold
-    ``train_bytes`` bytes (the first always).  Rows weigh so that the classes have
+    with the smallest hash of the id, and of these as many, in the same order, as hold half of
+    ``train_bytes`` bytes; texts above a fiftieth of ``train_bytes`` come last in that order,
+    so one very long text never takes the place of others.  Rows weigh so that the classes have
     their shares among all such labels.  Contradicting or null labels are left out."""
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col)))
              .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("y"), F.max(label_col).alias("z")).where("y = z").select("id", "y"))
@@ -204,10 +206,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = 1500, trai
         chosen = part if chosen is None else chosen.union(part)
     # at most 2 * train_rows ids are sent out
     rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .join(F.broadcast(chosen), "id").select("id", "y", "h", "text", F.octet_length("text").alias("size")))
-    order = Window.partitionBy("y").orderBy("h", "id", "text").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("sum", F.sum("size").over(order)).withColumn("first", F.row_number().over(Window.partitionBy("y").orderBy("h", "id", "text")) == 1)
-    rows = rows.where((F.col("sum") <= train_bytes // 2) | F.col("first")).select("id", "y", "h", "text").collect()
+            .join(F.broadcast(chosen), "id").select("id", "y", "h", "text", F.octet_length("text").alias("size"), F.xxhash64("text").alias("x")))
+    # sums over sizes alone; texts above a fiftieth of the bytes come last, so that none keeps others out
+    order = Window.partitionBy("y").orderBy(F.col("size") > train_bytes // 50, "h", "id", "x").rowsBetween(Window.unboundedPreceding, 0)
+    fit_in = rows.select("id", "y", "h", "x", "size").withColumn("sum", F.sum("size").over(order)).where(F.col("sum") <= train_bytes // 2)
+    fit_in = staged(fit_in.select("id", "x").distinct(), "train_ids")
+    rows = rows.join(F.broadcast(fit_in), ["id", "x"]).select("id", "y", "h", "text").collect()
     known.unpersist()
     rows.sort(key=lambda r: (r.h, r.id, r.text))
     y = np.array([r.y for r in rows])
@@ -230,7 +234,7 @@ def score_quality(docs: DataFrame, network: Network, id_col: str = "doc_id", tex
 
     def run(batches):
         net = Network(shared.value)
-        for batch in steps(batches, "__text", 1 << 21):
+        for batch in steps(batches, "__text", 1 << 20):
             buf, off = text_buffer(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(net.score(buf, off))], [*keep, "score"])
 
