@@ -77,13 +77,16 @@ class Design:
         return read
 
 
-def summed(partial: DataFrame, numbers: int) -> DataFrame:
-    """Arrays of equal (term, other) added up, spread over the cluster by term.  ``numbers`` is
-    about what a task returns: a few are added up as rows, many as arrays in numpy."""
+def summed(partial: DataFrame, numbers: int) -> list[tuple]:
+    """(term, other, array) with arrays of equal (term, other) added up, spread over the cluster
+    by term.  ``numbers`` is about what a task returns: a few are added up as rows, many as
+    arrays in numpy."""
     if numbers <= FEW_NUMBERS:
-        each = partial.select("term", "other", F.posexplode("v").alias("at", "x")).groupBy("term", "other", "at").agg(F.sum("x").alias("x"))
-        whole = each.groupBy("term", "other").agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("v"))
-        return whole.select("term", "other", F.transform("v", lambda r: r["x"]).alias("v"))
+        found: dict = {}
+        for t, o, at, x in (partial.select("term", "other", F.posexplode("v").alias("at", "x"))
+                            .groupBy("term", "other", "at").agg(F.sum("x").alias("x")).collect()):
+            found.setdefault((t, o), []).append((at, x))
+        return [(t, o, np.array([x for _, x in sorted(v)])) for (t, o), v in found.items()]
 
     def add(batches):
         held: dict = {}
@@ -93,7 +96,7 @@ def summed(partial: DataFrame, numbers: int) -> DataFrame:
                 held[t, o] = held[t, o] + v if (t, o) in held else v.copy()
         if held:
             yield _batch([(t, o, v) for (t, o), v in held.items()])
-    return partial.repartition("term").mapInArrow(add, _SUMS)
+    return [(t, o, np.array(v)) for t, o, v in partial.repartition("term").mapInArrow(add, _SUMS).collect()]
 
 
 def _batch(rows) -> pa.RecordBatch:
@@ -208,8 +211,7 @@ def gram(rows: DataFrame, design: Design) -> Gram:
     n, total, products = 0, np.zeros(width), np.zeros((width, width))
     counts, sums, pairs = [np.zeros(s) for s in sizes], [np.zeros((s, width)) for s in sizes], {}
     about = width * (width + 1) // 2 + sum(sizes) * (width + 1) + sum(a * b for k, a in enumerate(sizes) for b in sizes[k + 1:])
-    for r in summed(rows.mapInArrow(add, _SUMS), about).collect():
-        t, o, v = r
+    for t, o, v in summed(rows.mapInArrow(add, _SUMS), about):
         if t < 0:
             n, total = int(v[-1]), np.array(v[:-1])
         elif o >= 0:

@@ -161,7 +161,7 @@ class LogisticEngine:
 
         out = [[np.zeros((len(d), len(d))), np.zeros(len(d)), 0.0] for d in designs]
         about = sum(len(b) * (len(b) + 3) // 2 + 1 for b in betas)
-        for k, _, v in summed(self.data.mapInArrow(partial_sums, _SUMS), about).collect():
+        for k, _, v in summed(self.data.mapInArrow(partial_sums, _SUMS), about):
             h, m = out[k][0], len(betas[k])
             h[np.triu_indices(m)] = v[:m * (m + 1) // 2]
             out[k] = [h + np.triu(h, 1).T, np.array(v[m * (m + 1) // 2:-1]), v[-1]]

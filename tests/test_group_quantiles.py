@@ -39,10 +39,11 @@ def test_filter_two_keys_and_no_rows(spark):
     assert gq.group_quantiles(df.limit(0), ["g"], ["a"], PROBS).count() == 0
 
 
-def test_a_bracket_over_many_tasks(spark):
+def test_a_bracket_over_many_tasks(spark, monkeypatch):
     """Brackets wider than a partition are read in parts, each with its offset."""
     old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    monkeypatch.setattr(gq, "MAX_LEAF", 10)
     try:
         df = spark.range(20000).select(F.lit(1).alias("g"), F.sin("id").alias("a"))
         _check(df, gq.group_quantiles(df, ["g"], ["a"], PROBS, accuracy=4), ["g"], ["a"])
