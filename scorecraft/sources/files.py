@@ -45,12 +45,12 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
 
 
 def write_parquet(df: DataFrame, path: str, num_files: int | None = None,
-                  partition_by: list[str] | None = None) -> None:
+                  partition_by: list[str] | None = None, options: dict[str, str] | None = None) -> None:
     """A5: overwrite sink.  No forced single file (Q1): ``num_files`` is opt-in
-    and uses ``coalesce`` (no shuffle)."""
+    and uses ``coalesce`` (no shuffle).  ``options`` are those of the Parquet writer."""
     if num_files:
         df = df.coalesce(num_files)
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

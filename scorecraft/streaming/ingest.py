@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorecraft.session import checkpoint_dir
+from scorecraft.sources.attempts import attempts_view
 
 
 def read_attempt_stream(spark: SparkSession, source: str, max_files: int | None = None) -> DataFrame:
@@ -20,7 +21,7 @@ def read_attempt_stream(spark: SparkSession, source: str, max_files: int | None
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(source)
+    return attempts_view(r.parquet(source))
 
 
 def clean_stream(spark: SparkSession, source: str, sink: str, checkpoint: str | None = None,
